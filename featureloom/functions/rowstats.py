@@ -1,9 +1,11 @@
 """Row-wise (horizontal) statistics over a list of columns (survey R1-R5).
 
-Spark has column aggregates but no row aggregates, so these build an array
-of the row's values, drop the missing ones with ``filter`` and fold it with
-``aggregate`` -- higher-order functions evaluated in the JVM, no Python UDF.
-Missing-value rules follow pandas ``axis=1`` reductions (N10, N11, N16).
+Spark has column aggregates but no row aggregates. The column list is known
+when the plan is built, so each statistic is unrolled into plain arithmetic
+over the columns (``coalesce``/``isNotNull`` to skip missing values): the
+result is an ordinary Catalyst expression that whole-stage codegen compiles,
+with repeated sub-expressions (the row mean) evaluated once. Missing-value
+rules follow pandas ``axis=1`` reductions (N10, N11, N16).
 """
 
 from __future__ import annotations
@@ -18,54 +20,62 @@ from pyspark.sql import functions as F
 KURT_FPERR = 1e-14
 
 
-def _values(cols: Sequence[str | Column]) -> Column:
-    arr = F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in cols])
-    return F.filter(arr, lambda x: x.isNotNull())
+def _cols(cols: Sequence[str | Column]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).cast("double") for c in cols]
+
+
+def _total(terms: list[Column]) -> Column:
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
 
 
 def row_count(cols: Sequence[str | Column]) -> Column:
-    return F.size(_values(cols))
+    """Number of non-missing values."""
+    cs = _cols(cols)
+    if not cs:
+        return F.lit(0)
+    return _total([c.isNotNull().cast("int") for c in cs])
 
 
 def row_sum(cols: Sequence[str | Column]) -> Column:
     """Sum skipping missing; all missing -> 0."""
-    if not cols:
+    cs = _cols(cols)
+    if not cs:
         return F.lit(0.0)
-    return F.aggregate(_values(cols), F.lit(0.0), lambda acc, x: acc + x)
+    return _total([F.coalesce(c, F.lit(0.0)) for c in cs])
 
 
 def row_mean(cols: Sequence[str | Column]) -> Column:
     """Mean skipping missing; all missing -> NULL."""
-    v = _values(cols)
-    return F.try_divide(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x), F.size(v).cast("double"))
+    return F.try_divide(row_sum(cols), row_count(cols).cast("double"))
 
 
-def _central_moment_sum(v: Column, mean: Column, power: int) -> Column:
-    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.pow(x - mean, F.lit(float(power))))
+def _moment_sum(cols: Sequence[str | Column], mean: Column, power: int) -> Column:
+    return _total([F.coalesce(F.pow(c - mean, F.lit(float(power))), F.lit(0.0))
+                   for c in _cols(cols)])
 
 
 def row_std(cols: Sequence[str | Column], ddof: int = 1) -> Column:
     """Sample standard deviation skipping missing; fewer than ddof+1 values
     -> NULL (R4, N11)."""
-    v = _values(cols)
-    n = F.size(v).cast("double")
-    mean = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / n
-    m2 = _central_moment_sum(v, mean, 2)
-    return F.when(n > ddof, F.sqrt(m2 / (n - F.lit(float(ddof)))))
+    n = row_count(cols).cast("double")
+    mean = row_sum(cols) / n
+    return F.when(n > ddof, F.sqrt(_moment_sum(cols, mean, 2) / (n - F.lit(float(ddof)))))
 
 
 def row_kurtosis(cols: Sequence[str | Column]) -> Column:
     """Bias-corrected excess kurtosis skipping missing.
 
-    n < 4 -> NULL; a (numerically) zero spread -> 0; otherwise
+    n < 4 -> NULL; a (numerically) zero denominator -> 0; otherwise
     n(n+1)(n-1)*m4 / ((n-2)(n-3)*m2^2) - 3(n-1)^2/((n-2)(n-3))
     with m2, m4 the sums of squared / fourth-power deviations.
     """
-    v = _values(cols)
-    n = F.size(v).cast("double")
-    mean = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / n
-    m2 = _central_moment_sum(v, mean, 2)
-    m4 = _central_moment_sum(v, mean, 4)
+    n = row_count(cols).cast("double")
+    mean = row_sum(cols) / n
+    m2 = _moment_sum(cols, mean, 2)
+    m4 = _moment_sum(cols, mean, 4)
     num = n * (n + 1) * (n - 1) * m4
     den = (n - 2) * (n - 3) * m2 * m2
     adj = F.lit(3.0) * (n - 1) * (n - 1) / ((n - 2) * (n - 3))
@@ -76,8 +86,8 @@ def row_kurtosis(cols: Sequence[str | Column]) -> Column:
 
 def row_product(cols: Sequence[str | Column]) -> Column:
     """Product; any missing value -> NULL."""
-    out = None
-    for c in cols:
-        c = (F.col(c) if isinstance(c, str) else c).cast("double")
-        out = c if out is None else out * c
+    cs = _cols(cols)
+    out = cs[0]
+    for c in cs[1:]:
+        out = out * c
     return out

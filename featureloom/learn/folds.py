@@ -41,7 +41,10 @@ def stratified_kfold_column(df: DataFrame, key: str, label: Column | str, k: int
     w_off = Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_lab", "_b", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))
                             .alias("_off"))
-    x = x.join(offsets, on=["_lab", "_b"], how="inner")
+    # null-safe on the label: a NULL label is its own stratum, never dropped
+    x = x.alias("x").join(offsets.alias("f"),
+                          F.col("x._lab").eqNullSafe(F.col("f._lab")) & (F.col("x._b") == F.col("f._b")),
+                          "inner").select("x.*", "f._off")
     w = Window.partitionBy("_lab", "_b").orderBy("_h", key)
     fold = F.pmod(F.row_number().over(w) - 1 + F.col("_off"), F.lit(k)).cast("int")
     return x.withColumn(out_col, fold).drop("_h", "_lab", "_b", "_off")
