@@ -19,9 +19,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne,
-                         row_kurtosis, row_mean, row_product, row_std, row_sum, safe_ratio,
-                         sentinel_to_null, shifted_ratio)
+from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne, safe_ratio,
+                         sentinel_to_null, shifted_ratio, with_row_stats)
 from ..learn.folds import kfold_column, stratified_kfold_column
 from ..learn.metrics import roc_auc
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
@@ -438,10 +437,10 @@ GAPS_SQL = """g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, nulli
 def row_sum_mean_std_prod(spark, d):
     g = _lineitem_with_gaps(spark, d)
     cols = columns_matching(g, contains=["l_"], excludes=["key", "number"], numeric_only=True)
-    out = g.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                   row_sum(cols).alias("ROW_SUM"), row_mean(cols).alias("ROW_MEAN"),
-                   row_std(cols).alias("ROW_STD"), row_product(cols).alias("ROW_PROD"))
-    return out.withColumn("ROW_STD", rnd("ROW_STD", 6))
+    out = with_row_stats(g, cols, {"sum": "ROW_SUM", "mean": "ROW_MEAN", "std": "ROW_STD",
+                                   "prod": "ROW_PROD"})
+    return out.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "ROW_SUM",
+                      "ROW_MEAN", rnd("ROW_STD", 6).alias("ROW_STD"), "ROW_PROD")
 
 
 def _sql_row_stats() -> str:
@@ -452,7 +451,7 @@ def _sql_row_stats() -> str:
 r AS (SELECT *, {s} AS s, {n} AS n FROM g)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, s AS ROW_SUM,
   CASE WHEN n > 0 THEN s / n END AS ROW_MEAN,
-  round(CASE WHEN n > 1 THEN sqrt(({' + '.join(f'coalesce(pow({c} - s / n, 2), 0.0)' for c in cols)}) / (n - 1)) END, 6) AS ROW_STD,
+  round(CASE WHEN n > 1 THEN sqrt(({' + '.join(f'coalesce(({c} - s / n) * ({c} - s / n), 0.0)' for c in cols)}) / (n - 1)) END, 6) AS ROW_STD,
   {' * '.join(cols)} AS ROW_PROD
 FROM r"""
 
@@ -466,16 +465,16 @@ def row_kurtosis_q(spark, d):
                   (F.col("l_discount") * 100).alias("k_discount"),
                   (F.col("l_tax") * 100).alias("k_tax"))
     cols = columns_matching(k, contains=["k_"], numeric_only=True)
-    return k.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    rnd(row_kurtosis(cols), 6).alias("ROW_KURT"))
+    return with_row_stats(k, cols, {"kurt": "ROW_KURT"}).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", rnd("ROW_KURT", 6).alias("ROW_KURT"))
 
 
 SQL_ROW_KURTOSIS = """WITH k AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
   list_filter([nullif(l_quantity, 50.0), CAST(l_linenumber AS DOUBLE), l_discount * 100, l_tax * 100],
               lambda x: x IS NOT NULL) AS v FROM lineitem),
 m AS (SELECT *, CAST(len(v) AS DOUBLE) AS n, list_sum(v) / len(v) AS mu FROM k),
-c AS (SELECT *, list_sum(list_transform(v, lambda x: pow(x - mu, 2))) AS m2,
-  list_sum(list_transform(v, lambda x: pow(x - mu, 4))) AS m4 FROM m),
+c AS (SELECT *, list_sum(list_transform(v, lambda x: (x - mu) * (x - mu))) AS m2,
+  list_sum(list_transform(v, lambda x: ((x - mu) * (x - mu)) * ((x - mu) * (x - mu)))) AS m4 FROM m),
 r AS (SELECT *, (n - 2) * (n - 3) * m2 * m2 AS den FROM c)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
   round(CASE WHEN n < 4 THEN NULL WHEN abs(den) < 1e-14 THEN 0.0

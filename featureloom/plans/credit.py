@@ -14,9 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (DAYS_SENTINEL, clamp_zero, columns_matching, difference,
-                         null_safe_ne, product, row_kurtosis, row_mean, row_std, row_sum,
-                         safe_ratio, sentinel_to_null, shifted_ratio)
+from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne, product,
+                         row_sum, safe_ratio, sentinel_to_null, shifted_ratio, with_row_stats)
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
                          exact_median, factorize, left_star, lookup, one_hot, union_by_name)
 from ..operators.aggregate import rate_exprs
@@ -209,14 +208,11 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
     df = df.withColumns({
         "NEW_CREDIT_TO_ANNUITY_RATIO": safe_ratio("AMT_CREDIT", "AMT_ANNUITY"),
         "NEW_CREDIT_TO_GOODS_RATIO": safe_ratio("AMT_CREDIT", "AMT_GOODS_PRICE"),
-        "NEW_DOC_IND_KURT": row_kurtosis(docs) if docs else F.lit(None).cast("double"),
         "NEW_LIVE_IND_SUM": row_sum(live),
         "NEW_INC_PER_CHLD": shifted_ratio("AMT_INCOME_TOTAL", "CNT_CHILDREN"),
         "NEW_EMPLOY_TO_BIRTH_RATIO": safe_ratio("DAYS_EMPLOYED", "DAYS_BIRTH"),
         "NEW_ANNUITY_TO_INCOME_RATIO": shifted_ratio("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
         "NEW_SOURCES_PROD": product(*ext),
-        "NEW_EXT_SOURCES_MEAN": row_mean(ext),
-        "NEW_SCORES_STD": row_std(ext),
         "NEW_CAR_TO_BIRTH_RATIO": safe_ratio("OWN_CAR_AGE", "DAYS_BIRTH"),
         "NEW_CAR_TO_EMPLOY_RATIO": safe_ratio("OWN_CAR_AGE", "DAYS_EMPLOYED"),
         # The original assigns this name twice and keeps the second;
@@ -225,6 +221,11 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
         "NEW_PHONE_TO_BIRTH_RATIO": safe_ratio("DAYS_LAST_PHONE_CHANGE", "DAYS_EMPLOYED"),
         "NEW_CREDIT_TO_INCOME_RATIO": safe_ratio("AMT_CREDIT", "AMT_INCOME_TOTAL"),
     })
+    if docs:
+        df = with_row_stats(df, docs, {"kurt": "NEW_DOC_IND_KURT"})
+    else:
+        df = df.withColumn("NEW_DOC_IND_KURT", F.lit(None).cast("double"))
+    df = with_row_stats(df, ext, {"mean": "NEW_EXT_SOURCES_MEAN", "std": "NEW_SCORES_STD"})
     df = fill_with_mean(df, ["NEW_SCORES_STD"])
     order = "_ord"
     df = df.withColumn(order, F.struct(*[F.col(c) for c in order_cols]))

@@ -106,3 +106,17 @@ def test_column_selection_by_pattern_and_type(spark):
     assert string_columns(df) == ["FLAG_OWN_CAR", "NAME"]
     assert df.select(row_sum(["FLAG_PHONE_X", "FLAG_MAIL_X"])).first()[0] == 2.0
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_staged_row_stats_equal_single_expressions(rows_df):
+    from featureloom.functions import with_row_stats
+    cols = ["a", "b", "c", "d", "e"]
+    staged = with_row_stats(rows_df, cols, {"sum": "s", "mean": "m", "std": "sd", "kurt": "k",
+                                            "count": "n", "prod": "p"}).toPandas()
+    single = rows_df.select(row_sum(cols).alias("s"), row_mean(cols).alias("m"),
+                            row_std(cols).alias("sd"), row_kurtosis(cols).alias("k"),
+                            row_product(cols).alias("p")).toPandas()
+    for c in ("s", "m", "sd", "k", "p"):
+        for x, y in zip(staged[c], single[c]):
+            assert _same(x, y, 1e-12), (c, x, y)
+    assert staged["n"].tolist() == [0, 1, 2, 3, 5, 5, 4, 4]
