@@ -57,7 +57,10 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
               subsampling_rate: float = 0.8715623, feature_subset: str = "0.9497036",
               min_instances_per_node: int = 40, validation_tol: float = 0.01,
               sentinel: float = -1e9, top_k_features: int = 40,
-              checkpoint: bool = True) -> KFoldResult:
+              checkpoint: bool = True, parallelism: int = 1) -> KFoldResult:
+    """``parallelism`` > 1 fits that many folds concurrently (as
+    ``CrossValidator(parallelism=...)`` does): boosting runs many small jobs,
+    so overlapping folds keeps the executors busy."""
     spark = frame.sparkSession
     if features is None:
         exclude = set(ID_COLUMNS) | {key, label}
@@ -77,8 +80,8 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
         train = train.withColumn("_fold", kfold_column(key, n_folds, seed))
 
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
-    oofs, subs, imp_rows = [], [], []
-    for f in range(n_folds):
+
+    def fit_fold(f: int):
         gbt = GBTClassifier(labelCol=label, featuresCol="_features", maxIter=max_iter,
                             maxDepth=max_depth, stepSize=step_size,
                             subsamplingRate=subsampling_rate,
@@ -86,8 +89,18 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
                             minInstancesPerNode=min_instances_per_node, seed=seed,
                             validationIndicatorCol="_is_valid", validationTol=validation_tol)
         fit_df = train.withColumn("_is_valid", F.col("_fold") == f)
-        model = Pipeline(stages=[assembler, gbt]).fit(fit_df)
-        prob = vector_to_array(F.col("probability"))[1]
+        return Pipeline(stages=[assembler, gbt]).fit(fit_df)
+
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(fit_fold, range(n_folds)))
+    else:
+        models = [fit_fold(f) for f in range(n_folds)]
+
+    oofs, subs, imp_rows = [], [], []
+    prob = vector_to_array(F.col("probability"))[1]
+    for f, model in enumerate(models):
         oofs.append(model.transform(train.where(F.col("_fold") == f))
                     .select(key, label, F.lit(f + 1).alias("fold"), prob.alias("score")))
         subs.append(model.transform(test).select(key, prob.alias("score")))

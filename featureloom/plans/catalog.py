@@ -674,7 +674,7 @@ def gbdt_kfold(spark, d):
     from ..learn.gbdt import customer_training_frame, kfold_gbt
     frame = customer_training_frame(spark, d)
     result = kfold_gbt(frame, key="c_custkey", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
-                       max_iter=20, max_depth=5)
+                       max_iter=20, max_depth=5, parallelism=N_FOLDS)
     return result.submission
 
 
