@@ -404,3 +404,41 @@ def credit_feature_table(tables: dict[str, DataFrame], variant: str = "v2") -> D
         credit_card_balance(tables["credit_card_balance"], variant),
     ]
     return left_star(app, KEY, blocks)
+
+
+def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
+                       num_rows: int | None = None) -> dict[str, DataFrame]:
+    """Scan the eight credit tables with their explicit schemas.
+
+    ``num_rows`` is the debug row cap (S2): the first rows by key, so a
+    debug run is reproducible.
+    """
+    import os
+
+    from ..sources.io import read_table
+    from ..sources.schemas import CREDIT_SCHEMAS
+    out = {}
+    for name, schema in CREDIT_SCHEMAS.items():
+        path = os.path.join(input_dir, f"{name}.{fmt}") if "://" not in input_dir \
+            else f"{input_dir.rstrip('/')}/{name}.{fmt}"
+        order = [schema.fieldNames()[0]] if num_rows is not None else None
+        out[name] = read_table(spark, path, schema, fmt=fmt, limit=num_rows, order_by=order)
+    return out
+
+
+def run_credit_model(spark, input_dir: str, submission_path: str | None,
+                     variant: str = "v2", num_folds: int = 5, stratified: bool = False,
+                     debug: bool = False, fmt: str = "csv", **gbt_params):
+    """End-to-end job (L10): tables -> feature table (F1 LEFT JOIN F2..F6) ->
+    k-fold boosted trees -> submission table (key, TARGET) written without an
+    index (L9; skipped in debug mode, like the original). Returns the
+    :class:`~featureloom.learn.gbdt.KFoldResult`."""
+    from ..learn.gbdt import kfold_gbt
+    from ..sources.io import write_table
+    tables = read_credit_tables(spark, input_dir, fmt, num_rows=10_000 if debug else None)
+    features = credit_feature_table(tables, variant)
+    result = kfold_gbt(features, key=KEY, label="TARGET", n_folds=num_folds, seed=47,
+                       stratified=stratified, **gbt_params)
+    if not debug and submission_path:
+        write_table(result.submission.select(KEY, "TARGET"), submission_path, fmt="csv")
+    return result

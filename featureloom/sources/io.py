@@ -28,28 +28,67 @@ def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = PANDAS_NA_TOKENS)
     return df.withColumns(repl) if repl else df
 
 
+def _as_struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
+    if isinstance(schema, T.StructType):
+        return schema
+    return spark.createDataFrame([], schema).schema
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _select_by_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Schema columns by header name, cast from the string cells; a cell that
+    does not parse becomes NULL; a column absent from the file is all NULL.
+    Integral columns also accept ``1.0`` (pandas writes integer columns that
+    hold missing values as floats)."""
+    have = set(raw.columns)
+    cols = []
+    for f in schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            cols.append(c.alias(f.name))
+        elif isinstance(f.dataType, _INTEGRAL):
+            cols.append(F.coalesce(c.try_cast(f.dataType),
+                                   c.try_cast("double").try_cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(c.try_cast(f.dataType).alias(f.name))
+    return raw.select(*cols)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str = "parquet", null_tokens: Sequence[str] | None = PANDAS_NA_TOKENS,
                limit: int | None = None, order_by: Sequence[str] | None = None,
                options: Mapping[str, str] | None = None) -> DataFrame:
     """Scan a table (S1); optional row cap for debug runs.
 
-    CSV: header row, explicit schema, empty cells and the pandas NA tokens
-    become NULL; numeric cells that do not parse (e.g. ``NA``) become NULL
-    (PERMISSIVE mode). ``limit`` with ``order_by`` gives a reproducible
-    subset; plain ``limit`` takes whatever rows come first.
+    CSV: header row; columns are matched to the schema by NAME (Spark's own
+    CSV schema is positional), no inference pass; empty cells and the pandas
+    NA tokens become NULL, cells that do not parse as the column type become
+    NULL. ``limit`` with ``order_by`` gives a reproducible subset; plain
+    ``limit`` takes whatever rows come first.
     """
     reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE") \
-            .option("nullValue", "").option("nanValue", "NaN")
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    df = reader.format(fmt).load(path)
-    if fmt == "csv" and null_tokens:
-        df = null_tokens_to_null(df, null_tokens)
+        # Spark applies a CSV schema by position; columns are matched by
+        # header NAME instead (like pandas): read the cells as strings, map
+        # the NA tokens to NULL, then select and cast every schema column.
+        reader = reader.option("header", True).option("inferSchema", False)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        raw = reader.csv(path)
+        if null_tokens:
+            raw = null_tokens_to_null(raw, null_tokens)
+        df = raw if schema is None else _select_by_name(raw, _as_struct(spark, schema))
+    else:
+        if schema is not None:
+            reader = reader.schema(schema)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        df = reader.format(fmt).load(path)
     if limit is not None:
         df = df.orderBy(*order_by).limit(limit) if order_by else df.limit(limit)
     return df

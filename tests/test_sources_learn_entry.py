@@ -94,3 +94,14 @@ def test_queries_against_duckdb_small(spark, name):
         vals = df[cols].astype(object).where(df[cols].notna(), None).values.tolist()
         return sorted(repr(tuple(norm(v) for v in row)) for row in vals)
     assert key(got) == key(exp)
+
+
+def test_csv_columns_matched_by_name(spark, tmp_path):
+    p = tmp_path / "prev.csv"
+    # file order differs from the schema, has an extra column and lacks one
+    p.write_text("EXTRA,AMT_CREDIT,SK_ID_CURR,HOUR_APPR_PROCESS_START\nz,10.5,7,3.0\nq,NA,8,\n")
+    df = read_table(spark, str(p), CREDIT_SCHEMAS["previous_application"], fmt="csv")
+    assert df.columns == CREDIT_SCHEMAS["previous_application"].fieldNames()
+    rows = {r["SK_ID_CURR"]: r for r in df.collect()}
+    assert rows[7]["AMT_CREDIT"] == 10.5 and rows[7]["HOUR_APPR_PROCESS_START"] == 3
+    assert rows[8]["AMT_CREDIT"] is None and rows[7]["DAYS_DECISION"] is None
