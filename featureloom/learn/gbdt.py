@@ -98,17 +98,29 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
     else:
         models = [fit_fold(f) for f in range(n_folds)]
 
-    oofs, subs, imp_rows = [], [], []
+    oofs, imp_rows = [], []
     prob = vector_to_array(F.col("probability"))[1]
     for f, model in enumerate(models):
         oofs.append(model.transform(train.where(F.col("_fold") == f))
                     .select(key, label, F.lit(f + 1).alias("fold"), prob.alias("score")))
-        subs.append(model.transform(test).select(key, prob.alias("score")))
         imp = model.stages[-1].featureImportances.toArray()
         imp_rows += [(name, float(v), f + 1) for name, v in zip(features, imp)]
+    oof = union_by_name(*oofs)   # folds are disjoint: a narrow union, no shuffle
 
-    oof = union_by_name(*oofs)
-    submission = mean_by(union_by_name(*subs), key, "score", label)
+    # Test score = mean over the k fold models (L6). The k models score the
+    # test frame in ONE pass, each writing its own columns, and the mean is a
+    # row-wise expression: no union of k scored copies and no shuffle by key.
+    scored = assembler.transform(test)
+    fold_scores = []
+    for f, model in enumerate(models):
+        gm = model.stages[-1].copy()
+        gm.setProbabilityCol(f"_p{f}").setRawPredictionCol(f"_r{f}").setPredictionCol(f"_y{f}")
+        scored = gm.transform(scored)
+        fold_scores.append(vector_to_array(F.col(f"_p{f}"))[1])
+    mean_score = fold_scores[0]
+    for c in fold_scores[1:]:
+        mean_score = mean_score + c
+    submission = scored.select(key, (mean_score / float(len(models))).alias(label))
     imp_schema = T.StructType([T.StructField("feature", T.StringType(), False),
                                T.StructField("importance", T.DoubleType(), False),
                                T.StructField("fold", T.IntegerType(), False)])

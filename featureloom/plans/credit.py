@@ -442,3 +442,24 @@ def run_credit_model(spark, input_dir: str, submission_path: str | None,
     if not debug and submission_path:
         write_table(result.submission.select(KEY, "TARGET"), submission_path, fmt="csv")
     return result
+
+
+def write_credit_blocks(tables: dict[str, DataFrame], output_dir: str, variant: str = "v1",
+                        fmt: str = "csv") -> dict[str, str]:
+    """The earlier script's shape: every block computed independently and
+    written to its own sink (one per block; D4 fixed: no block overwrites
+    another). Returns block name -> path."""
+    from ..sources.io import write_table
+    blocks = {
+        "bureau_agg": bureau_and_balance(tables["bureau"], tables["bureau_balance"], variant),
+        "prev_agg": previous_applications(tables["previous_application"], variant),
+        "pos_agg": pos_cash(tables["POS_CASH_balance"], variant),
+        "ins_agg": installments_payments(tables["installments_payments"], variant),
+        "cc_agg": credit_card_balance(tables["credit_card_balance"], variant),
+    }
+    paths = {}
+    for name, df in blocks.items():
+        path = f"{output_dir.rstrip('/')}/{name}"
+        write_table(df, path, fmt=fmt)
+        paths[name] = path
+    return paths
