@@ -6,8 +6,8 @@
   group, so instead: range-partition on (group, order) -- which splits a hot
   group over many partitions --, cumulate inside each partition
   (``mapInPandas`` on sorted partitions), freeze the result with a reliable
-  ``checkpoint()``, and add per-(partition, group) offsets computed from a
-  table of at most (#partitions + #groups) rows.
+  ``checkpoint()``, and add offsets for the groups that cross partition
+  boundaries (at most 2 x #partitions rows, broadcast).
 * :func:`exact_median` -- exact median per group on top of that (A8).
 * :func:`top_k`, :func:`head` -- ordered limits (O1-O3, S2, S4).
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,24 @@ def _num_slices(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_NULL_KEY = "\x00<null>"
+
+
+def _run_ids(pdf: pd.DataFrame, group_cols: list[str]) -> np.ndarray:
+    """Ids of the runs of equal group key in a batch sorted by group."""
+    change = np.zeros(len(pdf), dtype=bool)
+    for g in group_cols:
+        col = pdf[g].astype(object).where(pdf[g].notna(), _NULL_KEY)
+        change |= (col != col.shift()).to_numpy()
+    if len(change):
+        change[0] = False
+    return np.cumsum(change)
+
+
+def _key_at(pdf: pd.DataFrame, group_cols: list[str], i: int) -> tuple:
+    return tuple(_NULL_KEY if pd.isna(pdf[g].iloc[i]) else pdf[g].iloc[i] for g in group_cols)
+
+
 def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   weight_cols: Sequence[str], num_partitions: int | None = None,
                   checkpoint: bool = True, with_totals: bool = False) -> DataFrame:
@@ -39,65 +58,101 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
 
     Order keys should be unique within a group (aggregate duplicates first);
     rows with equal keys are cumulated in an arbitrary but fixed order.
+
+    Plan: range-partition on (group, order) and sort inside partitions; one
+    ``mapInPandas`` pass computes, per row, the cumulative weight of its group
+    inside the partition and the group's weight in that partition; the result
+    is checkpointed (partition ids stay fixed if executors are lost). Only a
+    group that crosses a partition boundary needs an offset from earlier
+    partitions, and range partitioning creates at most 2 x #partitions such
+    (partition, group) pairs: that small table is broadcast (a proven bound)
+    and the data itself is not shuffled again.
     """
     group_cols, order_cols, weight_cols = list(group_cols), list(order_cols), list(weight_cols)
     n = _num_slices(df, num_partitions)
     ranged = (df.repartitionByRange(n, *[F.col(c) for c in group_cols + order_cols])
               .sortWithinPartitions(*(group_cols + order_cols)))
     local_names = [f"_{w}_local" for w in weight_cols]
+    part_names = [f"_{w}_ptotal" for w in weight_cols]
     out_schema = T.StructType(
         list(ranged.schema.fields)
         + [T.StructField("_pid", T.IntegerType(), False)]
-        + [T.StructField(n_, T.DoubleType(), False) for n_ in local_names])
+        + [T.StructField(n_, T.DoubleType(), False) for n_ in local_names + part_names])
+
+    def finish(frame: pd.DataFrame, runs: np.ndarray | None, pid: int) -> pd.DataFrame:
+        frame = frame.copy()
+        frame["_pid"] = pid
+        for w, ln, pn in zip(weight_cols, local_names, part_names):
+            wv = frame[w].astype("float64").fillna(0.0)
+            if runs is None:        # one complete group
+                cum, tot = wv.cumsum(), wv.sum()
+            else:                   # several complete groups, ids in ``runs``
+                grp = wv.groupby(runs, sort=False)
+                cum, tot = grp.cumsum(), grp.transform("sum")
+            frame[ln] = cum - wv
+            frame[pn] = tot
+        return frame
 
     def local_cumulate(batches):
-        # Rows arrive sorted by (group, order); stream the Arrow batches and
-        # carry the running sum of the group that spans a batch boundary.
+        # Rows arrive sorted by (group, order). Completed groups are emitted
+        # per batch; only the group still open at the end of a batch is held
+        # back (at most one range partition's worth of rows).
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        carry_key, carry = None, [0.0] * len(weight_cols)
+        pending, pending_key = [], None
         for pdf in batches:
             if pdf.empty:
                 continue
-            pdf["_pid"] = pid
-            if group_cols:
-                keys = list(zip(*[pdf[g] for g in group_cols]))
-                first_key, last_key = keys[0], keys[-1]
-                grp = [pdf[g] for g in group_cols]
-            for i, (w, ln) in enumerate(zip(weight_cols, local_names)):
-                wv = pdf[w].astype("float64").fillna(0.0)
-                if group_cols:
-                    cum = wv.groupby(grp, dropna=False, sort=False).cumsum()
-                    if carry_key is not None and first_key == carry_key:
-                        same = pd.Series([k == carry_key for k in keys], index=pdf.index)
-                        cum = cum + same.astype("float64") * carry[i]
-                else:
-                    cum = wv.cumsum() + carry[i]
-                pdf[ln] = cum - wv
-                carry[i] = float(cum.iloc[-1])
-            if group_cols:
-                carry_key = last_key
-            yield pdf
+            pdf = pdf.reset_index(drop=True)
+            runs = _run_ids(pdf, group_cols)
+            first_key = _key_at(pdf, group_cols, 0)
+            if pending and first_key != pending_key:
+                yield finish(pd.concat(pending, ignore_index=True), None, pid)
+                pending = []
+            last = runs[-1]
+            if last == 0:
+                pending.append(pdf)
+                pending_key = first_key
+                continue
+            out = [finish(pd.concat(pending + [pdf[runs == 0]], ignore_index=True), None, pid)]
+            mid = (runs > 0) & (runs < last)
+            if mid.any():
+                out.append(finish(pdf[mid].reset_index(drop=True), runs[mid], pid))
+            yield pd.concat(out, ignore_index=True)
+            pending = [pdf[runs == last]]
+            pending_key = _key_at(pending[0].reset_index(drop=True), group_cols, 0)
+        if pending:
+            yield finish(pd.concat(pending, ignore_index=True), None, pid)
 
     local = ranged.mapInPandas(local_cumulate, out_schema)
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         local = local.checkpoint(eager=True)
-    # per (partition, group) totals: at most #partitions + #groups rows
-    totals = local.groupBy("_pid", *group_cols).agg(
-        *[F.sum(F.col(w).cast("double")).alias(f"_{w}_part") for w in weight_cols])
-    w_before = (Window.partitionBy(*[F.col(c) for c in group_cols]).orderBy("_pid")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*[F.col(c) for c in group_cols])
-    offsets = totals.select("_pid", *group_cols, *[
-        F.coalesce(F.sum(f"_{w}_part").over(w_before), F.lit(0.0)).alias(f"_{w}_offset")
-        for w in weight_cols], *[
-        F.sum(f"_{w}_part").over(w_all).alias(f"{w}_total") for w in weight_cols])
-    joined = local.join(offsets, on=["_pid", *group_cols], how="inner") if group_cols else \
-        local.join(F.broadcast(offsets), on="_pid", how="inner")  # <= #partitions rows
-    return joined.select(*df.columns, *[
-        (F.col(f"_{w}_offset") + F.col(f"_{w}_local")).alias(f"{w}_before")
-        for w in weight_cols], *([F.col(f"{w}_total") for w in weight_cols] if with_totals else []))
+    # (partition, group) weights: at most #partitions + #groups rows
+    parts = local.groupBy("_pid", *group_cols).agg(
+        *[F.first(pn).alias(pn) for pn in part_names])
+    w_grp = Window.partitionBy(*[F.col(c) for c in group_cols])
+    w_before = w_grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (parts.withColumn("_nparts", F.count(F.lit(1)).over(w_grp))
+             .where(F.col("_nparts") > 1)    # groups crossing a partition boundary
+             .select("_pid", *group_cols, *[
+                 F.coalesce(F.sum(pn).over(w_before), F.lit(0.0)).alias(f"_{w}_offset")
+                 for w, pn in zip(weight_cols, part_names)], *[
+                 F.sum(pn).over(w_grp).alias(f"_{w}_span_total")
+                 for w, pn in zip(weight_cols, part_names)]))
+    # <= 2 x #partitions rows: broadcast; null-safe on the group key
+    l, r = local.alias("l"), F.broadcast(spans).alias("r")
+    cond = F.col("l._pid") == F.col("r._pid")
+    for g in group_cols:
+        cond = cond & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+    joined = l.join(r, cond, "left")
+    out = [F.col(f"l.{c}") for c in df.columns]
+    out += [(F.coalesce(F.col(f"r._{w}_offset"), F.lit(0.0)) + F.col(f"l.{ln}")).alias(f"{w}_before")
+            for w, ln in zip(weight_cols, local_names)]
+    if with_totals:
+        out += [F.coalesce(F.col(f"r._{w}_span_total"), F.col(f"l.{pn}")).alias(f"{w}_total")
+                for w, pn in zip(weight_cols, part_names)]
+    return joined.select(*out)
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
