@@ -69,15 +69,19 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
     data = frame.select(
         F.col(key), F.col(label).cast("double").alias(label),
         *[F.coalesce(F.col(c).cast("double"), F.lit(sentinel)).alias(c) for c in features])
+    labelled = data.where(F.col(label).isNotNull())
+    if stratified:
+        labelled = stratified_kfold_column(labelled, key, label, n_folds, seed, out_col="_fold")
+    else:
+        labelled = labelled.withColumn("_fold", kfold_column(key, n_folds, seed))
+    data = labelled.unionByName(data.where(F.col(label).isNull())
+                                .withColumn("_fold", F.lit(None).cast("int")))
     if checkpoint:
+        # features and folds computed once; the k fits re-read this
         ensure_checkpoint_dir(spark)
         data = data.checkpoint(eager=True)
     train = data.where(F.col(label).isNotNull())
-    test = data.where(F.col(label).isNull())
-    if stratified:
-        train = stratified_kfold_column(train, key, label, n_folds, seed, out_col="_fold")
-    else:
-        train = train.withColumn("_fold", kfold_column(key, n_folds, seed))
+    test = data.where(F.col(label).isNull()).drop("_fold")
 
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
 

@@ -14,8 +14,6 @@ orders; values from a single IEEE operation are compared unrounded.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +34,7 @@ STATUS_VALUES = ["F", "O", "P"]
 PRIORITY_VALUES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 RETURN_FLAGS = ["A", "N", "R"]
-SPLIT_DATE = datetime(1999, 1, 1)
+SPLIT_DATE = "1999-01-01 00:00:00"
 N_FOLDS = 5
 FOLD_SEED = 47
 
@@ -488,7 +486,7 @@ FROM r"""
 # U1 P6 P16
 def union_by_name_split(spark, d):
     o = load(spark, d, "orders")
-    cut = F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    cut = F.lit(SPLIT_DATE).cast("timestamp_ntz")   # no time-zone conversion involved
     train = o.where(F.col("o_orderdate") < cut).select(
         "o_orderkey", "o_custkey", "o_totalprice",
         (F.col("o_orderstatus") == "F").cast("int").alias("TARGET"))
