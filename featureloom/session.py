@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # feature frames are wide (hundreds of columns); keep whole-stage codegen on
     "spark.sql.codegen.maxFields": "2000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files once their DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
