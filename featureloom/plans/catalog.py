@@ -679,6 +679,119 @@ def gbdt_kfold(spark, d):
     return result.submission
 
 
+# F2 (the credit bureau block itself) on role-mapped driver tables:
+# loans <- orders, monthly balance <- lineitem. Credit columns without a
+# counterpart stay NULL (their sums come out 0, their means NULL: N1).
+# Mapped money columns stay on the cent grid (no division), so the 6-digit
+# rounding used for the cross-engine comparison meets no exact ties.
+REF_DATE = "2002-01-01"
+
+
+def bureau_tables_from_orders(spark, d):
+    o = load(spark, d, "orders")
+    days = F.datediff(F.col("o_orderdate"), F.lit(REF_DATE).cast("date"))
+    n_int, n_dbl = F.lit(None).cast("int"), F.lit(None).cast("double")
+    bureau = o.select(
+        F.col("o_custkey").alias("SK_ID_CURR"), F.col("o_orderkey").alias("SK_ID_BUREAU"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("Active"))
+         .when(F.col("o_orderstatus") == "F", F.lit("Closed")).alias("CREDIT_ACTIVE"),
+        F.lit(None).cast("string").alias("CREDIT_CURRENCY"),
+        F.col("o_orderpriority").alias("CREDIT_TYPE"),
+        days.alias("DAYS_CREDIT"), (days + 30).alias("DAYS_CREDIT_UPDATE"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(10)).otherwise(F.lit(0))
+         .alias("CREDIT_DAY_OVERDUE"),
+        n_int.alias("CNT_CREDIT_PROLONG"),
+        (days + F.lit(365.0)).alias("DAYS_CREDIT_ENDDATE"), n_dbl.alias("DAYS_ENDDATE_FACT"),
+        n_dbl.alias("AMT_CREDIT_MAX_OVERDUE"), F.col("o_totalprice").alias("AMT_CREDIT_SUM"),
+        F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") - F.lit(1000.0))
+         .otherwise(F.lit(0.0)).alias("AMT_CREDIT_SUM_DEBT"),
+        F.lit(0.0).alias("AMT_CREDIT_SUM_OVERDUE"), n_dbl.alias("AMT_CREDIT_SUM_LIMIT"),
+        (F.col("o_totalprice") - F.lit(500.0)).alias("AMT_ANNUITY"))
+    balance = load(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("SK_ID_BUREAU"), (-F.col("l_linenumber")).alias("MONTHS_BALANCE"),
+        F.col("l_returnflag").alias("STATUS"))
+    return bureau, balance
+
+
+def credit_bureau_block(spark, d):
+    from .credit import bureau_and_balance
+    bureau, balance = bureau_tables_from_orders(spark, d)
+    return round_doubles(bureau_and_balance(bureau, balance, "v2"), 6)
+
+
+def _sql_spec(spec, prefix, cond=None) -> list[str]:
+    """Aggregate SQL for a spec with the library's null contract."""
+    out = []
+    for col, funcs in spec.items():
+        x = col if cond is None else f"CASE WHEN {cond} THEN {col} END"
+        for f in funcs:
+            name = f"{prefix}{col}_{f.upper()}"
+            if f == "sum":
+                e = f"coalesce(sum({x}), 0)"
+                if cond is not None:
+                    e = f"CASE WHEN count(*) FILTER (WHERE {cond}) > 0 THEN {e} END"
+            elif f == "size":
+                e = "count(*)" if cond is None else \
+                    f"CASE WHEN count(*) FILTER (WHERE {cond}) > 0 THEN count(*) FILTER (WHERE {cond}) END"
+            else:
+                e = {"mean": "avg", "var": "var_samp", "std": "stddev_samp", "min": "min",
+                     "max": "max"}[f] + f"({x})"
+            out.append((name, e))
+    return out
+
+
+def _sql_credit_bureau_block() -> str:
+    from .credit import BUREAU_NUM
+    num = BUREAU_NUM["v2"]
+    statuses = ["A", "N", "R"]
+    bb_shares = ",\n    ".join(_share_sql("STATUS", statuses, ""))
+    cols = _sql_spec(num, "BURO_")
+    shares = []
+    for c, vals in (("CREDIT_ACTIVE", ["Active", "Closed"]), ("CREDIT_CURRENCY", []),
+                    ("CREDIT_TYPE", PRIORITY_VALUES)):
+        for v in vals + [None]:
+            test = f"{c} IS NULL" if v is None else f"{c} = '{v}'"
+            shares.append((f"BURO_{c}_{'nan' if v is None else v}_MEAN",
+                           f"avg(CASE WHEN {test} THEN 1.0 ELSE 0.0 END)"))
+    for v in statuses + ["nan"]:
+        shares.append((f"BURO_STATUS_{v}_MEAN_MEAN", f"avg({_q(f'STATUS_{v}_MEAN')})"))
+    cols += shares
+    cols += _sql_spec(num, "ACTIVE_", "CREDIT_ACTIVE = 'Active'")
+    cols += _sql_spec(num, "CLOSED_", "CREDIT_ACTIVE = 'Closed'")
+    ints = {"DAYS_CREDIT", "DAYS_CREDIT_UPDATE", "CREDIT_DAY_OVERDUE", "CNT_CREDIT_PROLONG",
+            "MONTHS_BALANCE_MIN", "MONTHS_BALANCE_MAX", "MONTHS_BALANCE_SIZE"}
+
+    def final(name, e):
+        base = name.split("_", 1)[1].rsplit("_", 1)[0]
+        func = name.rsplit("_", 1)[1]
+        if base in ints and func in ("SUM", "MIN", "MAX"):
+            return f"CAST({e} AS BIGINT) AS {_q(name)}" if func == "SUM" else f"{e} AS {_q(name)}"
+        return f"round({e}, 6) AS {_q(name)}"
+    sel = ",\n  ".join(final(n, e) for n, e in cols)
+    return f"""WITH bureau AS (SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU,
+    CASE WHEN o_orderstatus = 'O' THEN 'Active' WHEN o_orderstatus = 'F' THEN 'Closed' END AS CREDIT_ACTIVE,
+    CAST(NULL AS VARCHAR) AS CREDIT_CURRENCY, o_orderpriority AS CREDIT_TYPE,
+    CAST(datediff('day', DATE '{REF_DATE}', o_orderdate) AS INTEGER) AS DAYS_CREDIT,
+    CAST(datediff('day', DATE '{REF_DATE}', o_orderdate) + 30 AS INTEGER) AS DAYS_CREDIT_UPDATE,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 10 ELSE 0 END AS CREDIT_DAY_OVERDUE,
+    CAST(NULL AS INTEGER) AS CNT_CREDIT_PROLONG,
+    datediff('day', DATE '{REF_DATE}', o_orderdate) + 365.0 AS DAYS_CREDIT_ENDDATE,
+    CAST(NULL AS DOUBLE) AS DAYS_ENDDATE_FACT, CAST(NULL AS DOUBLE) AS AMT_CREDIT_MAX_OVERDUE,
+    o_totalprice AS AMT_CREDIT_SUM,
+    CASE WHEN o_orderstatus = 'O' THEN o_totalprice - 1000.0 ELSE 0.0 END AS AMT_CREDIT_SUM_DEBT,
+    0.0 AS AMT_CREDIT_SUM_OVERDUE, CAST(NULL AS DOUBLE) AS AMT_CREDIT_SUM_LIMIT,
+    o_totalprice - 500.0 AS AMT_ANNUITY FROM orders),
+bb AS (SELECT l_orderkey AS SK_ID_BUREAU, -l_linenumber AS MONTHS_BALANCE, l_returnflag AS STATUS FROM lineitem),
+bba AS (SELECT SK_ID_BUREAU, min(MONTHS_BALANCE) AS MONTHS_BALANCE_MIN, max(MONTHS_BALANCE) AS MONTHS_BALANCE_MAX,
+    count(*) AS MONTHS_BALANCE_SIZE,
+    {bb_shares}
+  FROM bb GROUP BY SK_ID_BUREAU),
+loans AS (SELECT b.*, bba.* EXCLUDE (SK_ID_BUREAU) FROM bureau b LEFT JOIN bba ON b.SK_ID_BUREAU = bba.SK_ID_BUREAU)
+SELECT SK_ID_CURR,
+  {sel}
+FROM loans GROUP BY SK_ID_CURR"""
+
+
 QUERIES = {
     "scan_cast": scan_cast,
     "null_safe_filter": null_safe_filter,
@@ -708,6 +821,7 @@ QUERIES = {
     "kfold_assign": kfold_assign,
     "roc_auc": roc_auc_q,
     "fold_mean_score": fold_mean_score,
+    "credit_bureau_block": credit_bureau_block,
     "gbdt_kfold": gbdt_kfold,
 }
 
@@ -740,4 +854,5 @@ ORACLE_SQL = {
     "kfold_assign": SQL_KFOLD_ASSIGN,
     "roc_auc": SQL_ROC_AUC,
     "fold_mean_score": _sql_fold_mean_score(),
+    "credit_bureau_block": _sql_credit_bureau_block(),
 }
