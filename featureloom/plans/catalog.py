@@ -719,56 +719,64 @@ def credit_bureau_block(spark, d):
     return round_doubles(bureau_and_balance(bureau, balance, "v2"), 6)
 
 
-def _sql_spec(spec, prefix, cond=None) -> list[str]:
-    """Aggregate SQL for a spec with the library's null contract."""
+def _sql_spec(spec, prefix, cond=None) -> list[tuple[str, str, str, str]]:
+    """(name, SQL aggregate, column, function) for a spec, with the
+    library's null contract: sum of only-missing = 0, a view without rows
+    gives NULL for every feature."""
     out = []
+    guard = None if cond is None else f"count(*) FILTER (WHERE {cond}) > 0"
     for col, funcs in spec.items():
         x = col if cond is None else f"CASE WHEN {cond} THEN {col} END"
         for f in funcs:
-            name = f"{prefix}{col}_{f.upper()}"
             if f == "sum":
                 e = f"coalesce(sum({x}), 0)"
-                if cond is not None:
-                    e = f"CASE WHEN count(*) FILTER (WHERE {cond}) > 0 THEN {e} END"
             elif f == "size":
-                e = "count(*)" if cond is None else \
-                    f"CASE WHEN count(*) FILTER (WHERE {cond}) > 0 THEN count(*) FILTER (WHERE {cond}) END"
+                e = "count(*)" if cond is None else f"count(*) FILTER (WHERE {cond})"
+            elif f == "nunique":
+                e = f"count(DISTINCT {x})"
             else:
                 e = {"mean": "avg", "var": "var_samp", "std": "stddev_samp", "min": "min",
-                     "max": "max"}[f] + f"({x})"
-            out.append((name, e))
+                     "max": "max", "count": "count"}[f] + f"({x})"
+            if guard and f in ("sum", "size", "nunique", "count"):
+                e = f"CASE WHEN {guard} THEN {e} END"
+            out.append((f"{prefix}{col}_{f.upper()}", e, col, f))
     return out
 
 
+def _sql_block(src: str, key: str, spec, prefix: str, shares=(), extra=(), views=(),
+               count_name: str | None = None, int_cols=frozenset(), ctes: str = "") -> str:
+    """DuckDB query for one feature block: spec + category shares + extra
+    aggregates + subset views + row count, grouped by the key. Doubles are
+    rounded to 6 digits; sums of integer columns are BIGINT as in Spark."""
+    cols = _sql_spec(spec, prefix)
+    for c, vals in shares:
+        for v in list(vals) + [None]:
+            test = f"{c} IS NULL" if v is None else f"{c} = '{v}'"
+            cols.append((f"{prefix}{c}_{'nan' if v is None else v}_MEAN",
+                         f"avg(CASE WHEN {test} THEN 1.0 ELSE 0.0 END)", c, "share"))
+    cols += list(extra)
+    for vp, cond, vspec in views:
+        cols += _sql_spec(vspec, vp, cond)
+    if count_name:
+        cols.append((count_name, "count(*)", key, "size"))
+
+    def final(name, e, col, func):
+        if func in ("size", "nunique", "count"):
+            return f"{e} AS {_q(name)}"
+        if col in int_cols and func in ("sum", "min", "max"):
+            return f"CAST({e} AS BIGINT) AS {_q(name)}" if func == "sum" else f"{e} AS {_q(name)}"
+        return f"round({e}, 6) AS {_q(name)}"
+    sel = ",\n  ".join(final(*c) for c in cols)
+    return (f"WITH {ctes}src AS ({src})\nSELECT {key},\n  {sel}\n"
+            f"FROM src WHERE {key} IS NOT NULL GROUP BY {key}")
+
+
 def _sql_credit_bureau_block() -> str:
     from .credit import BUREAU_NUM
     num = BUREAU_NUM["v2"]
     statuses = ["A", "N", "R"]
     bb_shares = ",\n    ".join(_share_sql("STATUS", statuses, ""))
-    cols = _sql_spec(num, "BURO_")
-    shares = []
-    for c, vals in (("CREDIT_ACTIVE", ["Active", "Closed"]), ("CREDIT_CURRENCY", []),
-                    ("CREDIT_TYPE", PRIORITY_VALUES)):
-        for v in vals + [None]:
-            test = f"{c} IS NULL" if v is None else f"{c} = '{v}'"
-            shares.append((f"BURO_{c}_{'nan' if v is None else v}_MEAN",
-                           f"avg(CASE WHEN {test} THEN 1.0 ELSE 0.0 END)"))
-    for v in statuses + ["nan"]:
-        shares.append((f"BURO_STATUS_{v}_MEAN_MEAN", f"avg({_q(f'STATUS_{v}_MEAN')})"))
-    cols += shares
-    cols += _sql_spec(num, "ACTIVE_", "CREDIT_ACTIVE = 'Active'")
-    cols += _sql_spec(num, "CLOSED_", "CREDIT_ACTIVE = 'Closed'")
-    ints = {"DAYS_CREDIT", "DAYS_CREDIT_UPDATE", "CREDIT_DAY_OVERDUE", "CNT_CREDIT_PROLONG",
-            "MONTHS_BALANCE_MIN", "MONTHS_BALANCE_MAX", "MONTHS_BALANCE_SIZE"}
-
-    def final(name, e):
-        base = name.split("_", 1)[1].rsplit("_", 1)[0]
-        func = name.rsplit("_", 1)[1]
-        if base in ints and func in ("SUM", "MIN", "MAX"):
-            return f"CAST({e} AS BIGINT) AS {_q(name)}" if func == "SUM" else f"{e} AS {_q(name)}"
-        return f"round({e}, 6) AS {_q(name)}"
-    sel = ",\n  ".join(final(n, e) for n, e in cols)
-    return f"""WITH bureau AS (SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU,
+    ctes = f"""bureau AS (SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU,
     CASE WHEN o_orderstatus = 'O' THEN 'Active' WHEN o_orderstatus = 'F' THEN 'Closed' END AS CREDIT_ACTIVE,
     CAST(NULL AS VARCHAR) AS CREDIT_CURRENCY, o_orderpriority AS CREDIT_TYPE,
     CAST(datediff('day', DATE '{REF_DATE}', o_orderdate) AS INTEGER) AS DAYS_CREDIT,
@@ -786,10 +794,168 @@ bba AS (SELECT SK_ID_BUREAU, min(MONTHS_BALANCE) AS MONTHS_BALANCE_MIN, max(MONT
     count(*) AS MONTHS_BALANCE_SIZE,
     {bb_shares}
   FROM bb GROUP BY SK_ID_BUREAU),
-loans AS (SELECT b.*, bba.* EXCLUDE (SK_ID_BUREAU) FROM bureau b LEFT JOIN bba ON b.SK_ID_BUREAU = bba.SK_ID_BUREAU)
-SELECT SK_ID_CURR,
-  {sel}
-FROM loans GROUP BY SK_ID_CURR"""
+"""
+    src = ("SELECT b.*, bba.* EXCLUDE (SK_ID_BUREAU) FROM bureau b "
+           "LEFT JOIN bba ON b.SK_ID_BUREAU = bba.SK_ID_BUREAU")
+    extra = [(f"BURO_STATUS_{v}_MEAN_MEAN", f"avg({_q(f'STATUS_{v}_MEAN')})", "", "share")
+             for v in statuses + ["nan"]]
+    ints = {"DAYS_CREDIT", "DAYS_CREDIT_UPDATE", "CREDIT_DAY_OVERDUE", "CNT_CREDIT_PROLONG",
+            "MONTHS_BALANCE_MIN", "MONTHS_BALANCE_MAX", "MONTHS_BALANCE_SIZE"}
+    return _sql_block(src, "SK_ID_CURR", num, "BURO_",
+                      shares=[("CREDIT_ACTIVE", ["Active", "Closed"]), ("CREDIT_CURRENCY", []),
+                              ("CREDIT_TYPE", PRIORITY_VALUES)],
+                      extra=extra,
+                      views=[("ACTIVE_", "CREDIT_ACTIVE = 'Active'", num),
+                             ("CLOSED_", "CREDIT_ACTIVE = 'Closed'", num)],
+                      int_cols=ints, ctes=ctes)
+
+
+# F3 previous applications <- orders
+CONTRACT_STATUS = {"F": "Approved", "O": "Refused", "P": "Canceled"}
+
+
+def previous_from_orders(spark, d):
+    o = load(spark, d, "orders")
+    days = F.datediff(F.col("o_orderdate"), F.lit(REF_DATE).cast("date"))
+    status = F.when(F.col("o_orderstatus") == "F", F.lit("Approved")) \
+        .when(F.col("o_orderstatus") == "O", F.lit("Refused")) \
+        .when(F.col("o_orderstatus") == "P", F.lit("Canceled"))
+    sentinel_or_days = F.when(F.col("o_orderstatus") == "P", F.lit(365243.0)) \
+        .otherwise(days.cast("double"))
+    n_dbl = F.lit(None).cast("double")
+    return o.select(
+        F.col("o_custkey").alias("SK_ID_CURR"), status.alias("NAME_CONTRACT_STATUS"),
+        F.col("o_orderpriority").alias("NAME_CLIENT_TYPE"),
+        (F.col("o_totalprice") - F.lit(500.0)).alias("AMT_ANNUITY"),
+        F.col("o_totalprice").alias("AMT_APPLICATION"),
+        (F.col("o_totalprice") - F.lit(100.0)).alias("AMT_CREDIT"),
+        n_dbl.alias("AMT_DOWN_PAYMENT"), F.col("o_totalprice").alias("AMT_GOODS_PRICE"),
+        n_dbl.alias("RATE_DOWN_PAYMENT"),
+        (F.year("o_orderdate") - 1994).cast("double").alias("CNT_PAYMENT"),
+        F.month("o_orderdate").alias("HOUR_APPR_PROCESS_START"), days.alias("DAYS_DECISION"),
+        sentinel_or_days.alias("DAYS_FIRST_DRAWING"), sentinel_or_days.alias("DAYS_FIRST_DUE"),
+        n_dbl.alias("DAYS_LAST_DUE_1ST_VERSION"), n_dbl.alias("DAYS_LAST_DUE"),
+        sentinel_or_days.alias("DAYS_TERMINATION"))
+
+
+def credit_previous_block(spark, d):
+    from .credit import previous_applications
+    return round_doubles(previous_applications(previous_from_orders(spark, d), "v2"), 6)
+
+
+def _sql_credit_previous_block() -> str:
+    from .credit import PREV_NUM
+    num = PREV_NUM["v2"]
+    src = f"""SELECT o_custkey AS SK_ID_CURR,
+    CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' WHEN 'P' THEN 'Canceled' END AS NAME_CONTRACT_STATUS,
+    o_orderpriority AS NAME_CLIENT_TYPE, o_totalprice - 500.0 AS AMT_ANNUITY, o_totalprice AS AMT_APPLICATION,
+    o_totalprice - 100.0 AS AMT_CREDIT, CAST(NULL AS DOUBLE) AS AMT_DOWN_PAYMENT,
+    o_totalprice AS AMT_GOODS_PRICE, CAST(NULL AS DOUBLE) AS RATE_DOWN_PAYMENT,
+    CAST(year(o_orderdate) - 1994 AS DOUBLE) AS CNT_PAYMENT,
+    CAST(month(o_orderdate) AS INTEGER) AS HOUR_APPR_PROCESS_START,
+    CAST(datediff('day', DATE '{REF_DATE}', o_orderdate) AS INTEGER) AS DAYS_DECISION,
+    o_totalprice / nullif(o_totalprice - 100.0, 0) AS APP_CREDIT_PERC
+  FROM orders"""
+    return _sql_block(src, "SK_ID_CURR", num, "PREV_",
+                      shares=[("NAME_CONTRACT_STATUS", ["Approved", "Canceled", "Refused"]),
+                              ("NAME_CLIENT_TYPE", PRIORITY_VALUES)],
+                      views=[("APPROVED_", "NAME_CONTRACT_STATUS = 'Approved'", num),
+                             ("REFUSED_", "NAME_CONTRACT_STATUS = 'Refused'", num)],
+                      int_cols={"HOUR_APPR_PROCESS_START", "DAYS_DECISION"})
+
+
+# F4 POS cash <- events
+def pos_from_events(spark, d):
+    ev = load(spark, d, "events")
+    err = F.col("event_type") == "error"
+    return ev.select(
+        F.col("user_id").alias("SK_ID_CURR"), (-F.month("ts")).alias("MONTHS_BALANCE"),
+        F.col("value").alias("CNT_INSTALMENT"), F.lit(None).cast("double").alias("CNT_INSTALMENT_FUTURE"),
+        F.when(err, F.lit(1)).otherwise(F.lit(0)).alias("SK_DPD"),
+        F.when(err & (F.col("value") > 100), F.lit(1)).otherwise(F.lit(0)).alias("SK_DPD_DEF"),
+        F.col("event_type").alias("STATUS_NAME"))
+
+
+def credit_pos_block(spark, d):
+    from .credit import pos_cash
+    return round_doubles(pos_cash(pos_from_events(spark, d), "v2"), 6)
+
+
+def _sql_credit_pos_block() -> str:
+    from .credit import POS_SPEC
+    src = """SELECT user_id AS SK_ID_CURR, CAST(-month(ts) AS INTEGER) AS MONTHS_BALANCE,
+    value AS CNT_INSTALMENT, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS SK_DPD,
+    CASE WHEN event_type = 'error' AND value > 100 THEN 1 ELSE 0 END AS SK_DPD_DEF,
+    event_type AS STATUS_NAME FROM events"""
+    return _sql_block(src, "SK_ID_CURR", POS_SPEC, "POS_", shares=[("STATUS_NAME", EVENT_TYPES)],
+                      count_name="POS_COUNT", int_cols={"MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF"})
+
+
+# F5 installments <- events
+def installments_from_events(spark, d):
+    ev = load(spark, d, "events")
+    t = F.col("event_type")
+    day = F.dayofyear("ts").cast("double")
+    return ev.select(
+        F.col("user_id").alias("SK_ID_CURR"),
+        F.when(t == "purchase", F.lit(2.0)).when(t == "view", F.lit(1.0))
+         .when(t == "signup", F.lit(None).cast("double")).otherwise(F.lit(0.0))
+         .alias("NUM_INSTALMENT_VERSION"),
+        day.alias("DAYS_INSTALMENT"),
+        F.when(t == "error", F.lit(None).cast("double"))
+         .otherwise(day + F.floor(F.col("value") / 50) - 3).alias("DAYS_ENTRY_PAYMENT"),
+        F.col("value").alias("AMT_INSTALMENT"),
+        F.when(t == "click", F.lit(0.0)).otherwise(F.col("value")).alias("AMT_PAYMENT"))
+
+
+def credit_installments_block(spark, d):
+    from .credit import installments_payments
+    return round_doubles(installments_payments(installments_from_events(spark, d), "v2"), 6)
+
+
+def _sql_credit_installments_block() -> str:
+    from .credit import INS_SPEC
+    src = """SELECT *, AMT_PAYMENT / nullif(AMT_INSTALMENT, 0) AS PAYMENT_PERC,
+    AMT_INSTALMENT - AMT_PAYMENT AS PAYMENT_DIFF,
+    greatest(coalesce(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT, 0), 0) AS DPD,
+    greatest(coalesce(DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT, 0), 0) AS DBD
+  FROM (SELECT user_id AS SK_ID_CURR,
+    CASE event_type WHEN 'purchase' THEN 2.0 WHEN 'view' THEN 1.0 WHEN 'signup' THEN NULL ELSE 0.0 END
+      AS NUM_INSTALMENT_VERSION,
+    CAST(dayofyear(ts) AS DOUBLE) AS DAYS_INSTALMENT,
+    CASE WHEN event_type = 'error' THEN NULL ELSE CAST(dayofyear(ts) AS DOUBLE) + floor(value / 50) - 3 END
+      AS DAYS_ENTRY_PAYMENT,
+    value AS AMT_INSTALMENT, CASE WHEN event_type = 'click' THEN 0.0 ELSE value END AS AMT_PAYMENT
+  FROM events)"""
+    return _sql_block(src, "SK_ID_CURR", INS_SPEC["v2"], "INSTAL_", count_name="INSTAL_COUNT")
+
+
+# F6 credit card balance <- events (same function list over every column)
+def card_from_events(spark, d):
+    ev = load(spark, d, "events")
+    return ev.select(
+        F.col("event_id").alias("SK_ID_PREV"), F.col("user_id").alias("SK_ID_CURR"),
+        F.col("value").alias("NUM_A"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("NUM_B"),
+        F.col("event_type").alias("CAT_A"))
+
+
+def credit_card_block(spark, d):
+    from .credit import credit_card_balance
+    return round_doubles(credit_card_balance(card_from_events(spark, d), "v2"), 6)
+
+
+def _sql_credit_card_block() -> str:
+    from .credit import CC_FUNCS
+    funcs = CC_FUNCS["v2"]
+    inds = [(f"CAT_A_{t}", f"CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END") for t in EVENT_TYPES] + \
+        [("CAT_A_nan", "CASE WHEN event_type IS NULL THEN 1 ELSE 0 END")]
+    src = ("SELECT user_id AS SK_ID_CURR, value AS NUM_A, "
+           "CASE WHEN event_type = 'purchase' THEN value END AS NUM_B, "
+           + ", ".join(f"{e} AS {n}" for n, e in inds) + " FROM events")
+    spec = {"NUM_A": funcs, "NUM_B": funcs, **{n: funcs for n, _ in inds}}
+    return _sql_block(src, "SK_ID_CURR", spec, "CC_", count_name="CC_COUNT",
+                      int_cols={n for n, _ in inds})
 
 
 QUERIES = {
@@ -822,6 +988,10 @@ QUERIES = {
     "roc_auc": roc_auc_q,
     "fold_mean_score": fold_mean_score,
     "credit_bureau_block": credit_bureau_block,
+    "credit_previous_block": credit_previous_block,
+    "credit_pos_block": credit_pos_block,
+    "credit_installments_block": credit_installments_block,
+    "credit_card_block": credit_card_block,
     "gbdt_kfold": gbdt_kfold,
 }
 
@@ -855,4 +1025,8 @@ ORACLE_SQL = {
     "roc_auc": SQL_ROC_AUC,
     "fold_mean_score": _sql_fold_mean_score(),
     "credit_bureau_block": _sql_credit_bureau_block(),
+    "credit_previous_block": _sql_credit_previous_block(),
+    "credit_pos_block": _sql_credit_pos_block(),
+    "credit_installments_block": _sql_credit_installments_block(),
+    "credit_card_block": _sql_credit_card_block(),
 }
