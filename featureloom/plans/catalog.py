@@ -958,6 +958,166 @@ def _sql_credit_card_block() -> str:
                       int_cols={n for n, _ in inds})
 
 
+# F1 application <- customer JOIN nation (organisation = nation name);
+# HOUSEHOLD customers are the unlabelled test rows.
+N_NATIONS = 25
+
+
+def application_from_customer(spark, d):
+    c = load(spark, d, "customer")
+    nation = load(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    c = c.join(nation, on="c_nationkey", how="left")
+    seg, bal, nk, key = F.col("c_mktsegment"), F.col("c_acctbal"), F.col("c_nationkey"), F.col("c_custkey")
+    n_str, n_dbl, n_int = F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("int")
+    base = c.select(
+        key.alias("SK_ID_CURR"),
+        F.when(seg == "HOUSEHOLD", n_int).otherwise((bal < 0).cast("int")).alias("TARGET"),
+        F.when(bal > 9900, F.lit("XNA")).when(seg.isin("AUTOMOBILE", "MACHINERY"), F.lit("M"))
+         .when(seg == "FURNITURE", n_str).otherwise(F.lit("F")).alias("CODE_GENDER"),
+        F.when(bal > 5000, F.lit("Y")).otherwise(F.lit("N")).alias("FLAG_OWN_CAR"),
+        F.when(nk < 12, F.lit("Y")).when(nk < 20, F.lit("N")).alias("FLAG_OWN_REALTY"),
+        F.col("n_name").alias("ORGANIZATION_TYPE"),
+        (bal + F.lit(1000.0)).alias("AMT_INCOME_TOTAL"), (bal + F.lit(3000.0)).alias("AMT_CREDIT"),
+        F.when(nk == 0, F.lit(0.0)).otherwise(bal + F.lit(2000.0)).alias("AMT_ANNUITY"),
+        (bal + F.lit(1500.0)).alias("AMT_GOODS_PRICE"), nk.alias("CNT_CHILDREN"),
+        F.when(seg == "BUILDING", F.lit(365243)).otherwise(-key).cast("int").alias("DAYS_EMPLOYED"),
+        (-(key + 10000)).cast("int").alias("DAYS_BIRTH"),
+        (F.lit(0.0) - nk.cast("double") * 10.0).alias("DAYS_LAST_PHONE_CHANGE"),
+        F.when(bal > 5000, nk.cast("double") + 1.0).alias("OWN_CAR_AGE"),
+        # scores in [0, 1]; odd divisors keep them off the decimal grid, so the
+        # 6-digit rounding of their means meets no exact ties
+        F.when(nk < 5, n_dbl).otherwise(nk.cast("double") / 27.0).alias("EXT_SOURCE_1"),
+        F.when(bal < 0, n_dbl).otherwise(bal / 10007.0).alias("EXT_SOURCE_2"),
+        F.when(seg == "MACHINERY", n_dbl).otherwise((nk.cast("double") + 5.0) / 31.0).alias("EXT_SOURCE_3"),
+        (bal > 0).cast("int").alias("FLAG_DOC_A"), (nk > 10).cast("int").alias("FLAG_DOC_B"),
+        (seg == "BUILDING").cast("int").alias("FLAG_DOC_C"),
+        F.when(nk > 20, n_int).otherwise((bal > 5000).cast("int")).alias("FLAG_DOC_D"),
+        F.lit(1).alias("FLAG_PHONE_X"), (nk < 10).cast("int").alias("FLAG_MAIL_X"),
+        F.lit(1).alias("REG_FLAG_X"), seg.alias("_seg"))
+    train = base.where(F.col("_seg") != "HOUSEHOLD").drop("_seg")
+    test = base.where(F.col("_seg") == "HOUSEHOLD").drop("_seg", "TARGET")
+    return train, test
+
+
+def credit_application_block(spark, d):
+    from .credit import application_features
+    train, test = application_from_customer(spark, d)
+    return round_doubles(application_features(train, test, "v2"), 6)
+
+
+def _sql_credit_application_block() -> str:
+    docs = ["FLAG_DOC_A", "FLAG_DOC_B", "FLAG_DOC_C", "FLAG_DOC_D"]
+    ext = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+    codes = ["CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"]
+
+    def lst(cols):
+        return "list_filter([" + ", ".join(f"CAST({c} AS DOUBLE)" for c in cols) + "], lambda x: x IS NOT NULL)"
+    dict_ctes = ",\n".join(
+        f"""d_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY min(part * 1000000000000 + SK_ID_CURR)) - 1 AS INTEGER) AS code
+  FROM g WHERE {c} IS NOT NULL GROUP BY {c})""" for c in codes)
+    onehot = ",\n  ".join(
+        f"CAST(CASE WHEN g.ORGANIZATION_TYPE = 'NATION_{k}' THEN 1 ELSE 0 END AS INTEGER) AS \"ORGANIZATION_TYPE_NATION_{k}\""
+        for k in range(N_NATIONS))
+    # "+ 0.0" turns -0.0 (0 / negative) into 0.0, as Spark's decimal round does
+    r6 = lambda e, n: f"round({e}, 6) + 0.0 AS {n}"
+    return f"""WITH cn AS (SELECT c.*, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+app AS (SELECT c_custkey AS SK_ID_CURR,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE CAST(c_acctbal < 0 AS INTEGER) END AS TARGET,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS part,
+    CASE WHEN c_acctbal > 9900 THEN 'XNA' WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'M'
+         WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'F' END AS CODE_GENDER,
+    CASE WHEN c_acctbal > 5000 THEN 'Y' ELSE 'N' END AS FLAG_OWN_CAR,
+    CASE WHEN c_nationkey < 12 THEN 'Y' WHEN c_nationkey < 20 THEN 'N' END AS FLAG_OWN_REALTY,
+    n_name AS ORGANIZATION_TYPE,
+    c_acctbal + 1000.0 AS AMT_INCOME_TOTAL, c_acctbal + 3000.0 AS AMT_CREDIT,
+    CASE WHEN c_nationkey = 0 THEN 0.0 ELSE c_acctbal + 2000.0 END AS AMT_ANNUITY,
+    c_acctbal + 1500.0 AS AMT_GOODS_PRICE, c_nationkey AS CNT_CHILDREN,
+    CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 365243 ELSE -c_custkey END AS INTEGER) AS DAYS_EMPLOYED,
+    CAST(-(c_custkey + 10000) AS INTEGER) AS DAYS_BIRTH,
+    0.0 - CAST(c_nationkey AS DOUBLE) * 10.0 AS DAYS_LAST_PHONE_CHANGE,
+    CASE WHEN c_acctbal > 5000 THEN CAST(c_nationkey AS DOUBLE) + 1.0 END AS OWN_CAR_AGE,
+    CASE WHEN c_nationkey < 5 THEN NULL ELSE CAST(c_nationkey AS DOUBLE) / 27.0 END AS EXT_SOURCE_1,
+    CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal / 10007.0 END AS EXT_SOURCE_2,
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE (CAST(c_nationkey AS DOUBLE) + 5.0) / 31.0 END AS EXT_SOURCE_3,
+    CAST(c_acctbal > 0 AS INTEGER) AS FLAG_DOC_A, CAST(c_nationkey > 10 AS INTEGER) AS FLAG_DOC_B,
+    CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS FLAG_DOC_C,
+    CASE WHEN c_nationkey > 20 THEN NULL ELSE CAST(c_acctbal > 5000 AS INTEGER) END AS FLAG_DOC_D,
+    1 AS FLAG_PHONE_X, CAST(c_nationkey < 10 AS INTEGER) AS FLAG_MAIL_X, 1 AS REG_FLAG_X
+  FROM cn),
+f AS (SELECT * REPLACE (CASE WHEN DAYS_EMPLOYED = 365243 THEN NULL ELSE DAYS_EMPLOYED END AS DAYS_EMPLOYED)
+  FROM app WHERE CODE_GENDER IS DISTINCT FROM 'XNA'),
+med AS (SELECT ORGANIZATION_TYPE AS org, median(AMT_INCOME_TOTAL) AS m FROM f GROUP BY 1),
+lv AS (SELECT f.*, med.m AS NEW_INC_BY_ORG, {lst(docs)} AS dv, {lst(ext)} AS ev
+  FROM f LEFT JOIN med ON f.ORGANIZATION_TYPE = med.org),
+mo AS (SELECT *, CAST(len(dv) AS DOUBLE) AS dn, list_sum(dv) / len(dv) AS dmu,
+    CAST(len(ev) AS DOUBLE) AS en, CASE WHEN len(ev) > 0 THEN list_sum(ev) / len(ev) END AS emu FROM lv),
+mm AS (SELECT *, list_sum(list_transform(dv, lambda x: (x - dmu) * (x - dmu))) AS dm2,
+    list_sum(list_transform(dv, lambda x: ((x - dmu) * (x - dmu)) * ((x - dmu) * (x - dmu)))) AS dm4,
+    coalesce(list_sum(list_transform(ev, lambda x: (x - emu) * (x - emu))), 0.0) AS em2 FROM mo),
+g AS (SELECT *,
+    CASE WHEN dn < 4 THEN NULL WHEN abs((dn - 2) * (dn - 3) * dm2 * dm2) < 1e-14 THEN 0.0
+         ELSE dn * (dn + 1) * (dn - 1) * dm4 / ((dn - 2) * (dn - 3) * dm2 * dm2) - 3.0 * (dn - 1) * (dn - 1) / ((dn - 2) * (dn - 3)) END AS kurt,
+    CASE WHEN en > 1 THEN sqrt(em2 / (en - 1.0)) END AS sstd
+  FROM mm),
+{dict_ctes}
+SELECT g.SK_ID_CURR, g.TARGET,
+  coalesce(d_CODE_GENDER.code, -1) AS CODE_GENDER, coalesce(d_FLAG_OWN_CAR.code, -1) AS FLAG_OWN_CAR,
+  coalesce(d_FLAG_OWN_REALTY.code, -1) AS FLAG_OWN_REALTY,
+  {r6('g.AMT_INCOME_TOTAL', 'AMT_INCOME_TOTAL')}, {r6('g.AMT_CREDIT', 'AMT_CREDIT')},
+  {r6('g.AMT_ANNUITY', 'AMT_ANNUITY')}, {r6('g.AMT_GOODS_PRICE', 'AMT_GOODS_PRICE')},
+  g.CNT_CHILDREN, g.DAYS_EMPLOYED, g.DAYS_BIRTH,
+  {r6('g.DAYS_LAST_PHONE_CHANGE', 'DAYS_LAST_PHONE_CHANGE')}, {r6('g.OWN_CAR_AGE', 'OWN_CAR_AGE')},
+  {r6('g.EXT_SOURCE_1', 'EXT_SOURCE_1')}, {r6('g.EXT_SOURCE_2', 'EXT_SOURCE_2')},
+  {r6('g.EXT_SOURCE_3', 'EXT_SOURCE_3')},
+  g.FLAG_DOC_A, g.FLAG_DOC_B, g.FLAG_DOC_C, g.FLAG_DOC_D, g.FLAG_PHONE_X, g.FLAG_MAIL_X, g.REG_FLAG_X,
+  {r6('g.AMT_CREDIT / nullif(g.AMT_ANNUITY, 0)', 'NEW_CREDIT_TO_ANNUITY_RATIO')},
+  {r6('g.AMT_CREDIT / nullif(g.AMT_GOODS_PRICE, 0)', 'NEW_CREDIT_TO_GOODS_RATIO')},
+  {r6('g.kurt', 'NEW_DOC_IND_KURT')},
+  {r6('CAST(coalesce(g.FLAG_PHONE_X, 0) AS DOUBLE) + CAST(coalesce(g.FLAG_MAIL_X, 0) AS DOUBLE)', 'NEW_LIVE_IND_SUM')},
+  {r6('g.AMT_INCOME_TOTAL / nullif(1.0 + g.CNT_CHILDREN, 0)', 'NEW_INC_PER_CHLD')},
+  {r6('g.NEW_INC_BY_ORG', 'NEW_INC_BY_ORG')},
+  {r6('CAST(g.DAYS_EMPLOYED AS DOUBLE) / nullif(CAST(g.DAYS_BIRTH AS DOUBLE), 0)', 'NEW_EMPLOY_TO_BIRTH_RATIO')},
+  {r6('g.AMT_ANNUITY / nullif(1.0 + g.AMT_INCOME_TOTAL, 0)', 'NEW_ANNUITY_TO_INCOME_RATIO')},
+  {r6('g.EXT_SOURCE_1 * g.EXT_SOURCE_2 * g.EXT_SOURCE_3', 'NEW_SOURCES_PROD')},
+  {r6('CASE WHEN g.en > 0 THEN g.emu END', 'NEW_EXT_SOURCES_MEAN')},
+  {r6('coalesce(g.sstd, avg(g.sstd) OVER ())', 'NEW_SCORES_STD')},
+  {r6('g.OWN_CAR_AGE / nullif(CAST(g.DAYS_BIRTH AS DOUBLE), 0)', 'NEW_CAR_TO_BIRTH_RATIO')},
+  {r6('g.OWN_CAR_AGE / nullif(CAST(g.DAYS_EMPLOYED AS DOUBLE), 0)', 'NEW_CAR_TO_EMPLOY_RATIO')},
+  {r6('g.DAYS_LAST_PHONE_CHANGE / nullif(CAST(g.DAYS_BIRTH AS DOUBLE), 0)', 'NEW_PHONE_TO_BIRTH_RATIO_RAW')},
+  {r6('g.DAYS_LAST_PHONE_CHANGE / nullif(CAST(g.DAYS_EMPLOYED AS DOUBLE), 0)', 'NEW_PHONE_TO_BIRTH_RATIO')},
+  {r6('g.AMT_CREDIT / nullif(g.AMT_INCOME_TOTAL, 0)', 'NEW_CREDIT_TO_INCOME_RATIO')},
+  {onehot}
+FROM g LEFT JOIN d_CODE_GENDER ON g.CODE_GENDER = d_CODE_GENDER.v
+  LEFT JOIN d_FLAG_OWN_CAR ON g.FLAG_OWN_CAR = d_FLAG_OWN_CAR.v
+  LEFT JOIN d_FLAG_OWN_REALTY ON g.FLAG_OWN_REALTY = d_FLAG_OWN_REALTY.v"""
+
+
+# F1 LEFT JOIN F2 ... F6: the full credit feature table on the mapped tables
+def credit_tables_from_driver(spark, d) -> dict:
+    train, test = application_from_customer(spark, d)
+    bureau, balance = bureau_tables_from_orders(spark, d)
+    return {"application_train": train, "application_test": test, "bureau": bureau,
+            "bureau_balance": balance, "previous_application": previous_from_orders(spark, d),
+            "POS_CASH_balance": pos_from_events(spark, d),
+            "installments_payments": installments_from_events(spark, d),
+            "credit_card_balance": card_from_events(spark, d)}
+
+
+def credit_feature_table_q(spark, d):
+    from .credit import credit_feature_table
+    return round_doubles(credit_feature_table(credit_tables_from_driver(spark, d), "v2"), 6)
+
+
+def _sql_credit_feature_table() -> str:
+    parts = [_sql_credit_application_block(), _sql_credit_bureau_block(),
+             _sql_credit_previous_block(), _sql_credit_pos_block(),
+             _sql_credit_installments_block(), _sql_credit_card_block()]
+    sql = f"SELECT * FROM ({parts[0]}) AS b0"
+    for i, p in enumerate(parts[1:], 1):
+        sql += f"\nLEFT JOIN ({p}) AS b{i} USING (SK_ID_CURR)"
+    return sql
+
+
 QUERIES = {
     "scan_cast": scan_cast,
     "null_safe_filter": null_safe_filter,
@@ -987,11 +1147,13 @@ QUERIES = {
     "kfold_assign": kfold_assign,
     "roc_auc": roc_auc_q,
     "fold_mean_score": fold_mean_score,
+    "credit_application_block": credit_application_block,
     "credit_bureau_block": credit_bureau_block,
     "credit_previous_block": credit_previous_block,
     "credit_pos_block": credit_pos_block,
     "credit_installments_block": credit_installments_block,
     "credit_card_block": credit_card_block,
+    "credit_feature_table": credit_feature_table_q,
     "gbdt_kfold": gbdt_kfold,
 }
 
@@ -1024,9 +1186,11 @@ ORACLE_SQL = {
     "kfold_assign": SQL_KFOLD_ASSIGN,
     "roc_auc": SQL_ROC_AUC,
     "fold_mean_score": _sql_fold_mean_score(),
+    "credit_application_block": _sql_credit_application_block(),
     "credit_bureau_block": _sql_credit_bureau_block(),
     "credit_previous_block": _sql_credit_previous_block(),
     "credit_pos_block": _sql_credit_pos_block(),
     "credit_installments_block": _sql_credit_installments_block(),
     "credit_card_block": _sql_credit_card_block(),
+    "credit_feature_table": _sql_credit_feature_table(),
 }
