@@ -156,19 +156,32 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out_col: str = "median", num_partitions: int | None = None) -> DataFrame:
+                 out_col: str = "median", num_partitions: int | None = None,
+                 max_distinct: int = 1_000_000) -> DataFrame:
     """Exact median of ``value_col`` per group (A8), interpolating between the
     two middle values for an even count; NULL values and NULL groups dropped.
 
-    Skew-safe: values are first counted per (group, value) (map-side
-    combine), then ranked with :func:`prefix_before`, so no task ever holds
-    a whole group.
+    Two exact plans, chosen by a capped count of distinct (group, value)
+    pairs:
+
+    * at most ``max_distinct`` pairs: Spark's ``percentile`` aggregate. Its
+      buffers hold (value, count) maps, pre-aggregated map-side, so no task
+      ever holds more than ``max_distinct`` entries whatever the row count.
+    * more: values are counted per (group, value) (map-side combine), then
+      ranked with :func:`prefix_before` (range partitioning splits a hot
+      group), so no task holds a whole group.
     """
     group_cols = list(group_cols)
     valid = F.col(value_col).isNotNull()
     for g in group_cols:
         valid = valid & F.col(g).isNotNull()
-    counts = (df.where(valid).groupBy(*group_cols, value_col)
+    rows = df.where(valid)
+    if max_distinct > 0:
+        n_pairs = rows.select(*group_cols, value_col).distinct().limit(max_distinct + 1).count()
+        if n_pairs <= max_distinct:
+            med = F.percentile(F.col(value_col).cast("double"), F.lit(0.5)).alias(out_col)
+            return rows.groupBy(*group_cols).agg(med) if group_cols else rows.agg(med)
+    counts = (rows.groupBy(*group_cols, value_col)
               .agg(F.count(F.lit(1)).cast("double").alias("_c")))
     # group sizes ride along the (partition, group) offsets: no join on the
     # bare group key, which would put a hot group into one task

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne, product,
                          row_sum, safe_ratio, sentinel_to_null, shifted_ratio, with_row_stats)
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
-                         exact_median, factorize, left_star, lookup, one_hot, union_by_name)
+                         exact_median, factorize, first_appearance_dictionary, left_star,
+                         lookup, one_hot, union_by_name)
 from ..operators.aggregate import rate_exprs
 from ..operators.profile import fill_with_mean
 from ..sources.io import cast_columns
@@ -166,6 +167,23 @@ def median_lookup(df: DataFrame, group_col: str, value_col: str, out_col: str,
     return df.join(med.withColumnRenamed("_median", out_col), on=group_col, how="left")
 
 
+def _application_dictionaries(df: DataFrame, order_cols: Sequence[str],
+                              dictionary: CategoryDictionary | None):
+    """Both dictionaries of the application block from ONE job on the base
+    rows: first-appearance codes of the binary columns (E2) and the sorted
+    categories of the other string columns (E3). The feature columns are
+    added later, so this job scans only the (filtered) application rows."""
+    from ..functions.columns import string_columns
+    strings = string_columns(df)
+    order = F.struct(*[F.col(c) for c in order_cols]).alias("_ord")
+    first = first_appearance_dictionary(df.select(order, *strings), strings, "_ord")
+    codes = {b: first[b] for b in BINARY_FEATURES if b in first}
+    if dictionary is None:
+        dictionary = CategoryDictionary({c: sorted(first[c]) for c in strings
+                                         if c not in BINARY_FEATURES})
+    return codes, dictionary
+
+
 def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
                          nan_as_category: bool | None = None,
                          dictionary: CategoryDictionary | None = None,
@@ -183,11 +201,9 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
     df = union_by_name(train.withColumn("_part", F.lit(0)), test.withColumn("_part", F.lit(1)))
     if variant == "v1":
         nan = True if nan_as_category is None else nan_as_category
-        order = "_ord"
-        df = df.withColumn(order, F.struct(*[F.col(c) for c in order_cols]))
-        df, _ = factorize(df, list(BINARY_FEATURES), order_col=order)
-        cats = _categories(df.drop(order), dictionary, exclude=BINARY_FEATURES)
-        df, _ = one_hot(df.drop(order), cats, cats.columns(), nan_indicator=nan)
+        codes, cats = _application_dictionaries(df, order_cols, dictionary)
+        df, _ = factorize(df, list(BINARY_FEATURES), order_col="_part", dictionary=codes)
+        df, _ = one_hot(df, cats, cats.columns(), nan_indicator=nan)
         df = df.withColumn("DAYS_EMPLOYED", sentinel_to_null("DAYS_EMPLOYED"))
         df = df.withColumns({
             "DAYS_EMPLOYED_PERC": safe_ratio("DAYS_EMPLOYED", "DAYS_BIRTH"),
@@ -199,6 +215,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
 
     nan = False if nan_as_category is None else nan_as_category
     df = df.where(null_safe_ne("CODE_GENDER", "XNA"))
+    codes, cats = _application_dictionaries(df, order_cols, dictionary)
     docs = columns_matching(df, contains=[DOC_PATTERN])
     live = [c for c in columns_matching(df, contains=[LIVE_PATTERN], excludes=LIVE_EXCLUDE,
                                         numeric_only=True)]
@@ -227,11 +244,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
         df = df.withColumn("NEW_DOC_IND_KURT", F.lit(None).cast("double"))
     df = with_row_stats(df, ext, {"mean": "NEW_EXT_SOURCES_MEAN", "std": "NEW_SCORES_STD"})
     df = fill_with_mean(df, ["NEW_SCORES_STD"])
-    order = "_ord"
-    df = df.withColumn(order, F.struct(*[F.col(c) for c in order_cols]))
-    df, _ = factorize(df, list(BINARY_FEATURES), order_col=order)
-    df = df.drop(order)
-    cats = _categories(df, dictionary, exclude=BINARY_FEATURES)
+    df, _ = factorize(df, list(BINARY_FEATURES), order_col="_part", dictionary=codes)
     df, _ = one_hot(df, cats, cats.columns(), nan_indicator=nan)
     return df.drop("_part")
 

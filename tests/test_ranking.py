@@ -32,13 +32,15 @@ def test_exact_median_hot_group(spark):
     rows = [(str(a), float(b)) for a, b in zip(g, v)] + [("e", 1.0), ("e", 4.0), (None, 5.0),
                                                          ("f", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", num_partitions=5).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"]).dropna(subset=["g"])
     exp = pdf.groupby("g")["v"].median().dropna()
-    assert set(got) == set(exp.index)
-    for k, val in exp.items():
-        assert got[k] == val, (k, got[k], val)
-    assert got["e"] == 2.5   # even count interpolates
+    for max_distinct in (0, 10, 1_000_000):      # distributed, distributed, percentile
+        got = {r["g"]: r["median"] for r in
+               exact_median(df, ["g"], "v", num_partitions=5, max_distinct=max_distinct).collect()}
+        assert set(got) == set(exp.index)
+        for k, val in exp.items():
+            assert abs(got[k] - val) < 1e-9, (max_distinct, k, got[k], val)
+        assert got["e"] == 2.5   # even count interpolates
 
 
 def test_roc_auc_brute_force(spark):
