@@ -66,7 +66,7 @@ def test_entry_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"gbdt_kfold"}
+    assert set(qs) - set(sqls) == {"gbdt_kfold", "credit_model"}
     df = E.entry(spark)
     assert df.count() == 150 and "c_custkey" in df.columns
 
