@@ -713,10 +713,10 @@ def bureau_tables_from_orders(spark, d):
     return bureau, balance
 
 
-def credit_bureau_block(spark, d):
+def credit_bureau_block(spark, d, variant: str = "v2"):
     from .credit import bureau_and_balance
     bureau, balance = bureau_tables_from_orders(spark, d)
-    return round_doubles(bureau_and_balance(bureau, balance, "v2"), 6)
+    return round_doubles(bureau_and_balance(bureau, balance, variant), 6)
 
 
 def _sql_spec(spec, prefix, cond=None) -> list[tuple[str, str, str, str]]:
@@ -771,9 +771,9 @@ def _sql_block(src: str, key: str, spec, prefix: str, shares=(), extra=(), views
             f"FROM src WHERE {key} IS NOT NULL GROUP BY {key}")
 
 
-def _sql_credit_bureau_block() -> str:
-    from .credit import BUREAU_NUM
-    num = BUREAU_NUM["v2"]
+def _sql_credit_bureau_block(variant: str = "v2") -> str:
+    from .credit import BUREAU_NUM, PREFIXES
+    num, pre = BUREAU_NUM[variant], PREFIXES[variant]
     statuses = ["A", "N", "R"]
     bb_shares = ",\n    ".join(_share_sql("STATUS", statuses, ""))
     ctes = f"""bureau AS (SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU,
@@ -805,8 +805,8 @@ bba AS (SELECT SK_ID_BUREAU, min(MONTHS_BALANCE) AS MONTHS_BALANCE_MIN, max(MONT
                       shares=[("CREDIT_ACTIVE", ["Active", "Closed"]), ("CREDIT_CURRENCY", []),
                               ("CREDIT_TYPE", PRIORITY_VALUES)],
                       extra=extra,
-                      views=[("ACTIVE_", "CREDIT_ACTIVE = 'Active'", num),
-                             ("CLOSED_", "CREDIT_ACTIVE = 'Closed'", num)],
+                      views=[(pre["active"], "CREDIT_ACTIVE = 'Active'", num),
+                             (pre["closed"], "CREDIT_ACTIVE = 'Closed'", num)],
                       int_cols=ints, ctes=ctes)
 
 
@@ -838,14 +838,14 @@ def previous_from_orders(spark, d):
         sentinel_or_days.alias("DAYS_TERMINATION"))
 
 
-def credit_previous_block(spark, d):
+def credit_previous_block(spark, d, variant: str = "v2"):
     from .credit import previous_applications
-    return round_doubles(previous_applications(previous_from_orders(spark, d), "v2"), 6)
+    return round_doubles(previous_applications(previous_from_orders(spark, d), variant), 6)
 
 
-def _sql_credit_previous_block() -> str:
-    from .credit import PREV_NUM
-    num = PREV_NUM["v2"]
+def _sql_credit_previous_block(variant: str = "v2") -> str:
+    from .credit import PREFIXES, PREV_NUM
+    num, pre = PREV_NUM[variant], PREFIXES[variant]
     src = f"""SELECT o_custkey AS SK_ID_CURR,
     CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' WHEN 'P' THEN 'Canceled' END AS NAME_CONTRACT_STATUS,
     o_orderpriority AS NAME_CLIENT_TYPE, o_totalprice - 500.0 AS AMT_ANNUITY, o_totalprice AS AMT_APPLICATION,
@@ -859,8 +859,8 @@ def _sql_credit_previous_block() -> str:
     return _sql_block(src, "SK_ID_CURR", num, "PREV_",
                       shares=[("NAME_CONTRACT_STATUS", ["Approved", "Canceled", "Refused"]),
                               ("NAME_CLIENT_TYPE", PRIORITY_VALUES)],
-                      views=[("APPROVED_", "NAME_CONTRACT_STATUS = 'Approved'", num),
-                             ("REFUSED_", "NAME_CONTRACT_STATUS = 'Refused'", num)],
+                      views=[(pre["approved"], "NAME_CONTRACT_STATUS = 'Approved'", num),
+                             (pre["refused"], "NAME_CONTRACT_STATUS = 'Refused'", num)],
                       int_cols={"HOUR_APPR_PROCESS_START", "DAYS_DECISION"})
 
 
@@ -908,13 +908,14 @@ def installments_from_events(spark, d):
         F.when(t == "click", F.lit(0.0)).otherwise(F.col("value")).alias("AMT_PAYMENT"))
 
 
-def credit_installments_block(spark, d):
+def credit_installments_block(spark, d, variant: str = "v2"):
     from .credit import installments_payments
-    return round_doubles(installments_payments(installments_from_events(spark, d), "v2"), 6)
+    return round_doubles(installments_payments(installments_from_events(spark, d), variant), 6)
 
 
-def _sql_credit_installments_block() -> str:
-    from .credit import INS_SPEC
+def _sql_credit_installments_block(variant: str = "v2") -> str:
+    from .credit import INS_SPEC, PREFIXES
+    pre = PREFIXES[variant]["ins"]
     src = """SELECT *, AMT_PAYMENT / nullif(AMT_INSTALMENT, 0) AS PAYMENT_PERC,
     AMT_INSTALMENT - AMT_PAYMENT AS PAYMENT_DIFF,
     greatest(coalesce(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT, 0), 0) AS DPD,
@@ -927,7 +928,7 @@ def _sql_credit_installments_block() -> str:
       AS DAYS_ENTRY_PAYMENT,
     value AS AMT_INSTALMENT, CASE WHEN event_type = 'click' THEN 0.0 ELSE value END AS AMT_PAYMENT
   FROM events)"""
-    return _sql_block(src, "SK_ID_CURR", INS_SPEC["v2"], "INSTAL_", count_name="INSTAL_COUNT")
+    return _sql_block(src, "SK_ID_CURR", INS_SPEC[variant], pre, count_name=f"{pre}COUNT")
 
 
 # F6 credit card balance <- events (same function list over every column)
@@ -940,14 +941,14 @@ def card_from_events(spark, d):
         F.col("event_type").alias("CAT_A"))
 
 
-def credit_card_block(spark, d):
+def credit_card_block(spark, d, variant: str = "v2"):
     from .credit import credit_card_balance
-    return round_doubles(credit_card_balance(card_from_events(spark, d), "v2"), 6)
+    return round_doubles(credit_card_balance(card_from_events(spark, d), variant), 6)
 
 
-def _sql_credit_card_block() -> str:
+def _sql_credit_card_block(variant: str = "v2") -> str:
     from .credit import CC_FUNCS
-    funcs = CC_FUNCS["v2"]
+    funcs = CC_FUNCS[variant]
     inds = [(f"CAT_A_{t}", f"CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END") for t in EVENT_TYPES] + \
         [("CAT_A_nan", "CASE WHEN event_type IS NULL THEN 1 ELSE 0 END")]
     src = ("SELECT user_id AS SK_ID_CURR, value AS NUM_A, "
@@ -1173,6 +1174,10 @@ QUERIES = {
     "credit_pos_block": credit_pos_block,
     "credit_installments_block": credit_installments_block,
     "credit_card_block": credit_card_block,
+    "credit_bureau_block_v1": lambda spark, d: credit_bureau_block(spark, d, "v1"),
+    "credit_previous_block_v1": lambda spark, d: credit_previous_block(spark, d, "v1"),
+    "credit_installments_block_v1": lambda spark, d: credit_installments_block(spark, d, "v1"),
+    "credit_card_block_v1": lambda spark, d: credit_card_block(spark, d, "v1"),
     "credit_feature_table": credit_feature_table_q,
     "gbdt_kfold": gbdt_kfold,
     "credit_model": credit_model,
@@ -1213,5 +1218,9 @@ ORACLE_SQL = {
     "credit_pos_block": _sql_credit_pos_block(),
     "credit_installments_block": _sql_credit_installments_block(),
     "credit_card_block": _sql_credit_card_block(),
+    "credit_bureau_block_v1": _sql_credit_bureau_block("v1"),
+    "credit_previous_block_v1": _sql_credit_previous_block("v1"),
+    "credit_installments_block_v1": _sql_credit_installments_block("v1"),
+    "credit_card_block_v1": _sql_credit_card_block("v1"),
     "credit_feature_table": _sql_credit_feature_table(),
 }
