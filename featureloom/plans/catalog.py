@@ -876,14 +876,15 @@ def pos_from_events(spark, d):
         F.col("event_type").alias("STATUS_NAME"))
 
 
-def credit_pos_block(spark, d):
+def credit_pos_block(spark, d, variant: str = "v2"):
     from .credit import pos_cash
-    return round_doubles(pos_cash(pos_from_events(spark, d), "v2"), 6)
+    return round_doubles(pos_cash(pos_from_events(spark, d), variant), 6)
 
 
-def _sql_credit_pos_block() -> str:
+def _sql_credit_pos_block(variant: str = "v2") -> str:
     from .credit import POS_SPEC
-    src = """SELECT user_id AS SK_ID_CURR, CAST(-month(ts) AS INTEGER) AS MONTHS_BALANCE,
+    months_type = "SMALLINT" if variant == "v1" else "INTEGER"   # v1 down-casts (S5)
+    src = f"""SELECT user_id AS SK_ID_CURR, CAST(-month(ts) AS {months_type}) AS MONTHS_BALANCE,
     value AS CNT_INSTALMENT, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS SK_DPD,
     CASE WHEN event_type = 'error' AND value > 100 THEN 1 ELSE 0 END AS SK_DPD_DEF,
     event_type AS STATUS_NAME FROM events"""
@@ -989,6 +990,7 @@ def application_from_customer(spark, d):
         (bal + F.lit(1000.0)).alias("AMT_INCOME_TOTAL"), (bal + F.lit(3000.0)).alias("AMT_CREDIT"),
         F.when(nk == 0, F.lit(0.0)).otherwise(bal + F.lit(2000.0)).alias("AMT_ANNUITY"),
         (bal + F.lit(1500.0)).alias("AMT_GOODS_PRICE"), nk.alias("CNT_CHILDREN"),
+        F.when(nk == 3, F.lit(0.0)).otherwise(nk.cast("double") + 1.0).alias("CNT_FAM_MEMBERS"),
         F.when(seg == "BUILDING", F.lit(365243)).otherwise(-key).cast("int").alias("DAYS_EMPLOYED"),
         (-(key + 10000)).cast("int").alias("DAYS_BIRTH"),
         (F.lit(0.0) - nk.cast("double") * 10.0).alias("DAYS_LAST_PHONE_CHANGE"),
@@ -1008,10 +1010,47 @@ def application_from_customer(spark, d):
     return train, test
 
 
-def credit_application_block(spark, d):
+def credit_application_block(spark, d, variant: str = "v2"):
     from .credit import application_features
     train, test = application_from_customer(spark, d)
-    return round_doubles(application_features(train, test, "v2"), 6)
+    return round_doubles(application_features(train, test, variant), 6)
+
+
+def _sql_credit_application_block_v1() -> str:
+    """v1: codes and one-hot (with missing indicator) on all applicants (no
+    XNA filter), then the sentinel and four ratios."""
+    full = _sql_credit_application_block()
+    head = full[:full.index("f AS (SELECT * REPLACE")]
+    codes = ["CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"]
+    dict_ctes = ",\n".join(
+        f"""d_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY min(part * 1000000000000 + SK_ID_CURR)) - 1 AS INTEGER) AS code
+  FROM g WHERE {c} IS NOT NULL GROUP BY {c})""" for c in codes)
+    onehot = ",\n  ".join(
+        [f"CAST(CASE WHEN g.ORGANIZATION_TYPE = 'NATION_{k}' THEN 1 ELSE 0 END AS INTEGER) AS \"ORGANIZATION_TYPE_NATION_{k}\""
+         for k in range(N_NATIONS)]
+        + ["CAST(CASE WHEN g.ORGANIZATION_TYPE IS NULL THEN 1 ELSE 0 END AS INTEGER) AS \"ORGANIZATION_TYPE_nan\""])
+    r6 = lambda e, n: f"round({e}, 6) + 0.0 AS {n}"
+    return head + f"""g AS (SELECT * REPLACE (CASE WHEN DAYS_EMPLOYED = 365243 THEN NULL ELSE DAYS_EMPLOYED END AS DAYS_EMPLOYED)
+  FROM app),
+{dict_ctes}
+SELECT g.SK_ID_CURR, g.TARGET,
+  coalesce(d_CODE_GENDER.code, -1) AS CODE_GENDER, coalesce(d_FLAG_OWN_CAR.code, -1) AS FLAG_OWN_CAR,
+  coalesce(d_FLAG_OWN_REALTY.code, -1) AS FLAG_OWN_REALTY,
+  {r6('g.AMT_INCOME_TOTAL', 'AMT_INCOME_TOTAL')}, {r6('g.AMT_CREDIT', 'AMT_CREDIT')},
+  {r6('g.AMT_ANNUITY', 'AMT_ANNUITY')}, {r6('g.AMT_GOODS_PRICE', 'AMT_GOODS_PRICE')},
+  g.CNT_CHILDREN, {r6('g.CNT_FAM_MEMBERS', 'CNT_FAM_MEMBERS')}, g.DAYS_EMPLOYED, g.DAYS_BIRTH,
+  {r6('g.DAYS_LAST_PHONE_CHANGE', 'DAYS_LAST_PHONE_CHANGE')}, {r6('g.OWN_CAR_AGE', 'OWN_CAR_AGE')},
+  {r6('g.EXT_SOURCE_1', 'EXT_SOURCE_1')}, {r6('g.EXT_SOURCE_2', 'EXT_SOURCE_2')},
+  {r6('g.EXT_SOURCE_3', 'EXT_SOURCE_3')},
+  g.FLAG_DOC_A, g.FLAG_DOC_B, g.FLAG_DOC_C, g.FLAG_DOC_D, g.FLAG_PHONE_X, g.FLAG_MAIL_X, g.REG_FLAG_X,
+  {onehot},
+  {r6('CAST(g.DAYS_EMPLOYED AS DOUBLE) / nullif(CAST(g.DAYS_BIRTH AS DOUBLE), 0)', 'DAYS_EMPLOYED_PERC')},
+  {r6('g.AMT_INCOME_TOTAL / nullif(g.AMT_CREDIT, 0)', 'INCOME_CREDIT_PERC')},
+  {r6('g.AMT_INCOME_TOTAL / nullif(g.CNT_FAM_MEMBERS, 0)', 'INCOME_PER_PERSON')},
+  {r6('g.AMT_ANNUITY / nullif(g.AMT_INCOME_TOTAL, 0)', 'ANNUITY_INCOME_PERC')}
+FROM g LEFT JOIN d_CODE_GENDER ON g.CODE_GENDER = d_CODE_GENDER.v
+  LEFT JOIN d_FLAG_OWN_CAR ON g.FLAG_OWN_CAR = d_FLAG_OWN_CAR.v
+  LEFT JOIN d_FLAG_OWN_REALTY ON g.FLAG_OWN_REALTY = d_FLAG_OWN_REALTY.v"""
 
 
 def _sql_credit_application_block() -> str:
@@ -1042,6 +1081,7 @@ app AS (SELECT c_custkey AS SK_ID_CURR,
     c_acctbal + 1000.0 AS AMT_INCOME_TOTAL, c_acctbal + 3000.0 AS AMT_CREDIT,
     CASE WHEN c_nationkey = 0 THEN 0.0 ELSE c_acctbal + 2000.0 END AS AMT_ANNUITY,
     c_acctbal + 1500.0 AS AMT_GOODS_PRICE, c_nationkey AS CNT_CHILDREN,
+    CASE WHEN c_nationkey = 3 THEN 0.0 ELSE CAST(c_nationkey AS DOUBLE) + 1.0 END AS CNT_FAM_MEMBERS,
     CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 365243 ELSE -c_custkey END AS INTEGER) AS DAYS_EMPLOYED,
     CAST(-(c_custkey + 10000) AS INTEGER) AS DAYS_BIRTH,
     0.0 - CAST(c_nationkey AS DOUBLE) * 10.0 AS DAYS_LAST_PHONE_CHANGE,
@@ -1075,7 +1115,7 @@ SELECT g.SK_ID_CURR, g.TARGET,
   coalesce(d_FLAG_OWN_REALTY.code, -1) AS FLAG_OWN_REALTY,
   {r6('g.AMT_INCOME_TOTAL', 'AMT_INCOME_TOTAL')}, {r6('g.AMT_CREDIT', 'AMT_CREDIT')},
   {r6('g.AMT_ANNUITY', 'AMT_ANNUITY')}, {r6('g.AMT_GOODS_PRICE', 'AMT_GOODS_PRICE')},
-  g.CNT_CHILDREN, g.DAYS_EMPLOYED, g.DAYS_BIRTH,
+  g.CNT_CHILDREN, {r6('g.CNT_FAM_MEMBERS', 'CNT_FAM_MEMBERS')}, g.DAYS_EMPLOYED, g.DAYS_BIRTH,
   {r6('g.DAYS_LAST_PHONE_CHANGE', 'DAYS_LAST_PHONE_CHANGE')}, {r6('g.OWN_CAR_AGE', 'OWN_CAR_AGE')},
   {r6('g.EXT_SOURCE_1', 'EXT_SOURCE_1')}, {r6('g.EXT_SOURCE_2', 'EXT_SOURCE_2')},
   {r6('g.EXT_SOURCE_3', 'EXT_SOURCE_3')},
@@ -1174,7 +1214,9 @@ QUERIES = {
     "credit_pos_block": credit_pos_block,
     "credit_installments_block": credit_installments_block,
     "credit_card_block": credit_card_block,
+    "credit_application_block_v1": lambda spark, d: credit_application_block(spark, d, "v1"),
     "credit_bureau_block_v1": lambda spark, d: credit_bureau_block(spark, d, "v1"),
+    "credit_pos_block_v1": lambda spark, d: credit_pos_block(spark, d, "v1"),
     "credit_previous_block_v1": lambda spark, d: credit_previous_block(spark, d, "v1"),
     "credit_installments_block_v1": lambda spark, d: credit_installments_block(spark, d, "v1"),
     "credit_card_block_v1": lambda spark, d: credit_card_block(spark, d, "v1"),
@@ -1218,7 +1260,9 @@ ORACLE_SQL = {
     "credit_pos_block": _sql_credit_pos_block(),
     "credit_installments_block": _sql_credit_installments_block(),
     "credit_card_block": _sql_credit_card_block(),
+    "credit_application_block_v1": _sql_credit_application_block_v1(),
     "credit_bureau_block_v1": _sql_credit_bureau_block("v1"),
+    "credit_pos_block_v1": _sql_credit_pos_block("v1"),
     "credit_previous_block_v1": _sql_credit_previous_block("v1"),
     "credit_installments_block_v1": _sql_credit_installments_block("v1"),
     "credit_card_block_v1": _sql_credit_card_block("v1"),
