@@ -28,6 +28,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # remove checkpoint files once their DataFrame is garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # the status listeners run even with the UI off; wide feature plans carry
+    # heavy metadata, so long-lived sessions keep only recent executions
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
