@@ -411,6 +411,21 @@ SELECT c.c_custkey, c.c_mktsegment, round(m.med, 6) AS SEG_MEDIAN_ACCTBAL
 FROM customer c LEFT JOIN m ON c.c_mktsegment = m.c_mktsegment"""
 
 
+# A8, skew-safe plan: three groups holding about a third of lineitem each.
+# max_distinct=0 selects the distributed plan that a 100 TB table would take
+# anyway (its distinct (group, value) pairs exceed any in-memory cap).
+def median_hot_groups(spark, d):
+    from ..operators import exact_median
+    li = load(spark, d, "lineitem")
+    med = exact_median(li, ["l_returnflag"], "l_extendedprice", out_col="median_price",
+                       max_distinct=0)
+    return round_doubles(med, 6)
+
+
+SQL_MEDIAN_HOT_GROUPS = """SELECT l_returnflag, round(median(l_extendedprice), 6) AS median_price
+FROM lineitem GROUP BY l_returnflag"""
+
+
 # P15 A16
 def fill_global_mean(spark, d):
     o = orders_nulled(spark, d).select("o_orderkey", "o_totalprice")
@@ -1196,6 +1211,7 @@ QUERIES = {
     "two_level_agg": two_level_agg,
     "agg_all_columns": agg_all_columns,
     "group_median_lookup": group_median_lookup,
+    "median_hot_groups": median_hot_groups,
     "fill_global_mean": fill_global_mean,
     "row_sum_mean_std_prod": row_sum_mean_std_prod,
     "row_kurtosis": row_kurtosis_q,
@@ -1242,6 +1258,7 @@ ORACLE_SQL = {
     "two_level_agg": _sql_two_level_agg(),
     "agg_all_columns": _sql_agg_all_columns(),
     "group_median_lookup": SQL_GROUP_MEDIAN_LOOKUP,
+    "median_hot_groups": SQL_MEDIAN_HOT_GROUPS,
     "fill_global_mean": SQL_FILL_GLOBAL_MEAN,
     "row_sum_mean_std_prod": _sql_row_stats(),
     "row_kurtosis": SQL_ROW_KURTOSIS,
