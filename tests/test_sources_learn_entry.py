@@ -106,3 +106,19 @@ def test_csv_columns_matched_by_name(spark, tmp_path):
     rows = {r["SK_ID_CURR"]: r for r in df.collect()}
     assert rows[7]["AMT_CREDIT"] == 10.5 and rows[7]["HOUR_APPR_PROCESS_START"] == 3
     assert rows[8]["AMT_CREDIT"] is None and rows[7]["DAYS_DECISION"] is None
+
+
+def test_kfold_gbt_stratified_folds(spark):
+    rng = np.random.default_rng(5)
+    n = 300
+    x = rng.normal(size=n)
+    y = (x > 0.8).astype(int)            # imbalanced labels
+    rows = [(i, float(a), int(t)) for i, (a, t) in enumerate(zip(x, y))]
+    frame = spark.createDataFrame(rows, "SK_ID_CURR long, x double, TARGET int")
+    res = kfold_gbt(frame, key="SK_ID_CURR", n_folds=3, stratified=True, max_iter=3,
+                    max_depth=2, min_instances_per_node=2, parallelism=3)
+    per_fold = {r["fold"]: (r["n_pos"], r["n_neg"]) for r in res.fold_auc.collect()}
+    pos = [p for p, _ in per_fold.values()]
+    neg = [q for _, q in per_fold.values()]
+    assert max(pos) - min(pos) <= 1 and max(neg) - min(neg) <= 1   # exactly balanced per label
+    assert res.submission.count() == 0                               # no unlabelled rows
