@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is. Only when it is unset (local tests) do we create a scratch
     folder, because a machine-local folder is useless to other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
