@@ -168,12 +168,16 @@ def median_lookup(df: DataFrame, group_col: str, value_col: str, out_col: str,
 
 
 def _application_dictionaries(df: DataFrame, order_cols: Sequence[str],
-                              dictionary: CategoryDictionary | None):
+                              dictionary: CategoryDictionary | None,
+                              codes: dict | None = None):
     """Both dictionaries of the application block from ONE job on the base
     rows: first-appearance codes of the binary columns (E2) and the sorted
     categories of the other string columns (E3). The feature columns are
-    added later, so this job scans only the (filtered) application rows."""
+    added later, so this job scans only the (filtered) application rows.
+    Frozen dictionaries (scoring) skip the job."""
     from ..functions.columns import string_columns
+    if dictionary is not None and codes is not None:
+        return codes, dictionary
     strings = string_columns(df)
     order = F.struct(*[F.col(c) for c in order_cols]).alias("_ord")
     first = first_appearance_dictionary(df.select(order, *strings), strings, "_ord")
@@ -187,9 +191,13 @@ def _application_dictionaries(df: DataFrame, order_cols: Sequence[str],
 def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
                          nan_as_category: bool | None = None,
                          dictionary: CategoryDictionary | None = None,
-                         order_cols: Sequence[str] = ("_part", KEY)) -> DataFrame:
+                         order_cols: Sequence[str] = ("_part", KEY),
+                         codes: dict | None = None) -> DataFrame:
     """one row per applicant of train + test.
 
+    ``dictionary`` (one-hot categories) and ``codes`` (binary-column codes)
+    freeze the encodings, e.g. those of a training run, for scoring.
+
     v2: union -> drop gender ``XNA`` (keeps NULL) -> DAYS_EMPLOYED sentinel ->
     ratio / row-statistic / group-median features -> first-appearance codes
     of the binary columns -> one-hot of the other string columns (no missing
@@ -201,7 +209,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
     df = union_by_name(train.withColumn("_part", F.lit(0)), test.withColumn("_part", F.lit(1)))
     if variant == "v1":
         nan = True if nan_as_category is None else nan_as_category
-        codes, cats = _application_dictionaries(df, order_cols, dictionary)
+        codes, cats = _application_dictionaries(df, order_cols, dictionary, codes)
         df, _ = factorize(df, list(BINARY_FEATURES), order_col="_part", dictionary=codes)
         df, _ = one_hot(df, cats, cats.columns(), nan_indicator=nan)
         df = df.withColumn("DAYS_EMPLOYED", sentinel_to_null("DAYS_EMPLOYED"))
@@ -215,7 +223,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
 
     nan = False if nan_as_category is None else nan_as_category
     df = df.where(null_safe_ne("CODE_GENDER", "XNA"))
-    codes, cats = _application_dictionaries(df, order_cols, dictionary)
+    codes, cats = _application_dictionaries(df, order_cols, dictionary, codes)
     docs = columns_matching(df, contains=[DOC_PATTERN])
     live = [c for c in columns_matching(df, contains=[LIVE_PATTERN], excludes=LIVE_EXCLUDE,
                                         numeric_only=True)]
@@ -405,16 +413,60 @@ def bureau_rates(applicants: DataFrame, loans: DataFrame, applicant_key: str = K
 # ---------------------------------------------------------------------------
 # assembly
 
-def credit_feature_table(tables: dict[str, DataFrame], variant: str = "v2") -> DataFrame:
+def credit_dictionaries(tables: dict[str, DataFrame], variant: str = "v2") -> dict:
+    """All category dictionaries of the feature table, one small job per
+    table (hard part 7.4.2): computed on training data and passed to
+    :func:`credit_feature_table` at scoring time, they keep the schema fixed
+    and give unseen categories all-zero indicators."""
+    df = union_by_name(tables["application_train"].withColumn("_part", F.lit(0)),
+                       tables["application_test"].withColumn("_part", F.lit(1)))
+    if variant != "v1":
+        df = df.where(null_safe_ne("CODE_GENDER", "XNA"))
+    codes, cats = _application_dictionaries(df, ("_part", KEY), None)
+    return {
+        "application": cats, "application_codes": codes,
+        "bureau": _categories(tables["bureau"], None, exclude=[KEY, "SK_ID_BUREAU"]),
+        "bureau_balance": _categories(tables["bureau_balance"], None, exclude=["SK_ID_BUREAU"]),
+        "previous_application": _categories(tables["previous_application"], None, exclude=[KEY]),
+        "POS_CASH_balance": _categories(tables["POS_CASH_balance"], None, exclude=[KEY]),
+        "installments_payments": _categories(tables["installments_payments"], None, exclude=[KEY]),
+        "credit_card_balance": _categories(tables["credit_card_balance"].drop("SK_ID_PREV"), None,
+                                           exclude=[KEY]),
+    }
+
+
+def credit_dictionaries_to_json(dictionaries: dict) -> str:
+    import json
+    return json.dumps({k: (v.categories if isinstance(v, CategoryDictionary) else v)
+                       for k, v in dictionaries.items()}, sort_keys=True)
+
+
+def credit_dictionaries_from_json(text: str) -> dict:
+    import json
+    raw = json.loads(text)
+    return {k: (v if k == "application_codes" else CategoryDictionary(v)) for k, v in raw.items()}
+
+
+def credit_feature_table(tables: dict[str, DataFrame], variant: str = "v2",
+                         dictionaries: dict | None = None) -> DataFrame:
     """F1 LEFT JOIN F2 ... F6 on the applicant key (J3), the input of the
-    learning job (F8). ``tables`` holds the eight credit tables by name."""
-    app = application_features(tables["application_train"], tables["application_test"], variant)
+    learning job (F8). ``tables`` holds the eight credit tables by name;
+    ``dictionaries`` (from :func:`credit_dictionaries`) freezes every
+    encoding, otherwise each block discovers its own."""
+    d = dictionaries or {}
+    app = application_features(tables["application_train"], tables["application_test"], variant,
+                               dictionary=d.get("application"), codes=d.get("application_codes"))
     blocks = [
-        bureau_and_balance(tables["bureau"], tables["bureau_balance"], variant),
-        previous_applications(tables["previous_application"], variant),
-        pos_cash(tables["POS_CASH_balance"], variant),
-        installments_payments(tables["installments_payments"], variant),
-        credit_card_balance(tables["credit_card_balance"], variant),
+        bureau_and_balance(tables["bureau"], tables["bureau_balance"], variant,
+                           bureau_dictionary=d.get("bureau"),
+                           balance_dictionary=d.get("bureau_balance")),
+        previous_applications(tables["previous_application"], variant,
+                              dictionary=d.get("previous_application")),
+        pos_cash(tables["POS_CASH_balance"], variant, dictionary=d.get("POS_CASH_balance")),
+        installments_payments(tables["installments_payments"], variant,
+                              dictionary=d.get("installments_payments")),
+        credit_card_balance(tables["credit_card_balance"], variant,
+                            dictionary=d.get("credit_card_balance")),
     ]
     return left_star(app, KEY, blocks)
 
