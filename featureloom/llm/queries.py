@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from . import decontaminate, quality, secrets_scan, toxicity
+from .common import crc_bucket, table
 from .neardup import near_duplicates
 
 
@@ -19,7 +21,68 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.col(secrets_scan.BASE)
+    count = lambda kind: F.size(F.filter(base, lambda x: x.k == kind)).cast("long")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(secrets_scan.span_text(base), 256).alias("base_sha256"),
+                        secrets_scan.span_text(F.col(secrets_scan.SPANS)).alias("spans"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                             table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate(decontaminate.SPANS, F.lit(0).cast("long"), lambda a, x: a + x.e - x.s)
+    items = F.col(decontaminate.ITEMS)
+    return found.select("doc_id", F.col(decontaminate.N_WORDS).alias("n_words"), hit.alias("n_hit"),
+                        F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_bucket("doc_id", 3) == 1
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_bucket("doc_id", 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
+
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op4_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+o AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+m AS (SELECT o.doc_id, o.i, o.n, p.item_id FROM o JOIN p USING (n, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM m) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items.s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
