@@ -10,15 +10,16 @@ common bucket with probability 1 - (1 - 0.8**4)**32 > 1 - 1e-7.
    the shingle set), band keys and the signature cut to 8 bits a value. Equal
    sets share a class from here on, so copies never meet as pairs.
 2. Buckets of two or more classes are kept; inside a bucket (hot ones are cut
-   into blocks of ``block`` members) the 8-bit signatures are compared in numpy
-   and each class proposes only its most similar partners of *other*
-   components whose estimate is above ``threshold - slack``.
-3. Proposed pairs are confirmed on the full shingle sets; confirmed links join
+   into blocks of ``block`` members) the 8-bit signatures are compared in numpy.
+   A pair counts only in the first bucket it shares, when its estimate is above
+   ``threshold - slack`` and its classes lie in different components.
+3. In the quota rounds each class proposes its most similar such partners; the
+   pairs are confirmed on the full shingle sets, and confirmed links join
    components (min-label propagation with pointer jumping).
-4. Steps 2 and 3 repeat with more proposals a class; the last round proposes
-   every unconfirmed pair of different components above the estimate. No
-   partner is capped: a quota only defers pairs to a later round, by which time
-   most lie inside one component and need no check.
+4. What is left after them is settled whole: every class that still has such a
+   partner is sent with its set to the bucket's block, and there all remaining
+   pairs are confirmed, those in one component by then excepted. Only links
+   leave the task. No partner is capped and no pair of a group is written out.
 
 ``slack`` 0.15 is over four standard deviations of a 128-value estimate.
 
@@ -99,6 +100,13 @@ def _signatures(width: int):
     return run
 
 
+def _short_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Band keys cut to 32 bits, packed."""
+    for batch in batches:
+        keys = [np.array(k, np.int64).astype(np.uint32).tobytes() for k in batch.column("bands").to_pylist()]
+        yield {**{f.name: batch.column(f.name) for f in batch.schema}, "bands": keys}
+
+
 def class_of(sets: np.ndarray) -> bytes:
     return hashlib.blake2b(sets.tobytes(), digest_size=16).digest()
 
@@ -113,50 +121,94 @@ def _sets(width: int):
     return run
 
 
-def _propose(quota: int, least: float, ratio: float):
-    """Candidate pairs of each run of rows with one (bucket, block): role 1 rows look for partners."""
-    def pairs(rows: dict[str, list]) -> Iterator[tuple[bytes, bytes]]:
-        comp = rows["comp"]
-        if len(comp) < 2 or len(set(comp)) < 2:
-            return
-        codes = np.unique(np.array(comp, dtype="S32"), return_inverse=True)[1]
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(comp), -1)
-        n = np.array(rows["n"], np.float64)
-        seeks = np.array(rows["seeks"], bool)
-        for i in np.flatnonzero(seeks):
-            with np.errstate(divide="ignore"):
-                ok = (codes != codes[i]) & (np.minimum(n, n[i]) >= ratio * np.maximum(n, n[i]))
-            ok &= ~seeks | (np.arange(len(n)) > i) | (quota > 0)
-            js = np.flatnonzero(ok)
-            if not len(js):
-                continue
-            same = (sig[js] == sig[i]).mean(1)
-            good = same >= least
-            js, same = js[good], same[good]
-            if quota and len(js) > quota:
-                js = js[np.argpartition(-same, quota - 1)[:quota]]
-            x = rows["cls"][i]
-            for j in js:
-                y = rows["cls"][j]
-                yield (x, y) if x < y else (y, x)
+ROW = ("cls", "comp", "n", "sig", "bands", "band", "seeks")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """Runs of rows with one (bucket, m, s), as columns."""
+    last, rows = None, {}
+    for batch in batches:
+        d = batch.to_pydict()
+        for key, *values in zip(zip(d["bucket"], d["m"], d["s"]), *(d[k] for k in names)):
+            if key != last:
+                if rows:
+                    yield last, rows
+                last, rows = key, {k: [] for k in names}
+            for k, v in zip(names, values):
+                rows[k].append(v)
+    if rows:
+        yield last, rows
+
+
+def _partners(rows: dict[str, list], least: float, ratio: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, partners, estimates) of every seeking row that has partners in other components."""
+    if len(set(rows["comp"])) < 2:
+        return
+    codes = np.unique(np.array([c.hex() for c in rows["comp"]]), return_inverse=True)[1]
+    sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(codes), -1)
+    bands = np.frombuffer(b"".join(rows["bands"]), np.uint32).reshape(len(codes), -1)
+    n, band = np.array(rows["n"], np.float64), rows["band"][0]
+    for i in np.flatnonzero(rows["seeks"]):
+        js = np.flatnonzero((codes != codes[i]) & (np.minimum(n, n[i]) >= ratio * np.maximum(n, n[i])))
+        same = (sig[js] == sig[i]).mean(1)
+        good = (same >= least) & ~(bands[js, :band] == bands[i, :band]).any(1)
+        if good.any():
+            yield i, js[good], same[good]
 
+
+def _propose(quota: int, least: float, ratio: float):
+    """The most similar partners of each class, as pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        names, last, rows, found = ("cls", "comp", "n", "sig", "seeks"), None, None, set()
-        for batch in batches:
-            d = batch.to_pydict()
-            for key, *values in zip(zip(d["bucket"], (tuple(b.values()) for b in d["block"])), *(d[k] for k in names)):
-                if key != last:
-                    if rows:
-                        found.update(pairs(rows))
-                    last, rows = key, {k: [] for k in names}
-                for k, v in zip(names, values):
-                    rows[k].append(v)
-            if len(found) > 10_000:
+        for _, rows in _groups(batches, ROW):
+            found = set()
+            for i, js, same in _partners(rows, least, ratio):
+                if len(js) > quota:
+                    js = js[np.argpartition(-same, quota - 1)[:quota]]
+                found.update(tuple(sorted((rows["cls"][i], rows["cls"][j]))) for j in js)
+            if found:
                 yield {"x": [p[0] for p in found], "y": [p[1] for p in found]}
-                found = set()
-        if rows:
-            found.update(pairs(rows))
-        yield {"x": [p[0] for p in found], "y": [p[1] for p in found]}
+    return run
+
+
+def _involved(least: float, ratio: float):
+    """The rows of each group that still have a partner."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (bucket, m, s), rows in _groups(batches, ROW):
+            mine = set()
+            for i, js, _ in _partners(rows, least, ratio):
+                mine.add(i)
+                mine.update(js.tolist())
+            if mine:
+                yield {"bucket": [bucket] * len(mine), "m": [m] * len(mine), "s": [s] * len(mine),
+                       **{k: [rows[k][i] for i in mine] for k in ROW}}
+    return run
+
+
+def is_linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _settle(least: float, ratio: float, percent: int):
+    """Links that join the components of a group, all its remaining pairs confirmed on their sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for _, rows in _groups(batches, (*ROW, "blob")):
+            root = {c: c for c in rows["comp"]}
+
+            def find(c: bytes) -> bytes:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            sets, links = [np.frombuffer(b, np.uint64) for b in rows["blob"]], []
+            for i, js, same in _partners(rows, least, ratio):
+                for j in js[np.argsort(-same)].tolist():
+                    a, b = find(rows["comp"][i]), find(rows["comp"][j])
+                    if a != b and is_linked(sets[i], sets[j], percent):
+                        root[a] = b
+                        links.append((rows["cls"][i], rows["cls"][j]))
+            if links:
+                yield {"x": [p[0] for p in links], "y": [p[1] for p in links]}
     return run
 
 
@@ -165,9 +217,7 @@ def _confirm(percent: int):
         for batch in batches:
             xs, ys, linked = batch.column("x").to_pylist(), batch.column("y").to_pylist(), []
             for bx, by in zip(batch.column("bx"), batch.column("by")):
-                s, t = np.frombuffer(bx.as_buffer(), np.uint64), np.frombuffer(by.as_buffer(), np.uint64)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                linked.append(100 * both >= percent * (len(s) + len(t) - both))
+                linked.append(is_linked(np.frombuffer(bx.as_buffer(), np.uint64), np.frombuffer(by.as_buffer(), np.uint64), percent))
             yield {"x": xs, "y": ys, "linked": linked}
     return run
 
@@ -214,8 +264,7 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
         if(seeker, transform(sequence(0, nm - 1), m -> struct(m as m, sb as s, true as seeks)), array()),
         if(seeker and nm = 1 and ns = 1, array(),
            transform(sequence(0, ns - 1), s -> struct(mb as m, s as s, false as seeks))))""")
-    return rows.select("bucket", "cls", "comp", "n", "sig", F.inline(copies)) \
-        .select("bucket", F.struct("m", "s").alias("block"), "cls", "comp", "n", "sig", "seeks")
+    return rows.select("bucket", *ROW[:-1], F.inline(copies))
 
 
 def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, percent: int,
@@ -228,16 +277,30 @@ def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, per
     comp = active.select(F.col("cls").alias("node"), F.col("cls").alias("comp"))
     tried = None
     least, ratio = percent / 100 - slack, percent / 100
-    for quota in quotas:
-        rows = member.join(active.select("cls", "n", "sig"), "cls") \
-            .join(comp, F.col("cls") == comp.node).select("bucket", "cls", "comp", "n", "sig")
+    row_ddl = "bucket long, m int, s int, cls binary, comp binary, n long, sig binary, bands binary, band int, seeks boolean"
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "m", "s").sortWithinPartitions("bucket", "m", "s")
+
+    def joined(links: DataFrame) -> DataFrame:
+        cx, cy = comp.toDF("x", "cx"), comp.toDF("y", "cy")
+        ends = links.join(cx, "x").join(cy, "y").where("cx <> cy").select(F.col("cx").alias("x"), F.col("cy").alias("y"))
+        roots = connected_components(ends).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+        return materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comp")
+
+    for quota in (*quotas, 0):
+        rows = member.join(active.select("cls", "n", "sig", "bands"), "cls") \
+            .join(comp, F.col("cls") == comp.node).select("bucket", *ROW[:-1])
         if tried is None:  # every class is a component of its own: blocks of a bucket apart
             rows = rows.join(member.groupBy("bucket").agg(F.count("*").alias("c")), "bucket").select(
-                "bucket", F.expr(f"struct(pmod(hash(cls), ceil(c / {block})) as m, 0 as s)").alias("block"),
-                "cls", "comp", "n", "sig", F.lit(True).alias("seeks"))
+                "bucket", F.expr(f"cast(pmod(hash(cls), ceil(c / {block})) as int)").alias("m"), F.lit(0).alias("s"),
+                *ROW[:-1], F.lit(True).alias("seeks"))
         else:
             rows = _blocks(rows, block)
-        rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+        rows = grouped(rows.select("bucket", "m", "s", *ROW))
+        if not quota:
+            left = map_batches(rows, _involved(least, ratio), row_ddl).join(sets, "cls").select("bucket", "m", "s", *ROW, "blob")
+            return joined(materialize(map_batches(grouped(left), _settle(least, ratio, percent), "x binary, y binary"), "links"))
         pairs = map_batches(rows, _propose(quota, least, ratio), "x binary, y binary").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
@@ -247,23 +310,17 @@ def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, per
         checked = materialize(map_batches(pairs.join(x, "x").join(y, "y").select("x", "y", "bx", "by"),
                                           _confirm(percent), "x binary, y binary, linked boolean"), "checked")
         tried = checked.select("x", "y") if tried is None else tried.unionAll(checked.select("x", "y"))
-        links = checked.where("linked")
-        cx, cy = comp.toDF("x", "cx"), comp.toDF("y", "cy")
-        links = links.join(cx, "x").join(cy, "y").where("cx <> cy").select(F.col("cx").alias("x"), F.col("cy").alias("y"))
-        roots = connected_components(links)
-        roots = roots.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        comp = materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comp")
-    return comp
+        comp = joined(checked.where("linked"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", block: int = 2048, slack: float = 0.15,
-                    quotas: tuple[int, ...] = (4, 32, 0)) -> DataFrame:
+                    quotas: tuple[int, ...] = (2, 16)) -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` and ``kept`` (the component's smallest id).
 
     Two rows are linked when 100 * |A and B| >= percent * |A or B| over their
     distinct ``width``-word shingles. ``quotas``: how many partners a class
-    proposes in each round; the last must be 0, all that are left.
+    proposes in each quota round.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     id_type = dict(src.dtypes)["id"]
@@ -274,10 +331,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         F.min(F.struct("id", "h")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"),
         F.first("sig").alias("sig"))
     classes = materialize(classes.select("cls", "at.id", "at.h", "n", "bands", "sig"), "classes")
-    keys = classes.select(F.explode("bands").alias("bucket"), "cls")
+    keys = classes.select(F.posexplode("bands").alias("band", "bucket"), "cls")
     shared = keys.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     member = materialize(keys.join(shared, "bucket"), "members")
-    active = materialize(classes.drop("bands").join(member.select("cls").distinct(), "cls"), "active")
+    active = materialize(map_batches(classes.join(member.select("cls").distinct(), "cls", "left_semi"), _short_bands,
+                                     f"cls binary, id {id_type}, h long, n long, bands binary, sig binary"), "active")
     comps = _merge(src, member, active, width, percent, block, slack, quotas)
     rows = sigs.select("id", "n", "cls").join(comps, sigs.cls == comps.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("root"))
