@@ -1,13 +1,69 @@
-"""Training-corpus pipeline: the stages, in order, each on what its predecessor kept."""
+"""Training-corpus pipeline over ``documents``: five stages, each on all its predecessor kept.
+
+1. toxicity: documents that the model rejects go,
+2. near_duplicates: one document of each group of near copies stays,
+3. decontamination: spans of benchmark phrases are cut out of the texts,
+4. secrets: found secrets are replaced by a mark,
+5. sentencepiece: the texts become ids.
+
+Every stage but the last returns the columns of ``documents``. The models are
+trained on the documents a stage is given and ``labels``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from featureloom.llm import decontaminate, secrets_scan, sentencepieces, toxicity
+from featureloom.llm.common import materialize
+from featureloom.llm.neardup import near_duplicates
+from featureloom.llm.queries import piece_model
+
+TOXIC = 0.5  # a document is rejected from this probability on
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, toxicity.train(docs, labels, F.lit(True)), TOXIC)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.8; the smallest id of a group stays, of rows that repeat it one."""
+    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("gone"))
+    kept = docs.join(gone, docs.doc_id == F.col("gone"), "left_anti")
+    return kept.dropDuplicates(docs.columns)
+
+
+def cut_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets_scan.redact_secrets(docs)
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(docs, piece_model())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", cut_benchmarks),
+    ("secrets", redact_secrets),
+    ("sentencepiece", to_pieces),
+]
+
+#: SQL cannot express the trained, hashed and learned stages; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``, each one's rows written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = materialize(docs, name)
     return docs

@@ -12,11 +12,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, secrets_scan, topk, toxicity
+from . import decontaminate, langid, licenses, quality, secrets_scan, sentencepieces, token_files, topk, toxicity
 from .common import crc_bucket, table
 from .neardup import near_duplicates
 
 
+def piece_model() -> str:
+    """The SentencePiece model file of the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def word_bpe() -> str:
+    """The tokenizers file of the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), piece_model(), keep_ids=False).drop("ids")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -40,6 +56,15 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.train_text(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages")
+    if model is None:
+        return pages.limit(0).selectExpr("page_id", "'' as lang", "0d as confidence", "'' as text_lang", "'' as declared",
+                                         "'' as suffix", "'' as host")
+    return langid.identify(pages, model)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_bucket("doc_id", 3) == 1
     model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
@@ -51,6 +76,14 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(spark, table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(licenses.find_licenses(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_bucket("doc_id", 4) == 2
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
@@ -59,11 +92,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_token_files": op8_token_files,
+    "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
 

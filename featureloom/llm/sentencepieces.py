@@ -111,7 +111,7 @@ aggregate(edges,
     (b, i) -> if(b.p = 0, b, named_struct('p', acc.done[b.p].s, 'ids', concat(array(acc.done[b.p].id), b.ids))),
     b -> b.ids))
 """
-#: acc: the edges chosen so far, in order; each step merges the neighbours whose joint edge scores best.
+#: acc: the edges chosen so far, in order; each step merges the neighbours whose joint edge scores best, leftmost first.
 MERGE = """
 transform(aggregate(sequence(2, greatest(2, length(word))),
   filter(edges, x -> x.e = x.s + 1),
@@ -172,6 +172,7 @@ class Chunk:
 
     def row(self, ids: list, checks: list[int], buckets: int) -> dict:
         pack = zstandard.ZstdCompressor(level=3).compress
+        # words hold no space (it became the mark), so a space separates them
         lists: list[list[str]] = [[] for _ in range(buckets)]
         codes: list[list[int]] = [[] for _ in range(buckets)]
         for word, code in self.code.items():
@@ -181,7 +182,7 @@ class Chunk:
         seq = np.frombuffer(b"".join(self.seqs), "<u4")
         planes = (seq & 0xFFFF).astype("<u2").tobytes() + (seq >> 16).astype("<u2").tobytes()
         return {"chunk": [uuid.uuid4().int >> 65],
-                "words": [[pack(np.array(c, "<u4").tobytes() + "\0".join(w).encode()) if c else b"" for w, c in zip(lists, codes)]],
+                "words": [[pack(np.array(c, "<u4").tobytes() + " ".join(w).encode()) if c else b"" for w, c in zip(lists, codes)]],
                 "sizes": [[len(c) for c in codes]], "ids": [ids], "lens": [[len(s) // 4 for s in self.seqs]],
                 "checks": [checks], "seq": [pack(planes)]}
 
@@ -228,7 +229,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             place = np.empty(size, PLACE)
             place["chunk"], place["code"] = chunk, np.frombuffer(raw, "<u4", size)
             flat = place.tobytes()
-            for k, word in enumerate(raw[4 * size:].decode().split("\0")):
+            for k, word in enumerate(raw[4 * size:].decode().split(" ")):
                 if word in uses:
                     uses[word] += flat[12 * k:12 * k + 12]
                 else:

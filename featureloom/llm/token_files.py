@@ -34,6 +34,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,9 +43,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, scratch
+from .common import map_batches, materialize, scratch, texts
 
-BLOCK, RECOUNT, FILE_IDS = 4096, 256, 8_000_000
+BLOCK, RECOUNT, FILE_IDS = 4096, 256, 12_000_000
 SLOTS, CONTEXTS, TOTAL0 = 2048, 32, 1024
 MAGIC = b"FLTOK1\0\0"
 HEAD = struct.Struct("<8sIQIII")
@@ -58,18 +59,20 @@ class Coder:
     def __init__(self, lanes: int, words: list[np.ndarray] | None = None):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
         self.at = np.zeros(lanes, np.int64)
+        # words lie step by step, lanes side by side: lanes are at similar steps
         if words is None:
-            self.out, self.width, self.code = np.empty((lanes, 2 * BLOCK + 16), np.uint16), 2 * BLOCK + 16, None
+            self.out, self.code = np.empty((2 * BLOCK + 16, lanes), np.uint16), None
         else:
-            self.width = max(map(len, words)) + 4
-            self.out = np.zeros((lanes, self.width), np.uint16)
-            for row, w in zip(self.out, words):
+            width = max(map(len, words)) + 4
+            by_lane = np.zeros((lanes, width), np.uint16)
+            for row, w in zip(by_lane, words):
                 row[:len(w)] = w
+            self.out = np.ascontiguousarray(by_lane.T)
             self.code = np.zeros(lanes, np.uint64)
             for j in range(4):
-                self.code = self.code << U16 | self.out[:, j]
+                self.code = self.code << U16 | self.out[j]
             self.at += 4
-        self.flat, self.base = self.out.ravel(), np.arange(lanes) * self.width
+        self.flat, self.lane, self.lanes = self.out.ravel(), np.arange(lanes), lanes
 
     def narrow(self, lanes, start: np.ndarray, size: np.ndarray, bits: int) -> None:
         """Take [start, start + size) of 2**bits in ``lanes`` (a slice or an index array) and shift words."""
@@ -77,20 +80,20 @@ class Coder:
         low = self.low[lanes] + start.astype(np.uint64) * r
         r = r * size.astype(np.uint64)
         code = None if self.code is None else self.code[lanes]
-        base, at = self.base[lanes], self.at[lanes]
-        while True:
-            flip = (low ^ (low + r)) < LOW48
-            go = np.flatnonzero(flip | (r < LOW32))
-            if not len(go):
-                break
-            lo, rr = low[go], r[go]
-            rr = np.where(flip[go], rr, (~lo + np.uint64(1)) & U32)
+        own, at = self.lane[lanes], self.at[lanes]
+        go = np.flatnonzero(((low ^ (low + r)) < LOW48) | (r < LOW32))
+        while len(go):
+            lo, rr, to = low[go], r[go], at[go]
+            flip = (lo ^ (lo + rr)) < LOW48
+            rr = np.where(flip, rr, (~lo + np.uint64(1)) & U32)
+            place = to * self.lanes + own[go]
             if code is None:
-                self.flat[base[go] + at[go]] = lo >> np.uint64(48)
+                self.flat[place] = lo >> np.uint64(48)  # the upper word
             else:
-                code[go] = code[go] << U16 | self.flat[base[go] + at[go]]
-            at[go] += 1
-            low[go], r[go] = lo << U16, rr << U16
+                code[go] = code[go] << U16 | self.flat[place]
+            lo, rr = lo << U16, rr << U16
+            at[go], low[go], r[go] = to + 1, lo, rr
+            go = go[((lo ^ (lo + rr)) < LOW48) | (rr < LOW32)]
         self.low[lanes], self.range[lanes], self.at[lanes] = low, r, at
         if code is not None:
             self.code[lanes] = code
@@ -102,12 +105,12 @@ class Coder:
 
     def finish(self) -> list[bytes]:
         for j in range(4):
-            self.flat[self.base + self.at + j] = self.low >> np.uint64(48 - 16 * j)
-        return [row[:n + 4].astype("<u2").tobytes() for row, n in zip(self.out, self.at)]
+            self.flat[(self.at + j) * self.lanes + self.lane] = (self.low >> np.uint64(48 - 16 * j)) & np.uint64(0xFFFF)
+        return [row[:n + 4].astype("<u2").tobytes() for row, n in zip(np.ascontiguousarray(self.out.T), self.at)]
 
 
 def _code(coder: Coder, ids: np.ndarray, sizes: np.ndarray, decode: bool) -> None:
-    """Code the lanes of ``ids`` (lanes, BLOCK) in step; ``sizes`` falls, only the last may be short."""
+    """Code the lanes of ``ids`` (BLOCK, lanes) in step; ``sizes`` falls, only the last may be short."""
     lanes = len(sizes)
     lane = np.arange(lanes)
     table = [np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)]  # predicted id | confidence << 16
@@ -146,15 +149,17 @@ def _code(coder: Coder, ids: np.ndarray, sizes: np.ndarray, decode: bool) -> Non
             v = coder.slot(on, 16)
             is2 = v < s2
             is1 = ~is2 & (v < s2 + s1)
-            up = find[0][me * TOTAL0 + np.minimum(((np.maximum(v - s2 - s1, 0) + 1) * TOTAL0 - 1) // rest, TOTAL0 - 1)].astype(np.int64)
+            # the largest order-0 place that starts at or before v; the quotient of small integers is exact in floats
+            place = (((np.maximum(v - s2 - s1, 0) + 1) * TOTAL0 - 1) / rest).astype(np.int64)
+            up = find[0][me * TOTAL0 + np.minimum(place, TOTAL0 - 1)].astype(np.int64)
             x = np.where(is2, p2, np.where(is1, p1, up << 8)).astype(np.int64)
         else:
-            x = ids[on, t]
+            x = ids[t, on].astype(np.int64)
             is2 = x == p2
             is1 = ~is2 & (x == p1)
             up = x >> 8
         h = me * 257 + up
-        c, d = rest * cum[0][h] // TOTAL0, rest * cum[0][h + 1] // TOTAL0
+        c, d = rest * cum[0][h] >> 10, rest * cum[0][h + 1] >> 10
         start = np.where(is2, 0, np.where(is1, s2, s2 + s1 + c))
         size = np.where(is2, s2, np.where(is1, s1, d - c))
         coder.narrow(on, start, size, 16)
@@ -171,7 +176,7 @@ def _code(coder: Coder, ids: np.ndarray, sizes: np.ndarray, decode: bool) -> Non
             count[1][esc * 256 + low] += 8
             count[0][esc * 256 + up[esc]] += 8
         if decode:
-            ids[on, t] = x
+            ids[t, on] = x
         w2[ctx] = q2 + ((np.where(is2, 57344, 256) - q2) >> 4)
         miss = np.flatnonzero(~is2)
         w1[ctx[miss]] = q1[miss] + ((np.where(is1[miss], 57344, 256) - q1[miss]) >> 4)
@@ -190,22 +195,22 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         return []
     sizes = np.full(lanes, BLOCK)
     sizes[-1] = len(ids) - BLOCK * (lanes - 1)
-    grid = np.zeros(lanes * BLOCK, np.int64)
+    grid = np.zeros(lanes * BLOCK, np.uint16)
     grid[:len(ids)] = ids
     coder = Coder(lanes)
-    _code(coder, grid.reshape(lanes, BLOCK), sizes, False)
+    _code(coder, np.ascontiguousarray(grid.reshape(lanes, BLOCK).T), sizes, False)
     return coder.finish()
 
 
 def decode_blocks(payloads: list[bytes], n_ids: int) -> np.ndarray:
     lanes = len(payloads)
     if not lanes:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint16)
     sizes = np.full(lanes, BLOCK)
     sizes[-1] = n_ids - BLOCK * (lanes - 1)
-    grid = np.zeros((lanes, BLOCK), np.int64)
+    grid = np.zeros((BLOCK, lanes), np.uint16)
     _code(Coder(lanes, [np.frombuffer(p, "<u2") for p in payloads]), grid, sizes, True)
-    return grid.ravel()[:n_ids]
+    return np.ascontiguousarray(grid.T).ravel()[:n_ids]
 
 
 def pack_file(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -268,7 +273,7 @@ class WordIds(dict):
             if len(self.parts) >= self.limit:
                 self.parts.clear()
             text = part if part.isascii() else "".join(map(self.byte.__getitem__, part.encode()))
-            got = self.parts[part] = np.array([t.id for t in self.model.tokenize(text)], "<u2").tobytes()
+            got = self.parts[part] = array("H", [t.id for t in self.model.tokenize(text)]).tobytes()
         return got
 
     def __missing__(self, raw: bytes) -> bytes:
@@ -278,7 +283,7 @@ class WordIds(dict):
         if self.plain(word) and "<|" not in word:
             value = b"".join(map(self.part, self.split(word.lower())))
         else:
-            value = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+            value = array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         self[raw] = value
         return value
 
@@ -290,7 +295,6 @@ def _tokenize(spec, end_id: int):
     end = np.array([end_id], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        from .common import texts
         words = WordIds(spec.value)
         for batch in batches:
             for at, some in texts(batch):
@@ -307,7 +311,7 @@ def _write(folder: str):
 
         def close() -> dict:
             name = f"{bucket:08d}-{part:06d}.tok"
-            ids = np.frombuffer(b"".join(d[1] for d in docs), "<u2").astype(np.int64)
+            ids = np.frombuffer(b"".join(d[1] for d in docs), "<u2")
             data = pack_file([d[0] for d in docs], np.array([len(d[1]) // 2 for d in docs]), ids)
             temp = f"{root}/_writing-{name}-{uuid.uuid4().hex}"  # a second attempt replaces the file whole
             with store.open_output_stream(temp) as out:
@@ -329,7 +333,7 @@ def _write(folder: str):
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text", file_chars: int = 12_000_000) -> DataFrame:
+                 text_col: str = "text", file_chars: int = 24_000_000) -> DataFrame:
     """Encode and write; returns the manifest (name, n_docs, n_ids, bytes, first_id), files in id order.
 
     ``folder`` is a URI in a store that all executors share. Documents are
