@@ -2,7 +2,7 @@
 
 1. A lexicon is learned from labelled texts: whole words and word beginnings of
    4 to 8 letters whose document rate in toxic texts is significantly above
-   that in others (log odds over their standard error).
+   that in others (log odds over their standard error) and at least 2 %.
 2. Every text becomes ``FEATURES``: lexicon densities, closeness of lexicon
    words to a second-person word, capitals, punctuation, obfuscation (letters
    written as digits or symbols, stretched letters) and length.
@@ -192,14 +192,17 @@ def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield {"key": keys, "pos": [counts[1][k] for k in keys], "neg": [counts[0][k] for k in keys]}
 
 
-def learn_lexicon(sample: DataFrame, weights: dict[int, float], size: int, least_z: float = 4.5) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, weights: dict[int, float], size: int, least_z: float = 3.2,
+                  least_share: float = 0.02) -> dict[str, float]:
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = sizes.get(1, 0) + 1.0, sizes.get(0, 0) + 1.0
     counts = map_batches(sample.select("y", "text"), _count_keys, "key string, pos long, neg long") \
-        .groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos >= 5")
-    odds = F.log((F.col("pos") + 0.5) / n1) - F.log((F.col("neg") + 0.5) / n0)
-    z = odds / F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    top = counts.select("key", odds.alias("w"), z.alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "key").limit(size)
+        .groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") >= max(3.0, least_share * n1))
+    # one pseudo document, dealt to the classes by their sizes
+    a, b = F.col("pos") + n1 / (n1 + n0), F.col("neg") + n0 / (n1 + n0)
+    odds = F.log(a / n1) - F.log(b / n0)
+    top = counts.select("key", odds.alias("w"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).where(F.col("z") >= least_z) \
+        .orderBy(F.desc("z"), "key").limit(size)
     return {r["key"]: min(6.0, r["w"]) for r in top.collect()}
 
 
