@@ -10,9 +10,11 @@ characters used, and under that alphabet it takes
 * a serial-correlation test of neighbouring characters,
 
 joined by Fisher's method into ``p_random`` (small: not a random string). False
-discoveries are controlled against ordinary text: the likelihood ratio of
-uniform against the corpus' own character frequencies, standardised for the
-run's length, gives ``p_text``, and a Benjamini-Hochberg threshold at level
+discoveries are controlled against ordinary text: ``p_text`` is the chance that
+text of the run's length stays in the alphabet, times the tail of the
+likelihood ratio of uniform against the corpus' own character frequencies
+(letters of one case stand for both unless the alphabet has both; numbers
+alone never count as secret), and a Benjamini-Hochberg threshold at level
 ``fdr`` is taken in each (encoding, length class) over all runs of the corpus.
 A run is a secret when its ``p_text`` passes and ``p_random`` >= ``alpha``.
 p-values are rounded up to 1/20 of a decade, so the counts behind the
@@ -89,12 +91,18 @@ def battery(tokens: list[str], text_counts: np.ndarray) -> tuple[np.ndarray, np.
     tokens = [t.rstrip("=") for t in tokens]
     kind = np.array([infer_encoding(t) for t in tokens], np.int64)
     p_random, p_text = np.ones(len(tokens)), np.ones(len(tokens))
+    letters = np.array([c for c in range(256) if chr(c).isascii() and chr(c).isalpha()])
+    folded = text_counts.astype(float).copy()  # either case counts for both
+    folded[letters] = text_counts[letters] + text_counts[letters ^ 32]
+    all_text = text_counts[letters].sum() + text_counts[48:58].sum() + 36.0
     for e, alphabet in enumerate(ENCODINGS.values()):
         mine, k = np.flatnonzero(kind == e), len(alphabet)
         codes = np.frombuffer(alphabet.encode(), np.uint8)
         table = np.zeros(256, np.int64)
         table[codes] = np.arange(k)
-        freq = text_counts[codes] + 1.0
+        seen = folded if alphabet.lower() == alphabet or alphabet.upper() == alphabet else text_counts
+        freq = seen[codes] + 1.0
+        inside = min(1.0, freq.sum() / all_text)  # a character of text lies in the alphabet
         freq /= freq.sum()
         gain = -np.log(k * freq)  # log of uniform over text
         mean, var = (freq * gain).sum(), (freq * gain**2).sum() - (freq * gain).sum() ** 2
@@ -120,8 +128,8 @@ def battery(tokens: list[str], text_counts: np.ndarray) -> tuple[np.ndarray, np.
             p3 = 2 * _tail(np.abs(r) / np.sqrt(np.maximum(n - 1, 1)))
             x = -np.log(np.maximum(np.stack([p1, np.minimum(p2, 1), np.minimum(p3, 1)]), 1e-300)).sum(0)
             p_random[part] = np.exp(-x) * (1 + x + x * x / 2)  # Fisher: chi-squared with 6 degrees
-            if var > 1e-9:
-                p_text[part] = _tail((counts @ gain - n * mean) / np.sqrt(n * var))
+            if e and var > 1e-9:  # a long number is no secret by itself
+                p_text[part] = inside**n * _tail((counts @ gain - n * mean) / np.sqrt(n * var))
     return kind, p_random, p_text
 
 
