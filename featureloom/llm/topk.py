@@ -46,32 +46,40 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.order = np.argsort(x, axis=0, kind="stable").T.copy()  # per dimension: row numbers, rising
-        self.value = np.take_along_axis(x.T, self.order, 1)
+        rising = np.argsort(x, axis=0, kind="stable").T
+        # list 2 d reads dimension d from its smallest entry, list 2 d + 1 from its largest
+        self.order = np.stack([rising, rising[:, ::-1]], 1).reshape(-1, len(ids)).astype(np.int32)
+        value = np.take_along_axis(x.T, rising, 1)
+        self.value = np.stack([value, value[:, ::-1]], 1).reshape(-1, len(ids)).astype(np.float64)
+        self.first = max(64, len(ids) // 8)  # entries read before the first look at the bounds
 
     def search(self, query_id: int, q: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows that may be among the best k (no score below ``floor``), with their scores."""
         n = len(self.ids)
-        use = np.flatnonzero(q)
-        q, down = q[use], q[use] > 0
-        order, value = self.order[use], self.value[use] * q[:, None]
-        order, value = np.where(down[:, None], order[:, ::-1], order), np.where(down[:, None], value[:, ::-1], value)
-        worst = value[:, -1]
         own = self.ids == query_id
         k_here = min(k, n - int(own.sum()))
         if k_here <= 0:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        read, depth, step = np.zeros(n), 0, max(64, n // 16)
+        use = np.flatnonzero(q)
+        q = q[use]
+        lists = 2 * use + (q > 0)
+        worst = self.value[lists, -1] * q
+        read, depth, step, parts = np.zeros(n), 0, self.first, []
         while True:
-            part = slice(depth, depth + step)
-            read += np.bincount(order[:, part].ravel(), (value[:, part] - worst[:, None]).ravel(), n)
-            depth = min(n, depth + step)
+            entry = slice(depth, depth + step)
+            rows, got = self.order[lists, entry].ravel(), self.value[lists, entry] * q[:, None]
+            parts.append((rows, got))
+            read += np.bincount(rows, (got - worst[:, None]).ravel(), n)
+            depth, step = min(n, depth + step), max(64, n // 16)
             lower = np.where(own, -np.inf, worst.sum() + read)
             least = max(floor, np.partition(lower, n - k_here)[n - k_here]) if k_here == k else floor
-            last = value[:, depth - 1]
+            last = got[:, -1]
             if depth == n or last.sum() < least:
                 break
-        upper = last.sum() + np.bincount(order[:, :depth].ravel(), (value[:, :depth] - last[:, None]).ravel(), n)
+        self.first = max(64, int(0.9 * depth))
+        upper = np.full(n, last.sum())
+        for rows, got in parts:
+            upper += np.bincount(rows, (got - last[:, None]).ravel(), n)
         rows = np.flatnonzero((upper >= least) & ~own)
         return rows, self.x[rows][:, use] @ q
 
