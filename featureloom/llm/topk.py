@@ -7,7 +7,7 @@ contributions first (from the end where the query's component is negative):
 * the lower bound of a vector is what has been read of it plus the worst
   entry of every list it has not been met in;
 * the threshold is the k-th best lower bound, or the k-th score already found
-  in earlier chunks of the task;
+  in earlier chunks of the task (chunks are small, so that it is known early);
 * reading stops when the sum of the lists' current entries, the upper bound of
   every vector not met yet, is below the threshold;
 * vectors whose upper bound reaches the threshold get their final score.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, materialize
 
-CHUNK = 16_384
+CHUNK = 4096
 SALT = 32
 
 
@@ -48,9 +48,10 @@ class Lists:
         self.ids, self.x = ids, x
         rising = np.argsort(x, axis=0, kind="stable").T
         # list 2 d reads dimension d from its smallest entry, list 2 d + 1 from its largest
-        self.order = np.stack([rising, rising[:, ::-1]], 1).reshape(-1, len(ids)).astype(np.int32)
+        self.order = np.stack([rising, rising[:, ::-1]], 1).reshape(-1, len(ids))
         value = np.take_along_axis(x.T, rising, 1)
         self.value = np.stack([value, value[:, ::-1]], 1).reshape(-1, len(ids)).astype(np.float64)
+        self.floats = x.astype(np.float64)  # sums of products of such integers are exact
         self.first = max(64, len(ids) // 8)  # entries read before the first look at the bounds
 
     def search(self, query_id: int, q: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +62,14 @@ class Lists:
         if k_here <= 0:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         use = np.flatnonzero(q)
-        q = q[use]
+        whole, q = q, q[use]
         lists = 2 * use + (q > 0)
         worst = self.value[lists, -1] * q
         read, depth, step, parts = np.zeros(n), 0, self.first, []
         while True:
             entry = slice(depth, depth + step)
             rows, got = self.order[lists, entry].ravel(), self.value[lists, entry] * q[:, None]
-            parts.append((rows, got))
+            parts.append((rows, got.shape[1]))
             read += np.bincount(rows, (got - worst[:, None]).ravel(), n)
             depth, step = min(n, depth + step), max(64, n // 16)
             lower = np.where(own, -np.inf, worst.sum() + read)
@@ -77,11 +78,13 @@ class Lists:
             if depth == n or last.sum() < least:
                 break
         self.first = max(64, int(0.9 * depth))
-        upper = np.full(n, last.sum())
-        for rows, got in parts:
-            upper += np.bincount(rows, (got - last[:, None]).ravel(), n)
-        rows = np.flatnonzero((upper >= least) & ~own)
-        return rows, self.x[rows][:, use] @ q
+        # upper bound: the lower one, with the lists' current entries where a row has not been met
+        room = last - worst
+        upper = lower + room.sum()
+        for rows, size in parts:
+            upper -= np.bincount(rows, np.repeat(room, size), n)
+        rows = np.flatnonzero(upper >= least)
+        return rows, (self.floats[rows] @ whole).astype(np.int64)
 
 
 def _search(queries, k: int):
