@@ -27,7 +27,8 @@ thousand chunks, never a row for each use.
   first. This is what the library does for a BPE model.
 
 Rules: a null or empty text has no ids; a text begins with a space mark if
-``dummy_prefix``; spaces become U+2581, nothing else is normalised. Repeated
+``dummy_prefix``; spaces become U+2581, nothing else is normalised (a text that holds U+2581
+itself decodes to spaces there, and ``round_trip`` says so). Repeated
 rows and null document ids are kept row by row. Only the id and text columns are read. An empty table gives no
 rows.
 """
@@ -74,16 +75,18 @@ class Pieces:
         self.joined = {p[k:k + 2] for p, _, _ in self.rows for k in range(len(p) - 1)}
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "piece string, id int, score double")
+        return spark.createDataFrame(self.rows, "piece string, id long, score double")
 
-    def of_character(self, code: int) -> list[int]:
-        return [self.byte_id.get(b, self.unk_id) for b in chr(code).encode()]
+    def of_character(self, edge: int) -> list[int]:
+        """Byte pieces of an edge without a piece."""
+        raw = -1 - edge
+        return [self.byte_id.get(b, self.unk_id) for b in raw.to_bytes(max(1, (raw.bit_length() + 7) // 8), "big")]
 
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
     """(word, edges) with edges (e, s, id, score): piece ``id`` covers characters s to e of the word.
 
-    A character without a piece has the edge id ``-code point``.
+    A character without a piece has the edge id ``-1 - its UTF-8 bytes as one number``.
     """
     spans = words.select("word", F.expr("explode(sequence(1, length(word)))").alias("at")).select(
         "word", "at", F.expr(f"explode(sequence(1, least({longest}, length(word) - at + 1)))").alias("size")) \
@@ -91,14 +94,14 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
     return edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct(
         (F.col("at") + F.col("size") - 1).alias("e"), (F.col("at") - 1).alias("s"),
-        F.coalesce("id", -F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(unknown)).alias("score")))).alias("edges"))
+        F.expr("coalesce(id, -1 - cast(conv(hex(piece), 16, 10) as bigint))").alias("id"), F.coalesce("score", F.lit(unknown)).alias("score")))).alias("edges"))
 
 
 #: acc.done: (score, s, id) of the best path to each finished position; acc.best: to the position in work.
 VITERBI = """
 aggregate(edges,
-  named_struct('done', array(named_struct('score', 0D, 's', 0, 'id', 0)),
-               'best', named_struct('score', double('-Infinity'), 's', 0, 'id', 0)),
+  named_struct('done', array(named_struct('score', 0D, 's', 0, 'id', 0L)),
+               'best', named_struct('score', double('-Infinity'), 's', 0, 'id', 0L)),
   (acc, x) -> if(x.e = size(acc.done),
     named_struct('done', acc.done,
       'best', if(acc.done[x.s].score + x.score > acc.best.score,
@@ -127,7 +130,7 @@ FOLDS = {"viterbi": VITERBI, "merge": MERGE}
 
 
 def encode_words(words: DataFrame, table: Pieces, fold: str = "viterbi") -> DataFrame:
-    """(word, ids) of distinct non-empty words; a character without a piece is ``-code point``."""
+    """(word, ids) of distinct non-empty words; a character without a piece is its edge's id."""
     edges = lattice(words, table.frame(words.sparkSession), table.longest, table.unknown)
     return edges.select("word", F.expr(FOLDS[fold]).alias("ids"))
 
@@ -194,8 +197,7 @@ def _chunks(joined, dummy: bool, buckets: int):
             keys = batch.column("id").to_pylist()
             for at, some in texts(batch):
                 for key, text in zip(keys[at:], some):
-                    # the zero character separates words of a list: such a text has its own mark for it
-                    chunk.add(text.replace("\0", "\0"[:1]) if text and "\0" in text else text, dummy)
+                    chunk.add(text, dummy)
                     ids.append(key)
                     checks.append(zlib.crc32((text or "").encode()))
                     if chunk.full():
@@ -253,8 +255,8 @@ def _back_to_chunks(table):
             lists, places = batch.column("ids"), batch.column("places").to_pylist()
             values, lens = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy()
             if (values < 0).any():  # byte pieces
-                new = [[j for i in row for j in ([i] if i >= 0 else pieces.of_character(-i))] for row in lists.to_pylist()]
-                values, lens = np.array([i for row in new for i in row], np.int32), np.array([len(r) for r in new])
+                new = [[j for i in row for j in ([i] if i >= 0 else pieces.of_character(i))] for row in lists.to_pylist()]
+                values, lens = np.array([i for row in new for i in row], np.int64), np.array([len(r) for r in new])
             starts = np.cumsum(lens) - lens
             place = np.frombuffer(b"".join(places), PLACE)
             row = np.repeat(np.arange(len(places)), [len(p) // 12 for p in places])
