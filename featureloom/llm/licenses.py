@@ -18,6 +18,7 @@ pass through; extra columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -96,11 +97,14 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def confirm(template: list[str], words: list[str], coverage: float) -> tuple[int, int, list[str]] | None:
-    """(first word, end word, differences) of the template's best place among ``words``, or None."""
-    best = None
-    anchors = [k for k, w in enumerate(words) if w == template[0]] or [0]
-    for first in anchors:
+def confirm(template: list[str], words: list[str], coverage: float) -> list[tuple[int, int, list[str]]]:
+    """(first word, end word, differences) of the template's places among ``words``, best first."""
+    places = []
+    # the places where the template's two rarest words stand
+    count = Counter(w for w in words if w in template)
+    rare = sorted(count, key=lambda w: (count[w], -len(w), w))[:2]
+    anchors = {max(0, k - template.index(w)) for k, w in enumerate(words) if w in rare}
+    for first in sorted(anchors):
         window = words[first:first + 2 * len(template)]
         match = SequenceMatcher(None, template, window, autojunk=False)
         parts = [b for b in match.get_matching_blocks() if b.size]
@@ -116,9 +120,8 @@ def confirm(template: list[str], words: list[str], coverage: float) -> tuple[int
         added = [window[j] for j in range(s, e) if j not in met]
         if any(w in TELLING for w in added):  # another license's name stands between
             continue
-        found = (share, -len(added), first + s, first + e, [f"-{w}" for w in missing] + [f"+{w}" for w in added])
-        best = max(best, found) if best else found
-    return best and best[2:]
+        places.append((-share, len(added), first + s, first + e, [f"-{w}" for w in missing] + [f"+{w}" for w in added]))
+    return [p[2:] for p in sorted(places)]
 
 
 class Scanner:
@@ -147,18 +150,11 @@ class Scanner:
                 if saved <= 0:
                     break
                 name, template, _ = self.templates[k]
-                # every place of the template in the block
-                at = 0
-                while at < len(words):
-                    hit = confirm(template, words[at:], self.coverage)
-                    if hit is None:
-                        break
-                    s, e = at + hit[0], at + hit[1]
+                for s, e, differences in confirm(template, words, self.coverage):
                     if not any(a < e and s < b for a, b in taken):
                         taken.append((s, e))
                         out.append({"license": name, "s": start + tokens[s][1], "e": start + tokens[e - 1][2],
-                                    "saved": saved, "differences": " ".join(hit[2])})
-                    at = e
+                                    "saved": saved, "differences": " ".join(differences)})
         return len(found), sorted(out, key=lambda r: (r["s"], r["license"]))
 
 
