@@ -12,11 +12,12 @@
    below every score. Edges are grouped by word and one higher-order aggregate
    folds them in order of their ends: best score of each position, its last
    piece; a second one walks back.
-4. Ids go back to the chunks that use the word, and documents are put together
-   from them. Characters without a piece become byte pieces.
+4. Ids go back to the chunks that use the word; the task of a chunk reads its
+   documents from the written table and puts them together. Characters without
+   a piece become byte pieces.
 
 Words are encoded once for the whole corpus; texts are written once, as word
-numbers, and joined by chunk. A frequent word costs one row for each few
+numbers, and never shuffled. A frequent word costs one row for each few
 thousand chunks, never a row for each use.
 
 ``fold`` names the segmentation taken from the same lattice:
@@ -36,7 +37,6 @@ rows.
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialize, texts
 
 MARK = "▁"
-CHUNK_WORDS, CHUNK_DISTINCT = 4_000_000, 350_000
+CHUNK_WORDS, CHUNK_DISTINCT = 2_500_000, 200_000
 PLACES = 4096  # uses of a word in one row
 WORDS = re.compile(" +[^ ]*|[^ ]+").findall
 PENALTY = 10.0  # a character without a piece scores this much below the worst piece
@@ -173,7 +173,7 @@ class Chunk:
     def full(self) -> bool:
         return self.size >= CHUNK_WORDS or len(self.code) >= CHUNK_DISTINCT or len(self.raw) >= 2 * CHUNK_DISTINCT
 
-    def row(self, ids: list, checks: list[int], buckets: int) -> dict:
+    def row(self, number: int, ids: list, checks: list[int], buckets: int) -> dict:
         pack = zstandard.ZstdCompressor(level=3).compress
         # words hold no space (it became the mark), so a space separates them
         lists: list[list[str]] = [[] for _ in range(buckets)]
@@ -184,7 +184,7 @@ class Chunk:
             codes[b].append(code)
         seq = np.frombuffer(b"".join(self.seqs), "<u4")
         planes = (seq & 0xFFFF).astype("<u2").tobytes() + (seq >> 16).astype("<u2").tobytes()
-        return {"chunk": [uuid.uuid4().int >> 65],
+        return {"chunk": [number],
                 "words": [[pack(np.array(c, "<u4").tobytes() + " ".join(w).encode()) if c else b"" for w, c in zip(lists, codes)]],
                 "sizes": [[len(c) for c in codes]], "ids": [ids], "lens": [[len(s) // 4 for s in self.seqs]],
                 "checks": [checks], "seq": [pack(planes)]}
@@ -192,7 +192,9 @@ class Chunk:
 
 def _chunks(joined, dummy: bool, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        from pyspark import TaskContext
         chunk, ids, checks = Chunk(joined.value), [], []
+        number = TaskContext.get().partitionId() << 24  # of the task and its chunk; the table is written once
         for batch in batches:
             keys = batch.column("id").to_pylist()
             for at, some in texts(batch):
@@ -201,11 +203,11 @@ def _chunks(joined, dummy: bool, buckets: int):
                     ids.append(key)
                     checks.append(zlib.crc32((text or "").encode()))
                     if chunk.full():
-                        yield chunk.row(ids, checks, buckets)
+                        yield chunk.row(number, ids, checks, buckets)
                         chunk.clear()
-                        ids, checks = [], []
+                        number, ids, checks = number + 1, [], []
         if ids:
-            yield chunk.row(ids, checks, buckets)
+            yield chunk.row(number, ids, checks, buckets)
     return run
 
 
@@ -280,16 +282,17 @@ def decode_ids(ids: np.ndarray, pieces: Pieces) -> bytes:
 
 def _assemble(table, dummy: bool, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
         pieces = table.value
         unpack = zstandard.ZstdDecompressor().decompress
         size = np.array([len(b) for b in pieces.bytes])
         letters, first = np.frombuffer(b"".join(pieces.bytes), np.uint8), np.cumsum(size) - size
         parts: list[bytes] = []
         for batch in batches:
-            for row in range(batch.num_rows):
-                r = {f.name: batch.column(f.name)[row] for f in batch.schema}
-                if r["part"].is_valid:
-                    parts.append(r["part"].as_py())
+            for number, part, file in zip(*(batch.column(c).to_pylist() for c in ("chunk", "part", "file"))):
+                if file is None:
+                    parts.append(part)
                     continue
                 codes, lens, flat = [], [], []
                 for raw in map(unpack, parts):
@@ -303,9 +306,12 @@ def _assemble(table, dummy: bool, keep_ids: bool):
                 if len(code):
                     many, values = np.concatenate(lens).astype(np.int64), np.concatenate(flat)
                     n_ids[code], start[code] = many, np.cumsum(many) - many
-                planes = np.frombuffer(unpack(r["seq"].as_py()), "<u2")
-                seq = planes[:len(planes) // 2].astype(np.int64) | planes[len(planes) // 2:].astype(np.int64) << 16
-                ids, checks, words = r["ids"].values, r["checks"].values.to_pylist(), r["lens"].values.to_pylist()
+                store, path = fs.FileSystem.from_uri(file)
+                row = pq.read_table(path, filesystem=store, columns=["ids", "lens", "checks", "seq"],
+                                    filters=[("chunk", "==", number)]).combine_chunks()
+                planes = np.frombuffer(unpack(row["seq"][0].as_py()), "<u2")
+                seq = planes[:len(planes) // 2].astype(np.uint32) | planes[len(planes) // 2:].astype(np.uint32) << 16
+                ids, checks, words = row["ids"][0].values, row["checks"][0].values.to_pylist(), row["lens"][0].values.to_pylist()
                 at = 0
                 for k in range(0, len(words), 256):
                     out = {"doc": ids.slice(k, 256), "n_ids": [], "n_bytes": [], "crc": [], "same": [], "ids": []}
@@ -340,15 +346,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                                      "checks array<bigint>, seq binary"), "chunks")
     lists = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "sizes")).alias("bucket", "w")) \
         .select("chunk", "bucket", F.col("w.words").alias("blob"), F.col("w.sizes").alias("size")).where("size > 0")
-    places = materialize(map_batches(lists.repartition("bucket").sortWithinPartitions("bucket"), _places,
-                                     "word string, places binary"), "words")
-    coded = encode_words(places.select("word").distinct(), table, fold)
+    # small partitions by word: the edges of a word are some twenty times its rows
+    places = map_batches(lists.repartition("bucket").sortWithinPartitions("bucket"), _places, "word string, places binary") \
+        .repartition(4 * buckets, "word")
+    # the aggregate needs both columns, so that the words and their places come from one exchange
+    words = places.groupBy("word").agg(F.max(F.octet_length("places")).alias("bytes")).where("bytes > 0").select("word")
+    coded = encode_words(words, table, fold)
     parts = map_batches(places.join(coded, "word").select("ids", "places"), _back_to_chunks(shared), "chunk long, part binary")
-    empty = lambda c: F.lit(None).cast(dict(chunks.dtypes)[c]).alias(c)
-    rest = ["ids", "lens", "checks", "seq"]
-    both = parts.select("chunk", "part", *map(empty, rest)).unionAll(
-        chunks.select("chunk", F.lit(None).cast("binary").alias("part"), *rest))
-    both = both.repartition("chunk").sortWithinPartitions("chunk", F.col("seq").isNotNull())
+    where = chunks.select("chunk", F.lit(None).cast("binary").alias("part"), F.col("_metadata.file_path").alias("file"))
+    both = parts.select("chunk", "part", F.lit(None).cast("string").alias("file")).unionAll(where)
+    both = both.repartition("chunk").sortWithinPartitions("chunk", F.col("file").isNotNull())
     out = map_batches(both, _assemble(shared, dummy_prefix, keep_ids),
                       f"doc {kind}, n_ids long, n_bytes long, crc long, same boolean, ids array<int>")
     return out.select(F.col("doc").alias(id_col), "n_ids", "n_bytes", F.col("crc").alias("ids_crc32"),
