@@ -7,6 +7,8 @@ stable when executors are lost and partitions recomputed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,28 +25,30 @@ def kfold_column(key: str, k: int, seed: int = 47) -> Column:
 
 def stratified_kfold_column(df: DataFrame, key: str, label: Column | str, k: int,
                             seed: int = 47, out_col: str = "fold",
-                            hex_digits: int = 4) -> DataFrame:
+                            hex_digits: int | None = None) -> DataFrame:
     """Exactly balanced (and, per label, stratified) folds.
 
     Within each label, rows are ranked by their hash and dealt round-robin
     into k folds, so fold sizes per label differ by at most one. The rank is
     computed without a single-partition window: rows are bucketed by the
     first ``hex_digits`` hex digits of the hash (16^hex_digits buckets of
-    uniform size), a bucket's offset is the count of the label's rows in
+    uniform size; by default more the more shuffle partitions there are), a bucket's offset is the count of the label's rows in
     lower buckets (a table of at most #labels x 16^hex_digits rows), and the
     rank inside a bucket comes from a window partitioned by (label, bucket).
     """
     lab = F.col(label) if isinstance(label, str) else label
-    x = df.withColumns({"_h": key_hash(key, seed), "_lab": lab})
+    if hex_digits is None:  # some hundred buckets for each shuffle partition
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hex_digits = max(4, math.ceil(math.log(256 * partitions, 16)))
+    # one non-null key for the label: the join and the window hash alike
+    x = df.withColumns({"_h": key_hash(key, seed), "_lab": F.coalesce(F.concat(F.lit("="), lab.cast("string")), F.lit("null"))})
     x = x.withColumn("_b", F.substring("_h", 1, hex_digits))
     counts = x.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_lab", "_b", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))
                             .alias("_off"))
-    # null-safe on the label: a NULL label is its own stratum, never dropped
-    x = x.alias("x").join(offsets.alias("f"),
-                          F.col("x._lab").eqNullSafe(F.col("f._lab")) & (F.col("x._b") == F.col("f._b")),
-                          "inner").select("x.*", "f._off")
+    # a NULL label is its own stratum, never dropped
+    x = x.join(offsets, ["_lab", "_b"])
     w = Window.partitionBy("_lab", "_b").orderBy("_h", key)
     fold = F.pmod(F.row_number().over(w) - 1 + F.col("_off"), F.lit(k)).cast("int")
-    return x.withColumn(out_col, fold).drop("_h", "_lab", "_b", "_off")
+    return x.withColumn(out_col, fold).select(*df.columns, out_col)

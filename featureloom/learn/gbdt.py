@@ -25,7 +25,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +54,7 @@ class KFoldResult:
 def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int = 5,
               seed: int = 47, stratified: bool = False, features: list[str] | None = None,
               max_iter: int = 100, max_depth: int = 8, step_size: float = 0.1,
-              subsampling_rate: float = 0.8715623, feature_subset: str = "0.9497036",
+              subsampling_rate: float = 0.85, feature_subset: str = "0.95",
               min_instances_per_node: int = 40, validation_tol: float = 0.01,
               sentinel: float = -1e9, top_k_features: int = 40,
               checkpoint: bool = True, parallelism: int = 1) -> KFoldResult:
@@ -69,13 +69,12 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
     data = frame.select(
         F.col(key), F.col(label).cast("double").alias(label),
         *[F.coalesce(F.col(c).cast("double"), F.lit(sentinel)).alias(c) for c in features])
-    labelled = data.where(F.col(label).isNotNull())
-    if stratified:
-        labelled = stratified_kfold_column(labelled, key, label, n_folds, seed, out_col="_fold")
+    # one projection over the frame, so the feature table is planned once
+    if stratified:  # unlabelled rows are a stratum of their own
+        data = stratified_kfold_column(data, key, label, n_folds, seed, out_col="_fold")
     else:
-        labelled = labelled.withColumn("_fold", kfold_column(key, n_folds, seed))
-    data = labelled.unionByName(data.where(F.col(label).isNull())
-                                .withColumn("_fold", F.lit(None).cast("int")))
+        data = data.withColumn("_fold", kfold_column(key, n_folds, seed))
+    data = data.withColumn("_fold", F.when(F.col(label).isNotNull(), F.col("_fold")))
     if checkpoint:
         # features and folds computed once; the k fits re-read this
         ensure_checkpoint_dir(spark)
@@ -137,27 +136,3 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
         fold_auc=roc_auc(oof, "score", label, group_cols=["fold"]),
         full_auc=roc_auc(oof, "score", label),
         importances=importances, top_importances=top_rows)
-
-
-def customer_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Driver-table stand-in for the credit feature table: customer LEFT
-    JOIN the order-view, two-level lineitem and event blocks. Label: a
-    negative account balance; customers of the HOUSEHOLD segment play the
-    unlabelled scoring rows (TARGET NULL). The balance itself is not a
-    feature."""
-    from ..plans.catalog import event_block, lineitem_two_level_block, order_view_block, \
-        orders_nulled
-    from ..plans.tables import load
-    from ..operators.assemble import left_star
-    cust = load(spark, sf_dir, "customer")
-    base = cust.select(
-        "c_custkey", "c_nationkey",
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("int"))
-         .otherwise((F.col("c_acctbal") < 0).cast("int")).alias("TARGET"))
-    blocks = [
-        order_view_block(orders_nulled(spark, sf_dir)).withColumnRenamed("o_custkey", "c_custkey"),
-        lineitem_two_level_block(load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders"))
-        .withColumnRenamed("o_custkey", "c_custkey"),
-        event_block(load(spark, sf_dir, "events")).withColumnRenamed("user_id", "c_custkey"),
-    ]
-    return left_star(base, "c_custkey", blocks)

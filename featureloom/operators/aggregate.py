@@ -179,7 +179,7 @@ def two_level_aggregate(child: DataFrame, child_key: str, child_spec: Spec,
                         views=parent_views)
 
 
-def category_rates(df: DataFrame, key: str, column: str, values: Sequence[str],
+def category_rates(df: DataFrame, key: str, column: str, values: Sequence[str] | None,
                    prefix: str, total_name: str, base: DataFrame | None = None,
                    base_key: str | None = None) -> DataFrame:
     """Category rates per key with missing -> 0.
@@ -187,8 +187,12 @@ def category_rates(df: DataFrame, key: str, column: str, values: Sequence[str],
     With ``base`` (e.g. all applicants), reproduces "base LEFT JOIN rows,
     then count": a base key without rows counts one (NULL) row, so its total
     is 1 and every rate 0. The rows are aggregated *before* the join, so the
-    join is 1:1 and a hot key never reaches a single join task.
+    join is 1:1 and a hot key never reaches a single join task. ``values``
+    None: all values that the column holds.
     """
+    if values is None:
+        from .encode import CategoryDictionary
+        values = CategoryDictionary.discover(df, [column])[column]
     rates = agg_features(df, key, None, extra=[F.count(F.lit(1)).alias(total_name),
                                                *rate_exprs(column, values, prefix)])
     if base is None:

@@ -21,13 +21,22 @@ from pyspark.sql import types as T
 
 from ..functions.columns import string_columns
 
-DEFAULT_MAX_CATEGORIES = 1000
+DEFAULT_MAX_CATEGORIES = None  # no limit unless a caller asks for one
 
 
 class CategoryGuardError(ValueError):
     """A column has more distinct values than the dictionary allows."""
 
 
+def _guard(pairs: DataFrame, max_categories: int | None) -> None:
+    """Raise for the first column (by name) of ``pairs`` with more than ``max_categories`` values."""
+    if max_categories is None:
+        return
+    wide = pairs.groupBy("name").count().where(F.col("count") > max_categories).orderBy("name").first()
+    if wide is not None:
+        raise CategoryGuardError(f"column {wide['name']!r} has {wide['count']} categories, more than {max_categories}")
+
+
 class CategoryDictionary:
     """Frozen, sorted category lists per column."""
 
@@ -37,12 +46,13 @@ class CategoryDictionary:
     # -- discovery ---------------------------------------------------------
     @classmethod
     def discover(cls, df: DataFrame, columns: Sequence[str] | None = None,
-                 max_categories: int = DEFAULT_MAX_CATEGORIES) -> "CategoryDictionary":
+                 max_categories: int | None = DEFAULT_MAX_CATEGORIES) -> "CategoryDictionary":
         """Distinct non-missing values of every column, in one job.
 
-        The transfer to the driver is capped at ``max_categories`` per column
-        (+1 to detect overflow), so a high-cardinality column raises
-        :class:`CategoryGuardError` instead of flooding the driver.
+        The values become feature columns, so they reach the driver; with
+        ``max_categories`` a column of more raises :class:`CategoryGuardError`
+        before any value does. For columns too wide to pivot there is
+        :func:`category_shares_long`.
         """
         columns = list(columns) if columns is not None else string_columns(df)
         if not columns:
@@ -51,15 +61,10 @@ class CategoryDictionary:
             F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
             for c in columns])).alias("p")).select("p.name", "p.value")
         pairs = pairs.where(F.col("value").isNotNull()).distinct()
-        cap = max_categories * len(columns) + 1
-        rows = pairs.limit(cap).collect()
+        _guard(pairs, max_categories)
         found: dict[str, list[str]] = {c: [] for c in columns}
-        for r in rows:
+        for r in pairs.collect():
             found[r["name"]].append(r["value"])
-        for c, vals in found.items():
-            if len(vals) > max_categories or len(rows) >= cap:
-                raise CategoryGuardError(
-                    f"column {c!r} has more than {max_categories} categories")
         return cls({c: sorted(v) for c, v in found.items()})
 
     # -- persistence: the dictionary is a small table reused for scoring ----
@@ -128,7 +133,7 @@ def one_hot_columns(dictionary: CategoryDictionary, columns: Sequence[str] | Non
 
 def one_hot(df: DataFrame, dictionary: CategoryDictionary | None = None,
             columns: Sequence[str] | None = None, nan_indicator: bool = True,
-            max_categories: int = DEFAULT_MAX_CATEGORIES) -> tuple[DataFrame, list[str]]:
+            max_categories: int | None = DEFAULT_MAX_CATEGORIES) -> tuple[DataFrame, list[str]]:
     """One-hot encode string columns (E1); returns (frame, new column names).
 
     Like ``get_dummies``: the encoded source columns are replaced, the other
@@ -151,14 +156,14 @@ def one_hot(df: DataFrame, dictionary: CategoryDictionary | None = None,
 
 def first_appearance_dictionary(df: DataFrame, columns: Sequence[str], order_col: str,
                                 order: str = "first",
-                                max_categories: int = DEFAULT_MAX_CATEGORIES
+                                max_categories: int | None = DEFAULT_MAX_CATEGORIES
                                 ) -> dict[str, dict[str, int]]:
     """Codes per column value (E2 dictionary), computed in one small job.
 
     ``order='first'``: by the smallest ``order_col`` at which the value occurs
     (pandas ``factorize``); ``'frequency'``: most frequent first; ``'alphabet'``.
-    Ties break on the value. Only (column, value, first, count) tuples reach the
-    driver, capped by ``max_categories`` per column.
+    Ties break on the value. One (column, value, first, count) row a category
+    reaches the driver; ``max_categories`` as in :meth:`CategoryDictionary.discover`.
     """
     pairs = df.select(F.col(order_col).alias("_ord"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
@@ -166,15 +171,12 @@ def first_appearance_dictionary(df: DataFrame, columns: Sequence[str], order_col
     stats = (pairs.where(F.col("value").isNotNull())
              .groupBy("name", "value")
              .agg(F.min("_ord").alias("first"), F.count(F.lit(1)).alias("n")))
-    cap = max_categories * len(columns) + 1
-    rows = stats.limit(cap).collect()
+    _guard(stats, max_categories)
     per: dict[str, list] = {c: [] for c in columns}
-    for r in rows:
+    for r in stats.collect():
         per[r["name"]].append((r["value"], r["first"], r["n"]))
     out = {}
     for c, vals in per.items():
-        if len(vals) > max_categories or len(rows) >= cap:
-            raise CategoryGuardError(f"column {c!r} has more than {max_categories} categories")
         if order == "first":
             vals.sort(key=lambda t: (t[1], t[0]))
         elif order == "frequency":
@@ -198,7 +200,7 @@ def code_column(column: str, codes: dict[str, int], missing_code: int = -1) -> C
 
 def factorize(df: DataFrame, columns: Sequence[str], order_col: str, order: str = "first",
               dictionary: dict[str, dict[str, int]] | None = None,
-              max_categories: int = DEFAULT_MAX_CATEGORIES
+              max_categories: int | None = DEFAULT_MAX_CATEGORIES
               ) -> tuple[DataFrame, dict[str, dict[str, int]]]:
     """Replace each column by its integer code (E2); missing -> -1.
 
@@ -218,3 +220,15 @@ def lookup(df: DataFrame, mapping: dict, key_col: str, out_col: str,
     m = F.create_map(*[x for k, v in mapping.items()
                        for x in (F.lit(k), F.lit(v).cast(value_type))])
     return df.withColumn(out_col, F.try_element_at(m, F.col(key_col)))
+
+
+def category_shares_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Shares of every category of every column per key, as rows (key, column,
+    value, share): no pivot, no dictionary and no driver traffic, for columns
+    with any number of values. Missing values are the category NULL; NULL keys
+    are dropped."""
+    pairs = df.where(F.col(key).isNotNull()).select(key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p"))
+    counts = pairs.groupBy(key, "p.column", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("total"))
+    return counts.join(totals, key).select(key, "column", "value", (F.col("n") / F.col("total")).alias("share"))

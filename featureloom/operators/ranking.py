@@ -60,13 +60,14 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     rows with equal keys are cumulated in an arbitrary but fixed order.
 
     Plan: range-partition on (group, order) and sort inside partitions; one
-    ``mapInPandas`` pass computes, per row, the cumulative weight of its group
-    inside the partition and the group's weight in that partition; the result
-    is checkpointed (partition ids stay fixed if executors are lost). Only a
-    group that crosses a partition boundary needs an offset from earlier
-    partitions, and range partitioning creates at most 2 x #partitions such
-    (partition, group) pairs: that small table is broadcast (a proven bound)
-    and the data itself is not shuffled again.
+    ``mapInPandas`` pass adds, batch by batch, the running weight of each group
+    inside the partition (one number per weight is carried from batch to batch,
+    no partition is held); the result is checkpointed (partition ids stay fixed
+    if executors are lost). Only a group that crosses a partition boundary
+    needs an offset from earlier partitions, and range partitioning creates at
+    most 2 x #partitions such (partition, group) pairs: that small table is
+    broadcast (a proven bound) and the data itself is not shuffled again. Group
+    totals have one row a group and join on (partition, group).
     """
     group_cols, order_cols, weight_cols = list(group_cols), list(order_cols), list(weight_cols)
     n = _num_slices(df, num_partitions)
@@ -77,52 +78,29 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     out_schema = T.StructType(
         list(ranged.schema.fields)
         + [T.StructField("_pid", T.IntegerType(), False)]
-        + [T.StructField(n_, T.DoubleType(), False) for n_ in local_names + part_names])
-
-    def finish(frame: pd.DataFrame, runs: np.ndarray | None, pid: int) -> pd.DataFrame:
-        frame = frame.copy()
-        frame["_pid"] = pid
-        for w, ln, pn in zip(weight_cols, local_names, part_names):
-            wv = frame[w].astype("float64").fillna(0.0)
-            if runs is None:        # one complete group
-                cum, tot = wv.cumsum(), wv.sum()
-            else:                   # several complete groups, ids in ``runs``
-                grp = wv.groupby(runs, sort=False)
-                cum, tot = grp.cumsum(), grp.transform("sum")
-            frame[ln] = cum - wv
-            frame[pn] = tot
-        return frame
+        + [T.StructField(n_, T.DoubleType(), False) for n_ in local_names])
 
     def local_cumulate(batches):
-        # Rows arrive sorted by (group, order). Completed groups are emitted
-        # per batch; only the group still open at the end of a batch is held
-        # back (at most one range partition's worth of rows).
+        # Rows arrive sorted by (group, order). Every batch is emitted as it
+        # comes; the group still open at its end leaves one number per weight.
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        pending, pending_key = [], None
+        open_key, carried = None, [0.0] * len(weight_cols)
         for pdf in batches:
             if pdf.empty:
                 continue
             pdf = pdf.reset_index(drop=True)
             runs = _run_ids(pdf, group_cols)
-            first_key = _key_at(pdf, group_cols, 0)
-            if pending and first_key != pending_key:
-                yield finish(pd.concat(pending, ignore_index=True), None, pid)
-                pending = []
-            last = runs[-1]
-            if last == 0:
-                pending.append(pdf)
-                pending_key = first_key
-                continue
-            out = [finish(pd.concat(pending + [pdf[runs == 0]], ignore_index=True), None, pid)]
-            mid = (runs > 0) & (runs < last)
-            if mid.any():
-                out.append(finish(pdf[mid].reset_index(drop=True), runs[mid], pid))
-            yield pd.concat(out, ignore_index=True)
-            pending = [pdf[runs == last]]
-            pending_key = _key_at(pending[0].reset_index(drop=True), group_cols, 0)
-        if pending:
-            yield finish(pd.concat(pending, ignore_index=True), None, pid)
+            go_on = _key_at(pdf, group_cols, 0) == open_key
+            out = pdf.assign(_pid=pid)
+            for k, (w, ln) in enumerate(zip(weight_cols, local_names)):
+                wv = pdf[w].astype("float64").fillna(0.0)
+                start = np.where((runs == 0) & go_on, carried[k], 0.0)
+                upto = wv.groupby(runs, sort=False).cumsum() + start
+                out[ln] = upto - wv
+                carried[k] = float(upto.iloc[-1])
+            open_key = _key_at(pdf, group_cols, len(pdf) - 1)
+            yield out
 
     local = ranged.mapInPandas(local_cumulate, out_schema)
     if checkpoint:
@@ -130,18 +108,21 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         local = local.checkpoint(eager=True)
     # (partition, group) weights: at most #partitions + #groups rows
     parts = local.groupBy("_pid", *group_cols).agg(
-        *[F.first(pn).alias(pn) for pn in part_names])
+        *[F.coalesce(F.sum(F.col(w).cast("double")), F.lit(0.0)).alias(pn)
+          for w, pn in zip(weight_cols, part_names)])
     w_grp = Window.partitionBy(*[F.col(c) for c in group_cols])
     w_before = w_grp.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (parts.withColumn("_nparts", F.count(F.lit(1)).over(w_grp))
-             .where(F.col("_nparts") > 1)    # groups crossing a partition boundary
-             .select("_pid", *group_cols, *[
-                 F.coalesce(F.sum(pn).over(w_before), F.lit(0.0)).alias(f"_{w}_offset")
-                 for w, pn in zip(weight_cols, part_names)], *[
-                 F.sum(pn).over(w_grp).alias(f"_{w}_span_total")
-                 for w, pn in zip(weight_cols, part_names)]))
-    # <= 2 x #partitions rows: broadcast; null-safe on the group key
-    l, r = local.alias("l"), F.broadcast(spans).alias("r")
+    offsets = [F.coalesce(F.sum(pn).over(w_before), F.lit(0.0)).alias(f"_{w}_offset")
+               for w, pn in zip(weight_cols, part_names)]
+    totals = [F.sum(pn).over(w_grp).alias(f"_{w}_total") for w, pn in zip(weight_cols, part_names)]
+    spans = parts.select("_pid", *group_cols, F.count(F.lit(1)).over(w_grp).alias("_nparts"), *offsets, *totals)
+    if with_totals:
+        # every (partition, group) pair: as many rows as groups, a plain join
+        side = spans
+    else:
+        # only groups that cross a partition boundary: <= 2 x #partitions rows
+        side = F.broadcast(spans.where(F.col("_nparts") > 1))
+    l, r = local.alias("l"), side.alias("r")
     cond = F.col("l._pid") == F.col("r._pid")
     for g in group_cols:
         cond = cond & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
@@ -150,40 +131,24 @@ def prefix_before(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     out += [(F.coalesce(F.col(f"r._{w}_offset"), F.lit(0.0)) + F.col(f"l.{ln}")).alias(f"{w}_before")
             for w, ln in zip(weight_cols, local_names)]
     if with_totals:
-        out += [F.coalesce(F.col(f"r._{w}_span_total"), F.col(f"l.{pn}")).alias(f"{w}_total")
-                for w, pn in zip(weight_cols, part_names)]
+        out += [F.col(f"r._{w}_total").alias(f"{w}_total") for w in weight_cols]
     return joined.select(*out)
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out_col: str = "median", num_partitions: int | None = None,
-                 max_distinct: int = 1_000_000) -> DataFrame:
+                 out_col: str = "median", num_partitions: int | None = None) -> DataFrame:
     """Exact median of ``value_col`` per group (A8), interpolating between the
     two middle values for an even count; NULL values and NULL groups dropped.
 
-    Two exact plans, chosen by a HyperLogLog estimate of the number of
-    distinct (group, value) pairs (one aggregate of mergeable sketches, no
-    shuffle of the pairs themselves):
-
-    * estimate at most ``max_distinct / 2`` (the margin covers the 2 %
-      estimation error): Spark's ``percentile`` aggregate. Its buffers hold
-      (value, count) maps, pre-aggregated map-side, so no task ever holds
-      more than ``max_distinct`` entries whatever the row count.
-    * otherwise (or ``max_distinct=0``): values are counted per (group,
-      value) (map-side combine), then ranked with :func:`prefix_before`
-      (range partitioning splits a hot group), so no task holds a whole group.
+    One plan at every size: values are counted per (group, value) (map-side
+    combine), then ranked with :func:`prefix_before` (range partitioning splits
+    a hot group), so no task holds a whole group.
     """
     group_cols = list(group_cols)
     valid = F.col(value_col).isNotNull()
     for g in group_cols:
         valid = valid & F.col(g).isNotNull()
     rows = df.where(valid)
-    if max_distinct > 0:
-        pair = F.struct(*[F.col(c) for c in group_cols + [value_col]])
-        n_pairs = rows.agg(F.approx_count_distinct(pair, rsd=0.02)).first()[0]
-        if n_pairs <= max_distinct // 2:
-            med = F.percentile(F.col(value_col).cast("double"), F.lit(0.5)).alias(out_col)
-            return rows.groupBy(*group_cols).agg(med) if group_cols else rows.agg(med)
     counts = (rows.groupBy(*group_cols, value_col)
               .agg(F.count(F.lit(1)).cast("double").alias("_c")))
     # group sizes ride along the (partition, group) offsets: no join on the

@@ -25,7 +25,7 @@ from ..operators import (CategoryDictionary, View, agg_features, all_columns_spe
                          category_rates, distinct_rows, fill_with_mean, head, left_join,
                          left_star, mean_by, missing_profile, one_hot, semi_join, top_k,
                          union_by_name)
-from ..operators.encode import factorize
+from ..operators.encode import category_shares_long, factorize
 from ..sources.io import cast_columns
 from .credit import bureau_rates, median_lookup
 from .tables import load, rnd, round_doubles
@@ -237,7 +237,7 @@ def _sql_category_share() -> str:
 def category_rate(spark, d):
     ev = load(spark, d, "events")
     cust = load(spark, d, "customer")
-    return category_rates(ev, "user_id", "event_type", EVENT_TYPES, "event_rate_",
+    return category_rates(ev, "user_id", "event_type", None, "event_rate_",
                           "total_event_count", base=cust, base_key="c_custkey")
 
 
@@ -411,14 +411,11 @@ SELECT c.c_custkey, c.c_mktsegment, round(m.med, 6) AS SEG_MEDIAN_ACCTBAL
 FROM customer c LEFT JOIN m ON c.c_mktsegment = m.c_mktsegment"""
 
 
-# A8, skew-safe plan: three groups holding about a third of lineitem each.
-# max_distinct=0 selects the distributed plan that a 100 TB table would take
-# anyway (its distinct (group, value) pairs exceed any in-memory cap).
+# A8 on three groups holding about a third of lineitem each
 def median_hot_groups(spark, d):
     from ..operators import exact_median
     li = load(spark, d, "lineitem")
-    med = exact_median(li, ["l_returnflag"], "l_extendedprice", out_col="median_price",
-                       max_distinct=0)
+    med = exact_median(li, ["l_returnflag"], "l_extendedprice", out_col="median_price")
     return round_doubles(med, 6)
 
 
@@ -593,8 +590,7 @@ def bureau_rates_q(spark, d):
     out = bureau_rates(load(spark, d, "customer"), load(spark, d, "orders"),
                        applicant_key="c_custkey", loan_key="o_custkey",
                        status_col="o_orderstatus", type_col="o_orderpriority",
-                       mean_std_cols=["o_totalprice"], status_values=STATUS_VALUES,
-                       type_values=PRIORITY_VALUES)
+                       mean_std_cols=["o_totalprice"])
     return round_doubles(out, 6, exclude=("o_totalprice_y",)).withColumn(
         "o_totalprice_y", rnd("o_totalprice_y", 4))
 
@@ -621,6 +617,71 @@ SELECT c.c_custkey, CAST(coalesce(a.n, 1) AS BIGINT) AS total_credit_count,
 FROM customer c LEFT JOIN a ON c.c_custkey = a.o_custkey"""
 
 
+# F7 with means and currency shares (the priority plays the currency)
+def bureau_rates_full(spark, d):
+    loans = load(spark, d, "orders").withColumn("o_year", F.year("o_orderdate").cast("double"))
+    out = bureau_rates(load(spark, d, "customer"), loans, applicant_key="c_custkey", loan_key="o_custkey",
+                       status_col="o_orderstatus", type_col="o_orderstatus", mean_cols=["o_year"],
+                       mean_std_cols=["o_totalprice", "o_orderkey"], currency_col="o_orderpriority")
+    return round_doubles(out.drop("o_totalprice_y", "o_orderkey_y"), 6)
+
+
+def _sql_bureau_rates_full() -> str:
+    rate = lambda col, v: f"count(*) FILTER (WHERE {col} = '{v}') / CAST(count(*) AS DOUBLE)"
+    parts = [f"{rate('o_orderstatus', v)} AS {_q(p + v)}" for p in ("credit_rate_", "credit_type_rate_") for v in STATUS_VALUES]
+    parts += [f"{rate('o_orderpriority', v)} AS {_q('o_orderpriority_' + v)}" for v in PRIORITY_VALUES]
+    names = [_q(p + v) for p in ("credit_rate_", "credit_type_rate_") for v in STATUS_VALUES] \
+        + [_q("o_orderpriority_" + v) for v in PRIORITY_VALUES]
+    return ("WITH a AS (SELECT o_custkey, count(*) AS n, avg(year(o_orderdate)) AS y, avg(o_totalprice) AS p, avg(o_orderkey) AS k,\n  "
+            + ",\n  ".join(parts) + " FROM orders GROUP BY o_custkey)\n"
+            "SELECT c_custkey, CAST(coalesce(n, 1) AS BIGINT) AS total_credit_count, CAST(coalesce(n, 1) AS BIGINT) AS "
+            "total_credit_type_count, round(y, 6) AS o_year, round(p, 6) AS o_totalprice_x, round(k, 6) AS o_orderkey_x,\n  "
+            + ",\n  ".join(f"round(coalesce({x}, 0.0), 6) AS {x}" for x in names)
+            + "\nFROM customer LEFT JOIN a ON c_custkey = o_custkey")
+
+
+# One row for each (applicant, currency)
+def bureau_rates_fanout(spark, d):
+    out = bureau_rates(load(spark, d, "customer"), load(spark, d, "orders"), applicant_key="c_custkey", loan_key="o_custkey",
+                       status_col="o_orderstatus", type_col="o_orderstatus", currency_col="o_orderpriority", fanout=True)
+    return out.select("c_custkey", "total_credit_count", "o_orderpriority")
+
+
+SQL_BUREAU_RATES_FANOUT = """WITH a AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+p AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)
+SELECT c_custkey, CAST(coalesce(n, 1) AS BIGINT) AS total_credit_count, o_orderpriority
+FROM customer LEFT JOIN a ON c_custkey = a.o_custkey LEFT JOIN p ON c_custkey = p.o_custkey"""
+
+
+# A11 without a pivot
+def category_share_long(spark, d):
+    return round_doubles(category_shares_long(load(spark, d, "orders"), "o_custkey", ["o_orderstatus", "o_orderpriority"]), 6)
+
+
+SQL_CATEGORY_SHARE_LONG = """WITH t AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+p AS (SELECT o_custkey, 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
+      UNION ALL SELECT o_custkey, 'o_orderpriority', o_orderpriority FROM orders)
+SELECT o_custkey, "column", value, round(count(*) / CAST(max(t.n) AS DOUBLE), 6) AS share
+FROM p JOIN t USING (o_custkey) GROUP BY o_custkey, "column", value"""
+
+
+# A table written as CSV and read back, one column declared, the others found
+def csv_roundtrip(spark, d):
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources.io import read_table, write_table
+    path = checkpoint_path(spark, f"csv-{uuid.uuid4().hex}")
+    cust = load(spark, d, "customer").withColumn("c_mktsegment", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "NA")
+                                                 .otherwise(F.col("c_mktsegment")))
+    write_table(cust, path, fmt="csv")
+    return read_table(spark, path, "c_nationkey int", fmt="csv")
+
+
+SQL_CSV_ROUNDTRIP = """SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+  CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS c_mktsegment FROM customer"""
+
+
 # S2 S4 O3
 HEAD_N = 100
 
@@ -652,20 +713,37 @@ FROM orders"""
 def roc_auc_q(spark, d):
     o = load(spark, d, "orders").select(
         (F.col("o_orderstatus") == "F").cast("int").alias("label"),
-        F.floor(F.col("o_totalprice") / 10000).cast("double").alias("score"))
-    return roc_auc(o, "score", "label")
+        F.col("o_totalprice").alias("score"))
+    return round_doubles(roc_auc(o, "score", "label"), 9)
 
 
-SQL_ROC_AUC = """WITH s AS (SELECT floor(o_totalprice / 10000) AS score,
+# L5 per fold
+def roc_auc_by_fold(spark, d):
+    o = load(spark, d, "orders").select(
+        (F.col("o_orderkey") % 5).alias("fold"), (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+        F.col("o_totalprice").alias("score"))
+    return round_doubles(roc_auc(o, "score", "label", group_cols=["fold"]), 9)
+
+
+SQL_ROC_AUC = """WITH s AS (SELECT o_totalprice AS score,
     CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
     CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END) AS DOUBLE) AS neg
   FROM orders GROUP BY 1),
 c AS (SELECT score, pos, neg,
     coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS neg_below
   FROM s)
-SELECT sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc,
+SELECT round(sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)), 9) AS auc,
   CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""
 
+SQL_ROC_AUC_BY_FOLD = """WITH s AS (SELECT o_orderkey % 5 AS fold, o_totalprice AS score,
+    CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+    CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END) AS DOUBLE) AS neg
+  FROM orders GROUP BY 1, 2),
+c AS (SELECT fold, pos, neg, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY score
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS neg_below FROM s)
+SELECT fold, round(sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)), 9) AS auc,
+  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c GROUP BY fold"""
+
 
 # L6 U2
 def fold_mean_score(spark, d):
@@ -691,8 +769,28 @@ def _sql_fold_mean_score() -> str:
 
 
 # L2-L4 L7-L10 (no SQL oracle: a learned model)
+def customer_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver-table stand-in for the credit feature table: customer LEFT
+    JOIN the order-view, two-level lineitem and event blocks. Label: a
+    negative account balance; customers of the HOUSEHOLD segment play the
+    unlabelled scoring rows (TARGET NULL). The balance itself is not a
+    feature."""
+    cust = load(spark, sf_dir, "customer")
+    base = cust.select(
+        "c_custkey", "c_nationkey",
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("int"))
+         .otherwise((F.col("c_acctbal") < 0).cast("int")).alias("TARGET"))
+    blocks = [
+        order_view_block(orders_nulled(spark, sf_dir)).withColumnRenamed("o_custkey", "c_custkey"),
+        lineitem_two_level_block(load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders"))
+        .withColumnRenamed("o_custkey", "c_custkey"),
+        event_block(load(spark, sf_dir, "events")).withColumnRenamed("user_id", "c_custkey"),
+    ]
+    return left_star(base, "c_custkey", blocks)
+
+
 def gbdt_kfold(spark, d):
-    from ..learn.gbdt import customer_training_frame, kfold_gbt
+    from ..learn.gbdt import kfold_gbt
     frame = customer_training_frame(spark, d)
     result = kfold_gbt(frame, key="c_custkey", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
                        max_iter=20, max_depth=5, parallelism=N_FOLDS)
@@ -1225,9 +1323,14 @@ QUERIES = {
     "semi_top_k": semi_top_k,
     "star_assembly": star_assembly,
     "bureau_rates": bureau_rates_q,
+    "bureau_rates_full": bureau_rates_full,
+    "bureau_rates_fanout": bureau_rates_fanout,
+    "category_share_long": category_share_long,
+    "csv_roundtrip": csv_roundtrip,
     "head_limit": head_limit,
     "kfold_assign": kfold_assign,
     "roc_auc": roc_auc_q,
+    "roc_auc_by_fold": roc_auc_by_fold,
     "fold_mean_score": fold_mean_score,
     "credit_application_block": credit_application_block,
     "credit_bureau_block": credit_bureau_block,
@@ -1272,9 +1375,14 @@ ORACLE_SQL = {
     "semi_top_k": SQL_SEMI_TOP_K,
     "star_assembly": _sql_star_assembly(),
     "bureau_rates": _sql_bureau_rates(),
+    "bureau_rates_full": _sql_bureau_rates_full(),
+    "bureau_rates_fanout": SQL_BUREAU_RATES_FANOUT,
+    "category_share_long": SQL_CATEGORY_SHARE_LONG,
+    "csv_roundtrip": SQL_CSV_ROUNDTRIP,
     "head_limit": SQL_HEAD_LIMIT,
     "kfold_assign": SQL_KFOLD_ASSIGN,
     "roc_auc": SQL_ROC_AUC,
+    "roc_auc_by_fold": SQL_ROC_AUC_BY_FOLD,
     "fold_mean_score": _sql_fold_mean_score(),
     "credit_application_block": _sql_credit_application_block(),
     "credit_bureau_block": _sql_credit_bureau_block(),

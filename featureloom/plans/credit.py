@@ -18,9 +18,10 @@ from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne,
                          row_sum, safe_ratio, sentinel_to_null, shifted_ratio, with_row_stats)
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
                          exact_median, factorize, first_appearance_dictionary, left_star,
-                         lookup, one_hot, union_by_name)
+                         one_hot, union_by_name)
 from ..operators.aggregate import rate_exprs
 from ..operators.profile import fill_with_mean
+from ..operators.ranking import head
 from ..sources.io import cast_columns
 
 KEY = "SK_ID_CURR"
@@ -151,20 +152,17 @@ def _categories(df: DataFrame, dictionary: CategoryDictionary | None,
 # F1 application
 
 def median_lookup(df: DataFrame, group_col: str, value_col: str, out_col: str,
-                  source: DataFrame | None = None, max_groups: int = 10_000) -> DataFrame:
+                  source: DataFrame | None = None) -> DataFrame:
     """``df[group].map(source.groupby(group)[value].median())`` (A8 + E4, J8).
 
-    Medians are exact and skew-safe (:func:`exact_median`). The per-group
-    table has one row per category; when it is within ``max_groups`` it is
-    frozen into a literal map (no join at all), else joined back (AQE picks
-    broadcast or sort-merge from its real size).
+    Medians are exact and skew-safe (:func:`exact_median`); the table of one row
+    a category is joined back, AQE picks the join from its real size. Columns:
+    those of ``df``, then ``out_col``.
     """
-    src = df if source is None else source
-    med = exact_median(src, [group_col], value_col, out_col="_median")
-    rows = med.limit(max_groups + 1).collect()
-    if len(rows) <= max_groups:
-        return lookup(df, {r[group_col]: r["_median"] for r in rows}, group_col, out_col)
-    return df.join(med.withColumnRenamed("_median", out_col), on=group_col, how="left")
+    med = exact_median(df if source is None else source, [group_col], value_col, out_col="_median") \
+        .withColumnRenamed(group_col, "_median_group")
+    joined = df.join(med, F.col(group_col) == F.col("_median_group"), "left")
+    return joined.withColumnRenamed("_median", out_col).drop("_median_group")
 
 
 def _application_dictionaries(df: DataFrame, order_cols: Sequence[str],
@@ -475,8 +473,8 @@ def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
                        num_rows: int | None = None) -> dict[str, DataFrame]:
     """Scan the eight credit tables with their explicit schemas.
 
-    ``num_rows`` is the debug row cap (S2): the first rows by key, so a
-    debug run is reproducible.
+    ``num_rows`` is the debug row cap (S2): the first rows by all
+    columns, so a debug run is reproducible.
     """
     import os
 
@@ -486,8 +484,8 @@ def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
     for name, schema in CREDIT_SCHEMAS.items():
         path = os.path.join(input_dir, f"{name}.{fmt}") if "://" not in input_dir \
             else f"{input_dir.rstrip('/')}/{name}.{fmt}"
-        order = [schema.fieldNames()[0]] if num_rows is not None else None
-        out[name] = read_table(spark, path, schema, fmt=fmt, limit=num_rows, order_by=order)
+        df = read_table(spark, path, schema, fmt=fmt)
+        out[name] = df if num_rows is None else head(df, num_rows, df.columns)
     return out
 
 

@@ -74,6 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
+                           "a folder of this machine is of no use to them")
     local = tempfile.mkdtemp(prefix="featureloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -1,7 +1,8 @@
 """Scans, sinks and casts (survey S1-S6).
 
-Reads always take an explicit schema (no inference pass over the data);
-Parquet scans get column pruning and filter pushdown from Catalyst.
+CSV reads take declared types by column name and find the types of the other
+columns in one pass; Parquet scans get column pruning and filter pushdown from
+Catalyst.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import nan_to_null
+
 # The cell texts pandas ``read_csv`` reads as missing by default.
 PANDAS_NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -37,58 +40,96 @@ def _as_struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _select_by_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Schema columns by header name, cast from the string cells; a cell that
-    does not parse becomes NULL; a column absent from the file is all NULL.
-    Integral columns also accept ``1.0`` (pandas writes integer columns that
-    hold missing values as floats)."""
-    have = set(raw.columns)
-    cols = []
-    for f in schema.fields:
-        if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+
+
+class UnreadableCellsError(ValueError):
+    """A column declared numeric holds cells that are no numbers."""
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every header column of a string table, typed; schema columns come first.
+
+    One aggregate pass counts, for each column that is not declared string,
+    the cells that are no whole number of the declared width, no whole number
+    at all, and no number. A declared type holds where all cells fit; whole
+    numbers outside it widen to bigint and fractions to double (pandas does the
+    same), and cells that are no numbers raise. Undeclared columns become
+    bigint, double or string, an all-missing one double. A declared column that
+    the file does not have is all NULL.
+    """
+    declared = {f.name: f.dataType for f in schema.fields}
+    open_cols = [c for c in raw.columns if not isinstance(declared.get(c), T.StringType)]
+    counts = []
+    for i, c in enumerate(open_cols):
+        cell = F.trim(F.col(f"`{c}`"))
+        number = cell.try_cast("double")
+        whole = F.coalesce(number == F.floor(number), F.lit(False))
+        kind = declared[c] if isinstance(declared.get(c), _INTEGRAL) else T.LongType()
+        counts += [F.count(F.when(~whole | number.try_cast(kind).isNull(), cell)).alias(f"narrow{i}"),
+                   F.count(F.when(~whole | number.try_cast("bigint").isNull(), cell)).alias(f"whole{i}"),
+                   F.count(F.when(number.isNull(), cell)).alias(f"text{i}"), F.count(cell).alias(f"n{i}")]
+    seen = raw.agg(*counts).first() if counts else {}
+    out = {}
+    for i, c in enumerate(open_cols):
+        cell, want = F.trim(F.col(f"`{c}`")), declared.get(c)
+        if seen[f"text{i}"]:
+            if want is not None:
+                raise UnreadableCellsError(f"column {c!r}: {seen[f'text{i}']} of {seen[f'n{i}']} cells are no "
+                                           f"{want.simpleString()}")
             continue
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            cols.append(c.alias(f.name))
-        elif isinstance(f.dataType, _INTEGRAL):
-            cols.append(F.coalesce(c.try_cast(f.dataType),
-                                   c.try_cast("double").try_cast(f.dataType)).alias(f.name))
+        if isinstance(want, _FRACTIONAL) or (want is None and not seen[f"n{i}"]):
+            out[c] = cell.try_cast(want or T.DoubleType())
+        elif seen[f"whole{i}"]:
+            out[c] = cell.try_cast("double")
         else:
-            cols.append(c.try_cast(f.dataType).alias(f.name))
+            kind = want if want is not None and not seen[f"narrow{i}"] else T.LongType()
+            # whole cells may be written as 1.0 (a column that held missing values)
+            out[c] = F.coalesce(cell.try_cast(kind), cell.try_cast("double").try_cast(kind))
+    cols = [out.get(f.name, F.col(f"`{f.name}`")).alias(f.name) if f.name in raw.columns
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    cols += [out.get(c, F.col(f"`{c}`")).alias(c) for c in raw.columns if c not in declared]
     return raw.select(*cols)
 
 
+def nan_columns_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns -> NULL: missing values look the same from every format."""
+    floats = {f.name: nan_to_null(F.col(f"`{f.name}`")) for f in df.schema.fields
+              if isinstance(f.dataType, _FRACTIONAL)}
+    return df.withColumns(floats) if floats else df
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str = "parquet", null_tokens: Sequence[str] | None = PANDAS_NA_TOKENS,
                limit: int | None = None, order_by: Sequence[str] | None = None,
                options: Mapping[str, str] | None = None) -> DataFrame:
     """Scan a table (S1); optional row cap for debug runs.
 
-    CSV: header row; columns are matched to the schema by NAME (Spark's own
-    CSV schema is positional), no inference pass; empty cells and the pandas
-    NA tokens become NULL, cells that do not parse as the column type become
-    NULL. ``limit`` with ``order_by`` gives a reproducible subset; plain
+    CSV: header row; ALL header columns are read, matched to the schema by
+    NAME (Spark's own CSV schema is positional) and typed by :func:`_typed`;
+    empty cells and the pandas NA tokens become NULL. Without a schema every
+    cell stays a string. NaN becomes NULL in every format. ``limit`` with ``order_by`` gives a reproducible subset; plain
     ``limit`` takes whatever rows come first.
     """
     reader = spark.read
     if fmt == "csv":
         # Spark applies a CSV schema by position; columns are matched by
         # header NAME instead (like pandas): read the cells as strings, map
-        # the NA tokens to NULL, then select and cast every schema column.
+        # the NA tokens to NULL, then type every column.
         reader = reader.option("header", True).option("inferSchema", False)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
         raw = reader.csv(path)
         if null_tokens:
             raw = null_tokens_to_null(raw, null_tokens)
-        df = raw if schema is None else _select_by_name(raw, _as_struct(spark, schema))
+        df = raw if schema is None else _typed(raw, _as_struct(spark, schema))
     else:
         if schema is not None:
             reader = reader.schema(schema)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
         df = reader.format(fmt).load(path)
+    df = nan_columns_to_null(df)
     if limit is not None:
         df = df.orderBy(*order_by).limit(limit) if order_by else df.limit(limit)
     return df

@@ -1,7 +1,7 @@
 """Explicit schemas of the credit tables (types fixed instead of inferred).
 
 Only the columns the feature blocks name are listed; ``read_table`` with
-``fmt='csv'`` reads extra columns only if they are added here.
+``fmt='csv'`` reads all other columns too and finds their types.
 """
 
 from __future__ import annotations
@@ -44,14 +44,13 @@ PREVIOUS_APPLICATION = _schema(
 
 POS_CASH_BALANCE = _schema(
     ("SK_ID_CURR", L), ("MONTHS_BALANCE", H), ("CNT_INSTALMENT", Fl),
-    ("CNT_INSTALMENT_FUTURE", Fl), ("SK_DPD", I), ("SK_DPD_DEF", I), ("STATUS_NAME", S))
+    ("CNT_INSTALMENT_FUTURE", Fl), ("SK_DPD", I), ("SK_DPD_DEF", I))
 
 INSTALLMENTS_PAYMENTS = _schema(
     ("SK_ID_CURR", L), ("NUM_INSTALMENT_VERSION", D), ("DAYS_INSTALMENT", D),
     ("DAYS_ENTRY_PAYMENT", D), ("AMT_INSTALMENT", D), ("AMT_PAYMENT", D))
 
-CREDIT_CARD_BALANCE = _schema(
-    ("SK_ID_PREV", L), ("SK_ID_CURR", L), ("NUM_A", D), ("NUM_B", D), ("CAT_A", S))
+CREDIT_CARD_BALANCE = _schema(("SK_ID_PREV", L), ("SK_ID_CURR", L))
 
 CREDIT_SCHEMAS = {
     "application_train": APPLICATION,

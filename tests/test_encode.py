@@ -48,8 +48,10 @@ def test_dictionary_roundtrip(spark, cat_df, tmp_path):
 
 def test_category_guard(spark):
     df = spark.range(50).selectExpr("cast(id as string) as s")
-    with pytest.raises(CategoryGuardError):
-        CategoryDictionary.discover(df, ["s"], max_categories=10)
+    df = df.selectExpr("'x' as a", "s as b")
+    with pytest.raises(CategoryGuardError, match="'b'"):
+        CategoryDictionary.discover(df, ["a", "b"], max_categories=10)
+    assert len(CategoryDictionary.discover(spark.range(3000).selectExpr("cast(id as string) as s"), ["s"])["s"]) == 3000
 
 
 def test_case_clash_detected(spark):

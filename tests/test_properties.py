@@ -58,7 +58,7 @@ def test_fused_views_equal_filter_group_join(spark, rows):
 def test_exact_median_equals_pandas(spark, rows, parts):
     df = spark.createDataFrame(rows, "k int, s string, v double")
     got = {r["k"]: r["median"] for r in
-           exact_median(df, ["k"], "v", num_partitions=parts, max_distinct=0).collect()}
+           exact_median(df, ["k"], "v", num_partitions=parts).collect()}
     exp = pd.DataFrame(rows, columns=["k", "s", "v"]).dropna(subset=["k"]).groupby("k")["v"] \
         .median().dropna()
     assert set(got) == set(int(k) for k in exp.index)

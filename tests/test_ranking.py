@@ -34,12 +34,11 @@ def test_exact_median_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     pdf = pd.DataFrame(rows, columns=["g", "v"]).dropna(subset=["g"])
     exp = pdf.groupby("g")["v"].median().dropna()
-    for max_distinct in (0, 10, 1_000_000):      # distributed, distributed, percentile
-        got = {r["g"]: r["median"] for r in
-               exact_median(df, ["g"], "v", num_partitions=5, max_distinct=max_distinct).collect()}
+    for parts in (1, 5):
+        got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", num_partitions=parts).collect()}
         assert set(got) == set(exp.index)
         for k, val in exp.items():
-            assert abs(got[k] - val) < 1e-9, (max_distinct, k, got[k], val)
+            assert abs(got[k] - val) < 1e-9, (parts, k, got[k], val)
         assert got["e"] == 2.5   # even count interpolates
 
 
@@ -89,3 +88,23 @@ def test_top_k_and_head(spark):
     got = [r["id"] for r in top_k(df, 5, "v", ["id"]).collect()]
     assert got == [3, 7, 11, 15, 19]
     assert [r["id"] for r in head(df, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_prefix_sums_carry_over_many_batches(spark):
+    """One group over many Arrow batches of one partition; every row comes out with its exact sum."""
+    n = 5000
+    df = spark.range(n).selectExpr("'g' as g", "id as o", "cast(1 as double) as w")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = prefix_before(df, ["g"], ["o"], ["w"], num_partitions=2, with_totals=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == n and all(r.w_before == r.o and r.w_total == n for r in got)
+
+
+def test_median_lookup_has_one_column_order(spark):
+    from featureloom.plans.credit import median_lookup
+    for groups in (2, 300):
+        df = spark.range(900).selectExpr("id as k", f"cast(id % {groups} as string) as g", "cast(id as double) as v")
+        out = median_lookup(df, "g", "v", "m")
+        assert out.columns == ["k", "g", "v", "m"] and out.where("m is null").count() == 0

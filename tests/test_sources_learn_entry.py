@@ -66,13 +66,16 @@ def test_entry_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"gbdt_kfold", "credit_model"}
+    from featureloom.plans.catalog import ORACLE_SQL, QUERIES
+    assert set(QUERIES) <= set(qs) and set(ORACLE_SQL) <= set(sqls)
+    assert set(QUERIES) - set(ORACLE_SQL) == {"gbdt_kfold", "credit_model"}
     df = E.entry(spark)
     assert df.count() > 0 and "SK_ID_CURR" in df.columns
     assert df.select("SK_ID_CURR").distinct().count() == df.count()   # one row per applicant
 
 
-@pytest.mark.parametrize("name", ["subset_views", "category_rate", "roc_auc", "kfold_assign"])
+@pytest.mark.parametrize("name", ["subset_views", "category_rate", "roc_auc", "roc_auc_by_fold", "kfold_assign", "csv_roundtrip",
+                                  "bureau_rates_full", "bureau_rates_fanout", "category_share_long", "group_median_lookup"])
 def test_queries_against_duckdb_small(spark, name):
     """The registered queries against their DuckDB oracle on sf0.001."""
     import duckdb
@@ -97,15 +100,48 @@ def test_queries_against_duckdb_small(spark, name):
     assert key(got) == key(exp)
 
 
-def test_csv_columns_matched_by_name(spark, tmp_path):
+def test_csv_reads_every_column_by_name(spark, tmp_path):
     p = tmp_path / "prev.csv"
-    # file order differs from the schema, has an extra column and lacks one
-    p.write_text("EXTRA,AMT_CREDIT,SK_ID_CURR,HOUR_APPR_PROCESS_START\nz,10.5,7,3.0\nq,NA,8,\n")
-    df = read_table(spark, str(p), CREDIT_SCHEMAS["previous_application"], fmt="csv")
-    assert df.columns == CREDIT_SCHEMAS["previous_application"].fieldNames()
+    # file order differs from the schema, has extra columns and lacks declared ones
+    p.write_text("EXTRA,AMT_CREDIT,SK_ID_CURR,HOUR_APPR_PROCESS_START,FLAG_X,RATIO,EMPTY\n"
+                 "z,10.5,7,3.0,1,0.5,NA\nq,NA,8,,0,2,\n")
+    schema = CREDIT_SCHEMAS["previous_application"]
+    df = read_table(spark, str(p), schema, fmt="csv")
+    assert df.columns == schema.fieldNames() + ["EXTRA", "FLAG_X", "RATIO", "EMPTY"]
+    kinds = dict(df.dtypes)
+    assert [kinds[c] for c in ("EXTRA", "FLAG_X", "RATIO", "EMPTY")] == ["string", "bigint", "double", "double"]
     rows = {r["SK_ID_CURR"]: r for r in df.collect()}
     assert rows[7]["AMT_CREDIT"] == 10.5 and rows[7]["HOUR_APPR_PROCESS_START"] == 3
     assert rows[8]["AMT_CREDIT"] is None and rows[7]["DAYS_DECISION"] is None
+    assert (rows[7]["EXTRA"], rows[7]["FLAG_X"], rows[8]["RATIO"]) == ("z", 1, 2.0)
+
+
+def test_csv_cells_are_never_changed_silently(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("a,b,c\n-10.7,3000000000,x\n2,1,y\n")
+    df = read_table(spark, str(p), "a int, b int, c string", fmt="csv")
+    assert dict(df.dtypes) == {"a": "double", "b": "bigint", "c": "string"}      # widened, nothing cut
+    assert df.where("a = -10.7 and b = 3000000000").count() == 1
+    p.write_text("a\n1\noops\n")
+    with pytest.raises(ValueError, match="'a': 1 of 2"):
+        read_table(spark, str(p), "a int", fmt="csv")
+
+
+def test_nan_reads_as_missing(spark, tmp_path):
+    spark.sql("select double('NaN') as v union all select 1d").write.parquet(str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t")).where("v is null").count() == 1
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from featureloom.session import ensure_checkpoint_dir
+    none = SimpleNamespace(get=lambda *a: None)
+    for master, raises in (("spark://h:7077", True), ("local-cluster[2,1,1024]", True)):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: none)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=none))
+
 
 
 def test_kfold_gbt_stratified_folds(spark):
