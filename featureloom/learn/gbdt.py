@@ -30,12 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NUMERIC_TYPES
-from ..operators.aggregate import mean_by
-from ..operators.assemble import semi_join, union_by_name
-from ..operators.ranking import top_k
+from ..operators.assemble import union_by_name
 from ..session import ensure_checkpoint_dir
 from .folds import kfold_column, stratified_kfold_column
-from .metrics import roc_auc
+from .metrics import best_round, fold_mean, roc_auc, top_importance_rows
 
 # Identifier columns never used as features.
 ID_COLUMNS = ("TARGET", "SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "index")
@@ -57,10 +55,17 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
               subsampling_rate: float = 0.85, feature_subset: str = "0.95",
               min_instances_per_node: int = 40, validation_tol: float = 0.01,
               sentinel: float = -1e9, top_k_features: int = 40,
-              checkpoint: bool = True, parallelism: int = 1) -> KFoldResult:
+              checkpoint: bool = True, parallelism: int = 1,
+              patience: int | None = None) -> KFoldResult:
     """``parallelism`` > 1 fits that many folds concurrently (as
     ``CrossValidator(parallelism=...)`` does): boosting runs many small jobs,
-    so overlapping folds keeps the executors busy."""
+    so overlapping folds keeps the executors busy.
+
+    Early stopping: without ``patience``, Spark ends boosting at the first
+    round that gains less than ``validation_tol`` on the held-out fold; with
+    it, the other folds are boosted for ``max_iter`` rounds, the held-out loss
+    of each round is read, and the model is fitted again up to the round after
+    which ``patience`` rounds brought nothing better."""
     spark = frame.sparkSession
     if features is None:
         exclude = set(ID_COLUMNS) | {key, label}
@@ -91,8 +96,16 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
                             featureSubsetStrategy=feature_subset,
                             minInstancesPerNode=min_instances_per_node, seed=seed,
                             validationIndicatorCol="_is_valid", validationTol=validation_tol)
-        fit_df = train.withColumn("_is_valid", F.col("_fold") == f)
-        return Pipeline(stages=[assembler, gbt]).fit(fit_df)
+        if patience is None:
+            return Pipeline(stages=[assembler, gbt]).fit(train.withColumn("_is_valid", F.col("_fold") == f))
+        gbt = gbt.copy()
+        gbt.clear(gbt.validationIndicatorCol)
+        others, held_out = train.where(F.col("_fold") != f), train.where(F.col("_fold") == f)
+        full = Pipeline(stages=[assembler, gbt]).fit(others)
+        losses = full.stages[-1].evaluateEachIteration(assembler.transform(held_out))
+        rounds = best_round(losses, patience)
+        return full if rounds == max_iter else \
+            Pipeline(stages=[assembler, gbt.copy({gbt.maxIter: rounds})]).fit(others)
 
     if parallelism > 1:
         from concurrent.futures import ThreadPoolExecutor
@@ -120,19 +133,14 @@ def kfold_gbt(frame: DataFrame, key: str, label: str = "TARGET", n_folds: int =
         gm.setProbabilityCol(f"_p{f}").setRawPredictionCol(f"_r{f}").setPredictionCol(f"_y{f}")
         scored = gm.transform(scored)
         fold_scores.append(vector_to_array(F.col(f"_p{f}"))[1])
-    mean_score = fold_scores[0]
-    for c in fold_scores[1:]:
-        mean_score = mean_score + c
-    submission = scored.select(key, (mean_score / float(len(models))).alias(label))
+    submission = scored.select(key, fold_mean(fold_scores).alias(label))
     imp_schema = T.StructType([T.StructField("feature", T.StringType(), False),
                                T.StructField("importance", T.DoubleType(), False),
                                T.StructField("fold", T.IntegerType(), False)])
     importances = spark.createDataFrame(imp_rows, imp_schema)
-    top = top_k(mean_by(importances, "feature", "importance"), top_k_features, "importance",
-                tie_cols=["feature"]).select("feature")
-    top_rows = semi_join(importances, top, "feature", max_broadcast_rows=top_k_features)
     return KFoldResult(
         submission=submission, oof=oof,
         fold_auc=roc_auc(oof, "score", label, group_cols=["fold"]),
         full_auc=roc_auc(oof, "score", label),
-        importances=importances, top_importances=top_rows)
+        importances=importances,
+        top_importances=top_importance_rows(importances, top_k_features))

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranking import prefix_before
+from ..operators.aggregate import mean_by
+from ..operators.assemble import semi_join
+from ..operators.ranking import prefix_before, top_k
 
 
 def roc_auc(df: DataFrame, score_col: str, label_col: str,
@@ -33,3 +35,30 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str,
            F.sum("pos").cast("long").alias("n_pos"),
            F.sum("neg").cast("long").alias("n_neg")]
     return r.groupBy(*group_cols).agg(*agg) if group_cols else r.agg(*agg)
+
+
+def fold_mean(scores: Sequence[Column]) -> Column:
+    """Mean of the fold models' scores of a row (L6): row-wise, no shuffle."""
+    total = scores[0]
+    for c in scores[1:]:
+        total = total + c
+    return total / float(len(scores))
+
+
+def top_importance_rows(importances: DataFrame, k: int) -> DataFrame:
+    """All fold rows (feature, importance, fold) of the ``k`` features with the
+    largest mean importance, ties by name (L8)."""
+    top = top_k(mean_by(importances, "feature", "importance"), k, "importance", tie_cols=["feature"]).select("feature")
+    return semi_join(importances, top, "feature", max_broadcast_rows=k)
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Boosting rounds to keep (L3): the first round with the smallest loss before
+    ``patience`` rounds in a row brought no better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne, safe_ratio,
                          sentinel_to_null, shifted_ratio, with_row_stats)
 from ..learn.folds import kfold_column, stratified_kfold_column
-from ..learn.metrics import roc_auc
+from ..learn.metrics import fold_mean, roc_auc, top_importance_rows
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
                          category_rates, distinct_rows, fill_with_mean, head, left_join,
                          left_star, mean_by, missing_profile, one_hot, semi_join, top_k,
@@ -747,18 +747,25 @@ SELECT fold, round(sum(pos * (neg_below + neg / 2.0)) / (sum(pos) * sum(neg)), 9
 
 # L6 U2
 def fold_mean_score(spark, d):
-    """Test score = mean of the k fold models' scores (L6), computed the way
-    ``kfold_gbt`` scores its test rows: every fold's score is a column of ONE
-    pass over the rows and the mean is row-wise -- no union of k scored
-    copies, no shuffle by key. (Appending per-fold results, U2, is the
-    out-of-fold table of ``kfold_gbt``.)"""
+    """Test score = mean of the k fold models' scores (L6) by the learner's own
+    helper, over five given score columns."""
     o = load(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    fold_scores = [F.col("o_totalprice") / (F.col("o_totalprice") + F.lit(10000.0 * (f + 1)))
-                   for f in range(N_FOLDS)]
-    total = fold_scores[0]
-    for c in fold_scores[1:]:
-        total = total + c
-    return o.select("o_orderkey", rnd(total / float(N_FOLDS), 6).alias("TARGET"))
+    scores = [F.col("o_totalprice") / (F.col("o_totalprice") + F.lit(10000.0 * (f + 1))) for f in range(N_FOLDS)]
+    return o.select("o_orderkey", rnd(fold_mean(scores), 6).alias("TARGET"))
+
+
+# Importance rows of the ten best features, over a given importance table
+def top_importances(spark, d):
+    part = load(spark, d, "part").select(F.col("p_brand").alias("feature"), F.col("p_retailprice").alias("importance"),
+                                         (F.col("p_partkey") % N_FOLDS).cast("int").alias("fold"))
+    per_fold = part.groupBy("feature", "fold").agg(rnd(F.avg("importance"), 6).alias("importance"))
+    return top_importance_rows(per_fold, 10).select("feature", "importance", "fold")
+
+
+SQL_TOP_IMPORTANCES = f"""WITH i AS (SELECT p_brand AS feature, CAST(p_partkey % {N_FOLDS} AS INTEGER) AS fold,
+    round(avg(p_retailprice), 6) AS importance FROM part GROUP BY 1, 2),
+t AS (SELECT feature FROM i GROUP BY feature ORDER BY avg(importance) DESC, feature LIMIT 10)
+SELECT feature, importance, fold FROM i WHERE feature IN (SELECT feature FROM t)"""
 
 
 def _sql_fold_mean_score() -> str:
@@ -1332,6 +1339,7 @@ QUERIES = {
     "roc_auc": roc_auc_q,
     "roc_auc_by_fold": roc_auc_by_fold,
     "fold_mean_score": fold_mean_score,
+    "top_importances": top_importances,
     "credit_application_block": credit_application_block,
     "credit_bureau_block": credit_bureau_block,
     "credit_previous_block": credit_previous_block,
@@ -1384,6 +1392,7 @@ ORACLE_SQL = {
     "roc_auc": SQL_ROC_AUC,
     "roc_auc_by_fold": SQL_ROC_AUC_BY_FOLD,
     "fold_mean_score": _sql_fold_mean_score(),
+    "top_importances": SQL_TOP_IMPORTANCES,
     "credit_application_block": _sql_credit_application_block(),
     "credit_bureau_block": _sql_credit_bureau_block(),
     "credit_previous_block": _sql_credit_previous_block(),

@@ -62,6 +62,13 @@ def test_kfold_gbt_planted_signal(spark):
     assert {r["feature"] for r in res.top_importances.collect()} == {"x1"}
 
 
+def test_patience_goes_past_flat_rounds():
+    from featureloom.learn.metrics import best_round
+    assert best_round([0.9, 0.8, 0.8, 0.7, 0.75, 0.76], 3) == 4     # a flat round does not end it
+    assert best_round([0.9, 0.8, 0.8, 0.8, 0.1], 2) == 2            # two rounds without gain do
+    assert best_round([0.5], 5) == 1
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
