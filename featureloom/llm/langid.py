@@ -100,8 +100,17 @@ def train_text(docs: DataFrame, per_lang: int = 2000, lang_col: str = "lang", id
                         total[lang] = total[lang] + n if lang in total else n
         yield {"lang": list(total), "counts": [v.tobytes() for v in total.values()]}
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("counts").to_pylist()):
+                n = np.frombuffer(raw, np.int64)
+                total[lang] = total[lang] + n if lang in total else n
+        yield {"lang": list(total), "counts": [v.tobytes() for v in total.values()]}
+
     counts = {lang: np.zeros(BUCKETS, np.int64) for lang in rates}
-    for r in map_batches(sample, run, "lang string, counts binary").collect():  # one row a language and task
+    parts = map_batches(sample, run, "lang string, counts binary").repartition("lang")
+    for r in map_batches(parts, add, "lang string, counts binary").collect():  # one row a language
         counts[r["lang"]] = counts[r["lang"]] + np.frombuffer(r["counts"], np.int64)
     return TextModel(counts, temper)
 
