@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureloom.llm import decontaminate, secrets_scan, sentencepieces, toxicity
-from featureloom.llm.common import materialize
+from featureloom.llm.common import is_empty, materialize
 from featureloom.llm.neardup import near_duplicates
 from featureloom.llm.queries import piece_model
 
@@ -29,10 +29,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8; the smallest id of a group stays, of rows that repeat it one."""
-    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("gone"))
-    kept = docs.join(gone, docs.doc_id == F.col("gone"), "left_anti")
-    return kept.dropDuplicates(docs.columns)
+    """Five-word shingles, similarity 0.8; the smallest id of a group stays, and one of equal rows that repeat it.
+
+    Rows without an id cannot be told apart by it and stay.
+    """
+    found = materialize(near_duplicates(docs, width=5, percent=80).where("doc_id is not null"), "groups")
+    gone = found.where("not kept").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = materialize(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if is_empty(repeated):
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def cut_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
