@@ -339,8 +339,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     comps = _merge(src, member, active, width, percent, block, slack, quotas)
     rows = sigs.select("id", "n", "cls").join(comps, sigs.cls == comps.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("root"))
-    least = sigs.where("n > 0").join(comps, sigs.cls == comps.node, "left") \
-        .groupBy(F.coalesce("comp", "cls").alias("root")).agg(F.min("id").alias("component_id"))
+    # written, so that the join below has two plain exchanges and a hot component can be split
+    least = materialize(sigs.where("n > 0").join(comps, sigs.cls == comps.node, "left")
+                        .groupBy(F.coalesce("comp", "cls").alias("root")).agg(F.min("id").alias("component_id")), "least")
     full = rows.where("n_shingles > 0").join(least, "root").select("id", "n_shingles", "component_id")
     none = rows.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
     return full.unionAll(none).select(
