@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialize, texts
 
 MARK = "▁"
-CHUNK_WORDS, CHUNK_DISTINCT = 2_500_000, 200_000
+CHUNK_WORDS, CHUNK_DISTINCT = 3_500_000, 300_000
 PLACES = 4096  # uses of a word in one row
 WORDS = re.compile(" +[^ ]*|[^ ]+").findall
 PENALTY = 10.0  # a character without a piece scores this much below the worst piece
@@ -145,6 +145,25 @@ def cut_word(raw: str, joined: set[str]) -> list[str]:
     return [*out, word[at:]]
 
 
+def steps_of(rising: np.ndarray) -> bytes:
+    """Rising numbers as their differences, which compress well."""
+    return np.diff(rising, prepend=rising.dtype.type(0)).astype("<u4").tobytes()
+
+
+def from_steps(raw: bytes, count: int, at: int = 0) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, "<u4", count, at), dtype=np.uint32)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """32-bit numbers as all lower and then all upper halves."""
+    return (values & 0xFFFF).astype("<u2").tobytes() + (values >> 16).astype("<u2").tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    halves = np.frombuffer(raw, "<u2")
+    return halves[:len(halves) // 2].astype(np.uint32) | halves[len(halves) // 2:].astype(np.uint32) << 16
+
+
 class Chunk:
     """Documents of one task as word numbers, and the words."""
 
@@ -183,11 +202,10 @@ class Chunk:
             lists[b].append(word)
             codes[b].append(code)
         seq = np.frombuffer(b"".join(self.seqs), "<u4")
-        planes = (seq & 0xFFFF).astype("<u2").tobytes() + (seq >> 16).astype("<u2").tobytes()
         return {"chunk": [number],
-                "words": [[pack(np.array(c, "<u4").tobytes() + " ".join(w).encode()) if c else b"" for w, c in zip(lists, codes)]],
+                "words": [[pack(steps_of(np.array(c, "<u4")) + " ".join(w).encode()) if c else b"" for w, c in zip(lists, codes)]],
                 "sizes": [[len(c) for c in codes]], "ids": [ids], "lens": [[len(s) // 4 for s in self.seqs]],
-                "checks": [checks], "seq": [pack(planes)]}
+                "checks": [checks], "seq": [pack(planes(seq))]}
 
 
 def _chunks(joined, dummy: bool, buckets: int):
@@ -231,7 +249,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                 current = bucket
             raw = unpack(blob)
             place = np.empty(size, PLACE)
-            place["chunk"], place["code"] = chunk, np.frombuffer(raw, "<u4", size)
+            place["chunk"], place["code"] = chunk, from_steps(raw, size)
             flat = place.tobytes()
             for k, word in enumerate(raw[4 * size:].decode().split(" ")):
                 if word in uses:
@@ -250,7 +268,7 @@ def spread(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarr
 def _back_to_chunks(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         pieces = table.value
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -262,15 +280,15 @@ def _back_to_chunks(table):
             starts = np.cumsum(lens) - lens
             place = np.frombuffer(b"".join(places), PLACE)
             row = np.repeat(np.arange(len(places)), [len(p) // 12 for p in places])
-            order = np.argsort(place["chunk"], kind="stable")
+            order = np.lexsort((place["code"], place["chunk"]))
             place, row = place[order], row[order]
             cuts = np.flatnonzero(np.concatenate([[True], np.diff(place["chunk"]) != 0, [True]]))
             out = {"chunk": place["chunk"][cuts[:-1]], "part": []}
             for a, b in zip(cuts, cuts[1:]):
                 r = row[a:b]
                 flat = spread(values, starts[r], lens[r])
-                out["part"].append(pack(np.uint32(b - a).tobytes() + place["code"][a:b].tobytes()
-                                        + lens[r].astype("<u2").tobytes() + flat.astype("<u4").tobytes()))
+                out["part"].append(pack(np.uint32(b - a).tobytes() + steps_of(place["code"][a:b])
+                                        + lens[r].astype("<u4").tobytes() + planes(flat)))
             yield out
     return run
 
@@ -297,9 +315,9 @@ def _assemble(table, dummy: bool, keep_ids: bool):
                 codes, lens, flat = [], [], []
                 for raw in map(unpack, parts):
                     n = int(np.frombuffer(raw, "<u4", 1)[0])
-                    codes.append(np.frombuffer(raw, "<u4", n, 4))
-                    lens.append(np.frombuffer(raw, "<u2", n, 4 + 4 * n))
-                    flat.append(np.frombuffer(raw, "<u4", -1, 4 + 6 * n))
+                    codes.append(from_steps(raw, n, 4))
+                    lens.append(np.frombuffer(raw, "<u4", n, 4 + 4 * n))
+                    flat.append(from_planes(raw[4 + 8 * n:]))
                 parts = []
                 code = np.concatenate(codes) if codes else np.empty(0, np.int64)
                 n_ids, start = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
@@ -309,8 +327,7 @@ def _assemble(table, dummy: bool, keep_ids: bool):
                 store, path = fs.FileSystem.from_uri(file)
                 row = pq.read_table(path, filesystem=store, columns=["ids", "lens", "checks", "seq"],
                                     filters=[("chunk", "==", number)]).combine_chunks()
-                planes = np.frombuffer(unpack(row["seq"][0].as_py()), "<u2")
-                seq = planes[:len(planes) // 2].astype(np.uint32) | planes[len(planes) // 2:].astype(np.uint32) << 16
+                seq = from_planes(unpack(row["seq"][0].as_py()))
                 ids, checks, words = row["ids"][0].values, row["checks"][0].values.to_pylist(), row["lens"][0].values.to_pylist()
                 at = 0
                 for k in range(0, len(words), 256):
