@@ -36,6 +36,22 @@ def test_differences_are_reported():
     assert [f["license"] for f in found] == ["MIT"] and found[0]["differences"] == "-charge +cost"
 
 
+@pytest.mark.parametrize("size", [8_000, 40_000, 400_000])
+def test_notices_in_long_blocks(size):
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.85)
+    words = prose(7, size // 4).split()
+    for k in range(20, len(words), 40):  # cue words that merge the windows
+        words[k] = "copyright"
+    half = len(" ".join(words)[:size]) // 2
+    text = " ".join(words)[:size]
+    for name, notice in NOTICES.items():
+        n, found = scanner.scan(f"{text[:half]}\n{notice} {text[half:]}")
+        assert n == 1 and [f["license"] for f in found] == [name]
+        again = f"{prose(8, 90)}\n" + f"{notice}\n" * (size // len(notice))
+        n, found = scanner.scan(again)
+        assert n == 1 and [f["license"] for f in found] == [name] * (size // len(notice))
+
+
 def test_license_edge_cases(edge_docs, no_docs):
     got = licenses.license_digest(licenses.find_licenses(edge_docs, ["doc_id"])).collect()
     assert len(got) == len(edge_rows()) and all(r.licenses == "" and r.n_blocks == 0 for r in got)
