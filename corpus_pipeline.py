@@ -1,6 +1,6 @@
 """Training-corpus pipeline over ``documents``: five stages, each on all its predecessor kept.
 
-1. toxicity: documents that the model rejects go,
+1. toxicity: documents that ``op10_toxicity`` would call toxic go,
 2. near_duplicates: one document of each group of near copies stays,
 3. decontamination: spans of benchmark phrases are cut out of the texts,
 4. secrets: found secrets are replaced by a mark,
@@ -20,12 +20,10 @@ from featureloom.llm.common import is_empty, materialize
 from featureloom.llm.neardup import near_duplicates
 from featureloom.llm.queries import piece_model
 
-TOXIC = 0.5  # a document is rejected from this probability on
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.drop_toxic(docs, toxicity.train(docs, labels, F.lit(True)), TOXIC)
+    return toxicity.drop_toxic(docs, toxicity.train(docs, labels, F.lit(True)), toxicity.THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,7 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_bucket("doc_id", 4) == 2
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
     return toxicity.score(docs, model, ["doc_id"]).select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, texts
 from .labelled import labelled_sample
 
+#: A document is toxic from this probability on, in ``op10_toxicity`` and in the pipeline.
+THRESHOLD = 0.3
 #: Second-person words of English, German, French and Spanish.
 SECOND_PERSON = frozenset(("you your yours yourself u ur du dich dir dein deine euch euer ihr tu toi te ton ta tes "
                            "vous votre vos ti tus usted ustedes vosotros").split())
@@ -250,6 +252,6 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: str
                        "".join(f"`{c}` {types[c]}, " for c in keep) + f"`{name}` double")
 
 
-def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
+def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``; columns stay."""
     return score(docs, model, docs.columns, name="__toxicity").where(F.col("__toxicity") < threshold).drop("__toxicity")

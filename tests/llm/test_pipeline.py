@@ -1,5 +1,5 @@
 import corpus_pipeline
-from featureloom.llm import decontaminate, secrets_scan
+from featureloom.llm import decontaminate, secrets_scan, toxicity
 from featureloom.llm.queries import ORACLE_SQL, QUERIES
 
 from .conftest import prose
@@ -59,6 +59,15 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(left["sentencepiece"])
 
 
+def test_toxicity_stage_drops_what_op10_calls_toxic(spark, tmp_path, monkeypatch):
+    tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for score, toxic in ((0.29, 0), (0.3, 1), (0.4, 1)):  # a model without trees gives every text its prior
+        monkeypatch.setattr(toxicity, "train", lambda *_: toxicity.ToxicityModel(score))
+        assert {r.predicted for r in QUERIES["op10_toxicity"](spark, str(tmp_path)).collect()} == {toxic}
+        assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == (0 if toxic else docs.count())
+
+
 def test_eleven_queries_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
