@@ -34,6 +34,19 @@ def test_equals_brute_force_with_edge_cases(spark):
     topk.CHUNK = 4096
 
 
+def test_tasks_of_few_vectors_with_a_query(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-8, 9, 4) / 4]) for i in range(97, 160)]
+    rows += [(200, [1.0, 1.0]), (201, [0.5, 0.5]), (202, [2.0, -1.0])]  # a rare length
+    schema = "vec_id long, embedding array<float>"
+    for size in (2, 5, 10):
+        parts = [spark.createDataFrame(rows[at:at + size], schema).coalesce(1) for at in range(0, len(rows), size)]
+        df = parts[0]
+        for part in parts[1:]:
+            df = df.unionAll(part)
+        assert result(topk.top_k(df, F.col("vec_id") % 100 == 0)) == brute(rows, 10)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 100 == 0).collect() == []
