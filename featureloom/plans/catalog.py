@@ -37,6 +37,7 @@ RETURN_FLAGS = ["A", "N", "R"]
 SPLIT_DATE = "1999-01-01 00:00:00"
 N_FOLDS = 5
 FOLD_SEED = 47
+PATIENCE = 200  # as in the reference; more than the learner's 100 rounds, so the best of all of them is kept
 
 
 def _q(name: str) -> str:
@@ -800,7 +801,7 @@ def gbdt_kfold(spark, d):
     from ..learn.gbdt import kfold_gbt
     frame = customer_training_frame(spark, d)
     result = kfold_gbt(frame, key="c_custkey", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
-                       max_iter=20, max_depth=5, parallelism=N_FOLDS)
+                       patience=PATIENCE, parallelism=N_FOLDS)
     return result.submission
 
 
@@ -1285,7 +1286,7 @@ def credit_model(spark, d):
     from .credit import credit_feature_table
     feats = credit_feature_table(credit_tables_from_driver(spark, d), "v2")
     res = kfold_gbt(feats, key="SK_ID_CURR", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
-                    max_iter=20, max_depth=5, parallelism=N_FOLDS)
+                    patience=PATIENCE, parallelism=N_FOLDS)
     return res.submission
 
 

@@ -69,6 +69,37 @@ def test_patience_goes_past_flat_rounds():
     assert best_round([0.5], 5) == 1
 
 
+def test_trained_queries_run_the_whole_learner(spark, monkeypatch):
+    import inspect
+
+    from featureloom.learn import gbdt
+    from featureloom.plans import catalog
+    calls, plain = [], inspect.signature(gbdt.kfold_gbt)
+
+    class Stop(Exception):
+        pass
+
+    def record(*args, **kwargs):
+        calls.append(plain.bind(*args, **kwargs).arguments)
+        raise Stop
+    monkeypatch.setattr(gbdt, "kfold_gbt", record)
+    for name in ("gbdt_kfold", "credit_model"):
+        with pytest.raises(Stop):
+            catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(calls) == 2
+    for given in calls:  # the library's rounds and depth, and early stopping by patience
+        assert given.get("max_iter", 100) >= 100 and given.get("max_depth", 8) >= 8 and given.get("patience")
+
+
+def test_patience_path_keeps_the_best_round(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, float(x), None if i % 5 == 0 else int(x + rng.normal() > 0)) for i, x in enumerate(rng.normal(size=300))]
+    frame = spark.createDataFrame(rows, "SK_ID_CURR long, x1 double, TARGET int")
+    res = kfold_gbt(frame, key="SK_ID_CURR", n_folds=2, max_iter=6, max_depth=2, min_instances_per_node=5, patience=20, parallelism=2)
+    got = res.submission.collect()
+    assert len(got) == 60 and all(0 <= r["TARGET"] <= 1 for r in got) and res.full_auc.first()["auc"] > 0.7
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
