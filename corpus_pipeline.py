@@ -27,18 +27,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8; the smallest id of a group stays, and one of equal rows that repeat it.
+    """Five-word shingles, similarity 0.8; of each group the row of the smallest id and text hash stays, null ids last.
 
-    Rows without an id cannot be told apart by it and stay.
+    Of word-free rows, which are in no group, one of equal rows that repeat an id stays.
     """
-    found = materialize(near_duplicates(docs, width=5, percent=80).where("doc_id is not null"), "groups")
-    gone = found.where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = materialize(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    found = materialize(near_duplicates(docs, width=5, percent=80, text_hash="__hash").withColumnRenamed("doc_id", "__id"), "groups")
+    gone = found.where("not kept").select("__id", "__hash").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    kept = docs.join(gone, same, "left_anti")
+    repeated = materialize(found.where("kept and (n_shingles > 0 or __id is not null)").groupBy("__id", "__hash")
+                           .agg(F.count("*").alias("c"), F.max("n_shingles").alias("n")).where("c > 1"), "repeated")
     if is_empty(repeated):
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates()
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    once = kept.join(repeated, same).groupBy("__id", "__hash", F.when(F.col("n") == 0, F.xxhash64(*docs.columns))) \
+        .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
 def cut_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -313,11 +313,23 @@ def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, per
         comp = joined(checked.where("linked"))
 
 
+def _first_rows(sigs: DataFrame, comps: DataFrame, id_col: str, text_hash: str) -> DataFrame:
+    key = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))
+    rows = sigs.where("n > 0").join(comps, sigs.cls == comps.node, "left").select("id", "h", "n", F.coalesce("comp", "cls").alias("root"))
+    least = materialize(rows.groupBy("root").agg(F.min(key).alias("least")), "least")
+    full = rows.join(least, "root").select("id", "h", "n", F.col("least.id").alias("component_id"), key.eqNullSafe(F.col("least")).alias("kept"))
+    none = sigs.where("n = 0").select("id", "h", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    return full.unionAll(none).toDF(id_col, text_hash, "n_shingles", "component_id", "kept")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", block: int = 2048, slack: float = 0.15,
-                    quotas: tuple[int, ...] = (2, 16)) -> DataFrame:
+                    quotas: tuple[int, ...] = (2, 16), text_hash: str | None = None) -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` and ``kept`` (the component's smallest id).
 
+    With ``text_hash``, a column of that name has xxhash64 of the text, and
+    ``kept`` holds for the component's smallest (id, hash) alone, null ids last.
+
     Two rows are linked when 100 * |A and B| >= percent * |A or B| over their
     distinct ``width``-word shingles. ``quotas``: how many partners a class
     proposes in each quota round.
@@ -337,6 +349,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     active = materialize(map_batches(classes.join(member.select("cls").distinct(), "cls", "left_semi"), _short_bands,
                                      f"cls binary, id {id_type}, h long, n long, bands binary, sig binary"), "active")
     comps = _merge(src, member, active, width, percent, block, slack, quotas)
+    if text_hash:
+        return _first_rows(sigs, comps, id_col, text_hash)
     rows = sigs.select("id", "n", "cls").join(comps, sigs.cls == comps.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("root"))
     # written, so that the join below has two plain exchanges and a hot component can be split

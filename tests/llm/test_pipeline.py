@@ -59,6 +59,18 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(left["sentencepiece"])
 
 
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    a, b, c, e = (prose(s, 80) for s in (801, 802, 803, 804))
+    rows = [(1, a), (5, a + " more"), (5, b), (5, b), (7, c), (7, c + " more"), (None, e), (None, e), (None, e + " more"),
+            (None, a), (8, ""), (8, ""), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(*r, k % 2) for k, r in enumerate(rows)], "doc_id long, text string, other long").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text.removesuffix(" more")) for r in kept.collect()]
+    want = [(1, a), (5, b), (7, c), (None, e), (8, ""), (8, ""), (None, ""), (None, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_toxicity_stage_drops_what_op10_calls_toxic(spark, tmp_path, monkeypatch):
     tables(spark, tmp_path)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
