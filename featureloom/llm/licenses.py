@@ -115,9 +115,17 @@ def confirm(template: list[str], words: list[str], where: dict[str, list[int]],
     if hopeless(where):
         return []
     places = []
-    # the places where the template's two rarest words stand
-    rare = sorted({w for w in template if w in where}, key=lambda w: (len(where[w]), -len(w), w))[:2]
-    anchors = {max(0, k - template.index(w)) for w in rare for k in where[w]}
+    # a place keeps every telling word, and one of any words that hold more than the letters it may miss
+    rare, held = [], sum(len(w) for w in template if w not in where)
+    for w in sorted(must or {w for w in template if w in where}, key=lambda w: (len(where[w]), -len(w), w)):
+        rare.append(w)
+        held += len(w) * template.count(w)
+        if must or 1 - held / letters < coverage - 1e-9:
+            break
+    # the window starts where the template would without added words, or at any word of it before
+    anchors = {max(0, k - i) for w in rare for k in where[w] for i, v in enumerate(template) if v == w}
+    anchors |= {j for w in rare for k in where[w] for j in range(max(0, k - 2 * len(template) + 1), k + 1) if words[j] in template}
+    seen = set()
     for first in sorted(anchors):
         window = words[first:first + 2 * len(template)]
         if hopeless(dict.fromkeys(window)):
@@ -136,6 +144,9 @@ def confirm(template: list[str], words: list[str], where: dict[str, list[int]],
         added = [window[j] for j in range(s, e) if j not in met]
         if any(w in TELLING for w in added):  # another license's name stands between
             continue
+        if (first + s, first + e) in seen:
+            continue
+        seen.add((first + s, first + e))
         places.append((-share, len(added), first + s, first + e, [f"-{w}" for w in missing] + [f"+{w}" for w in added]))
     return [p[2:] for p in sorted(places)]
 

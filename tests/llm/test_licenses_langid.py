@@ -52,6 +52,16 @@ def test_notices_in_long_blocks(size):
         assert n == 1 and [f["license"] for f in found] == [name] * (size // len(notice))
 
 
+def test_words_added_before_the_anchor():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.85)
+    notice = "Licensed under the terms of the Apache License, Version 2.0."
+    for text in (notice, f"{notice} {prose(4, 20)} {notice}", f"{notice} {notice} {notice}", f"A licensed shop. {notice}",
+                 f"A licensed shop. {notice} {notice}"):
+        found = scanner.scan(text)[1]
+        assert [(f["license"], f["differences"]) for f in found] == [("Apache-2.0", "+the +terms +of")] * text.count(notice)
+        assert all(text[f["s"]:f["e"]] == notice[:-1] for f in found)
+
+
 def test_license_edge_cases(edge_docs, no_docs):
     got = licenses.license_digest(licenses.find_licenses(edge_docs, ["doc_id"])).collect()
     assert len(got) == len(edge_rows()) and all(r.licenses == "" and r.n_blocks == 0 for r in got)
