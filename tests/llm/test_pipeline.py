@@ -80,8 +80,8 @@ def test_toxicity_stage_drops_what_op10_calls_toxic(spark, tmp_path, monkeypatch
         assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == (0 if toxic else docs.count())
 
 
-def test_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(QUERIES) <= set(names) and set(ORACLE_SQL) <= set(entry.oracle_sql())
