@@ -6,8 +6,9 @@ all columns (distinct (column, value) pairs, pre-aggregated map-side), with a
 size guard, and freezes them: training and scoring use the same dictionary,
 and unseen values at scoring time get all-zero indicators.
 
-Encoding itself is a pure projection (``CASE``/literal-map expressions), so
-it runs inside whole-stage codegen with no join and no shuffle.
+One-hot encoding is a pure projection (``CASE`` expressions) inside whole-stage
+codegen; codes and lookups join a table of one row a value, which is broadcast
+up to a checked number of rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions.columns import string_columns
 
 DEFAULT_MAX_CATEGORIES = None  # no limit unless a caller asks for one
+BROADCAST_ROWS = 100_000  # a mapping of at most so many entries is broadcast, a larger one joined by its key
 
 
 class CategoryGuardError(ValueError):
@@ -202,24 +204,39 @@ def factorize(df: DataFrame, columns: Sequence[str], order_col: str, order: str
               dictionary: dict[str, dict[str, int]] | None = None,
               max_categories: int | None = DEFAULT_MAX_CATEGORIES
               ) -> tuple[DataFrame, dict[str, dict[str, int]]]:
-    """Replace each column by its integer code (E2); missing -> -1.
+    """Replace each column by its integer code (E2); missing or unseen -> -1.
 
-    Spark rows have no inherent order, so "first appearance" needs an
-    explicit ``order_col`` (e.g. a key or a file-row ordinal).
+    Spark rows have no inherent order, so "first appearance" needs an explicit
+    ``order_col``, e.g. the row number in file order
+    (:func:`featureloom.sources.file_ordinal`). The codes are joined as a table of
+    one row a category.
     """
     if dictionary is None:
         dictionary = first_appearance_dictionary(df, columns, order_col, order, max_categories)
-    return df.withColumns({c: code_column(c, dictionary[c]) for c in columns}), dictionary
+    names = df.columns
+    for c in columns:
+        df = _joined_values(df, dictionary[c], F.col(f"`{c}`").cast("string"), "string", c, "int", F.lit(-1))
+    return df.select(*(f"`{c}`" for c in names)), dictionary
+
+
+def _joined_values(df: DataFrame, mapping: dict, key: Column, key_type: str, out_col: str, value_type: str,
+                   missing: Column | None = None) -> DataFrame:
+    """``out_col`` = the mapping's value at ``key`` by a join with a table of the mapping, NULL or ``missing`` elsewhere."""
+    rows = [(k, v) for k, v in mapping.items() if k is not None]
+    table = df.sparkSession.createDataFrame(rows, T.StructType.fromDDL(f"_key {key_type}, _value {value_type}"))
+    if len(rows) <= BROADCAST_ROWS:
+        table = F.broadcast(table)
+    value = F.col("_value") if missing is None else F.coalesce("_value", missing.cast(value_type))
+    return df.join(table, key == F.col("_key"), "left").withColumn(out_col, value).drop("_key", "_value")
 
 
 def lookup(df: DataFrame, mapping: dict, key_col: str, out_col: str,
            value_type: str = "double") -> DataFrame:
-    """Value lookup by a frozen mapping (E4, ``Series.map``); unknown -> NULL."""
-    if not mapping:
-        return df.withColumn(out_col, F.lit(None).cast(value_type))
-    m = F.create_map(*[x for k, v in mapping.items()
-                       for x in (F.lit(k), F.lit(v).cast(value_type))])
-    return df.withColumn(out_col, F.try_element_at(m, F.col(key_col)))
+    """Value lookup by a frozen mapping (E4, ``Series.map``), joined as a table; unknown -> NULL."""
+    key_type = df.schema[key_col].dataType.simpleString()
+    as_value = float if value_type in ("double", "float") else (lambda v: v)
+    mapping = {k: None if v is None else as_value(v) for k, v in mapping.items()}
+    return _joined_values(df, mapping, F.col(f"`{key_col}`"), key_type, out_col, value_type)
 
 
 def category_shares_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -683,6 +683,77 @@ SQL_CSV_ROUNDTRIP = """SELECT c_custkey, c_name, c_nationkey, c_acctbal,
   CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS c_mktsegment FROM customer"""
 
 
+# Cells with separators, quotes, line ends, backslashes and outer spaces
+def awkward_customers(spark, d):
+    tail = F.element_at(F.array(*map(F.lit, AWKWARD)), (F.col("c_custkey") % len(AWKWARD) + 1).cast("int"))
+    return load(spark, d, "customer").select("c_custkey", F.concat("c_name", tail).alias("c_name"), "c_acctbal")
+
+
+AWKWARD = [', "quoted"', "\nnext line", "\\", " ", '"', ",", "\r\n\\\"x"]
+
+
+def csv_dialect_roundtrip(spark, d):
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources.io import read_table, write_table
+    path = checkpoint_path(spark, f"csv-{uuid.uuid4().hex}")
+    write_table(awkward_customers(spark, d), path, fmt="csv", max_rows_per_file=100_000)
+    return read_table(spark, path, fmt="csv", schema="c_name string")
+
+
+def _sql_csv_dialect_roundtrip() -> str:
+    code = " || ".join
+    tails = ", ".join(code(f"chr({ord(ch)})" for ch in t) for t in AWKWARD)
+    return f"SELECT c_custkey, c_name || list_extract([{tails}], c_custkey % {len(AWKWARD)} + 1) AS c_name, c_acctbal FROM customer"
+
+
+# Rows with too many cells are set aside, rows with too few are filled
+def csv_quarantine(spark, d):
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources.io import read_table
+    path, aside = (checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}") for name in ("csv", "aside"))
+    key = F.col("c_custkey")
+    line = F.concat_ws(",", key, F.concat(F.lit('"'), "c_name", F.lit(', x"')), F.when(key % 5 != 0, F.col("c_nationkey")),
+                       F.when(key % 7 == 0, F.lit("surplus,cells")))
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # every file starts with the header
+    load(spark, d, "customer").select(F.when(first, F.concat(F.lit("c_custkey,c_name,c_nationkey\n"), line)).otherwise(line)) \
+        .write.text(path)
+    good = read_table(spark, path, "c_custkey bigint, c_name string, c_nationkey int", fmt="csv", bad_rows="aside", bad_rows_path=aside)
+    bad = spark.read.parquet(aside).select(F.col("cells")[0].cast("bigint").alias("c_custkey"), F.col("cells")[1].alias("c_name"),
+                                           F.lit(None).cast("int").alias("c_nationkey"), F.lit(True).alias("aside"))
+    return good.withColumn("aside", F.lit(False)).unionByName(bad)
+
+
+SQL_CSV_QUARANTINE = """SELECT c_custkey, c_name || ', x' AS c_name,
+  CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 THEN CAST(c_nationkey AS INTEGER) END AS c_nationkey,
+  c_custkey % 7 = 0 AS aside FROM customer"""
+
+
+# Row numbers and first-appearance codes in the order of files that are not sorted by key
+def file_order_codes(spark, d):
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources.io import read_table, write_table
+    base = checkpoint_path(spark, f"ordered-{uuid.uuid4().hex}")
+    cust = load(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").orderBy("c_acctbal", "c_custkey")
+    write_table(cust, f"{base}/parquet", max_rows_per_file=2_000)
+    write_table(cust, f"{base}/csv", fmt="csv")
+    rows = read_table(spark, f"{base}/parquet", ordinal="ordinal")
+    coded, _ = factorize(rows, ["c_mktsegment"], order_col="ordinal")
+    from_csv = read_table(spark, f"{base}/csv", "c_custkey bigint", fmt="csv", ordinal="csv_ordinal").select("c_custkey", "csv_ordinal")
+    return coded.withColumnRenamed("c_mktsegment", "code").join(from_csv, "c_custkey").select("c_custkey", "ordinal", "csv_ordinal", "code")
+
+
+SQL_FILE_ORDER_CODES = """WITH c AS (
+  SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS ordinal FROM customer),
+d AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY min(ordinal)) - 1 AS INTEGER) AS code FROM c GROUP BY c_mktsegment)
+SELECT c_custkey, ordinal, ordinal AS csv_ordinal, code FROM c JOIN d USING (c_mktsegment)"""
+
+
 # S2 S4 O3
 HEAD_N = 100
 
@@ -1335,6 +1406,9 @@ QUERIES = {
     "bureau_rates_fanout": bureau_rates_fanout,
     "category_share_long": category_share_long,
     "csv_roundtrip": csv_roundtrip,
+    "csv_dialect_roundtrip": csv_dialect_roundtrip,
+    "csv_quarantine": csv_quarantine,
+    "file_order_codes": file_order_codes,
     "head_limit": head_limit,
     "kfold_assign": kfold_assign,
     "roc_auc": roc_auc_q,
@@ -1388,6 +1462,9 @@ ORACLE_SQL = {
     "bureau_rates_fanout": SQL_BUREAU_RATES_FANOUT,
     "category_share_long": SQL_CATEGORY_SHARE_LONG,
     "csv_roundtrip": SQL_CSV_ROUNDTRIP,
+    "csv_dialect_roundtrip": _sql_csv_dialect_roundtrip(),
+    "csv_quarantine": SQL_CSV_QUARANTINE,
+    "file_order_codes": SQL_FILE_ORDER_CODES,
     "head_limit": SQL_HEAD_LIMIT,
     "kfold_assign": SQL_KFOLD_ASSIGN,
     "roc_auc": SQL_ROC_AUC,

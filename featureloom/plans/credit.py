@@ -21,7 +21,6 @@ from ..operators import (CategoryDictionary, View, agg_features, all_columns_spe
                          one_hot, union_by_name)
 from ..operators.aggregate import rate_exprs
 from ..operators.profile import fill_with_mean
-from ..operators.ranking import head
 from ..sources.io import cast_columns
 
 KEY = "SK_ID_CURR"
@@ -189,7 +188,7 @@ def _application_dictionaries(df: DataFrame, order_cols: Sequence[str],
 def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
                          nan_as_category: bool | None = None,
                          dictionary: CategoryDictionary | None = None,
-                         order_cols: Sequence[str] = ("_part", KEY),
+                         order_cols: Sequence[str] | None = None,
                          codes: dict | None = None) -> DataFrame:
     """one row per applicant of train + test.
 
@@ -202,8 +201,11 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
     indicator by default). v1: codes and one-hot (with missing indicator)
     first, then sentinel and its four ratios; no ``XNA`` filter.
 
-    "First appearance" is the order train-before-test, then key.
+    "First appearance" is the order train-before-test, then the row number
+    ``index`` in file order where both tables have it, else the key.
     """
+    if order_cols is None:
+        order_cols = ("_part", "index" if "index" in train.columns and "index" in test.columns else KEY)
     df = union_by_name(train.withColumn("_part", F.lit(0)), test.withColumn("_part", F.lit(1)))
     if variant == "v1":
         nan = True if nan_as_category is None else nan_as_category
@@ -217,7 +219,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
             "INCOME_PER_PERSON": safe_ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS"),
             "ANNUITY_INCOME_PERC": safe_ratio("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
         })
-        return df.drop("_part")
+        return df.drop("_part", "index")
 
     nan = False if nan_as_category is None else nan_as_category
     df = df.where(null_safe_ne("CODE_GENDER", "XNA"))
@@ -252,7 +254,7 @@ def application_features(train: DataFrame, test: DataFrame, variant: str = "v2",
     df = fill_with_mean(df, ["NEW_SCORES_STD"])
     df, _ = factorize(df, list(BINARY_FEATURES), order_col="_part", dictionary=codes)
     df, _ = one_hot(df, cats, cats.columns(), nan_indicator=nan)
-    return df.drop("_part")
+    return df.drop("_part", "index")
 
 
 # ---------------------------------------------------------------------------
@@ -473,8 +475,9 @@ def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
                        num_rows: int | None = None) -> dict[str, DataFrame]:
     """Scan the eight credit tables with their explicit schemas.
 
-    ``num_rows`` is the debug row cap (S2): the first rows by all
-    columns, so a debug run is reproducible.
+    ``num_rows`` is the debug row cap (S2): the first rows of each file, as
+    the original reads them. The application tables get their row number in file
+    order as ``index`` (P17).
     """
     import os
 
@@ -484,8 +487,8 @@ def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
     for name, schema in CREDIT_SCHEMAS.items():
         path = os.path.join(input_dir, f"{name}.{fmt}") if "://" not in input_dir \
             else f"{input_dir.rstrip('/')}/{name}.{fmt}"
-        df = read_table(spark, path, schema, fmt=fmt)
-        out[name] = df if num_rows is None else head(df, num_rows, df.columns)
+        numbered = "index" if name.startswith("application") else None
+        out[name] = read_table(spark, path, schema, fmt=fmt, limit=num_rows, ordinal=numbered)
     return out
 
 

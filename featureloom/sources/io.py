@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import nan_to_null
+from .csv_dialect import DIALECT, BadRowsError, read_cells, write_bad_rows
+from .ordinal import file_ordinal, first_rows
 
 # The cell texts pandas ``read_csv`` reads as missing by default.
 PANDAS_NA_TOKENS = (
@@ -47,7 +49,13 @@ class UnreadableCellsError(ValueError):
     """A column declared numeric holds cells that are no numbers."""
 
 
-def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+def _raise_if_bad(n: int) -> None:
+    if n:
+        raise BadRowsError(f"{n} rows have more cells than the header or are cut off inside a cell; "
+                           "bad_rows='aside' sets them apart")
+
+
+def _typed(raw: DataFrame, schema: T.StructType, counted: DataFrame | None = None, bad: Column | None = None) -> DataFrame:
     """Every header column of a string table, typed; schema columns come first.
 
     One aggregate pass counts, for each column that is not declared string,
@@ -56,10 +64,12 @@ def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     numbers outside it widen to bigint and fractions to double (pandas does the
     same), and cells that are no numbers raise. Undeclared columns become
     bigint, double or string, an all-missing one double. A declared column that
-    the file does not have is all NULL.
+    the file does not have is all NULL. ``counted`` is the table with the column
+    that the condition ``bad`` needs; its bad rows are counted in the same pass.
     """
     declared = {f.name: f.dataType for f in schema.fields}
-    open_cols = [c for c in raw.columns if not isinstance(declared.get(c), T.StringType)]
+    cells = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.StringType)]
+    open_cols = [c for c in cells if not isinstance(declared.get(c), T.StringType)]
     counts = []
     for i, c in enumerate(open_cols):
         cell = F.trim(F.col(f"`{c}`"))
@@ -69,7 +79,11 @@ def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
         counts += [F.count(F.when(~whole | number.try_cast(kind).isNull(), cell)).alias(f"narrow{i}"),
                    F.count(F.when(~whole | number.try_cast("bigint").isNull(), cell)).alias(f"whole{i}"),
                    F.count(F.when(number.isNull(), cell)).alias(f"text{i}"), F.count(cell).alias(f"n{i}")]
-    seen = raw.agg(*counts).first() if counts else {}
+    if bad is not None:
+        seen = counted.agg(F.count_if(bad).alias("bad"), *counts).first()
+        _raise_if_bad(seen["bad"])
+    else:
+        seen = raw.agg(*counts).first() if counts else {}
     out = {}
     for i, c in enumerate(open_cols):
         cell, want = F.trim(F.col(f"`{c}`")), declared.get(c)
@@ -102,47 +116,67 @@ def nan_columns_to_null(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str = "parquet", null_tokens: Sequence[str] | None = PANDAS_NA_TOKENS,
                limit: int | None = None, order_by: Sequence[str] | None = None,
-               options: Mapping[str, str] | None = None) -> DataFrame:
+               options: Mapping[str, str] | None = None, multi_line: bool = True,
+               bad_rows: str = "raise", bad_rows_path: str | None = None, ordinal: str | None = None) -> DataFrame:
     """Scan a table (S1); optional row cap for debug runs.
 
-    CSV: header row; ALL header columns are read, matched to the schema by
-    NAME (Spark's own CSV schema is positional) and typed by :func:`_typed`;
-    empty cells and the pandas NA tokens become NULL. Without a schema every
-    cell stays a string. NaN becomes NULL in every format. ``limit`` with ``order_by`` gives a reproducible subset; plain
-    ``limit`` takes whatever rows come first.
+    CSV: the dialect of :mod:`.csv_dialect`; header row; ALL header columns are
+    read, matched to the schema by NAME (Spark's own CSV schema is positional)
+    and typed by :func:`_typed`; empty cells and the pandas NA tokens become
+    NULL. Without a schema every cell stays a string. Rows with too many cells
+    raise :class:`BadRowsError` with their number, counted in the pass that
+    finds the types; with ``bad_rows='aside'`` they are written to
+    ``bad_rows_path`` (file, record, cells) and the other rows are read.
+
+    NaN becomes NULL in every format. ``limit`` takes the first rows in file
+    order (:func:`.ordinal.first_rows`), with ``order_by`` the first in that order.
+    ``ordinal`` names a column for the row number in file order.
     """
+    def numbered(scan: DataFrame) -> DataFrame:
+        if limit is not None and not order_by:
+            scan = first_rows(scan, limit)
+        return scan if ordinal is None else file_ordinal(scan, ordinal)
+
     reader = spark.read
     if fmt == "csv":
-        # Spark applies a CSV schema by position; columns are matched by
-        # header NAME instead (like pandas): read the cells as strings, map
-        # the NA tokens to NULL, then type every column.
-        reader = reader.option("header", True).option("inferSchema", False)
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        raw = reader.csv(path)
+        cells, raw, bad = read_cells(spark, path, multi_line, options)
+        if bad_rows == "aside":
+            if not bad_rows_path:
+                raise ValueError("bad_rows='aside' needs bad_rows_path")
+            write_bad_rows(cells, raw, bad, bad_rows_path)
+            cells = cells.where(~F.coalesce(bad, F.lit(False)))
+        elif bad_rows != "raise":
+            raise ValueError(f"unknown bad_rows {bad_rows!r}")
+        elif schema is None:
+            _raise_if_bad(cells.agg(F.count_if(bad)).first()[0])
+        cells = numbered(cells)
         if null_tokens:
-            raw = null_tokens_to_null(raw, null_tokens)
-        df = raw if schema is None else _typed(raw, _as_struct(spark, schema))
+            cells = null_tokens_to_null(cells, null_tokens)
+        df = cells.drop(raw)
+        if schema is not None:
+            df = _typed(df, _as_struct(spark, schema), *((cells, bad) if bad_rows == "raise" else ()))
     else:
         if schema is not None:
             reader = reader.schema(schema)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
-        df = reader.format(fmt).load(path)
+        df = numbered(reader.format(fmt).load(path))
     df = nan_columns_to_null(df)
-    if limit is not None:
-        df = df.orderBy(*order_by).limit(limit) if order_by else df.limit(limit)
+    if limit is not None and order_by:
+        df = df.orderBy(*order_by).limit(limit)
     return df
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None) -> None:
-    """Sink without a row index (S3): CSV with a header row, or Parquet."""
+                partition_by: Sequence[str] | None = None, max_rows_per_file: int | None = None) -> None:
+    """Sink without a row index (S3): CSV in the dialect that :func:`read_table` reads, with a header row, or Parquet."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if max_rows_per_file:
+        w = w.option("maxRecordsPerFile", max_rows_per_file)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**DIALECT)
     w.format(fmt).save(path)
 
 
