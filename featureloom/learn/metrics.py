@@ -30,8 +30,8 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str,
          .agg(F.sum((lab == 1).cast("double")).alias("pos"),
               F.sum((lab == 0).cast("double")).alias("neg")))
     r = prefix_before(s, group_cols, [score_col], ["neg"], num_partitions)
-    agg = [(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
-            / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+    agg = [F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
+                         F.sum("pos") * F.sum("neg")).alias("auc"),
            F.sum("pos").cast("long").alias("n_pos"),
            F.sum("neg").cast("long").alias("n_neg")]
     return r.groupBy(*group_cols).agg(*agg) if group_cols else r.agg(*agg)

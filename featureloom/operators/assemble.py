@@ -21,12 +21,20 @@ from pyspark.sql import functions as F
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
               suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left equi-join (J1, J2) with pandas-style clash suffixes (J5, N17):
-    a non-key column present on both sides becomes ``<c>_x`` / ``<c>_y``."""
+    a non-key column present on both sides becomes ``<c>_x`` / ``<c>_y``. Where
+    such a name is taken already, the suffix is numbered: ``<c>_x2``, ``<c>_y2``, ..."""
     keys = [on] if isinstance(on, str) else list(on)
-    clash = (set(left.columns) & set(right.columns)) - set(keys)
+    clash = [c for c in left.columns if c in set(right.columns) - set(keys)]
     if clash:
-        left = left.withColumnsRenamed({c: c + suffixes[0] for c in clash})
-        right = right.withColumnsRenamed({c: c + suffixes[1] for c in clash})
+        taken = (set(left.columns) | set(right.columns)) - set(clash)
+
+        def fresh(name: str) -> str:
+            n = next(n for k in range(1, len(taken) + 2) if (n := name if k == 1 else f"{name}{k}") not in taken)
+            taken.add(n)
+            return n
+
+        left = left.withColumnsRenamed({c: fresh(c + suffixes[0]) for c in clash})
+        right = right.withColumnsRenamed({c: fresh(c + suffixes[1]) for c in clash})
     return left.join(right, on=keys, how="left")
 
 

@@ -114,9 +114,9 @@ def _check_case_clash(names: Iterable[str], existing: Iterable[str] = ()) -> Non
     seen: dict[str, str] = {n.lower(): n for n in existing}
     for n in names:
         k = n.lower()
-        if k in seen and seen[k] != n:
-            raise ValueError(f"columns {seen[k]!r} and {n!r} differ only by case; "
-                             "Spark resolves names case-insensitively")
+        if k in seen:
+            raise ValueError(f"columns {seen[k]!r} and {n!r} have one name; Spark resolves names case-insensitively"
+                             + (" (a category 'nan' beside the missing indicator?)" if k.endswith("_nan") else ""))
         seen[k] = n
 
 

@@ -37,7 +37,6 @@ RETURN_FLAGS = ["A", "N", "R"]
 SPLIT_DATE = "1999-01-01 00:00:00"
 N_FOLDS = 5
 FOLD_SEED = 47
-PATIENCE = 200  # as in the reference; more than the learner's 100 rounds, so the best of all of them is kept
 
 
 def _q(name: str) -> str:
@@ -869,11 +868,9 @@ def customer_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbdt_kfold(spark, d):
-    from ..learn.gbdt import kfold_gbt
+    from ..learn.gbdt import kfold_boost
     frame = customer_training_frame(spark, d)
-    result = kfold_gbt(frame, key="c_custkey", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
-                       patience=PATIENCE, parallelism=N_FOLDS)
-    return result.submission
+    return kfold_boost(frame, key="c_custkey", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED).submission
 
 
 # F2 (the credit bureau block itself) on role-mapped driver tables:
@@ -1353,12 +1350,10 @@ def credit_tables_from_driver(spark, d) -> dict:
 def credit_model(spark, d):
     """F8: the k-fold boosted-tree job on the assembled credit feature table
     (rows-only check: a learned model has no SQL oracle)."""
-    from ..learn.gbdt import kfold_gbt
+    from ..learn.gbdt import kfold_boost
     from .credit import credit_feature_table
     feats = credit_feature_table(credit_tables_from_driver(spark, d), "v2")
-    res = kfold_gbt(feats, key="SK_ID_CURR", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED,
-                    patience=PATIENCE, parallelism=N_FOLDS)
-    return res.submission
+    return kfold_boost(feats, key="SK_ID_CURR", label="TARGET", n_folds=N_FOLDS, seed=FOLD_SEED).submission
 
 
 def credit_feature_table_q(spark, d):

@@ -9,7 +9,8 @@ assembly then joins blocks that are already hash-partitioned on the key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -448,11 +449,13 @@ def credit_dictionaries_from_json(text: str) -> dict:
 
 
 def credit_feature_table(tables: dict[str, DataFrame], variant: str = "v2",
-                         dictionaries: dict | None = None) -> DataFrame:
+                         dictionaries: dict | None = None,
+                         watch: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """F1 LEFT JOIN F2 ... F6 on the applicant key (J3), the input of the
     learning job (F8). ``tables`` holds the eight credit tables by name;
     ``dictionaries`` (from :func:`credit_dictionaries`) freezes every
-    encoding, otherwise each block discovers its own."""
+    encoding, otherwise each block discovers its own. ``watch`` is handed every
+    block and the result by name and returns them, e.g. with a row counter."""
     d = dictionaries or {}
     app = application_features(tables["application_train"], tables["application_test"], variant,
                                dictionary=d.get("application"), codes=d.get("application_codes"))
@@ -468,7 +471,10 @@ def credit_feature_table(tables: dict[str, DataFrame], variant: str = "v2",
         credit_card_balance(tables["credit_card_balance"], variant,
                             dictionary=d.get("credit_card_balance")),
     ]
-    return left_star(app, KEY, blocks)
+    if watch is None:
+        return left_star(app, KEY, blocks)
+    names = ("bureau", "previous_applications", "pos_cash", "installments", "credit_card")
+    return watch("features", left_star(watch("application", app), KEY, [watch(n, x) for n, x in zip(names, blocks)]))
 
 
 def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
@@ -494,17 +500,28 @@ def read_credit_tables(spark, input_dir: str, fmt: str = "csv",
 
 def run_credit_model(spark, input_dir: str, submission_path: str | None,
                      variant: str = "v2", num_folds: int = 5, stratified: bool = False,
-                     debug: bool = False, fmt: str = "csv", **gbt_params):
+                     debug: bool = False, fmt: str = "csv", **boost_params):
     """End-to-end job (L10): tables -> feature table (F1 LEFT JOIN F2..F6) ->
     k-fold boosted trees -> submission table (key, TARGET) written without an
     index (L9; skipped in debug mode, like the original). Returns the
-    :class:`~featureloom.learn.gbdt.KFoldResult`."""
-    from ..learn.gbdt import kfold_gbt
+    :class:`~featureloom.learn.gbdt.KFoldResult`; its ``report`` has the rows and
+    columns of every stage (S7), counted by observations while the feature table
+    is written: no extra job."""
+    from ..learn.gbdt import kfold_boost
+    from ..operators.profile import observe_shape
     from ..sources.io import write_table
     tables = read_credit_tables(spark, input_dir, fmt, num_rows=10_000 if debug else None)
-    features = credit_feature_table(tables, variant)
-    result = kfold_gbt(features, key=KEY, label="TARGET", n_folds=num_folds, seed=47,
-                       stratified=stratified, **gbt_params)
+    stages: list[tuple[str, int, object]] = []
+
+    def watch(name: str, df: DataFrame) -> DataFrame:
+        df, rows = observe_shape(df, f"{name}-{uuid.uuid4().hex}")
+        stages.append((name, len(df.columns), rows))
+        return df
+
+    features = credit_feature_table(tables, variant, watch=watch)
+    result = kfold_boost(features, key=KEY, label="TARGET", n_folds=num_folds, seed=47,
+                         stratified=stratified, **boost_params)
+    result.report = [(name, rows.get["rows"], columns) for name, columns, rows in stages]
     if not debug and submission_path:
         write_table(result.submission.select(KEY, "TARGET"), submission_path, fmt="csv")
     return result

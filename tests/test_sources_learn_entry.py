@@ -70,25 +70,23 @@ def test_patience_goes_past_flat_rounds():
 
 
 def test_trained_queries_run_the_whole_learner(spark, monkeypatch):
-    import inspect
-
     from featureloom.learn import gbdt
+    from featureloom.learn.boosting import BoostParams
     from featureloom.plans import catalog
-    calls, plain = [], inspect.signature(gbdt.kfold_gbt)
+    calls = []
 
     class Stop(Exception):
         pass
 
-    def record(*args, **kwargs):
-        calls.append(plain.bind(*args, **kwargs).arguments)
+    def record(*args):
+        calls.append(args[-1])
         raise Stop
-    monkeypatch.setattr(gbdt, "kfold_gbt", record)
+    monkeypatch.setattr(gbdt, "boost_folds", record)
     for name in ("gbdt_kfold", "credit_model"):
         with pytest.raises(Stop):
             catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
-    assert len(calls) == 2
-    for given in calls:  # the library's rounds and depth, and early stopping by patience
-        assert given.get("max_iter", 100) >= 100 and given.get("max_depth", 8) >= 8 and given.get("patience")
+    assert calls == [BoostParams()] * 2  # the library's rounds, leaves, depth and patience
+    assert BoostParams().rounds >= 100 and BoostParams().patience < BoostParams().rounds
 
 
 def test_patience_path_keeps_the_best_round(spark):
