@@ -13,8 +13,10 @@
   ``num_leaves - 1`` best splits, so the tree equals one grown a leaf at a time.
   Missing values take the side with the larger gain; L1 and L2 terms, smallest
   child weight, smallest gain and a column sample for each tree as usual.
-* Margins are written every ``segment`` rounds with each row's held-out margin after
-  every round in between; one AUC job covers all these rounds and folds. A model
+* Margins are carried from round to round in persisted rows (recomputed from the
+  trees of the rounds since the last written table if an executor is lost) and written
+  every ``segment`` rounds with each row's held-out margin after every round in
+  between; one AUC job covers all these rounds and folds. A model
   stops when ``patience`` rounds brought no better AUC and keeps its first best
   rounds: no second fit.
 
@@ -252,7 +254,7 @@ class Grower:
         return out
 
 
-def _histograms(state: DataFrame, p: BoostParams, features: int, models: int, recent: list[list[Tree]],
+def _histograms(state: DataFrame, p: BoostParams, features: int, models: int,
                 growing: dict[int, tuple[Tree, list[int]]], allowed: dict[int, np.ndarray], tasks: int) -> list[dict]:
     """The best split of each (model, open node, block of features), and the node's sums ``g`` and ``h``."""
     blocks = [(a, min(a + BLOCK, features)) for a in range(0, features, BLOCK)]
@@ -272,8 +274,7 @@ def _histograms(state: DataFrame, p: BoostParams, features: int, models: int, re
                 at = tree.nodes_of(rows)
                 wanted = np.isin(at, open_nodes)
                 mine, rows, at = mine[wanted], rows[wanted], at[wanted]
-                margin = margins[mine, m] + sum((t.margins(rows) for t in recent[m]), np.zeros(len(mine)))
-                chance = 1.0 / (1.0 + np.exp(-margin))
+                chance = 1.0 / (1.0 + np.exp(-margins[mine, m]))
                 for node in open_nodes:
                     here = at == node
                     cells = (rows[here] + shift).ravel()
@@ -313,27 +314,22 @@ def _histograms(state: DataFrame, p: BoostParams, features: int, models: int, re
     return [settled(*key, some) for key, some in sums.items()]
 
 
-def _new_state(state: DataFrame, features: int, models: int, recent: list[list[Tree]], rounds: int, path: str) -> DataFrame:
-    """Write the state with the recent trees in its margins, and each row's held-out margins after each of ``rounds``."""
+def _advance(state: DataFrame, features: int, models: int, trees: dict[int, Tree]) -> DataFrame:
+    """The state after one round: its trees added to the margins, each row's held-out margin appended to ``staged``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             codes = codes_of(b.column(0), b.num_rows, features)
             fold = b.column(2).to_numpy(zero_copy_only=False)
             margins = list_matrix(b.column(3), models).copy()
-            staged = np.zeros((b.num_rows, rounds))
-            for m in range(models):
-                held_out = fold == m
-                for k in range(rounds):
-                    if k < len(recent[m]):
-                        margins[:, m] += recent[m][k].margins(codes)
-                    staged[held_out, k] = margins[held_out, m]
+            for m, tree in trees.items():
+                margins[:, m] += tree.margins(codes)
+            before = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1 if b.num_rows else 0)
+            staged = np.hstack([before, margins[np.arange(b.num_rows), fold][:, None]])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _lists(margins), _lists(staged)],
                                              ["codes", "y", "fold", "margins", "staged"])
 
-    state.select("codes", "y", "fold", "margins").mapInArrow(
-        run, "codes binary, y double, fold int, margins array<double>, staged array<double>") \
-        .write.option("compression", "zstd").parquet(path)
-    return state.sparkSession.read.parquet(path)
+    return state.select("codes", "y", "fold", "margins", "staged").mapInArrow(
+        run, "codes binary, y double, fold int, margins array<double>, staged array<double>")
 
 
 @dataclass
@@ -407,7 +403,8 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
         start.append(math.log(share / (1 - share)))
     size = rows * max(len(features), 1)
     tasks = max(-(-size // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // MIN_TASK_BYTES)), 1)
-    known.select("codes", "y", "fold", F.array(*(F.lit(s) for s in start)).alias("margins")).repartition(tasks) \
+    nothing = F.expr("cast(array() as array<double>)").alias("staged")
+    known.select("codes", "y", "fold", F.array(*(F.lit(s) for s in start)).alias("margins"), nothing).repartition(tasks) \
         .write.option("compression", "zstd").parquet(f"{base}/state-0")
     state = spark.read.parquet(f"{base}/state-0")
     trees: list[list[Tree]] = [[] for _ in range(n_folds)]
@@ -416,13 +413,14 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
     done = 0
     while active and features and done < p.rounds:
         count = min(p.segment, p.rounds - done)
-        recent: list[list[Tree]] = [[] for _ in range(n_folds)]
+        state = state.withColumn("staged", nothing).persist()
+        kept = [state]
         for r in range(done, done + count):
             growers = {m: Grower(p) for m in active}
             allowed = {m: columns_of_tree(p, m, r, len(features)) for m in active}
             while any(g.open for g in growers.values()):
                 growing = {m: (g.tree, g.open) for m, g in growers.items() if g.open}
-                found = _histograms(state, p, len(features), n_folds, recent, growing, allowed, tasks)
+                found = _histograms(state, p, len(features), n_folds, growing, allowed, tasks)
                 for m in growing:
                     mine = [s for s in found if s["model"] == m]
                     splits: dict[int, tuple | None] = {}
@@ -430,12 +428,18 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
                         splits.setdefault(s["node"], (s["gain"], s["feature"], s["cut"], s["missing_left"], s["gl"], s["hl"], s["gr"], s["hr"]))
                     totals = {s["node"]: (s["g"], s["h"]) for s in sorted(mine, key=lambda s: -s["feature"])}
                     growers[m].learn(splits, totals)
-            for m in active:
-                recent[m].append(growers[m].finished())
+            finished = {m: g.finished() for m, g in growers.items()}
+            for m, tree in finished.items():
+                trees[m].append(tree)
+            state = _advance(state, len(features), n_folds, finished).persist()
+            kept.append(state)
+            if len(kept) > 2:
+                kept.pop(0).unpersist()
         done += count
-        state = _new_state(state, len(features), n_folds, recent, count, f"{base}/state-{done}")
-        for m in active:
-            trees[m] += recent[m]
+        state.write.option("compression", "zstd").parquet(f"{base}/state-{done}")
+        for old in kept:
+            old.unpersist()
+        state = spark.read.parquet(f"{base}/state-{done}")
         scored = state.select("y", "fold", F.posexplode("staged").alias("round", "score"))
         for row in roc_auc(scored, "score", "y", group_cols=["fold", "round"]).orderBy("fold", "round").collect():
             if row["fold"] in active:
