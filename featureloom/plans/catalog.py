@@ -753,6 +753,61 @@ d AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY min(ordinal)) - 1 AS
 SELECT c_custkey, ordinal, ordinal AS csv_ordinal, code FROM c JOIN d USING (c_mktsegment)"""
 
 
+# Half of the keys missing, one key with a third of the others
+def skew_join(spark, d):
+    from ..operators.skew import heavy_keys, skew_left_join
+    n = F.col("event_id")
+    ev = load(spark, d, "events").select("event_id", F.when(n % 2 == 0, F.when(n % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+                                         .cast("bigint").alias("c_custkey"))
+    totals = load(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"))
+    return skew_left_join(ev, totals, "c_custkey", heavy_keys(ev, "c_custkey", 0.05))
+
+
+SQL_SKEW_JOIN = """WITH e AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END END AS c_custkey FROM events),
+o AS (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey)
+SELECT event_id, CAST(c_custkey AS BIGINT) AS c_custkey, orders FROM e LEFT JOIN o ON c_custkey = o_custkey"""
+
+
+# Blocks stored bucketed by the key, joined without an exchange
+def bucketed_star(spark, d, buckets: int = 16):
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources.bucketed import write_bucketed
+    run = uuid.uuid4().hex
+    base = load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    orders = order_view_block(orders_nulled(spark, d)).withColumnRenamed("o_custkey", "c_custkey")
+    lines = lineitem_two_level_block(load(spark, d, "lineitem"), load(spark, d, "orders")).withColumnRenamed("o_custkey", "c_custkey")
+    events = event_block(load(spark, d, "events")).withColumnRenamed("user_id", "c_custkey")
+    stored = [write_bucketed(df, f"star_{name}_{run}", "c_custkey", buckets, checkpoint_path(spark, f"star-{name}-{run}"))
+              for name, df in (("base", base), ("orders", orders), ("lines", lines), ("events", events))]
+    return round_doubles(left_star(stored[0], "c_custkey", stored[1:]), 6)
+
+
+# A8 A9, opt-in: stored sketches, merged, held against the exact values
+def sketch_profile(spark, d):
+    import uuid
+
+    from ..operators.sketches import RANK_ERROR, distinct_count, merge_sketches, quantile, sketch_groups
+    from ..session import checkpoint_path
+    lines = load(spark, d, "lineitem")
+    path = checkpoint_path(spark, f"sketches-{uuid.uuid4().hex}")
+    sketch_groups(lines, ["l_returnflag", "l_linestatus"], ["l_extendedprice"], ["l_partkey"]).write.parquet(path)
+    merged = merge_sketches(spark.read.parquet(path), ["l_returnflag"]).select(
+        "l_returnflag", "rows", quantile("l_extendedprice", 0.5).alias("median"), distinct_count("l_partkey").alias("parts"))
+    below = F.count_if(F.col("l_extendedprice") < F.col("median")) / F.count(F.lit(1))
+    upto = F.count_if(F.col("l_extendedprice") <= F.col("median")) / F.count(F.lit(1))
+    off = 2 * RANK_ERROR[200]
+    exact = lines.select("l_returnflag", "l_partkey", "l_extendedprice").join(F.broadcast(merged), "l_returnflag")  # a row a flag
+    return exact.groupBy("l_returnflag", "rows", "parts").agg(
+        ((below <= 0.5 + off) & (upto >= 0.5 - off)).alias("median_within"), F.count_distinct("l_partkey").alias("exact")) \
+        .select("l_returnflag", "rows", "median_within", (F.abs(F.col("parts") - F.col("exact")) <= 0.05 * F.col("exact")).alias("parts_within"))
+
+
+SQL_SKETCH_PROFILE = """SELECT l_returnflag, count(*) AS "rows", true AS median_within, true AS parts_within
+FROM lineitem GROUP BY l_returnflag"""
+
+
 # S2 S4 O3
 HEAD_N = 100
 
@@ -1404,6 +1459,9 @@ QUERIES = {
     "csv_dialect_roundtrip": csv_dialect_roundtrip,
     "csv_quarantine": csv_quarantine,
     "file_order_codes": file_order_codes,
+    "skew_join": skew_join,
+    "bucketed_star": bucketed_star,
+    "sketch_profile": sketch_profile,
     "head_limit": head_limit,
     "kfold_assign": kfold_assign,
     "roc_auc": roc_auc_q,
@@ -1460,6 +1518,9 @@ ORACLE_SQL = {
     "csv_dialect_roundtrip": _sql_csv_dialect_roundtrip(),
     "csv_quarantine": SQL_CSV_QUARANTINE,
     "file_order_codes": SQL_FILE_ORDER_CODES,
+    "skew_join": SQL_SKEW_JOIN,
+    "bucketed_star": _sql_star_assembly(),
+    "sketch_profile": SQL_SKETCH_PROFILE,
     "head_limit": SQL_HEAD_LIMIT,
     "kfold_assign": SQL_KFOLD_ASSIGN,
     "roc_auc": SQL_ROC_AUC,

@@ -22,6 +22,7 @@ from ..operators import (CategoryDictionary, View, agg_features, all_columns_spe
                          one_hot, union_by_name)
 from ..operators.aggregate import rate_exprs
 from ..operators.profile import fill_with_mean
+from ..operators.skew import skew_left_join
 from ..sources.io import cast_columns
 
 KEY = "SK_ID_CURR"
@@ -274,7 +275,8 @@ def bureau_and_balance(bureau: DataFrame, balance: DataFrame, variant: str = "v2
     bb_agg = agg_features(balance, "SK_ID_BUREAU", BALANCE_SPEC, categories=bb_cats,
                           nan_indicator=nan_as_category)
     b_cats = _categories(bureau, bureau_dictionary, exclude=[KEY, "SK_ID_BUREAU"])
-    loans = bureau.join(bb_agg, on="SK_ID_BUREAU", how="left").drop("SK_ID_BUREAU")
+    # loans without a key need no balance and meet no other row in the join
+    loans = skew_left_join(bureau, bb_agg, "SK_ID_BUREAU").drop("SK_ID_BUREAU")
     num = BUREAU_NUM[variant]
     bb_share_cols = {}
     for c in bb_cats.columns():
