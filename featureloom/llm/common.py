@@ -70,7 +70,7 @@ def texts(batch: pa.RecordBatch, column: str = "text", rows: int = 256) -> Itera
 class WordHash(dict):
     """word bytes -> 64-bit xxh3, remembered; forgets everything past ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

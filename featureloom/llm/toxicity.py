@@ -252,6 +252,20 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: str
                        "".join(f"`{c}` {types[c]}, " for c in keep) + f"`{name}` double")
 
 
-def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose score reaches ``threshold``; columns stay."""
-    return score(docs, model, docs.columns, name="__toxicity").where(F.col("__toxicity") < threshold).drop("__toxicity")
+def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose score reaches ``threshold``; columns stay.
+
+    Only the text goes to the Python worker and only the score comes back; the
+    other columns wait in the executor.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # lexicon and trees: bounded by their parameters
+
+    @F.arrow_udf("double")
+    def chance(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        codes = WordCodes(model.lexicon)
+        for part in parts:
+            scores = [np.asarray(model.score(part.slice(at, 256).to_pylist(), codes), np.float64) for at in range(0, len(part), 256)]
+            yield pa.array(np.concatenate(scores) if scores else np.zeros(0))
+
+    return docs.where(chance(F.col(text_col)) < threshold)
