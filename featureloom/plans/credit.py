@@ -20,6 +20,7 @@ from ..functions import (clamp_zero, columns_matching, difference, null_safe_ne,
 from ..operators import (CategoryDictionary, View, agg_features, all_columns_spec,
                          exact_median, factorize, first_appearance_dictionary, left_star,
                          one_hot, union_by_name)
+from ..operators import encode
 from ..operators.aggregate import rate_exprs
 from ..operators.profile import fill_with_mean
 from ..operators.skew import skew_left_join
@@ -156,12 +157,16 @@ def median_lookup(df: DataFrame, group_col: str, value_col: str, out_col: str,
                   source: DataFrame | None = None) -> DataFrame:
     """``df[group].map(source.groupby(group)[value].median())`` (A8 + E4, J8).
 
-    Medians are exact and skew-safe (:func:`exact_median`); the table of one row
-    a category is joined back, AQE picks the join from its real size. Columns:
-    those of ``df``, then ``out_col``.
+    Medians are exact and skew-safe (:func:`exact_median`). The table of one row a
+    category is broadcast if it has at most ``encode.BROADCAST_ROWS`` rows (one row more
+    is asked for), so that a group with a large share of ``df`` is not shuffled to one
+    task; a larger one is joined by key. Columns: those of ``df``, then ``out_col``.
     """
     med = exact_median(df if source is None else source, [group_col], value_col, out_col="_median") \
         .withColumnRenamed(group_col, "_median_group")
+    rows = med.limit(encode.BROADCAST_ROWS + 1).collect()
+    if len(rows) <= encode.BROADCAST_ROWS:
+        med = F.broadcast(df.sparkSession.createDataFrame(rows, med.schema))
     joined = df.join(med, F.col(group_col) == F.col("_median_group"), "left")
     return joined.withColumnRenamed("_median", out_col).drop("_median_group")
 

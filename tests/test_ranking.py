@@ -102,9 +102,10 @@ def test_prefix_sums_carry_over_many_batches(spark):
     assert len(got) == n and all(r.w_before == r.o and r.w_total == n for r in got)
 
 
-def test_median_lookup_has_one_column_order(spark):
+def test_median_lookup_has_one_column_order(spark, monkeypatch):
     from featureloom.plans.credit import median_lookup
-    for groups in (2, 300):
+    monkeypatch.setattr("featureloom.operators.encode.BROADCAST_ROWS", 100)
+    for groups in (2, 300):  # a broadcast table and one joined by key
         df = spark.range(900).selectExpr("id as k", f"cast(id % {groups} as string) as g", "cast(id as double) as v")
         out = median_lookup(df, "g", "v", "m")
         assert out.columns == ["k", "g", "v", "m"] and out.where("m is null").count() == 0
