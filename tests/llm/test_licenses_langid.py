@@ -62,6 +62,59 @@ def test_words_added_before_the_anchor():
         assert all(text[f["s"]:f["e"]] == notice[:-1] for f in found)
 
 
+def plain_scan(scanner, text):
+    """Every template compared with every word window of every block, without compression."""
+    out = set()
+    for start, end in licenses.blocks(text):
+        tokens = [(m[0].lower(), start + m.start(), start + m.end()) for m in licenses.WORD.finditer(text[start:end])]
+        words, where = [t[0] for t in tokens], collections.defaultdict(list)
+        for n, w in enumerate(words):
+            where[w].append(n)
+        for name, template, *_ in scanner.templates:
+            out |= {(name, tokens[s][1], tokens[e - 1][2]) for _, s, e, _ in licenses.confirm(template, words, where, scanner.coverage)}
+    return out
+
+
+def test_every_template_finds_itself():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.85)
+    for k, (name, form) in enumerate((n, f) for n, forms in licenses.TEMPLATES.items() for f in forms):
+        for text in (form, f"{prose(k, 400)}\n{form}\n{prose(k + 99, 400)}"):
+            assert name in {f["license"] for f in scanner.scan(text)[1]}, form
+
+
+def test_the_compression_finds_the_candidates():
+    text = f"{prose(1)} {NOTICES['MIT']} {prose(2)} {NOTICES['Apache-2.0']}"
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.85)
+    assert [f["license"] for f in scanner.scan(text)[1]] == ["MIT", "Apache-2.0"]
+    for name, words, given, least in (t for t in scanner.templates if t[0] == "MIT"):
+        scanner.templates[[t[2] for t in scanner.templates].index(given)] = (name, words, scanner.plain, least)  # saves nothing
+    assert [f["license"] for f in scanner.scan(text)[1]] == ["Apache-2.0"]
+
+
+def test_matches_equal_a_scan_without_compression():
+    rng, scanner = random.Random(5), licenses.Scanner(licenses.TEMPLATES, 0.85)
+    forms = [(n, f) for n, forms in licenses.TEMPLATES.items() for f in forms]
+    plain, found, planted, missed = 0, 0, 0, 0
+    for k in range(600):
+        name, form = rng.choice(forms)
+        words = form.split()
+        if len(words) > 5 and rng.random() < 0.6:  # a changed or added word that tells no licenses apart
+            at = rng.randrange(len(words))
+            low = words[at].lower().strip(".,;")
+            if low in ("the", "of", "to", "a", "and", "in", "under", "this"):
+                words[at] = "some"
+            else:
+                words.insert(at, "indeed")
+        text = f"{prose(k, rng.randrange(5, 300))} {' '.join(words)} {prose(k + 1000, rng.randrange(5, 300))}"
+        want = plain_scan(scanner, text)
+        got = [(f["license"], f["s"], f["e"]) for f in scanner.scan(text)[1]]
+        assert set(got) <= want
+        reached = [w for w in want if any(w[1] < g[2] and g[1] < w[2] for g in got)]
+        plain, found = plain + len(want), found + len(reached)
+        planted, missed = planted + 1, missed + (name not in {g[0] for g in got} and name in {w[0] for w in want})
+    assert plain > 500 and found == plain and missed == 0, (plain, found, missed)
+
+
 def test_license_edge_cases(edge_docs, no_docs):
     got = licenses.license_digest(licenses.find_licenses(edge_docs, ["doc_id"])).collect()
     assert len(got) == len(edge_rows()) and all(r.licenses == "" and r.n_blocks == 0 for r in got)
