@@ -8,8 +8,10 @@ machine-local folder.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +58,21 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                  for c, f in zip((cols[f.name] for f in arrow), arrow)], schema=arrow)
+            del cols
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back, so that a worker that waits for its next task holds little."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text", rows: int = 256) -> Iterator[tuple[int, list]]:
     """The texts of a batch in small runs, so that few of them are Python objects at once."""
     col = batch.column(column)
@@ -84,6 +97,19 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def set_apart(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns called like one of ``names`` under fresh names, and what gives its columns their names back."""
+    taken, used, fresh = {n.lower() for n in names}, {c.lower() for c in df.columns}, []
+    for c in df.columns:
+        name = c
+        while c.lower() in taken and (name.lower() in taken or name.lower() in used):
+            name += "_"
+        used.add(name.lower())
+        fresh.append(name)
+    original = df.columns
+    return (df if fresh == original else df.toDF(*fresh)), lambda out: out if fresh == original else out.toDF(*original)
+
+
 def crc_bucket(column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

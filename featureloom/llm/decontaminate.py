@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, map_batches, materialize, texts
+from .common import ALNUM, LOWER, map_batches, materialize, set_apart, texts
 
 SAMPLE = 32
 PIECE = 4096  # words of an item kept in one row
@@ -250,7 +250,7 @@ def _pieces(width: int):
 def find_contamination(docs: DataFrame, items: DataFrame, width: int = 10, text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text",
                        shard_words: int = 1_000_000, block_words: int = 2_000_000) -> DataFrame:
-    """``docs`` with ``__n_words``, ``__spans`` (merged [s, e) word spans) and ``__items``."""
+    """``docs`` with ``__n_words``, ``__spans`` (merged [s, e) word spans) and ``__items``; columns of ``docs`` so named give way."""
     sc = docs.sparkSession.sparkContext
     pieces = materialize(map_batches(
         items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")),
@@ -284,6 +284,7 @@ def cut_spans(text: str, spans: list) -> str:
 def remove_contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` with the removal spans cut out of their texts; all rows and columns stay."""
     text_col = options.get("text_col", "text")
+    docs, named = set_apart(docs, (N_WORDS, SPANS, ITEMS))
     found = find_contamination(docs, items, **options)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -296,4 +297,4 @@ def remove_contamination(docs: DataFrame, items: DataFrame, **options) -> DataFr
                 yield {k: cut if k == text_col else v.slice(at, len(some)) for k, v in cols.items()}
 
     docs_schema = docs.schema.fields
-    return map_batches(found, run, schema)
+    return named(map_batches(found, run, schema))

@@ -160,12 +160,12 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 ORACLE_SQL["op7_exact_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+  SELECT q.own, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.own <> c.own),
+r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
 """
 

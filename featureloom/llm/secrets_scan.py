@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, texts
+from .common import map_batches, materialize, set_apart, texts
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -191,9 +191,10 @@ def find_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None
     """The ``keep`` columns (default: all) with ``__base`` and ``__spans``: arrays of (k, s, e).
 
     ``__spans`` holds the base spans and the battery's ``random`` spans that no
-    base span covers, by start and kind.
+    base span covers, by start and kind. Columns of ``docs`` with these names give way.
     """
-    keep = docs.columns if keep is None else keep
+    inner = {n.lower() for n in (BASE, SPANS, RUNS, HIST)}
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in inner]
     schema = {f.name: f.dataType.simpleString() for f in docs.schema}
     ddl = "".join(f"`{c}` {schema[c]}, " for c in keep) + f"{BASE} array<struct<k:string,s:long,e:long>>, "
     src = docs.select(*{text_col: 0, **dict.fromkeys(keep)})
@@ -235,6 +236,7 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str = "[REDACTED]") ->
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every found span replaced by ``[REDACTED]``; all rows and columns stay."""
+    docs, named = set_apart(docs, (BASE, SPANS, RUNS, HIST))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     columns = docs.columns
 
@@ -245,4 +247,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", **options) -> DataFr
                 out = [redact(t, [(x["s"], x["e"]) for x in s]) if s else t for t, s in zip(some, spans)]
                 yield {c: out if c == text_col else batch.column(c).slice(at, len(some)) for c in columns}
 
-    return map_batches(find_secrets(docs, text_col, **options), run, schema)
+    return named(map_batches(find_secrets(docs, text_col, **options), run, schema))

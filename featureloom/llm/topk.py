@@ -12,17 +12,22 @@ contributions first (from the end where the query's component is negative):
   every vector not met yet, is below the threshold;
 * vectors whose upper bound reaches the threshold get their final score.
 
-Queries are taken in blocks of ``block`` vectors; one block at a time is
-broadcast (block * dimensions integers) and met by all rows, which are never
-shuffled. Each task returns k rows a query at most; two windows (the first
-salted) keep the best k. Ties go to the smaller id.
+Queries are taken in blocks of about ``block`` vectors; one block at a time is
+on the driver and broadcast (block * dimensions integers) and met by all rows,
+which are never shuffled; its result is written before the next block is read.
+Each task returns k + 1 rows a query at most; two windows (the first salted) keep
+the best. Ties go to the smaller id.
+
+A query's own row is searched like all others and left out at the end: of the rows
+with the query's id and vector one is dropped.
 
 Rules: vectors that are null or hold a null or non-finite component take no
 part; a vector meets queries of its own length only; null ids take no part;
-a row with the query's own id is no candidate; repeated rows of another id
-are each a candidate, a repeated query counts once per distinct vector; fewer
-than k candidates: all are returned. Extra columns are not read; empty tables
-give no rows.
+only the query's own row is no candidate: other rows of its id are, and repeated rows
+are each a candidate; a query row that is there m times gives its ranking m times;
+fewer than k candidates: all are returned. Integers beyond a long take its nearest value, and so
+do scores; sums that a double cannot hold exactly get bounds with room for the rounding and
+final scores in whole numbers. Extra columns are not read; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ from .common import map_batches, materialize
 
 CHUNK = 4096
 SALT = 32
+EXACT = 2.0**52
 
 
 class Lists:
@@ -51,18 +57,18 @@ class Lists:
         self.order = np.stack([rising, rising[:, ::-1]], 1).reshape(-1, len(ids))
         value = np.take_along_axis(x.T, rising, 1)
         self.value = np.stack([value, value[:, ::-1]], 1).reshape(-1, len(ids)).astype(np.float64)
-        self.floats = x.astype(np.float64)  # sums of products of such integers are exact
+        self.floats = x.astype(np.float64)
+        self.most = np.abs(self.floats).max(0) if x.size else np.zeros(x.shape[1])
         self.first = max(64, len(ids) // 8)  # entries read before the first look at the bounds
 
-    def search(self, query_id: int, q: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, q: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows that may be among the best k (no score below ``floor``), with their scores."""
         n = len(self.ids)
-        own = self.ids == query_id
-        k_here = min(k, n - int(own.sum()))
-        if k_here <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         use = np.flatnonzero(q)
-        whole, q = q, q[use]
+        largest = float(self.most @ np.abs(q.astype(np.float64)))
+        exact = largest < EXACT  # all sums below are sums of whole numbers that doubles hold
+        room_for_rounding = 0.0 if exact else largest * (8 * len(q) + 64) * 2.0**-52
+        whole, q = q, q[use].astype(np.float64)
         lists = 2 * use + (q > 0)
         worst = self.value[lists, -1] * q
         read, depth, step, parts = np.zeros(n), 0, self.first, []
@@ -72,8 +78,8 @@ class Lists:
             parts.append((rows, got.shape[1]))
             read += np.bincount(rows, (got - worst[:, None]).ravel(), n)
             depth, step = min(n, depth + step), max(64, n // 16)
-            lower = np.where(own, -np.inf, worst.sum() + read)
-            least = max(floor, np.partition(lower, n - k_here)[n - k_here]) if k_here == k else floor
+            lower = worst.sum() + read
+            least = (max(floor, np.partition(lower, n - k)[n - k]) if k <= n else floor) - room_for_rounding
             last = got[:, -1]
             if depth == n or last.sum() < least:
                 break
@@ -83,8 +89,15 @@ class Lists:
         upper = lower + room.sum()
         for rows, size in parts:
             upper -= np.bincount(rows, np.repeat(room, size), n)
-        rows = np.flatnonzero((upper >= least) & ~own)
-        return rows, (self.floats[rows] @ whole).astype(np.int64)
+        rows = np.flatnonzero(upper + room_for_rounding >= least)
+        if exact:
+            return rows, (self.floats[rows] @ whole).astype(np.int64)
+        return rows, np.array([product(v, whole) for v in self.x[rows]], np.int64)
+
+
+def product(v: np.ndarray, q: np.ndarray) -> int:
+    """The inner product in whole numbers of any size, brought into a long's range."""
+    return max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v.tolist(), q.tolist()))))
 
 
 def _search(queries, k: int):
@@ -97,11 +110,11 @@ def _search(queries, k: int):
             ids = np.concatenate([p[0] for p in pending[dim]])
             lists = Lists(ids, np.concatenate([p[1] for p in pending[dim]]))
             pending[dim] = []
-            for at, (qid, q) in enumerate(queries.value):
+            for at, (_, q) in enumerate(queries.value):
                 if len(q) != dim:
                     continue
                 old_ids, old = best[at]
-                rows, score = lists.search(qid, q, k, old.min() if len(old) >= k else -np.inf)
+                rows, score = lists.search(q, k, float(old.min()) if len(old) >= k else -np.inf)
                 all_ids, all_scores = np.concatenate([old_ids, ids[rows]]), np.concatenate([old, score])
                 top = np.lexsort((all_ids, -all_scores))[:k]
                 best[at] = all_ids[top], all_scores[top]
@@ -119,7 +132,9 @@ def _search(queries, k: int):
         for dim in [d for d, p in pending.items() if p]:
             meet(dim)
         for at, (ids, scores) in best.items():
-            yield {"query_id": np.full(len(ids), queries.value[at][0]), "vec_id": ids, "score": scores}
+            qid, q = queries.value[at]
+            yield {"q": np.full(len(ids), at), "query_id": np.full(len(ids), qid), "vec_id": ids, "score": scores,
+                   "own": (ids == qid) & (scores == product(q, q))}
     return run
 
 
@@ -135,16 +150,30 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ok)
     whole = F.transform(v, lambda x: F.floor(x * scale))
     rows, queries = rows.select(F.col(id_col).cast("long").alias("id"), whole.alias("v")), \
-        rows.where(is_query).select(F.col(id_col).cast("long").alias("id"), whole.alias("v")).distinct()
-    queries = materialize(queries, "queries")
+        rows.where(is_query).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    queries = materialize(queries.groupBy("id", "v").agg(F.count("*").alias("copies")), "queries")
     blocks = max(1, -(-queries.count() // block))
-    found = None
+    parts = []
     for b in range(blocks):
         mine = queries.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == b).collect()  # about ``block`` rows
         shared = vectors.sparkSession.sparkContext.broadcast([(r.id, np.array(r.v, np.int64)) for r in mine])
-        part = map_batches(rows, _search(shared, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionAll(part)
+        copies = vectors.sparkSession.createDataFrame([(q, r.copies) for q, r in enumerate(mine) if r.copies > 1], "q long, copies long")
+        best = map_batches(rows, _search(shared, k + 1), "q long, query_id long, vec_id long, score long, own boolean")
+        parts.append(materialize(_best(best, k).join(F.broadcast(copies), "q", "left")  # at most a block
+                                 .select("query_id", "rank", "vec_id", "score", F.expr("explode(sequence(1L, coalesce(copies, 1L)))"))
+                                 .drop("col"), "found"))
+        shared.unpersist()
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The best k rows of each query without its own row."""
     order = [F.desc("score"), "vec_id"]
-    for keys in ([F.col("query_id"), F.pmod(F.hash("vec_id"), F.lit(SALT))], ["query_id"]):
-        found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(f"rank <= {k}")
-    return found.select("query_id", "rank", "vec_id", "score")
+    for keys in (["q", F.pmod(F.hash("vec_id"), F.lit(SALT))], ["q"]):
+        found = found.withColumn("at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(f"at <= {k + 1}")
+    own = F.min(F.when(F.col("own"), F.col("at"))).over(Window.partitionBy("q"))
+    found = found.withColumn("own_at", own).where("own_at is null or at <> own_at")
+    return found.withColumn("rank", F.expr("cast(at - if(at > own_at, 1, 0) as int)")).where(f"rank <= {k}")

@@ -4,13 +4,14 @@ from pyspark.sql import functions as F
 from featureloom.llm import topk
 
 
-def brute(rows, k):
-    ok = [(i, np.floor(1024 * np.array(v, np.float64)).astype(np.int64)) for i, v in rows
+def brute(rows, best):
+    ok = [(i, [int(c) for c in np.clip(np.floor(1024 * np.array(v, np.float64)), -2.0**63, 2.0**63 - 1024)]) for i, v in rows
           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for qid, q in sorted({(i, tuple(v)) for i, v in ok if i % 100 == 0}):
-        cand = sorted((-int(np.dot(q, v)), i) for i, v in ok if i != qid and len(v) == len(q))[:k]
-        out += [(qid, r + 1, i, -s) for r, (s, i) in enumerate(cand)]
+    for at, (qid, q) in enumerate(ok):
+        if qid % 100 == 0:  # every query row against every other row
+            cand = sorted((-sum(a * b for a, b in zip(q, v)), i) for k, (i, v) in enumerate(ok) if k != at and len(v) == len(q))
+            out += [(qid, r + 1, i, max(-2**63, min(2**63 - 1, -s))) for r, (s, i) in enumerate(cand[:best])]
     return sorted(out)
 
 
@@ -56,6 +57,26 @@ def test_small_chunks_carry_the_threshold():
     rng = np.random.default_rng(1)
     x = rng.integers(-300, 300, (3000, 8))
     lists = topk.Lists(np.arange(3000), x)
-    rows, score = lists.search(-1, x[5], 10, 250_000.0)
+    rows, score = lists.search(x[5], 10, 250_000.0)
     exact = x @ x[5]
     assert set(np.flatnonzero(exact >= 250_000)) <= set(rows.tolist()) and (exact[rows] == score).all()
+
+
+def test_rows_that_share_a_querys_id(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-8, 9, 3) / 4]) for i in range(150)]
+    rows += [(100, [1.0, 0.5, -1.0]), (100, [2.0, 0.25, 1.0]), (100, rows[100][1]), (100, rows[100][1]), (0, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (16_384, 2):
+        assert result(topk.top_k(df.repartition(4), F.col("vec_id") % 100 == 0, block=block)) == brute(rows, 10)
+
+
+def test_components_beyond_exact_doubles(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(0, 10.0 ** rng.integers(0, 5), 4)]) for i in range(400)]
+    rows += [(1000 + i, [float(x) for x in rng.normal(0, 2e5, 4)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert result(topk.top_k(df.repartition(3), F.col("vec_id") % 100 == 0)) == brute(rows, 10)
+    huge = [(200, [1e25, 1.0]), (2, [-1e25, 1.0]), (3, [1.0, 1.0])]
+    got = result(topk.top_k(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0))
+    assert [r[:3] for r in got] == [(200, 1, 3), (200, 2, 2)] and got[1][3] == -2**63
