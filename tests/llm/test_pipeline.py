@@ -85,3 +85,26 @@ def test_all_queries_are_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(QUERIES) <= set(names) and set(ORACLE_SQL) <= set(entry.oracle_sql())
+
+
+def test_columns_named_like_inner_ones(spark, tmp_path):
+    names = ["__items", "__spans", "__n_words", "__base", "__runs", "__hist", "__id", "__hash", "__toxicity", "c", "n", "n_", "row", "id", "y",
+             "fold", "score", "chunk", "word"]
+    tables(spark, f"{tmp_path}/plain")
+    plain = spark.read.parquet(f"{tmp_path}/plain/documents.parquet")
+    more = plain.selectExpr("*", *(f"concat('{c}', doc_id) as `{c}`" for c in names)).unionAll(
+        plain.where("doc_id = 300").selectExpr("*", *(f"concat('{c}', doc_id) as `{c}`" for c in names)))  # a repeated row
+    docs = more
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, docs, f"{tmp_path}/plain")
+        assert out.columns == docs.columns
+        plain = stage(spark, plain, f"{tmp_path}/plain")
+        for path, df in ((f"{tmp_path}/{name}", out), (f"{tmp_path}/{name}-plain", plain)):
+            df.write.parquet(path)
+        docs, plain = spark.read.parquet(f"{tmp_path}/{name}"), spark.read.parquet(f"{tmp_path}/{name}-plain")
+        rows = docs.collect()
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
+        if name != "toxicity":  # the repeated row is gone
+            assert sorted((r.doc_id, r.text or "") for r in rows) == sorted((r.doc_id, r.text or "") for r in plain.collect())
+    last = corpus_pipeline.STAGES[4][1](spark, docs, f"{tmp_path}/plain")
+    assert last.count() == len(rows)
