@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureloom.llm import decontaminate, secrets_scan, sentencepieces, toxicity
-from featureloom.llm.common import is_empty, materialize
+from featureloom.llm.common import is_empty, materialize, set_apart
 from featureloom.llm.neardup import near_duplicates
 from featureloom.llm.queries import piece_model
 
@@ -31,6 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of word-free rows, which are in no group, one of equal rows that repeat an id stays.
     """
+    docs, named = set_apart(docs, ("__id", "__hash", "c", "n", "row"))
     found = materialize(near_duplicates(docs, width=5, percent=80, text_hash="__hash").withColumnRenamed("doc_id", "__id"), "groups")
     gone = found.where("not kept").select("__id", "__hash").distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
@@ -38,10 +39,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeated = materialize(found.where("kept and (n_shingles > 0 or __id is not null)").groupBy("__id", "__hash")
                            .agg(F.count("*").alias("c"), F.max("n_shingles").alias("n")).where("c > 1"), "repeated")
     if is_empty(repeated):
-        return kept
+        return named(kept)
     once = kept.join(repeated, same).groupBy("__id", "__hash", F.when(F.col("n") == 0, F.xxhash64(*docs.columns))) \
         .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(repeated, same, "left_anti").unionByName(once)
+    return named(kept.join(repeated, same, "left_anti").unionByName(once))
 
 
 def cut_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
