@@ -768,6 +768,30 @@ o AS (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey)
 SELECT event_id, CAST(c_custkey AS BIGINT) AS c_custkey, orders FROM e LEFT JOIN o ON c_custkey = o_custkey"""
 
 
+# Categories as rows of an index, sparse counts a key
+def sparse_category_counts(spark, d):
+    from ..operators.sparse import category_index, sparse_counts
+    orders = load(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority", "o_orderstatus")
+    columns = ["day", "o_orderpriority", "o_orderstatus"]
+    got = sparse_counts(orders, "o_custkey", columns, category_index(orders, columns))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return got.select("o_custkey", F.col("rows").alias("n_rows"), text("positions"), text("counts"))
+
+
+SQL_SPARSE_CATEGORY_COUNTS = """WITH p AS (
+  SELECT o_custkey, unnest(['day', 'o_orderpriority', 'o_orderstatus']) AS name,
+         unnest([CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CAST(o_orderpriority AS VARCHAR), CAST(o_orderstatus AS VARCHAR)]) AS value FROM orders),
+i AS (
+  SELECT name, value, row_number() OVER (ORDER BY name, value NULLS FIRST) - 1 AS position FROM (
+    SELECT DISTINCT name, value FROM p UNION SELECT DISTINCT name, NULL FROM p)),
+c AS (
+  SELECT o_custkey, p.name, position, count(*) AS n FROM p JOIN i ON p.name = i.name AND p.value IS NOT DISTINCT FROM i.value
+  WHERE o_custkey IS NOT NULL GROUP BY o_custkey, p.name, position)
+SELECT o_custkey, CAST(sum(n) FILTER (WHERE name = 'day') AS BIGINT) AS n_rows,
+       string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) AS positions, string_agg(CAST(n AS VARCHAR), ',' ORDER BY position) AS counts
+FROM c GROUP BY o_custkey"""
+
+
 # Blocks stored bucketed by the key, joined without an exchange
 def bucketed_star(spark, d, buckets: int = 16):
     import uuid
@@ -1460,6 +1484,7 @@ QUERIES = {
     "csv_quarantine": csv_quarantine,
     "file_order_codes": file_order_codes,
     "skew_join": skew_join,
+    "sparse_category_counts": sparse_category_counts,
     "bucketed_star": bucketed_star,
     "sketch_profile": sketch_profile,
     "head_limit": head_limit,
@@ -1519,6 +1544,7 @@ ORACLE_SQL = {
     "csv_quarantine": SQL_CSV_QUARANTINE,
     "file_order_codes": SQL_FILE_ORDER_CODES,
     "skew_join": SQL_SKEW_JOIN,
+    "sparse_category_counts": SQL_SPARSE_CATEGORY_COUNTS,
     "bucketed_star": _sql_star_assembly(),
     "sketch_profile": SQL_SKETCH_PROFILE,
     "head_limit": SQL_HEAD_LIMIT,
