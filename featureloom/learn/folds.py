@@ -33,8 +33,9 @@ def stratified_kfold_column(df: DataFrame, key: str, label: Column | str, k: int
     computed without a single-partition window: rows are bucketed by the
     first ``hex_digits`` hex digits of the hash (16^hex_digits buckets of
     uniform size; by default more the more shuffle partitions there are), a bucket's offset is the count of the label's rows in
-    lower buckets (a table of at most #labels x 16^hex_digits rows), and the
-    rank inside a bucket comes from a window partitioned by (label, bucket).
+    lower buckets (a table of at most #labels x 16^hex_digits rows, cumulated in two
+    steps, by the first half of the digits and inside it, so that no task gets
+    more than the square root of a label's buckets), and the rank inside a bucket comes from a window partitioned by (label, bucket).
     """
     lab = F.col(label) if isinstance(label, str) else label
     if hex_digits is None:  # some hundred buckets for each shuffle partition
@@ -44,9 +45,13 @@ def stratified_kfold_column(df: DataFrame, key: str, label: Column | str, k: int
     x = df.withColumns({"_h": key_hash(key, seed), "_lab": F.coalesce(F.concat(F.lit("="), lab.cast("string")), F.lit("null"))})
     x = x.withColumn("_b", F.substring("_h", 1, hex_digits))
     counts = x.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_lab", "_b", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))
-                            .alias("_off"))
+    counts = counts.withColumn("_top", F.substring("_b", 1, math.ceil(hex_digits / 2)))
+    before = lambda keys, order: F.coalesce(F.sum("_cnt").over(
+        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tops = counts.groupBy("_lab", "_top").agg(F.sum("_cnt").alias("_cnt")) \
+        .select("_lab", "_top", before(["_lab"], "_top").alias("_lower"))
+    offsets = counts.select("_lab", "_top", "_b", before(["_lab", "_top"], "_b").alias("_inner")).join(tops, ["_lab", "_top"]) \
+        .select("_lab", "_b", (F.col("_lower") + F.col("_inner")).alias("_off"))
     # a NULL label is its own stratum, never dropped
     x = x.join(offsets, ["_lab", "_b"])
     w = Window.partitionBy("_lab", "_b").orderBy("_h", key)
