@@ -6,9 +6,10 @@
   (model, open node, feature) -- all k fold models in the same pass, each without
   its own fold. Tasks send one row for each (model, node, block of features);
   Spark sums them and finds each block's best split where the sums are, and the
-  driver sees one split for each (model, node, block). Where all tasks' rows of a
-  pass are at most ``DRIVER_BYTES`` together (known before the pass), the driver
-  sums them itself, with the same code, and the pass needs no shuffle.
+  driver sees one split for each (model, node, block). Only where the rows of all
+  tasks of a pass are at most ``DRIVER_BYTES`` together (known before the
+  pass), the driver sums them itself, with the same code, and the pass needs no
+  shuffle.
 * Trees grow best-first: each pass opens all nodes that could still be among the
   ``num_leaves - 1`` best splits, so the tree equals one grown a leaf at a time.
   Missing values take the side with the larger gain; L1 and L2 terms, smallest
@@ -41,7 +42,7 @@ from ..session import checkpoint_path
 from .metrics import best_round, roc_auc
 
 BLOCK = 32  # features a histogram row
-MIN_TASK_BYTES, TASK_BYTES = 1 << 18, 64 << 20
+MIN_TASK_BYTES, TASK_BYTES = 1 << 20, 64 << 20
 DRIVER_BYTES = 32 << 20
 
 
@@ -118,7 +119,7 @@ def _lists(matrix: np.ndarray) -> pa.Array:
 
 def find_cuts(frame: DataFrame, features: Sequence[str], bins: int) -> list[np.ndarray]:
     """Ascending cut values of each feature: a value up to the i-th cut has code i + 1, larger ones the last code."""
-    shares = [k / (bins - 2) for k in range(bins - 1)]
+    shares = F.array(*(F.lit(k / (bins - 2)) for k in range(bins - 1)))  # once: a column of its own for each feature takes the driver long
     cell = lambda c: F.when(~F.isnan(c), c)
     values = frame.select(*(F.col(f"`{c}`").cast("double").alias(f"v{k}") for k, c in enumerate(features))).agg(
         *(F.array_sort(F.array_distinct(F.percentile_approx(cell(F.col(f"v{k}")), shares, 100 * bins))).alias(f"v{k}")
@@ -126,6 +127,11 @@ def find_cuts(frame: DataFrame, features: Sequence[str], bins: int) -> list[np.n
     return [np.array(v[:-1] if v else [], np.float64) for v in values]
 
 
+def threshold(cuts: np.ndarray, cut: int) -> float:
+    """The largest value with a code up to ``cut``; infinity where all values have one, and only missing ones go right."""
+    return float(cuts[cut - 1]) if cut <= len(cuts) else math.inf
+
+
 def code_rows(frame: DataFrame, key: str, label: str, fold: str, features: Sequence[str], cuts: list[np.ndarray], path: str) -> DataFrame:
     """Write (key, y, fold, codes) of every row; y is NULL for rows to score only."""
     src = frame.select(F.col(key).alias("key"), F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("fold"),
@@ -254,9 +260,15 @@ class Grower:
         return out
 
 
-def _histograms(state: DataFrame, p: BoostParams, features: int, models: int,
+def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: int,
                 growing: dict[int, tuple[Tree, list[int]]], allowed: dict[int, np.ndarray], tasks: int) -> list[dict]:
-    """The best split of each (model, open node, block of features), and the node's sums ``g`` and ``h``."""
+    """The best split of each (model, open node, block of features), and the node's sums ``g`` and ``h``.
+
+    Rows hold the ``widths`` codes that each feature has, so a flag takes three cells and not ``bins``.
+    """
+    features = len(widths)
+    ends = np.cumsum(widths)
+    shift, cells_of_all = ends - widths, int(ends[-1])
     blocks = [(a, min(a + BLOCK, features)) for a in range(0, features, BLOCK)]
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +279,6 @@ def _histograms(state: DataFrame, p: BoostParams, features: int, models: int,
             codes = codes_of(b.column(b.schema.get_field_index("codes")), b.num_rows, features)
             y, fold = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
             margins = list_matrix(b.column(b.schema.get_field_index("margins")), models)
-            shift = np.arange(features) * p.bins
             for m, (tree, open_nodes) in growing.items():
                 mine = np.flatnonzero(fold != m)
                 rows = codes[mine]
@@ -275,27 +286,41 @@ def _histograms(state: DataFrame, p: BoostParams, features: int, models: int,
                 wanted = np.isin(at, open_nodes)
                 mine, rows, at = mine[wanted], rows[wanted], at[wanted]
                 chance = 1.0 / (1.0 + np.exp(-margins[mine, m]))
-                for node in open_nodes:
-                    here = at == node
+                order = np.argsort(at, kind="stable")
+                first, last = (np.searchsorted(at[order], open_nodes, side=side) for side in ("left", "right"))
+                for node, a, z in zip(open_nodes, first, last):
+                    here = order[a:z]
+                    if not len(here):  # nothing to send of this node
+                        continue
                     cells = (rows[here] + shift).ravel()
-                    gh = np.stack([np.bincount(cells, np.repeat(w[here], features), features * p.bins)
+                    gh = np.stack([np.bincount(cells, np.repeat(w[here], features), cells_of_all)
                                    for w in (chance - y[mine], chance * (1.0 - chance))])
                     total = sums.get((m, node))
                     sums[m, node] = gh if total is None else total + gh
         for (m, node), gh in sums.items():
-            gh = gh.reshape(2, features, p.bins)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([m] * len(blocks), pa.int32()), pa.array([node] * len(blocks), pa.int32()), pa.array([a for a, _ in blocks], pa.int32()),
-                 pa.array([part] * len(blocks), pa.int32()), pa.array([gh[:, a:z].tobytes() for a, z in blocks], pa.binary())],
+                 pa.array([part] * len(blocks), pa.int32()), pa.array([gh[:, shift[a]:ends[z - 1]].tobytes() for a, z in blocks], pa.binary())],
                 ["model", "node", "block", "part", "sums"])
 
-    def settle(key: tuple, table: pa.Table) -> pa.Table:
-        m, node, a = (k.as_py() for k in key)
-        return pa.Table.from_pylist([settled(m, node, a, table.sort_by("part")["sums"].to_pylist())], SPLIT)
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of one (model, node, block) follow each other, ordered by ``part``."""
+        key, sums, out = None, [], []
+        for b in batches:
+            for *at, one in zip(*(b.column(c).to_pylist() for c in ("model", "node", "block", "sums"))):
+                if at != key and sums:
+                    out.append(settled(*key, sums))
+                    sums = []
+                key = at
+                sums.append(one)
+        if sums:
+            out.append(settled(*key, sums))
+        yield pa.RecordBatch.from_pylist(out, SPLIT)
 
     def settled(m: int, node: int, a: int, sums: list[bytes]) -> dict:
         z = min(a + BLOCK, features)
-        total = sum(np.frombuffer(s, np.float64).reshape(2, z - a, p.bins) for s in sums)
+        total, wide = np.zeros((2, z - a, p.bins)), widths[a:z]
+        total[:, np.arange(p.bins) < wide[:, None]] = sum(np.frombuffer(s, np.float64).reshape(2, -1) for s in sums)
         found = best_split(total[0], total[1], allowed[m][a:z], p)
         gain, f, cut, missing_left, gl, hl, gr, hr = found or (None, 0, 0, False, 0.0, 0.0, 0.0, 0.0)
         return {"model": m, "node": node, "feature": a + f, "gain": gain, "cut": cut, "missing_left": missing_left,
@@ -303,10 +328,13 @@ def _histograms(state: DataFrame, p: BoostParams, features: int, models: int,
 
     partial = state.select("codes", "y", "fold", "margins") \
         .mapInArrow(add_up, "model int, node int, block int, part int, sums binary")
-    if tasks * sum(len(nodes) for _, nodes in growing.values()) * features * p.bins * 16 > DRIVER_BYTES:
-        splits = partial.groupBy("model", "node", "block").applyInArrow(
-            settle, "model int, node int, feature int, gain double, cut int, missing_left boolean, gl double, hl double, gr double, "
-                    "hr double, g double, h double")
+    groups = sum(len(nodes) for _, nodes in growing.values()) * len(blocks)
+    if tasks * sum(len(nodes) for _, nodes in growing.values()) * cells_of_all * 16 > DRIVER_BYTES:
+        key = ["model", "node", "block"]
+        splits = partial.repartition(min(groups, tasks), *key) \
+            .sortWithinPartitions(*key, "part").mapInArrow(
+                settle, "model int, node int, feature int, gain double, cut int, missing_left boolean, gl double, hl double, gr double, "
+                        "hr double, g double, h double")
         return [r.asDict() for r in splits.collect()]
     sums: dict[tuple[int, int, int], list[bytes]] = {}
     for r in partial.toArrow().sort_by("part").to_pylist():  # always in the same order
@@ -368,7 +396,7 @@ class BoostedFolds:
                 for n, f in enumerate(t.feature):
                     inner = f >= 0
                     rows.append((m + 1, r + 1, n, self.features[f] if inner else None,
-                                 float(self.cuts[f][t.cut[n] - 1]) if inner else None, t.missing_left[n] if inner else None,
+                                 threshold(self.cuts[f], t.cut[n]) if inner else None, t.missing_left[n] if inner else None,
                                  t.left[n] if inner else None, t.right[n] if inner else None, t.value[n],
                                  t.gain[n] if inner else None, t.weight[n]))
         return self.coded.sparkSession.createDataFrame(rows, "fold int, round int, node int, feature string, threshold double, "
@@ -407,6 +435,7 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
     known.select("codes", "y", "fold", F.array(*(F.lit(s) for s in start)).alias("margins"), nothing).repartition(tasks) \
         .write.option("compression", "zstd").parquet(f"{base}/state-0")
     state = spark.read.parquet(f"{base}/state-0")
+    widths = np.array([len(c) + 2 for c in cuts], np.int64)  # missing, up to each cut, above
     trees: list[list[Tree]] = [[] for _ in range(n_folds)]
     aucs: list[list[float]] = [[] for _ in range(n_folds)]
     active = [m for m in range(n_folds) if rows > sums.get(m, (0, 0.0))[0]]
@@ -420,7 +449,7 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
             allowed = {m: columns_of_tree(p, m, r, len(features)) for m in active}
             while any(g.open for g in growers.values()):
                 growing = {m: (g.tree, g.open) for m, g in growers.items() if g.open}
-                found = _histograms(state, p, len(features), n_folds, growing, allowed, tasks)
+                found = _histograms(state, p, widths, n_folds, growing, allowed, tasks)
                 for m in growing:
                     mine = [s for s in found if s["model"] == m]
                     splits: dict[int, tuple | None] = {}

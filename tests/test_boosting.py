@@ -142,6 +142,14 @@ def test_importances_equal_a_walk_over_the_trees(spark, frame):
     assert res.full_auc.first().auc > 0.75 and res.top_importances.count() == 2
 
 
+def test_a_split_of_missing_from_present_values_has_a_threshold(spark):
+    data = [(k, k % 3 % 2, None if k % 3 == 1 else 1.0 + k % 2 * (k % 5)) for k in range(120)] + [(k, None, 1.0) for k in range(120, 130)]
+    res = kfold_boost(spark.createDataFrame(data, "k long, y int, a double"), "k", "y", n_folds=2, rounds=2, min_child_weight=0.1)
+    nodes = res.models.nodes().where("feature is not null and node = 0").collect()
+    assert nodes and all(r.threshold == math.inf and r.missing_left is False for r in nodes)
+    assert res.submission.count() == 10 and res.importances.count() == 2
+
+
 def test_no_rows_no_labels_one_class(spark):
     schema = "k long, y int, a double"
     for data in ([], [(1, None, 1.0), (2, None, None)], [(k, 1, float(k)) for k in range(20)], [(k, k % 2, None) for k in range(20)]):
