@@ -7,7 +7,7 @@
   its own fold. Tasks send one row for each (model, node, block of features);
   Spark sums them and finds each block's best split where the sums are, and the
   driver sees one split for each (model, node, block). Only where the rows of all
-  tasks of a pass are at most ``DRIVER_BYTES`` together (known before the
+  tasks and all passes are at most ``DRIVER_BYTES`` together (known before the
   pass), the driver sums them itself, with the same code, and the pass needs no
   shuffle.
 * Trees grow best-first: each pass opens all nodes that could still be among the
@@ -329,7 +329,7 @@ def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: in
     partial = state.select("codes", "y", "fold", "margins") \
         .mapInArrow(add_up, "model int, node int, block int, part int, sums binary")
     groups = sum(len(nodes) for _, nodes in growing.values()) * len(blocks)
-    if tasks * sum(len(nodes) for _, nodes in growing.values()) * cells_of_all * 16 > DRIVER_BYTES:
+    if tasks * sum(len(nodes) for _, nodes in growing.values()) * cells_of_all * 16 * p.rounds * p.max_depth > DRIVER_BYTES:  # a tree takes at most max_depth passes
         key = ["model", "node", "block"]
         splits = partial.repartition(min(groups, tasks), *key) \
             .sortWithinPartitions(*key, "part").mapInArrow(

@@ -150,6 +150,16 @@ def test_a_split_of_missing_from_present_values_has_a_threshold(spark):
     assert res.submission.count() == 10 and res.importances.count() == 2
 
 
+def test_histograms_of_all_passes_decide_who_sums_them(spark, frame, monkeypatch):
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", 1 << 16)  # one pass fits, all of them do not
+    monkeypatch.setattr(boosting, "MIN_TASK_BYTES", 256)
+    taken = []
+    whole = type(frame).toArrow
+    monkeypatch.setattr(type(frame), "toArrow", lambda self: taken.append(1) or whole(self))
+    got = boost_folds(frame, "id", "y", "fold", 3, FEATURES, SMALL)
+    assert not taken and [len(t) for t in got.trees] == [SMALL.rounds] * 3
+
+
 def test_no_rows_no_labels_one_class(spark):
     schema = "k long, y int, a double"
     for data in ([], [(1, None, 1.0), (2, None, None)], [(k, 1, float(k)) for k in range(20)], [(k, k % 2, None) for k in range(20)]):
