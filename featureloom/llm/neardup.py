@@ -255,7 +255,7 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
     parts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("members"),
         F.max("c").alias("largest"), F.count("*").alias("k")).where("k > 1")
-    rows = rows.join(parts, "bucket").withColumns({
+    rows = rows.select("bucket", "cls", "comp", "band").join(parts, "bucket").withColumns({
         "seeker": F.col("comp") != F.col("main"),
         "nm": F.ceil(F.col("members") / block).cast("int"),
         "ns": F.ceil((F.col("members") - F.col("largest")) / block).cast("int"),
@@ -264,7 +264,7 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
         if(seeker, transform(sequence(0, nm - 1), m -> struct(m as m, sb as s, true as seeks)), array()),
         if(seeker and nm = 1 and ns = 1, array(),
            transform(sequence(0, ns - 1), s -> struct(mb as m, s as s, false as seeks))))""")
-    return rows.select("bucket", *ROW[:-1], F.inline(copies))
+    return rows.select("bucket", "cls", "comp", "band", F.inline(copies))
 
 
 def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, percent: int,
@@ -289,15 +289,13 @@ def _merge(src: DataFrame, member: DataFrame, active: DataFrame, width: int, per
         return materialize(comp.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comp")
 
     for quota in (*quotas, 0):
-        rows = member.join(active.select("cls", "n", "sig", "bands"), "cls") \
-            .join(comp, F.col("cls") == comp.node).select("bucket", *ROW[:-1])
+        rows = member.join(comp, F.col("cls") == comp.node).select("bucket", "cls", "comp", "band", "c")
         if tried is None:  # every class is a component of its own: blocks of a bucket apart
-            rows = rows.join(member.groupBy("bucket").agg(F.count("*").alias("c")), "bucket").select(
-                "bucket", F.expr(f"cast(pmod(hash(cls), ceil(c / {block})) as int)").alias("m"), F.lit(0).alias("s"),
-                *ROW[:-1], F.lit(True).alias("seeks"))
+            rows = rows.withColumns({"m": F.expr(f"cast(pmod(hash(cls), ceil(c / {block})) as int)"), "s": F.lit(0), "seeks": F.lit(True)})
         else:
             rows = _blocks(rows, block)
-        rows = grouped(rows.select("bucket", "m", "s", *ROW))
+        # the signatures come last, so that they are shuffled to the groups alone
+        rows = grouped(rows.join(active.select("cls", "n", "sig", "bands"), "cls").select("bucket", "m", "s", *ROW))
         if not quota:
             left = map_batches(rows, _involved(least, ratio), row_ddl).join(sets, "cls").select("bucket", "m", "s", *ROW, "blob")
             return joined(materialize(map_batches(grouped(left), _settle(least, ratio, percent), "x binary, y binary"), "links"))
@@ -344,7 +342,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         F.first("sig").alias("sig"))
     classes = materialize(classes.select("cls", "at.id", "at.h", "n", "bands", "sig"), "classes")
     keys = classes.select(F.posexplode("bands").alias("band", "bucket"), "cls")
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    shared = keys.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     member = materialize(keys.join(shared, "bucket"), "members")
     active = materialize(map_batches(classes.join(member.select("cls").distinct(), "cls", "left_semi"), _short_bands,
                                      f"cls binary, id {id_type}, h long, n long, bands binary, sig binary"), "active")

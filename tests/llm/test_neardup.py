@@ -79,3 +79,16 @@ def test_short_texts_are_one_shingle():
     assert len(neardup.shingle_set([b"a", b"b"], h, 4)) == 1
     assert len(neardup.shingle_set([], h, 4)) == 0
     assert neardup.shingle_set([b"a", b"b"], h, 4)[0] != neardup.shingle_set([b"b", b"a"], h, 4)[0]
+
+
+def test_groups_are_dealt_without_signatures(spark):
+    from featureloom.llm.neardup import _blocks
+    data = [(b, bytes([b, k]), bytes([k % 3]), 0) for b in (1, 2) for k in range(9)] + [(3, b"x", b"\0", 0), (3, b"y", b"\0", 0)]
+    light = spark.createDataFrame(data, "bucket long, cls binary, comp binary, band int")
+    groups = {}
+    for r in _blocks(light, 2).collect():
+        groups.setdefault((r.bucket, r.m, r.s), []).append(r)
+    met = [(bytes(x.cls), bytes(y.cls)) for g in groups.values() for x in g if x.seeks for y in g if x.comp != y.comp]
+    pairs = {tuple(sorted(p)) for p in met}
+    assert pairs == {tuple(sorted((a[1], b[1]))) for a in data for b in data if a[0] == b[0] and a[2] != b[2]}
+    assert all(r.bucket != 3 for g in groups.values() for r in g) and set(next(iter(groups.values()))[0].asDict()) == {"bucket", "cls", "comp", "band", "m", "s", "seeks"}
