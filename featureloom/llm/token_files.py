@@ -12,12 +12,13 @@ start from an empty model and can be decoded alone.
 
 Model of one block: the order-2 and order-1 contexts (last two ids, last id;
 hashed) each predict one id with a confidence; the order-0 model is the
-frequency of the ids' upper bytes, re-counted every ``RECOUNT`` ids. The three
-are mixed with weights that adapt for every pair of confidences: the weight of
-the order-2 id, that of the order-1 id, and the rest, which is spread over the
-upper bytes by order-0 frequency (the lower byte follows by its own order-0
-frequency). The mixture drives a carry-less range coder. All blocks of a file are coded in step,
-one numpy lane each.
+frequency of the ids' upper and lower bytes, re-counted every ``RECOUNT`` ids.
+The three are mixed with weights that adapt for every pair of confidences: the
+weight of the order-2 id, that of the order-1 id, and the rest, which is spread
+over the upper and lower bytes by order-0 frequency. One interval of
+2**``TOTAL`` codes an id, through a range coder with carries. All blocks of a
+file are coded in step, one numpy lane each; the last block is filled up with
+zeros that are cut off again.
 
 ``write_tokens`` encodes whole texts with the tokenizers library, appends the
 end id, deals documents to ranges of their ids and writes files in ascending
@@ -30,6 +31,7 @@ Extra columns are not read. An empty table writes no file and reads no row.
 
 from __future__ import annotations
 
+import functools
 import json
 import struct
 import uuid
@@ -39,153 +41,182 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, scratch, texts
+from .common import LOWER, map_batches, materialize, scratch
 
 BLOCK, RECOUNT, FILE_IDS = 4096, 256, 12_000_000
-SLOTS, CONTEXTS, TOTAL0 = 2048, 32, 1024
+SLOTS, CONTEXTS, TOTAL0, TOTAL = 2048, 32, 1024, 31
 MAGIC = b"FLTOK1\0\0"
 HEAD = struct.Struct("<8sIQIII")
-LOW48, LOW32 = np.uint64(2**48), np.uint64(2**32)
-U16, U32 = np.uint64(16), np.uint64(0xFFFFFFFF)
+CHUNK_BYTES = 8_000_000
+#: How ``PATTERN`` cuts words: runs of letters (those of Latin-1 too), single digits,
+#: runs of signs; words with other bytes stay whole.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
+KIND = np.array([SPACE if chr(b) in " \t\n\r\v\f" else ODD if not 32 < b < 127 or chr(b) == "'" else
+                 LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else SIGN for b in range(256)], np.uint8)
+LOWERED = np.frombuffer(LOWER, np.uint8)
 
 
 class Coder:
-    """Carry-less range coder, 64-bit state, 16-bit words, one lane a block."""
+    """Range coder with carries, 16-bit words, one lane a block. Low, range and code are whole numbers below 2**53 in floats."""
 
     def __init__(self, lanes: int, words: list[np.ndarray] | None = None):
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-        self.at = np.zeros(lanes, np.int64)
+        self.lanes, self.range = lanes, np.full(lanes, 2.0**48 - 1)
+        self.at, self.low, self.code = np.arange(lanes), np.zeros(lanes), None
         # words lie step by step, lanes side by side: lanes are at similar steps
         if words is None:
-            self.out, self.code = np.empty((2 * BLOCK + 16, lanes), np.uint16), None
+            self.flat = np.empty((3 * BLOCK + 4) * lanes, np.uint32)  # an upper half is a carry to the word before
         else:
-            width = max(map(len, words)) + 4
-            by_lane = np.zeros((lanes, width), np.uint16)
+            by_lane = np.zeros((lanes, max(map(len, words)) + 4), np.uint16)
             for row, w in zip(by_lane, words):
                 row[:len(w)] = w
-            self.out = np.ascontiguousarray(by_lane.T)
-            self.code = np.zeros(lanes, np.uint64)
-            for j in range(4):
-                self.code = self.code << U16 | self.out[j]
-            self.at += 4
-        self.flat, self.lane, self.lanes = self.out.ravel(), np.arange(lanes), lanes
-
-    def narrow(self, lanes, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        """Take [start, start + size) of 2**bits in ``lanes`` (a slice or an index array) and shift words."""
-        r = self.range[lanes] >> np.uint64(bits)
-        low = self.low[lanes] + start.astype(np.uint64) * r
-        r = r * size.astype(np.uint64)
-        code = None if self.code is None else self.code[lanes]
-        own, at = self.lane[lanes], self.at[lanes]
-        go = np.flatnonzero(((low ^ (low + r)) < LOW48) | (r < LOW32))
+            self.flat = np.ascontiguousarray(by_lane.T).ravel()
+            self.code = 2.0**32 * self.flat[:lanes] + 2.0**16 * self.flat[lanes:2 * lanes] + self.flat[2 * lanes:3 * lanes]
+            self.at += 3 * lanes
+
+    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Take [start, start + size) of 2**TOTAL and shift words, three at most."""
+        start = unit * start.astype(np.float64)
+        if self.code is None:
+            self.low += start
+        else:
+            self.code -= start
+        self.range = unit * size.astype(np.float64)
+        short = self.range < 2.0**32
+        one = short.astype(np.float64)
+        factor = one * 65535 + 1
+        if self.code is None:
+            word = np.floor(self.low * 2.0**-32)
+            self.flat[self.at] = word  # written again where it does not count
+            word *= one
+            self.low -= word * 2.0**32
+            self.low *= factor
+        else:
+            self.code *= factor
+            self.code += one * self.flat.take(self.at)
+        self.range *= factor
+        self.at += short.astype(np.int64) * self.lanes
+        go = np.flatnonzero(self.range < 2.0**32)
         while len(go):
-            lo, rr, to = low[go], r[go], at[go]
-            flip = (lo ^ (lo + rr)) < LOW48
-            rr = np.where(flip, rr, (~lo + np.uint64(1)) & U32)
-            place = to * self.lanes + own[go]
-            if code is None:
-                self.flat[place] = lo >> np.uint64(48)  # the upper word
+            at = self.at[go]
+            if self.code is None:
+                low = self.low[go]
+                word = np.floor(low * 2.0**-32)
+                self.flat[at] = word
+                self.low[go] = (low - word * 2.0**32) * 65536
             else:
-                code[go] = code[go] << U16 | self.flat[place]
-            lo, rr = lo << U16, rr << U16
-            at[go], low[go], r[go] = to + 1, lo, rr
-            go = go[((lo ^ (lo + rr)) < LOW48) | (rr < LOW32)]
-        self.low[lanes], self.range[lanes], self.at[lanes] = low, r, at
-        if code is not None:
-            self.code[lanes] = code
-
-    def slot(self, lanes, bits: int) -> np.ndarray:
-        """Where the coded value lies in 2**bits."""
-        v = (self.code[lanes] - self.low[lanes]) // (self.range[lanes] >> np.uint64(bits))
-        return np.minimum(v, np.uint64(2**bits - 1)).astype(np.int64)
+                self.code[go] = self.code[go] * 65536 + self.flat[at]
+            size = self.range[go] * 65536
+            self.range[go], self.at[go] = size, at + self.lanes
+            go = go[size < 2.0**32]
 
     def finish(self) -> list[bytes]:
-        for j in range(4):
-            self.flat[(self.at + j) * self.lanes + self.lane] = (self.low >> np.uint64(48 - 16 * j)) & np.uint64(0xFFFF)
-        return [row[:n + 4].astype("<u2").tobytes() for row, n in zip(np.ascontiguousarray(self.out.T), self.at)]
-
-
-def _code(coder: Coder, ids: np.ndarray, sizes: np.ndarray, decode: bool) -> None:
-    """Code the lanes of ``ids`` (BLOCK, lanes) in step; ``sizes`` falls, only the last may be short."""
-    lanes = len(sizes)
-    lane = np.arange(lanes)
-    table = [np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)]  # predicted id | confidence << 16
-    w2 = np.full(lanes * CONTEXTS, 2**14, np.int32)
-    w1 = np.full(lanes * CONTEXTS, 2**13, np.int32)
-    count = np.ones((2, lanes * 256), np.int64)  # upper and lower bytes
-    c1 = c2 = np.zeros(lanes, np.int64)
-    cum = find = None
-    steps = int(sizes.max(initial=0))
-    for t in range(steps):
-        if t % RECOUNT == 0:
-            n = count.reshape(2, lanes, 256)
-            total = np.cumsum(n, 2)
-            cum = np.zeros((2, lanes, 257), np.int64)
-            cum[:, :, 1:] = np.arange(1, 257) + total * (TOTAL0 - 256) // total[:, :, -1:]
-            if decode:
-                width = np.diff(cum, axis=2).ravel()
-                find = np.repeat(np.tile(np.arange(256, dtype=np.uint8), 2 * lanes), width).reshape(2, lanes * TOTAL0)
-            cum = cum.reshape(2, lanes * 257)
-        if t < sizes[-1]:
-            on = slice(0, lanes)
-        else:
-            on = slice(0, lanes - 1)
-        me, a, b = lane[on], c1[on], c2[on]
-        i1 = me * SLOTS + (a * 40503 >> 3 & SLOTS - 1)
-        i2 = me * SLOTS + ((a * 40503 + b * 30011) >> 4 & SLOTS - 1)
-        t1, t2 = table[0][i1], table[1][i2]
-        p1, p2, k1, k2 = t1 & 0xFFFF, t2 & 0xFFFF, t1 >> 16, t2 >> 16
-        same = p1 == p2
-        ctx = me * CONTEXTS + k2 * 8 + k1 * 2 + same
-        q2, q1 = w2[ctx], w1[ctx]
-        s2 = q2.astype(np.int64)
-        s1 = np.where(same, 0, (65536 - s2) * q1 >> 16)
-        rest = 65536 - s2 - s1
+        for _ in range(3):
+            word = np.floor(self.low * 2.0**-32)
+            self.flat[self.at] = word
+            self.low = (self.low - word * 2.0**32) * 65536
+            self.at += self.lanes
+        n = self.at // self.lanes
+        rows = self.flat[:int(n.max()) * self.lanes].reshape(-1, self.lanes)
+        for j in range(len(rows) - 1, 0, -1):
+            rows[j - 1] += np.where(j < n, rows[j] >> 16, 0).astype(np.uint32)
+        by_lane = np.ascontiguousarray(rows.astype("<u2").T)
+        return [row[:k].tobytes() for row, k in zip(by_lane, n)]
+
+
+def _code(coder: Coder, ids: np.ndarray, decode: bool) -> None:
+    """Code the lanes of ``ids`` (steps, lanes) in step."""
+    steps, lanes = ids.shape
+    lane = np.arange(lanes, dtype=np.int32)
+    both = np.arange(2, dtype=np.int32)[:, None]  # order-1, order-2
+    base, own = (both * lanes + lane) * SLOTS, lane * CONTEXTS
+    bytes_of, places_of = lane * 256, lane * TOTAL0
+    table = np.zeros(2 * lanes * SLOTS, np.int32)  # predicted id | confidence << 16: 0, 2, 4, 6 and 0, 8, 16, 24
+    more, most = np.array([[2], [8]], np.int32) << 16, np.array([[6], [24]], np.int32) << 16
+    twice = 2 * more
+    weight = np.full(lanes * CONTEXTS, 2**13 << 16 | 2**12, np.int32)  # of the order-2 id, of the order-1 id
+    count = np.ones((2, lanes, 256), np.int64)  # upper and lower bytes
+    x = before = np.zeros(lanes, np.int32)
+    slot = np.empty((2, lanes), np.int32)
+    for t0 in range(0, steps, RECOUNT):
+        chunk = ids[t0:t0 + RECOUNT]
+        total = np.cumsum(count, 2)
+        cum = np.zeros((2, lanes, 257), np.int32)
+        cum[:, :, 1:] = total * (TOTAL0 - 256) / total[:, :, -1:]
+        cum[:, :, 1:] += np.arange(1, 257, dtype=np.int32)
+        width = np.diff(cum, axis=2)
+        share = (width << 16 | cum[:, :, :-1]).reshape(2, -1)
         if decode:
-            v = coder.slot(on, 16)
-            is2 = v < s2
-            is1 = ~is2 & (v < s2 + s1)
-            # the largest order-0 place that starts at or before v; the quotient of small integers is exact in floats
-            place = (((np.maximum(v - s2 - s1, 0) + 1) * TOTAL0 - 1) / rest).astype(np.int64)
-            up = find[0][me * TOTAL0 + np.minimum(place, TOTAL0 - 1)].astype(np.int64)
-            x = np.where(is2, p2, np.where(is1, p1, up << 8)).astype(np.int64)
+            find = np.repeat(np.tile(np.arange(256, dtype=np.uint8), 2 * lanes), width.ravel()).reshape(2, -1)
         else:
-            x = ids[t, on].astype(np.int64)
-            is2 = x == p2
-            is1 = ~is2 & (x == p1)
-            up = x >> 8
-        h = me * 257 + up
-        c, d = rest * cum[0][h] >> 10, rest * cum[0][h + 1] >> 10
-        start = np.where(is2, 0, np.where(is1, s2, s2 + s1 + c))
-        size = np.where(is2, s2, np.where(is1, s1, d - c))
-        coder.narrow(on, start, size, 16)
-        esc = np.flatnonzero(~(is2 | is1))
-        if len(esc):
+            up, down = share[0].take(bytes_of + (chunk >> 8)), share[1].take(bytes_of + (chunk & 255))
+            wide = up >> 16
+            starts, sizes = ((up & 0xFFFF) << 10) + wide * (down & 0xFFFF), wide * (down >> 16)
+        escaped = np.empty(chunk.shape, bool)
+        for t in range(len(chunk)):
+            first = x * 40503
+            slot[0], slot[1] = first >> 3, first + before * 30011 >> 4
+            before = x
+            place = ((slot & SLOTS - 1) + base).astype(np.intp)
+            old = table.take(place)
+            guess, k = old & 0xFFFF, old >> 16
+            ctx = (own + k[0] + k[1] + (guess[0] == guess[1])).astype(np.intp)
+            q = weight.take(ctx)
+            q2, q1 = q >> 16, q & 0xFFFF
+            s2 = q2 >> 4
+            left = 2048 - s2
+            s1 = left * q1 >> 15
+            rest = left - s1
+            end2 = s2 << 20
+            size1 = s1 << 20
+            end1 = end2 + size1
+            unit = np.floor(coder.range * 2.0**-TOTAL)
+            # masks: all bits or none
             if decode:
-                low = find[1][esc * TOTAL0 + coder.slot(esc, 10)].astype(np.int64)
-                x[esc] |= low
+                v = (coder.code / unit).astype(np.int32)
+                v1 = v - end1
+                is2, other = v - end2 >> 31, ~(v1 >> 31)
+                is1 = ~(is2 | other)
+                j = ((v1 & other) / rest).astype(np.int32)
+                high = find[0].take(places_of + (j >> 10))
+                up = share[0].take(bytes_of + high)
+                wide = up >> 16
+                up &= 0xFFFF
+                up <<= 10
+                low = find[1].take(places_of + ((j - up) / wide).astype(np.int32))
+                down = share[1].take(bytes_of + low)
+                start, size = up + wide * (down & 0xFFFF), wide * (down >> 16)
+                x = high.astype(np.int32) << 8 | low
+                x &= other
+                x |= guess[1] & is2 | guess[0] & is1
+                chunk[t] = x
+                hit = (guess ^ x) - 1 >> 31
             else:
-                low = x[esc] & 255
-            h = esc * 257 + low
-            c = cum[1][h]
-            coder.narrow(esc, c, cum[1][h + 1] - c, 10)
-            count[1][esc * 256 + low] += 8
-            count[0][esc * 256 + up[esc]] += 8
-        if decode:
-            ids[t, on] = x
-        w2[ctx] = q2 + ((np.where(is2, 57344, 256) - q2) >> 4)
-        miss = np.flatnonzero(~is2)
-        w1[ctx[miss]] = q1[miss] + ((np.where(is1[miss], 57344, 256) - q1[miss]) >> 4)
-        for tab, i, old, p, k in ((table[0], i1, t1, p1, k1), (table[1], i2, t2, p2, k2)):
-            tab[i] = np.where(p == x, np.minimum(k + 1, 3) << 16 | p, np.where(k > 0, old - 65536, x))
-        if t + 1 < sizes[-1] or on.stop == lanes - 1:
-            c1, c2 = (x, a) if on.stop == lanes else (np.append(x, 0), np.append(a, 0))
-        else:
-            c1, c2 = x, a
+                x = chunk[t].astype(np.int32)
+                hit = (guess ^ x) - 1 >> 31
+                is2, other = hit[1], ~(hit[0] | hit[1])
+                is1 = hit[0] & ~is2
+                start, size = starts[t], sizes[t]
+            rest &= other
+            coder.narrow(unit, rest * start + (end1 & other | end2 & is1), rest * size + (end2 & is2 | size1 & is1))
+            escaped[t] = other
+            # the right id gains confidence, another one loses it or is replaced
+            stay = hit | 65535 - old >> 31
+            new = x ^ (x ^ old) & stay
+            new += twice & hit
+            new -= more & stay
+            table[place] = np.minimum(new, old | most)
+            q += ((is2 & 28544) + 128 - q2 >> 4) << 16
+            q += ((is1 & 28544) + 128 - q1 >> 4) & ~is2
+            weight[ctx] = q
+        sent, of = chunk[escaped], np.broadcast_to(bytes_of, chunk.shape)[escaped]
+        for n, part in zip(count, (sent >> 8, sent & 255)):
+            n += 8 * np.bincount(of + part, minlength=lanes * 256).reshape(lanes, 256)
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -193,12 +224,10 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
-    sizes = np.full(lanes, BLOCK)
-    sizes[-1] = len(ids) - BLOCK * (lanes - 1)
     grid = np.zeros(lanes * BLOCK, np.uint16)
     grid[:len(ids)] = ids
     coder = Coder(lanes)
-    _code(coder, np.ascontiguousarray(grid.reshape(lanes, BLOCK).T), sizes, False)
+    _code(coder, np.ascontiguousarray(grid.reshape(lanes, BLOCK)[:, :len(ids)].T), False)
     return coder.finish()
 
 
@@ -206,10 +235,8 @@ def decode_blocks(payloads: list[bytes], n_ids: int) -> np.ndarray:
     lanes = len(payloads)
     if not lanes:
         return np.empty(0, np.uint16)
-    sizes = np.full(lanes, BLOCK)
-    sizes[-1] = n_ids - BLOCK * (lanes - 1)
-    grid = np.zeros((BLOCK, lanes), np.uint16)
-    _code(Coder(lanes, [np.frombuffer(p, "<u2") for p in payloads]), grid, sizes, True)
+    grid = np.zeros((min(n_ids, BLOCK), lanes), np.uint16)
+    _code(Coder(lanes, [np.frombuffer(p, "<u2") for p in payloads]), grid, True)
     return np.ascontiguousarray(grid.T).ravel()[:n_ids]
 
 
@@ -256,11 +283,12 @@ class WordIds(dict):
     words go through the whole tokenizer.
     """
 
-    def __init__(self, spec: str, limit: int = 400_000):
+    def __init__(self, spec: str, limit: int = 1_000_000):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_str(spec), limit
         pattern = json.loads(spec)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.known = pattern == PATTERN
         self.split, self.plain = regex.compile(pattern).findall, regex.compile("[!-~¡-ÿ]+").fullmatch
         self.model, self.parts = self.tokenizer.model, {}
         # byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256
@@ -272,40 +300,111 @@ class WordIds(dict):
         if got is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
-            text = part if part.isascii() else "".join(map(self.byte.__getitem__, part.encode()))
-            got = self.parts[part] = array("H", [t.id for t in self.model.tokenize(text)]).tobytes()
+            got = self.parts[part] = self.encode(part)
         return got
 
+    def encode(self, part: str) -> bytes:
+        text = part if part.isascii() else "".join(map(self.byte.__getitem__, part.encode()))
+        return array("H", [t.id for t in self.model.tokenize(text)]).tobytes()
+
     def __missing__(self, raw: bytes) -> bytes:
         if len(self) >= self.limit:
             self.clear()
         word = raw.decode()
-        if self.plain(word) and "<|" not in word:
-            value = b"".join(map(self.part, self.split(word.lower())))
+        if self.known and raw.isalpha():  # one part
+            value = self.encode(word.lower())
+        elif self.plain(word) and "<|" not in word:
+            value = self.encode(word.lower()) if self.known and word.isalpha() else b"".join(map(self.part, self.split(word.lower())))
         else:
             value = array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         self[raw] = value
         return value
 
-    def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode().split()))
+    def words(self, raw: np.ndarray, edges: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The words (or their parts) of the texts between ``edges``, and how many there are up to each text's end."""
+        kind = KIND[raw]
+        mark = np.flatnonzero(raw[:-1] == 60)
+        kind[mark[raw[mark + 1] == 124]] = ODD  # "<|" may begin a special token
+        low = LOWERED[raw]
+        lead = np.flatnonzero(raw == 0xC3)  # the letters from U+00C0 to U+00FF
+        after = raw[lead + 1]
+        letter = after & 0xDF != 0x97
+        kind[lead[letter]] = kind[lead[letter] + 1] = LETTER
+        low[lead[letter & (after < 0x9F)] + 1] += 32
+        solid = kind != SPACE
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        heads = edges[:-1][edges[:-1] < len(raw)]
+        first[heads] = solid[heads]
+        cut = first
+        if self.known:
+            cut = kind == DIGIT
+            cut[1:] |= kind[1:] != kind[:-1]
+            cut &= solid
+            cut |= first
+        odd = kind == ODD
+        if odd.any():  # such words stay whole and as they are
+            word = np.cumsum(first)
+            whole = np.zeros(len(raw) + 1, bool)
+            whole[word[odd]] = True
+            whole = whole[word]
+            cut, low = np.where(whole, first, cut), np.where(whole, raw, low)
+        body = low[solid]
+        offsets = np.append(np.flatnonzero(cut[solid]), len(body)).astype(np.int32)
+        return (pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(body)]),
+                np.searchsorted(np.flatnonzero(cut), edges[1:]))
+
+    def of(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """The packed ids of every text, and the end id."""
+        texts = texts.fill_null("")
+        edges = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0]:edges[-1]]
+        words, ends = self.words(raw, edges - edges[0])
+        coded = words.dictionary_encode()
+        values = [*map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), end]
+        flat = np.frombuffer(b"".join(values), "<u2")
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 2
+        place = np.cumsum(size) - size
+        order = np.full(len(words) + len(ends), len(values) - 1, np.int64)
+        spot = np.ones(len(order), bool)
+        spot[ends + np.arange(len(ends))] = False  # the end ids
+        order[spot] = coded.indices.to_numpy()
+        taken = size[order]
+        upto = np.cumsum(taken)
+        ids = np.repeat(place[order] - upto + taken, taken)
+        ids += np.arange(upto[-1])
+        ids = flat.take(ids)
+        offsets = np.append(0, 2 * upto[ends + np.arange(len(ends))]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+@functools.lru_cache(1)
+def word_ids(spec: str) -> WordIds:
+    """One for all tasks of a worker process; ``_write`` drops it."""
+    return WordIds(spec)
 
 
 def _tokenize(spec, end_id: int):
     end = np.array([end_id], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        words = WordIds(spec.value)
+        words = word_ids(spec.value)
         for batch in batches:
-            for at, some in texts(batch):
-                yield {"id": batch.column("id").slice(at, len(some)), "bucket": batch.column("bucket").slice(at, len(some)),
-                       "ids": [words.of(t) + end for t in some]}
+            col = batch.column("text")
+            edges = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < len(col):
+                stop = max(at + 1, int(np.searchsorted(edges, (edges[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+                some = batch.slice(at, stop - at)
+                yield {"id": some.column("id"), "bucket": some.column("bucket"), "ids": words.of(some.column("text"), end)}
+                at = stop
     return run
 
 
 def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         from pyarrow import fs
+        word_ids.cache_clear()
         store, root = fs.FileSystem.from_uri(folder)
         bucket, part, docs, size = None, 0, [], 0
 

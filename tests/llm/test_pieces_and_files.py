@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,38 @@ def test_coder_round_trip(ids):
     assert (tf.decode_blocks(tf.encode_blocks(ids), len(ids)) == ids).all()
 
 
+def test_one_interval_an_id(monkeypatch):
+    calls = []
+    narrow = tf.Coder.narrow
+    monkeypatch.setattr(tf.Coder, "narrow", lambda *a: calls.append(1) or narrow(*a))
+    ids = np.random.default_rng(3).integers(0, 65536, 700)  # hardly one is foreseen
+    data = tf.encode_blocks(ids)
+    assert len(calls) == 700 and sum(map(len, data)) < 700 * 2.4
+    assert (tf.decode_blocks(data, 700) == ids).all() and len(calls) == 1400
+
+
+def test_words_are_looked_up_once_a_batch_and_equal_the_library():
+    from tokenizers import Tokenizer
+    spec = open(word_bpe(), encoding="utf-8").read()
+    library, rng = Tokenizer.from_str(spec), np.random.default_rng(4)
+    bits = ["a", "B", "É", "e", "\u0301", "T\u0308", "'", "'s", "'RE", "''s", "'ll", "3", "½", "12", " ", "  ", "\n", "\x1c", "\0", "\x85",
+            "\u3000", "日本", ".", "..", "_", "<|", "<|endoftext|>", "<|ENDoftext|>", "<", "|", "À", "ÿ", "×", "÷", "ß", "Ößa", "ª", "ñ\u0303", "x"]
+    texts = [None, "", " ", *("".join(rng.choice(bits, rng.integers(0, 14))) for _ in range(3000))]
+    got = tf.WordIds(spec).of(pa.array(["junk", *texts]).slice(1), b"\1\0").to_pylist()
+    assert got == [np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u2").tobytes() for t in texts]
+
+    class Counted(tf.WordIds):
+        looked = 0
+
+        def __getitem__(self, word):
+            self.looked += 1
+            return super().__getitem__(word)
+
+    words = Counted(spec)
+    words.of(pa.array(["One, two. ONE two, Één één!"] * 500), b"\1\0")
+    assert words.looked == 6  # one two één , . !
+
+
 def test_damage_is_found():
     data = bytearray(tf.pack_file([1, None], np.array([3, 2]), np.array([7, 8, 9, 7, 8])))
     assert tf.unpack_file(bytes(data))[0] == [1, None]
