@@ -2,6 +2,10 @@
 
 * Features are coded once into at most ``bins`` ordered bins a column (cut at
   approximate quantiles; code 0 = missing) and written as one byte string a row.
+* Where the coded rows and a tree's histograms take at most ``WHOLE_BYTES``, each
+  model is trained in one task that keeps its rows as columns (:func:`train_whole`):
+  all rounds in one job a model. Larger tables are trained in passes, to the same trees
+  (sums are exact, see :mod:`.histograms`):
 * A pass over the coded rows adds up gradient and hessian histograms for every
   (model, open node, feature) -- all k fold models in the same pass, each without
   its own fold. Tasks send one row for each (model, node, block of features);
@@ -21,7 +25,8 @@
   stops when ``patience`` rounds brought no better AUC and keeps its first best
   rounds: no second fit.
 
-Nothing that a task or the driver holds grows with the rows: a task's histograms
+Nothing that a task or the driver holds grows with the rows beyond ``WHOLE_BYTES``: a
+task of a pass holds at most ``TASK_BYTES`` of rows at a time, and histograms that
 take models x open nodes x features x bins x 16 bytes.
 """
 
@@ -31,7 +36,9 @@ import heapq
 import math
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +46,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
+from .histograms import grid, histogram, on_grid, packs
 from .metrics import best_round, roc_auc
 
 BLOCK = 32  # features a histogram row
 MIN_TASK_BYTES, TASK_BYTES = 1 << 20, 64 << 20
 DRIVER_BYTES = 32 << 20
+WHOLE_BYTES = 256 << 20  # a model whose coded rows and histograms take no more is trained in one task
 
 
 @dataclass(frozen=True)
@@ -186,6 +195,18 @@ def best_split(g: np.ndarray, h: np.ndarray, allowed: np.ndarray, p: BoostParams
     return best
 
 
+def cells_in(widths: np.ndarray, bins: int) -> np.ndarray:
+    """Where the cells of a histogram lie in a matrix (feature, code)."""
+    return np.flatnonzero(np.arange(bins) < widths[:, None])
+
+
+def split_of(cells: np.ndarray, place: np.ndarray, allowed: np.ndarray, p: BoostParams) -> tuple | None:
+    """:func:`best_split` of a histogram as :func:`.histograms.histogram` makes it; ``place``: :func:`cells_in`."""
+    whole = np.zeros((2, len(allowed) * p.bins))
+    whole[0, place], whole[1, place] = cells.real, cells.imag
+    return best_split(*whole.reshape(2, len(allowed), p.bins), allowed, p)
+
+
 def columns_of_tree(p: BoostParams, model: int, round_: int, features: int) -> np.ndarray:
     """Which features a tree may use."""
     keep = max(1, round(p.colsample * features))
@@ -193,10 +214,10 @@ def columns_of_tree(p: BoostParams, model: int, round_: int, features: int) -> n
 
 
 class Grower:
-    """One model's tree of one round, opened in passes (see the module's text)."""
+    """One model's tree of one round, opened in passes (see the module's text), or only by the children of one split where no pass is saved."""
 
-    def __init__(self, p: BoostParams):
-        self.p, self.tree, self.depth = p, Tree(), [0]
+    def __init__(self, p: BoostParams, one_split: bool = False):
+        self.p, self.one_split, self.tree, self.depth = p, one_split, Tree(), [0]
         self.tree.add(0.0, 0.0)
         self.known: dict[int, tuple | None] = {}
         self.open = [0]
@@ -227,7 +248,7 @@ class Grower:
                 heapq.heappush(queue, (-self.known[node][0], node))
 
         meet(0)
-        while queue and left_over:
+        while queue and left_over and not (unknown and self.one_split):
             _, node = heapq.heappop(queue)
             left_over -= 1
             self.chosen.append(node)
@@ -260,7 +281,121 @@ class Grower:
         return out
 
 
-def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: int,
+def held_out_auc(score: np.ndarray, y: np.ndarray) -> float:
+    """AUC as :func:`.metrics.roc_auc` has it; 0.5 where a class has no rows."""
+    _, at = np.unique(score, return_inverse=True)
+    pos, neg = (np.bincount(at, y == k) if len(y) else np.zeros(0) for k in (1, 0))
+    pairs = pos.sum() * neg.sum()
+    return float((pos * (np.cumsum(neg) - neg / 2.0)).sum() / pairs) if pairs else 0.5
+
+
+def train_whole(p: BoostParams, model: int, columns: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarray,
+                start: float, widths: np.ndarray) -> tuple[list[Tree], list[float]]:
+    """All trees of one model and the held-out AUC after every round; ``columns`` and ``held`` have one row of codes a feature.
+
+    A split counts the rows of its smaller child; the other child's histogram is what is left of the parent's.
+    """
+    used = np.flatnonzero(columns.min(axis=1) != columns.max(axis=1))  # one code in all rows splits nothing
+    used = used if len(used) else np.zeros(1, np.int64)
+    columns, narrow = columns[used] if len(used) < len(columns) else columns, widths[used]
+    packed, place, scale = packs(narrow), cells_in(narrow, p.bins), grid(len(y) + len(held_y))
+    margins, held_margins = np.full(len(y), start), np.full(len(held_y), start)
+    trees, aucs, features = [], [], len(widths)
+    for r in range(p.rounds):
+        gh = on_grid(margins, y, scale)
+        allowed = columns_of_tree(p, model, r, features)[used]
+        grower = Grower(p, one_split=True)
+        tree = grower.tree
+        at, held_at, cells = {0: np.arange(len(y))}, {0: np.arange(len(held_y))}, {0: histogram(columns, None, gh, narrow, packed)}
+
+        def divide(node: int) -> None:
+            f, sides = tree.feature[node], (tree.left[node], tree.right[node])
+            for rows, table, k in ((at, columns, f), (held_at, held, int(used[f]))):
+                c = table[k].take(rows[node])
+                left = np.where(c == 0, tree.missing_left[node], c <= tree.cut[node])
+                rows[sides[0]], rows[sides[1]] = rows[node][left], rows.pop(node)[~left]
+
+        first = cells[0][:narrow[0]].sum()
+        grower.learn({0: split_of(cells[0], place, allowed, p)}, {0: (first.real, first.imag)})
+        while grower.open:
+            node = grower.chosen[-1]
+            divide(node)
+            small, large = sorted((tree.left[node], tree.right[node]), key=lambda n: len(at[n]))
+            some = histogram(columns, at[small], gh[at[small]], narrow, packed)
+            cells[small], cells[large] = some, cells.pop(node) - some
+            grower.learn({n: split_of(cells[n], place, allowed, p) for n in grower.open}, {})
+            for n in (small, large):
+                if grower.known.get(n) is None:  # no further split
+                    del cells[n]
+        for node in grower.chosen:
+            if node in at:
+                divide(node)
+        for rows, total in ((at, margins), (held_at, held_margins)):
+            for leaf, some in rows.items():
+                total[some] += tree.value[leaf]
+        done = grower.finished()
+        done.feature = [int(used[f]) if f >= 0 else f for f in done.feature]
+        trees.append(done)
+        if len(held_y):  # a fold without rows stops nothing
+            aucs.append(held_out_auc(held_margins, held_y))
+        if p.patience and aucs and len(aucs) - best_round([-a for a in aucs], p.patience) >= p.patience:
+            break
+    return trees, aucs
+
+
+ROUND = pa.schema([("auc", pa.float64()), ("feature", pa.list_(pa.int32())), ("cut", pa.list_(pa.int32())), ("missing_left", pa.list_(pa.bool_())),
+                   ("left", pa.list_(pa.int32())), ("right", pa.list_(pa.int32())), *((c, pa.list_(pa.float64())) for c in ("value", "gain", "weight"))])
+
+
+def _whole_models(known: DataFrame, p: BoostParams, widths: np.ndarray, active: list[int], start: list[float],
+                  rows_of: dict[int, int]) -> dict[int, list[dict]]:
+    """The rounds of all models, one job of one task a model: it reads the coded rows and keeps them as columns."""
+    rows, features = sum(rows_of.values()), len(widths)
+
+    def train(model: int) -> list[dict]:
+        sizes, start_here = (rows - rows_of.get(model, 0), rows_of.get(model, 0)), start[model]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tables, labels, filled = [np.empty((features, n), np.uint8) for n in sizes], [np.empty(n) for n in sizes], [0, 0]
+            for b in batches:
+                codes = codes_of(b.column(2), b.num_rows, features)
+                y, fold = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+                for k, mine in enumerate((fold != model, fold == model)):
+                    a = filled[k]
+                    filled[k] = z = a + int(mine.sum())
+                    tables[k][:, a:z], labels[k][a:z] = codes[mine].T, y[mine]
+            trees, aucs = train_whole(p, model, tables[0], labels[0], tables[1], labels[1], start_here, widths)
+            yield pa.RecordBatch.from_pylist([{"auc": auc, **t.__dict__} for t, auc in zip_longest(trees, aucs)], ROUND)
+
+        kinds = "auc double, feature array<int>, cut array<int>, missing_left array<boolean>, left array<int>, right array<int>, " \
+                "value array<double>, gain array<double>, weight array<double>"
+        return [r.asDict() for r in known.select("y", "fold", "codes").coalesce(1).mapInArrow(run, kinds).collect()]
+
+    with ThreadPoolExecutor(len(active)) as pool:
+        return dict(zip(active, pool.map(train, active)))
+
+
+def _together(batches: Iterator[pa.RecordBatch], features: int, models: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(codes, y, fold, margins) of at most ``TASK_BYTES`` of rows at a time: few rows count slowly."""
+    kept, size = [], 0
+
+    def whole() -> tuple[np.ndarray, ...]:
+        return tuple(np.concatenate(some) for some in zip(*kept))
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        kept.append((codes_of(b.column(0), b.num_rows, features).copy(), *(b.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)),
+                     list_matrix(b.column(3), models).copy()))
+        size += b.num_rows * (features + 8 * models)
+        if size >= TASK_BYTES:
+            yield whole()
+            kept, size = [], 0
+    if kept:
+        yield whole()
+
+
+def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: int, rows: int,
                 growing: dict[int, tuple[Tree, list[int]]], allowed: dict[int, np.ndarray], tasks: int) -> list[dict]:
     """The best split of each (model, open node, block of features), and the node's sums ``g`` and ``h``.
 
@@ -270,37 +405,28 @@ def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: in
     ends = np.cumsum(widths)
     shift, cells_of_all = ends - widths, int(ends[-1])
     blocks = [(a, min(a + BLOCK, features)) for a in range(0, features, BLOCK)]
+    packed, scale = packs(widths), grid(rows)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         sums: dict[tuple[int, int], np.ndarray] = {}
-        for b in batches:
-            codes = codes_of(b.column(b.schema.get_field_index("codes")), b.num_rows, features)
-            y, fold = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
-            margins = list_matrix(b.column(b.schema.get_field_index("margins")), models)
+        for codes, y, fold, margins in _together(batches, features, models):
+            columns = np.ascontiguousarray(codes.T)
             for m, (tree, open_nodes) in growing.items():
-                mine = np.flatnonzero(fold != m)
-                rows = codes[mine]
-                at = tree.nodes_of(rows)
-                wanted = np.isin(at, open_nodes)
-                mine, rows, at = mine[wanted], rows[wanted], at[wanted]
-                chance = 1.0 / (1.0 + np.exp(-margins[mine, m]))
-                order = np.argsort(at, kind="stable")
-                first, last = (np.searchsorted(at[order], open_nodes, side=side) for side in ("left", "right"))
-                for node, a, z in zip(open_nodes, first, last):
-                    here = order[a:z]
+                at = tree.nodes_of(codes)
+                at[fold == m] = -1
+                for node in open_nodes:
+                    here = np.flatnonzero(at == node)
                     if not len(here):  # nothing to send of this node
                         continue
-                    cells = (rows[here] + shift).ravel()
-                    gh = np.stack([np.bincount(cells, np.repeat(w[here], features), cells_of_all)
-                                   for w in (chance - y[mine], chance * (1.0 - chance))])
+                    cells = histogram(columns, here, on_grid(margins[here, m], y[here], scale), widths, packed)
                     total = sums.get((m, node))
-                    sums[m, node] = gh if total is None else total + gh
-        for (m, node), gh in sums.items():
+                    sums[m, node] = cells if total is None else total + cells
+        for (m, node), cells in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([m] * len(blocks), pa.int32()), pa.array([node] * len(blocks), pa.int32()), pa.array([a for a, _ in blocks], pa.int32()),
-                 pa.array([part] * len(blocks), pa.int32()), pa.array([gh[:, shift[a]:ends[z - 1]].tobytes() for a, z in blocks], pa.binary())],
+                 pa.array([part] * len(blocks), pa.int32()), pa.array([cells[shift[a]:ends[z - 1]].tobytes() for a, z in blocks], pa.binary())],
                 ["model", "node", "block", "part", "sums"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,13 +444,12 @@ def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: in
         yield pa.RecordBatch.from_pylist(out, SPLIT)
 
     def settled(m: int, node: int, a: int, sums: list[bytes]) -> dict:
-        z = min(a + BLOCK, features)
-        total, wide = np.zeros((2, z - a, p.bins)), widths[a:z]
-        total[:, np.arange(p.bins) < wide[:, None]] = sum(np.frombuffer(s, np.float64).reshape(2, -1) for s in sums)
-        found = best_split(total[0], total[1], allowed[m][a:z], p)
+        wide = widths[a:a + BLOCK]
+        cells = sum(np.frombuffer(s, np.complex128) for s in sums)
+        found, total = split_of(cells, cells_in(wide, p.bins), allowed[m][a:a + BLOCK], p), cells[:wide[0]].sum()
         gain, f, cut, missing_left, gl, hl, gr, hr = found or (None, 0, 0, False, 0.0, 0.0, 0.0, 0.0)
         return {"model": m, "node": node, "feature": a + f, "gain": gain, "cut": cut, "missing_left": missing_left,
-                "gl": gl, "hl": hl, "gr": gr, "hr": hr, "g": float(total[0, 0].sum()), "h": float(total[1, 0].sum())}
+                "gl": gl, "hl": hl, "gr": gr, "hr": hr, "g": float(total.real), "h": float(total.imag)}
 
     partial = state.select("codes", "y", "fold", "margins") \
         .mapInArrow(add_up, "model int, node int, block int, part int, sums binary")
@@ -412,6 +537,11 @@ class BoostedFolds:
             "feature", F.coalesce("importance", F.lit(0.0)).alias("importance"), F.coalesce("gain", F.lit(0.0)).alias("gain"), "fold")
 
 
+def _best(trees: list[Tree], aucs: list[float], p: BoostParams) -> list[Tree]:
+    """The trees of the first best rounds."""
+    return trees[:best_round([-a for a in aucs], p.patience)] if p.patience and aucs else trees
+
+
 def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int, features: Sequence[str],
                 p: BoostParams = BoostParams()) -> BoostedFolds:
     """Boost one model a fold on the labelled rows of the other folds. ``fold`` is 0 to n_folds - 1 where a label is."""
@@ -429,16 +559,21 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
         n, q = sums.get(m, (0, 0.0))
         share = min(max((positives - q) / max(rows - n, 1), 1e-6), 1 - 1e-6)
         start.append(math.log(share / (1 - share)))
+    widths = np.array([len(c) + 2 for c in cuts], np.int64)  # missing, up to each cut, above
+    trees: list[list[Tree]] = [[] for _ in range(n_folds)]
+    aucs: list[list[float]] = [[] for _ in range(n_folds)]
+    active = [m for m in range(n_folds) if rows > sums.get(m, (0, 0.0))[0]]
     size = rows * max(len(features), 1)
+    if active and features and p.rounds and size + 16 * int(widths.sum()) * p.num_leaves <= WHOLE_BYTES:
+        for m, some in _whole_models(known, p, widths, active, start, {m: n for m, (n, _) in sums.items()}).items():
+            aucs[m] = [x for r in some if (x := r.pop("auc")) is not None]
+            trees[m] = [Tree(**r) for r in some]
+        return BoostedFolds(features, cuts, start, [_best(t, a, p) for t, a in zip(trees, aucs)], aucs, coded)
     tasks = max(-(-size // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // MIN_TASK_BYTES)), 1)
     nothing = F.expr("cast(array() as array<double>)").alias("staged")
     known.select("codes", "y", "fold", F.array(*(F.lit(s) for s in start)).alias("margins"), nothing).repartition(tasks) \
         .write.option("compression", "zstd").parquet(f"{base}/state-0")
     state = spark.read.parquet(f"{base}/state-0")
-    widths = np.array([len(c) + 2 for c in cuts], np.int64)  # missing, up to each cut, above
-    trees: list[list[Tree]] = [[] for _ in range(n_folds)]
-    aucs: list[list[float]] = [[] for _ in range(n_folds)]
-    active = [m for m in range(n_folds) if rows > sums.get(m, (0, 0.0))[0]]
     done = 0
     while active and features and done < p.rounds:
         count = min(p.segment, p.rounds - done)
@@ -449,7 +584,7 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
             allowed = {m: columns_of_tree(p, m, r, len(features)) for m in active}
             while any(g.open for g in growers.values()):
                 growing = {m: (g.tree, g.open) for m, g in growers.items() if g.open}
-                found = _histograms(state, p, widths, n_folds, growing, allowed, tasks)
+                found = _histograms(state, p, widths, n_folds, rows, growing, allowed, tasks)
                 for m in growing:
                     mine = [s for s in found if s["model"] == m]
                     splits: dict[int, tuple | None] = {}
@@ -475,7 +610,4 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
                 aucs[row["fold"]].append(0.5 if row["auc"] is None else row["auc"])
         if p.patience:
             active = [m for m in active if len(aucs[m]) < done or done - best_round([-a for a in aucs[m]], p.patience) < p.patience]
-    for m in range(n_folds):
-        if p.patience and aucs[m]:
-            trees[m] = trees[m][:best_round([-a for a in aucs[m]], p.patience)]
-    return BoostedFolds(features, cuts, start, trees, aucs, coded)
+    return BoostedFolds(features, cuts, start, [_best(t, a, p) for t, a in zip(trees, aucs)], aucs, coded)
