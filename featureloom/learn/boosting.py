@@ -2,8 +2,8 @@
 
 * Features are coded once into at most ``bins`` ordered bins a column (cut at
   approximate quantiles; code 0 = missing) and written as one byte string a row.
-* Where the coded rows and a tree's histograms take at most ``WHOLE_BYTES``, each
-  model is trained in one task that keeps its rows as columns (:func:`train_whole`):
+* Where the packed rows and a tree's histograms take at most ``WHOLE_BYTES``, each
+  model is trained in one task that keeps its rows packed (:func:`train_whole`):
   all rounds in one job a model. Larger tables are trained in passes, to the same trees
   (sums are exact, see :mod:`.histograms`):
 * A pass over the coded rows adds up gradient and hessian histograms for every
@@ -46,13 +46,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
-from .histograms import grid, histogram, on_grid, packs
+from .histograms import Packing, grid, on_grid
 from .metrics import best_round, roc_auc
 
 BLOCK = 32  # features a histogram row
+CUT_FEATURES, CUT_JOBS = 48, 8  # features whose cuts one job finds; such jobs at a time
 MIN_TASK_BYTES, TASK_BYTES = 1 << 20, 64 << 20
 DRIVER_BYTES = 32 << 20
-WHOLE_BYTES = 256 << 20  # a model whose coded rows and histograms take no more is trained in one task
+WHOLE_BYTES = 256 << 20  # a model whose packed rows and histograms take no more is trained in one task
 
 
 @dataclass(frozen=True)
@@ -130,10 +131,15 @@ def find_cuts(frame: DataFrame, features: Sequence[str], bins: int) -> list[np.n
     """Ascending cut values of each feature: a value up to the i-th cut has code i + 1, larger ones the last code."""
     shares = F.array(*(F.lit(k / (bins - 2)) for k in range(bins - 1)))  # once: a column of its own for each feature takes the driver long
     cell = lambda c: F.when(~F.isnan(c), c)
-    values = frame.select(*(F.col(f"`{c}`").cast("double").alias(f"v{k}") for k, c in enumerate(features))).agg(
-        *(F.array_sort(F.array_distinct(F.percentile_approx(cell(F.col(f"v{k}")), shares, 100 * bins))).alias(f"v{k}")
-          for k in range(len(features)))).first()
-    return [np.array(v[:-1] if v else [], np.float64) for v in values]
+
+    def values(some: Sequence[str]) -> list:
+        return list(frame.select(*(F.col(f"`{c}`").cast("double").alias(f"v{k}") for k, c in enumerate(some))).agg(
+            *(F.array_sort(F.array_distinct(F.percentile_approx(cell(F.col(f"v{k}")), shares, 100 * bins))).alias(f"v{k}")
+              for k in range(len(some)))).first())
+
+    groups = [features[a:a + CUT_FEATURES] for a in range(0, len(features), CUT_FEATURES)]  # one task merges the sketches of a job
+    with ThreadPoolExecutor(max(min(len(groups), CUT_JOBS), 1)) as pool:
+        return [np.array(v[:-1] if v else [], np.float64) for some in pool.map(values, groups) for v in some]
 
 
 def threshold(cuts: np.ndarray, cut: int) -> float:
@@ -201,7 +207,7 @@ def cells_in(widths: np.ndarray, bins: int) -> np.ndarray:
 
 
 def split_of(cells: np.ndarray, place: np.ndarray, allowed: np.ndarray, p: BoostParams) -> tuple | None:
-    """:func:`best_split` of a histogram as :func:`.histograms.histogram` makes it; ``place``: :func:`cells_in`."""
+    """:func:`best_split` of a histogram as :class:`.histograms.Packing` makes it; ``place``: :func:`cells_in`."""
     whole = np.zeros((2, len(allowed) * p.bins))
     whole[0, place], whole[1, place] = cells.real, cells.imag
     return best_split(*whole.reshape(2, len(allowed), p.bins), allowed, p)
@@ -289,39 +295,41 @@ def held_out_auc(score: np.ndarray, y: np.ndarray) -> float:
     return float((pos * (np.cumsum(neg) - neg / 2.0)).sum() / pairs) if pairs else 0.5
 
 
-def train_whole(p: BoostParams, model: int, columns: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarray,
-                start: float, widths: np.ndarray) -> tuple[list[Tree], list[float]]:
-    """All trees of one model and the held-out AUC after every round; ``columns`` and ``held`` have one row of codes a feature.
+def whole_bytes(rows: int, packing: Packing, p: BoostParams) -> int:
+    """What :func:`train_whole` holds: packed rows with label, margin, gradients and place, and the leaves' histograms."""
+    return rows * (2 * len(packing.packs) + 40) + 16 * packing.cells * p.num_leaves
+
+
+def train_whole(p: BoostParams, model: int, packing: Packing, rows: np.ndarray, y: np.ndarray, held: np.ndarray, held_y: np.ndarray,
+                start: float) -> tuple[list[Tree], list[float]]:
+    """All trees of one model on packed rows, and the AUC of the held-out rows after every round.
 
     A split counts the rows of its smaller child; the other child's histogram is what is left of the parent's.
     """
-    used = np.flatnonzero(columns.min(axis=1) != columns.max(axis=1))  # one code in all rows splits nothing
-    used = used if len(used) else np.zeros(1, np.int64)
-    columns, narrow = columns[used] if len(used) < len(columns) else columns, widths[used]
-    packed, place, scale = packs(narrow), cells_in(narrow, p.bins), grid(len(y) + len(held_y))
+    scale, features = grid(len(y) + len(held_y)), len(packing.widths)
+    place = cells_in(np.array(packing.widths), p.bins)
     margins, held_margins = np.full(len(y), start), np.full(len(held_y), start)
-    trees, aucs, features = [], [], len(widths)
+    trees, aucs = [], []
     for r in range(p.rounds):
-        gh = on_grid(margins, y, scale)
-        allowed = columns_of_tree(p, model, r, features)[used]
+        gh, allowed = on_grid(margins, y, scale), columns_of_tree(p, model, r, features)
         grower = Grower(p, one_split=True)
         tree = grower.tree
-        at, held_at, cells = {0: np.arange(len(y))}, {0: np.arange(len(held_y))}, {0: histogram(columns, None, gh, narrow, packed)}
+        at, held_at, cells = {0: np.arange(len(y))}, {0: np.arange(len(held_y))}, {0: packing.histogram(rows, None, gh)}
 
         def divide(node: int) -> None:
-            f, sides = tree.feature[node], (tree.left[node], tree.right[node])
-            for rows, table, k in ((at, columns, f), (held_at, held, int(used[f]))):
-                c = table[k].take(rows[node])
+            for where, packed in ((at, rows), (held_at, held)):
+                mine = where.pop(node)
+                c = packing.codes(packed, tree.feature[node], mine)
                 left = np.where(c == 0, tree.missing_left[node], c <= tree.cut[node])
-                rows[sides[0]], rows[sides[1]] = rows[node][left], rows.pop(node)[~left]
+                where[tree.left[node]], where[tree.right[node]] = mine[left], mine[~left]
 
-        first = cells[0][:narrow[0]].sum()
-        grower.learn({0: split_of(cells[0], place, allowed, p)}, {0: (first.real, first.imag)})
+        total = cells[0][:packing.widths[0]].sum()
+        grower.learn({0: split_of(cells[0], place, allowed, p)}, {0: (total.real, total.imag)})
         while grower.open:
             node = grower.chosen[-1]
             divide(node)
             small, large = sorted((tree.left[node], tree.right[node]), key=lambda n: len(at[n]))
-            some = histogram(columns, at[small], gh[at[small]], narrow, packed)
+            some = packing.histogram(rows, at[small], gh[at[small]])
             cells[small], cells[large] = some, cells.pop(node) - some
             grower.learn({n: split_of(cells[n], place, allowed, p) for n in grower.open}, {})
             for n in (small, large):
@@ -330,12 +338,10 @@ def train_whole(p: BoostParams, model: int, columns: np.ndarray, y: np.ndarray,
         for node in grower.chosen:
             if node in at:
                 divide(node)
-        for rows, total in ((at, margins), (held_at, held_margins)):
-            for leaf, some in rows.items():
-                total[some] += tree.value[leaf]
-        done = grower.finished()
-        done.feature = [int(used[f]) if f >= 0 else f for f in done.feature]
-        trees.append(done)
+        for where, sums in ((at, margins), (held_at, held_margins)):
+            for leaf, some in where.items():
+                sums[some] += tree.value[leaf]
+        trees.append(grower.finished())
         if len(held_y):  # a fold without rows stops nothing
             aucs.append(held_out_auc(held_margins, held_y))
         if p.patience and aucs and len(aucs) - best_round([-a for a in aucs], p.patience) >= p.patience:
@@ -349,22 +355,23 @@ ROUND = pa.schema([("auc", pa.float64()), ("feature", pa.list_(pa.int32())), ("c
 
 def _whole_models(known: DataFrame, p: BoostParams, widths: np.ndarray, active: list[int], start: list[float],
                   rows_of: dict[int, int]) -> dict[int, list[dict]]:
-    """The rounds of all models, one job of one task a model: it reads the coded rows and keeps them as columns."""
+    """The rounds of all models, one job of one task a model: it reads the coded rows and keeps them packed."""
     rows, features = sum(rows_of.values()), len(widths)
 
     def train(model: int) -> list[dict]:
         sizes, start_here = (rows - rows_of.get(model, 0), rows_of.get(model, 0)), start[model]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables, labels, filled = [np.empty((features, n), np.uint8) for n in sizes], [np.empty(n) for n in sizes], [0, 0]
+            packing = Packing(widths)
+            tables, labels, filled = [np.empty((len(packing.packs), n), np.uint16) for n in sizes], [np.empty(n) for n in sizes], [0, 0]
             for b in batches:
                 codes = codes_of(b.column(2), b.num_rows, features)
                 y, fold = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                 for k, mine in enumerate((fold != model, fold == model)):
                     a = filled[k]
                     filled[k] = z = a + int(mine.sum())
-                    tables[k][:, a:z], labels[k][a:z] = codes[mine].T, y[mine]
-            trees, aucs = train_whole(p, model, tables[0], labels[0], tables[1], labels[1], start_here, widths)
+                    tables[k][:, a:z], labels[k][a:z] = packing.pack(codes[mine]), y[mine]
+            trees, aucs = train_whole(p, model, packing, tables[0], labels[0], tables[1], labels[1], start_here)
             yield pa.RecordBatch.from_pylist([{"auc": auc, **t.__dict__} for t, auc in zip_longest(trees, aucs)], ROUND)
 
         kinds = "auc double, feature array<int>, cut array<int>, missing_left array<boolean>, left array<int>, right array<int>, " \
@@ -405,14 +412,14 @@ def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: in
     ends = np.cumsum(widths)
     shift, cells_of_all = ends - widths, int(ends[-1])
     blocks = [(a, min(a + BLOCK, features)) for a in range(0, features, BLOCK)]
-    packed, scale = packs(widths), grid(rows)
+    packing, scale = Packing(widths), grid(rows)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         sums: dict[tuple[int, int], np.ndarray] = {}
         for codes, y, fold, margins in _together(batches, features, models):
-            columns = np.ascontiguousarray(codes.T)
+            packed = packing.pack(codes)
             for m, (tree, open_nodes) in growing.items():
                 at = tree.nodes_of(codes)
                 at[fold == m] = -1
@@ -420,7 +427,7 @@ def _histograms(state: DataFrame, p: BoostParams, widths: np.ndarray, models: in
                     here = np.flatnonzero(at == node)
                     if not len(here):  # nothing to send of this node
                         continue
-                    cells = histogram(columns, here, on_grid(margins[here, m], y[here], scale), widths, packed)
+                    cells = packing.histogram(packed, here, on_grid(margins[here, m], y[here], scale))
                     total = sums.get((m, node))
                     sums[m, node] = cells if total is None else total + cells
         for (m, node), cells in sums.items():
@@ -564,7 +571,7 @@ def boost_folds(frame: DataFrame, key: str, label: str, fold: str, n_folds: int,
     aucs: list[list[float]] = [[] for _ in range(n_folds)]
     active = [m for m in range(n_folds) if rows > sums.get(m, (0, 0.0))[0]]
     size = rows * max(len(features), 1)
-    if active and features and p.rounds and size + 16 * int(widths.sum()) * p.num_leaves <= WHOLE_BYTES:
+    if active and features and p.rounds and whole_bytes(rows, Packing(widths), p) <= WHOLE_BYTES:
         for m, some in _whole_models(known, p, widths, active, start, {m: n for m, (n, _) in sums.items()}).items():
             aucs[m] = [x for r in some if (x := r.pop("auc")) is not None]
             trees[m] = [Tree(**r) for r in some]

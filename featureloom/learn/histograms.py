@@ -1,13 +1,13 @@
-"""Gradient histograms of coded columns in numpy.
-
-``columns`` holds one row a feature, so each feature's codes lie together. A
-histogram is one complex array over the cells of all features (real part: sum of
-gradients, imaginary part: sum of hessians); feature f has ``widths[f]`` cells
-from ``starts(widths)[f]``. Many rows are counted for several features at once,
-in a table over all combinations of their codes that is summed up by feature
-afterwards; few rows feature by feature, where such a table would cost more than
-the rows. Gradients are rounded to a grid on which all sums are exact
-(:func:`grid`), so neither the way nor the order of summing shows.
+"""Gradient histograms of coded rows in numpy.
+
+Features are packed: the codes of several features, narrow ones with narrow ones,
+make one number below ``TABLE`` a row (:class:`Packing`). A histogram is one complex
+array over the cells of all features (real part: sum of gradients, imaginary part:
+sum of hessians); feature f has ``widths[f]`` cells from ``first[f]``. Many rows are
+counted in one table a pack, which is summed up by feature afterwards; few rows
+feature by feature, where such tables would cost more than the rows. Gradients are
+rounded to a grid on which all sums are exact (:func:`grid`), so neither the way nor
+the order of summing shows.
 """
 
 from __future__ import annotations
@@ -16,13 +16,80 @@ import math
 
 import numpy as np
 
-TABLE = 4096  # cells of a table over several features
-FEW_ROWS = 2 * TABLE
+TABLE = 4096  # cells of a pack's table
+FEW_ROWS = TABLE // 2
 CHUNK_CELLS = 1 << 15
 
 
-def starts(widths: np.ndarray) -> np.ndarray:
-    return np.cumsum(widths) - widths
+class Packing:
+    """Which features share a pack, and how a pack's number holds their codes."""
+
+    def __init__(self, widths: np.ndarray):
+        self.widths, self.first, self.cells = [int(w) for w in widths], np.cumsum(widths) - widths, int(np.sum(widths))
+        self.packs: list[list[int]] = []
+        self.place: dict[int, tuple[int, int]] = {}  # feature: its pack, and the product of the widths behind it
+        cells = TABLE + 1
+        for f in np.argsort(widths, kind="stable").tolist():
+            if cells * self.widths[f] > TABLE:
+                self.packs.append([])
+                cells = 1
+            self.packs[-1].append(f)
+            cells *= self.widths[f]
+        for k, pack in enumerate(self.packs):
+            behind = 1
+            for f in reversed(pack):
+                self.place[f] = k, behind
+                behind *= self.widths[f]
+
+    def pack(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of codes as one row of numbers a pack."""
+        columns, out = np.ascontiguousarray(codes.T), np.zeros((len(self.packs), len(codes)), np.uint16)
+        for pack, number in zip(self.packs, out):
+            for f in pack:
+                number *= np.uint16(self.widths[f])
+                number += columns[f]
+        return out
+
+    def codes(self, packed: np.ndarray, f: int, at: np.ndarray) -> np.ndarray:
+        """The codes of one feature in the rows ``at``."""
+        k, behind = self.place[f]
+        return packed[k].take(at) // np.uint16(behind) % np.uint16(self.widths[f])
+
+    def histogram(self, packed: np.ndarray, at: np.ndarray | None, gh: np.ndarray) -> np.ndarray:
+        """The histogram of the rows ``at`` (all: None); ``gh`` holds the gradients of these rows."""
+        out = np.zeros(self.cells, np.complex128)
+        if len(gh) < FEW_ROWS:
+            step = max(1, CHUNK_CELLS // max(len(gh), 1))
+            cells, again, used = np.empty((step, len(gh)), np.intp), np.tile(gh, step), 0
+            for pack, number in zip(self.packs, packed):
+                number = number if at is None else number.take(at)
+                for f in reversed(pack):
+                    if f != pack[0]:
+                        rest = number // np.uint16(self.widths[f])
+                        code, number = number - rest * np.uint16(self.widths[f]), rest
+                    else:
+                        code = number
+                    np.add(code, self.first[f], out=cells[used])
+                    used += 1
+                    if used == step:
+                        np.add.at(out, cells.ravel(), again)
+                        used = 0
+            np.add.at(out, cells[:used].ravel(), again[:used * len(gh)])
+            return out
+        for pack, number in zip(self.packs, packed):
+            table = np.zeros(math.prod(self.widths[f] for f in pack), np.complex128)
+            np.add.at(table, (number if at is None else number.take(at)).astype(np.intp), gh)
+            self._spread(table, pack, out)
+        return out
+
+    def _spread(self, table: np.ndarray, pack: list[int], out: np.ndarray) -> None:
+        if len(pack) == 1:
+            out[self.first[pack[0]]:self.first[pack[0]] + len(table)] = table
+            return
+        half = len(pack) // 2
+        table = table.reshape(math.prod(self.widths[f] for f in pack[:half]), -1)
+        self._spread(table.sum(axis=1), pack[:half], out)
+        self._spread(table.sum(axis=0), pack[half:], out)
 
 
 def grid(rows: int) -> float:
@@ -36,39 +103,3 @@ def on_grid(margins: np.ndarray, y: np.ndarray, scale: float) -> np.ndarray:
     out = np.empty(len(y), np.complex128)
     out.real, out.imag = np.rint((chance - y) * scale) / scale, np.rint(chance * (1.0 - chance) * scale) / scale
     return out
-
-
-def packs(widths: np.ndarray) -> list[list[int]]:
-    """Features whose combined codes have at most ``TABLE`` cells, narrow ones with narrow ones."""
-    out, cells = [], TABLE + 1
-    for f in np.argsort(widths, kind="stable").tolist():
-        if cells * int(widths[f]) > TABLE:
-            out.append([])
-            cells = 1
-        out[-1].append(f)
-        cells *= int(widths[f])
-    return out
-
-
-def histogram(columns: np.ndarray, at: np.ndarray | None, gh: np.ndarray, widths: np.ndarray, packed: list[list[int]]) -> np.ndarray:
-    """The histogram of the rows ``at`` (all: None); ``gh`` holds the gradients of these rows."""
-    first, out = starts(widths), np.zeros(int(widths.sum()), np.complex128)
-    if len(gh) < FEW_ROWS:
-        step = max(1, CHUNK_CELLS // max(len(gh), 1))
-        again = np.tile(gh, min(step, len(widths)))
-        for a in range(0, len(widths), step):
-            some = columns[a:a + step] if at is None else columns[a:a + step].take(at, axis=1)
-            np.add.at(out, (some + first[a:a + step, None]).ravel(), again[:some.size])
-        return out
-    for pack in packed:
-        cell = np.zeros(len(gh), np.uint16)
-        for f in pack:
-            cell *= np.uint16(widths[f])
-            cell += columns[f] if at is None else columns[f].take(at)
-        shape = [int(widths[f]) for f in pack]
-        table = np.zeros(math.prod(shape), np.complex128)
-        np.add.at(table, cell.astype(np.intp), gh)
-        table = table.reshape(shape)
-        for k, f in enumerate(pack):
-            out[first[f]:first[f] + widths[f]] = table.sum(axis=tuple(j for j in range(len(pack)) if j != k))
-    return out

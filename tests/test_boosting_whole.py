@@ -76,21 +76,24 @@ def test_histograms_equal_plain_counts(n):
     widths = np.array([64, 3, 2, 17, 64, 40, 3, 256])
     columns = np.stack([rng.integers(0, w, n) for w in widths]).astype(np.uint8)
     margins, y = rng.normal(size=n), rng.integers(0, 2, n).astype(float)
-    gh = histograms.on_grid(margins, y, histograms.grid(n))
+    gh, packing = histograms.on_grid(margins, y, histograms.grid(n)), histograms.Packing(widths)
+    packed = packing.pack(columns.T)
     for at in (None, np.flatnonzero(rng.random(n) < 0.7)):
         some, g = (columns, gh) if at is None else (columns[:, at], gh[at])
-        got = histograms.histogram(columns, at, g, widths, histograms.packs(widths))
+        got = packing.histogram(packed, at, g)
         want = np.concatenate([np.bincount(c, g.real, w) + 1j * np.bincount(c, g.imag, w) for c, w in zip(some, widths)])
         assert (got == want).all()  # exact in any order
-        parts = [histograms.histogram(columns, p, gh[p], widths, histograms.packs(widths)) for p in np.array_split(np.arange(n) if at is None else at, 3)]
+        parts = [packing.histogram(packed, p, gh[p]) for p in np.array_split(np.arange(n) if at is None else at, 3)]
         assert (sum(parts) == got).all()
+        for f in range(len(widths)):
+            assert (packing.codes(packed, f, np.arange(n) if at is None else at) == some[f]).all()
     chance = 1 / (1 + np.exp(-margins))
     np.testing.assert_allclose(gh, chance - y + 1j * chance * (1 - chance), atol=2.0 / histograms.grid(n))
 
 
 def test_packs_hold_every_feature_once():
     widths = np.array([64] * 5 + [3] * 20 + [256, 2, 40])
-    got = histograms.packs(widths)
+    got = histograms.Packing(widths).packs
     assert sorted(f for p in got for f in p) == list(range(len(widths)))
     assert all(np.prod(widths[p]) <= histograms.TABLE for p in got) and len(got) < len(widths) / 2
 
